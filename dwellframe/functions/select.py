@@ -1,19 +1,20 @@
-"""Selections inside one parsed page, as expressions over its ``elements`` and ``texts`` arrays.
+"""Selections inside one parsed page, as SQL over its ``elements`` and ``texts`` arrays.
 
-Every function takes and returns columns; nothing here joins or shuffles. Nesting is a comparison of
-document-order numbers: node n lies inside element e when ``e.seq < n.seq <= e.end_seq``.
+Every function takes and returns SQL expression text, to be handed to ``F.expr``: a rule set is some
+dozens of nested lambdas, and the planner reads them as one text much faster than they could be put
+together call by call. Nothing here joins or shuffles. Nesting is a comparison of document-order
+numbers: node n lies inside element e when ``e.seq < n.seq and n.seq <= e.end_seq``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from dwellframe.functions.scalars import WHITESPACE
 
-from dwellframe.functions.scalars import py_strip
+
+def quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 @dataclass(frozen=True)
@@ -27,111 +28,111 @@ class El:
     class_prefix: str | None = None
     child: bool = False  # directly below the step before it, not just anywhere inside
 
-    def matches(self, e: Column) -> Column:
-        tests = [F.lit(True)]
+    def matches(self, e: str) -> str:
+        tests = []
         if self.tag:
-            tests.append(e["tag"] == self.tag)
+            tests.append(f"{e}.tag = {quoted(self.tag)}")
         if self.id is not None:
-            tests.append(F.coalesce(e["id"] == self.id, F.lit(False)))
+            tests.append(f"{e}.id <=> {quoted(self.id)}")
         if self.class_attr is not None:
-            tests.append(F.coalesce(e["class_attr"] == self.class_attr, F.lit(False)))
+            tests.append(f"{e}.class_attr <=> {quoted(self.class_attr)}")
         if self.class_prefix is not None:
-            tests.append(F.coalesce(F.startswith(e["class_attr"], F.lit(self.class_prefix)), F.lit(False)))
-        tests += [F.array_contains(e["classes"], name) for name in self.cls.split()]
-        return reduce(lambda a, b: a & b, tests[1:] or tests)
+            tests.append(f"coalesce(startswith({e}.class_attr, {quoted(self.class_prefix)}), false)")
+        tests += [f"array_contains({e}.classes, {quoted(name)})" for name in self.cls.split()]
+        return " and ".join(tests) or "true"
 
 
-def bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and hand it to ``body``, which may use it inside further lambdas."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def bind(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, evaluated once though the body may loop over it."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
-def inside(node: Column, element: Column) -> Column:
-    return (element["seq"] < node["seq"]) & (node["seq"] <= element["end_seq"])
+def inside(node: str, element: str) -> str:
+    return f"{element}.seq < {node}.seq and {node}.seq <= {element}.end_seq"
 
 
-def elements_at(elements: Column, *steps: El) -> Column:
+def elements_at(*steps: El, elements: str = "elements") -> str:
     """Elements matching the last step and lying inside matches of the steps before, in page order."""
-    found = F.filter(elements, steps[0].matches)
+    found = f"filter({elements}, e -> {steps[0].matches('e')})"
     for step in steps[1:]:
-        found = _below(elements, found, step)
+        linked = "o.seq = e.parent_seq" if step.child else inside("e", "o")
+        below = f"filter({elements}, e -> {step.matches('e')} and exists(outer, o -> {linked}))"
+        found = bind(found, "outer", below)
     return found
 
 
-def _below(elements: Column, outer: Column, step: El) -> Column:
-    def linked(e: Column, ancestors: Column) -> Column:
-        if step.child:
-            return F.exists(ancestors, lambda o: o["seq"] == e["parent_seq"])
-        return F.exists(ancestors, lambda o: inside(e, o))
-
-    return bind(outer, lambda o: F.filter(elements, lambda e: step.matches(e) & linked(e, o)))
-
-
-def own_texts(texts: Column, found: Column) -> Column:
+def own_texts(found: str, texts: str = "texts") -> str:
     """Direct text children of the found elements, in page order."""
-    seqs = F.transform(found, lambda e: e["seq"])
-    mine = bind(seqs, lambda s: F.filter(texts, lambda t: F.coalesce(F.array_contains(s, t["parent_seq"]), F.lit(False))))
-    return F.transform(mine, lambda t: t["text"])
+    mine = f"filter({texts}, t -> coalesce(array_contains(seqs, t.parent_seq), false))"
+    return bind(f"transform({found}, e -> e.seq)", "seqs", f"transform({mine}, t -> t.text)")
 
 
-def all_texts(texts: Column, found: Column) -> Column:
+def all_texts(found: str, texts: str = "texts") -> str:
     """Every text inside the found elements, once each, in page order."""
-    spans = F.transform(found, lambda e: F.struct(e["seq"].alias("seq"), e["end_seq"].alias("end_seq")))
-    mine = bind(spans, lambda s: F.filter(texts, lambda t: F.exists(s, lambda e: inside(t, e))))
-    return F.transform(mine, lambda t: t["text"])
+    mine = f"filter({texts}, t -> exists(spans, e -> {inside('t', 'e')}))"
+    return bind(f"transform({found}, e -> struct(e.seq, e.end_seq))", "spans", f"transform({mine}, t -> t.text)")
 
 
-def attr_values(found: Column, name: str) -> Column:
+def attr_values(found: str, name: str) -> str:
     """An attribute's values over the found elements, those lacking it left out."""
-    return F.filter(F.transform(found, lambda e: F.element_at(e["attrs"], name)), lambda v: v.isNotNull())
+    return f"filter(transform({found}, e -> element_at(e.attrs, {quoted(name)})), v -> v is not null)"
 
 
-def texts_after_label(elements: Column, texts: Column, label_tag: str, label: str, value_tag: str) -> Column:
+def texts_after_label(
+    label_tag: str, label: str, value_tag: str, elements: str = "elements", texts: str = "texts"
+) -> str:
     """Texts of the value elements that follow a label.
 
     A label is a ``label_tag`` element whose first own text contains ``label``. Its value is the next
     ``value_tag`` element after the label's end, so neither inside it nor around it. Texts over all
     labels come as one list, each once.
     """
-    labels = F.filter(
-        elements, lambda e: (e["tag"] == label_tag) & F.coalesce(F.contains(e["own_text"], F.lit(label)), F.lit(False))
-    )
-    ends = F.transform(labels, lambda e: e["end_seq"])
-    candidates = F.filter(elements, lambda e: e["tag"] == value_tag)
+    told = f"e.tag = {quoted(label_tag)} and coalesce(contains(e.own_text, {quoted(label)}), false)"
+    labels = f"filter({elements}, e -> {told})"
+    next_value = "get(filter(candidates, c -> c.seq > l.end_seq), 0)"
     values = bind(
-        candidates,
-        lambda c: F.transform(ends, lambda end: F.get(F.filter(c, lambda e: e["seq"] > end), F.lit(0))),
+        f"filter({elements}, e -> e.tag = {quoted(value_tag)})",
+        "candidates",
+        f"array_compact(transform({labels}, l -> {next_value}))",
     )
-    return all_texts(texts, F.array_compact(values))
+    return all_texts(values, texts)
 
 
-def texts_of_labelled_items(elements: Column, texts: Column, list_class: str, label: str) -> Column:
+def texts_of_labelled_items(
+    list_class: str, label: str, elements: str = "elements", texts: str = "texts"
+) -> str:
     """Texts of the ``li`` items of a ``ul`` (exact class attribute) in which some text contains ``label``."""
-    items = elements_at(elements, El("ul", class_attr=list_class), El("li", child=True))
-    told = F.filter(texts, lambda t: F.contains(t["text"], F.lit(label)))
-    named = bind(told, lambda ts: F.filter(items, lambda e: F.exists(ts, lambda t: inside(t, e))))
-    return all_texts(texts, named)
+    items = elements_at(El("ul", class_attr=list_class), El("li", child=True), elements=elements)
+    named = bind(
+        f"filter({texts}, t -> contains(t.text, {quoted(label)}))",
+        "told",
+        f"filter({items}, i -> exists(told, t -> {inside('t', 'i')}))",
+    )
+    return all_texts(named, texts)
 
 
 # --- picking from a list of texts ---------------------------------------------------------------
 
 
-def first_or_null(values: Column) -> Column:
-    return py_strip(F.get(values, F.lit(0)))
+def stripped(text: str) -> str:
+    return f"trim(both '{WHITESPACE}' from {text})"
+
+
+def first_or_null(values: str) -> str:
+    return stripped(f"get({values}, 0)")
 
 
-def list_or_null(values: Column) -> Column:
-    return F.when(F.size(values) > 0, values)
+def list_or_null(values: str) -> str:
+    return bind(values, "v", "if(size(v) > 0, v, null)")
 
 
-def pick(values: Column, position: int, more_than: int = 0, exactly: int | None = None) -> Column:
+def pick(values: str, position: int, more_than: int = 0, exactly: int | None = None) -> str:
     """The text at a position (from 0, negative from the end) if the list is long enough; trimmed."""
-    index = F.lit(position + 1 if position >= 0 else position)
-    length = F.size(values)
-    wanted = length == exactly if exactly is not None else length > more_than
-    return F.when(wanted, py_strip(F.try_element_at(values, index)))
+    index = position + 1 if position >= 0 else position
+    wanted = f"size(v) = {exactly}" if exactly is not None else f"size(v) > {more_than}"
+    return bind(values, "v", f"if({wanted}, {stripped(f'try_element_at(v, {index})')}, null)")
 
 
-def join_texts(values: Column, sep: str) -> Column:
+def join_texts(values: str, sep: str) -> str:
     """Each text trimmed, then joined; empty text for an empty list."""
-    return F.array_join(F.transform(values, py_strip), sep)
+    return f"array_join(transform({values}, t -> {stripped('t')}), {quoted(sep)})"

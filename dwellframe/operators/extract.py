@@ -10,6 +10,7 @@ the ``crawl_url`` they came from.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,74 +26,65 @@ from dwellframe.sources.html_nodes import with_nodes
 COUNT_FIELDS = ["num_floors", "num_bedrooms", "num_bathrooms", "frontage", "distance_to_road"]
 
 
-def _values(source: Source, elements: Column, texts: Column) -> Column:
+def _values(source: Source) -> str:
     match source:
         case Texts(path):
-            return sel.own_texts(texts, sel.elements_at(elements, *path))
+            return sel.own_texts(sel.elements_at(*path))
         case Attr(path, name):
-            return sel.attr_values(sel.elements_at(elements, *path), name)
+            return sel.attr_values(sel.elements_at(*path), name)
         case AfterLabel(label, label_tag, value_tag):
-            return sel.texts_after_label(elements, texts, label_tag, label, value_tag)
+            return sel.texts_after_label(label_tag, label, value_tag)
         case LabelledItem(label, list_class):
-            return sel.texts_of_labelled_items(elements, texts, list_class, label)
+            return sel.texts_of_labelled_items(list_class, label)
         case RunValue(column):
-            return F.array(F.col(column))
+            return f"array({column})"
     raise TypeError(f"no such rule source: {source!r}")
 
 
-def _taken(values: Column, take: Take) -> Column:
+def _taken(values: str, take: Take) -> str:
     if take.as_list:
-        return sel.bind(values, sel.list_or_null)
+        return sel.list_or_null(values)
     if take.at is not None:
-        return sel.bind(values, lambda v: sel.pick(v, take.at, take.more_than, take.exactly))
-
-    def joined(v: Column) -> Column:
-        part = F.slice(v, 1, take.first) if take.first else v
-        text = S.py_strip(F.array_join(part, take.sep)) if take.trim_whole else sel.join_texts(part, take.sep)
-        empty = F.lit(take.when_empty).cast("string")
-        return F.when(F.size(v) > take.more_than, F.concat(F.lit(take.prefix), text)).otherwise(empty)
-
-    return sel.bind(values, joined)
-
-
-def _per_site(sites: Mapping[str, SiteRules], build: Callable[[SiteRules], Column | None]) -> Column | None:
+        return sel.pick(values, take.at, take.more_than, take.exactly)
+    part = f"slice(v, 1, {take.first})" if take.first else "v"
+    if take.trim_whole:
+        text = sel.stripped(f"array_join({part}, {sel.quoted(take.sep)})")
+    else:
+        text = sel.join_texts(part, take.sep)
+    empty = "null" if take.when_empty is None else sel.quoted(take.when_empty)
+    filled = f"concat({sel.quoted(take.prefix)}, {text})"
+    return sel.bind(values, "v", f"if(size(v) > {take.more_than}, {filled}, {empty})")
+
+
+def _per_site(sites: Mapping[str, SiteRules], build: Callable[[SiteRules], str | None]) -> str:
     """The expression of a row's own site; null for sites without one."""
-    chosen = None
-    for name, rules in sites.items():
-        expr = build(rules)
-        if expr is None:
-            continue
-        test = F.col("site") == name
-        chosen = F.when(test, expr) if chosen is None else chosen.when(test, expr)
-    return chosen
+    built = {name: build(rules) for name, rules in sites.items()}
+    cases = " ".join(f"when {sel.quoted(name)} then {expr}" for name, expr in built.items() if expr is not None)
+    return f"case site {cases} end" if cases else "null"
 
 
-def _field(sites: Mapping[str, SiteRules], part: str, name: str, elements: Column, texts: Column) -> Column | None:
-    def build(rules: SiteRules) -> Column | None:
-        rule = getattr(rules, part).get(name)
-        return None if rule is None else _taken(_values(rule[0], elements, texts), rule[1])
-
-    return _per_site(sites, build)
+def _fields(sites: Mapping[str, SiteRules], part: str) -> dict[str, Column]:
+    """One column per field any site has a rule for."""
 
+    def built(name: str) -> Column:
+        return F.expr(
+            _per_site(sites, lambda r: _taken(_values(rule[0]), rule[1]) if (rule := getattr(r, part).get(name)) else None)
+        )
 
-def _fields(sites: Mapping[str, SiteRules], part: str, elements: Column, texts: Column) -> dict[str, Column]:
-    names = dict.fromkeys(n for rules in sites.values() for n in getattr(rules, part))
-    return {n: _field(sites, part, n, elements, texts) for n in names}
+    return {n: built(n) for n in dict.fromkeys(n for r in sites.values() for n in getattr(r, part))}
 
 
-def _errors(sites: Mapping[str, SiteRules], part: str, elements: Column, texts: Column) -> Column:
-    def lacking(need: Need) -> Column:
-        size = F.size(_values(need.source, elements, texts))
-        short = (size < need.size) & (size > 0) if need.if_any else size < need.size
-        return F.when(short, F.lit(f"missing {need.field}"))
+def _errors(sites: Mapping[str, SiteRules], part: str) -> Column:
+    def lacking(need: Need) -> str:
+        short = f"n < {need.size} and n > 0" if need.if_any else f"n < {need.size}"
+        reason = sel.quoted(f"missing {need.field}")
+        return sel.bind(f"size({_values(need.source)})", "n", f"if({short}, {reason}, null)")
 
-    def build(rules: SiteRules) -> Column | None:
+    def build(rules: SiteRules) -> str | None:
         needs = getattr(rules, part)
-        return F.array_compact(F.array(*[lacking(n) for n in needs])) if needs else None
+        return f"array_compact(array({', '.join(lacking(n) for n in needs)}))" if needs else None
 
-    found = _per_site(sites, build)
-    none = F.array().cast("array<string>")
-    return none if found is None else F.coalesce(found, none)
+    return F.expr(f"coalesce({_per_site(sites, build)}, cast(array() as array<string>))")
 
 
 # --- search pages -------------------------------------------------------------------------------
@@ -100,39 +92,37 @@ def _errors(sites: Mapping[str, SiteRules], part: str, elements: Column, texts:
 
 def page_blocks(parsed: DataFrame, sites: Mapping[str, SiteRules] = SITES) -> DataFrame:
     """Add ``blocks``, the hit elements of each search page, and ``n_hits``."""
-    blocks = _per_site(sites, lambda r: sel.elements_at(F.col("elements"), *r.blocks))
-    return parsed.withColumn("blocks", blocks).withColumn("n_hits", F.size("blocks"))
+    blocks = _per_site(sites, lambda r: sel.elements_at(*r.blocks))
+    return parsed.withColumn("blocks", F.expr(blocks)).withColumn("n_hits", F.size("blocks"))
 
 
 def hit_rows(parsed: DataFrame, sites: Mapping[str, SiteRules] = SITES) -> DataFrame:
     """One row per hit, carrying only the nodes of its own block (``elements``, ``texts``)."""
 
-    def cut(b: Column) -> Column:
-        own = F.filter("elements", lambda e: (e["seq"] == b["seq"]) | sel.inside(e, b))
-        told = F.filter("texts", lambda t: sel.inside(t, b))
-        return F.struct(own.alias("elements"), told.alias("texts"))
-
+    own = f"filter(elements, e -> e.seq = b.seq or ({sel.inside('e', 'b')}))"
+    told = f"filter(texts, t -> {sel.inside('t', 'b')})"
+    cut = F.expr(f"transform(blocks, b -> struct({own} as elements, {told} as texts))")
     blocks = page_blocks(parsed, sites)
     kept = [c for c in parsed.columns if c not in ("elements", "texts")]
-    exploded = blocks.select(*kept, F.posexplode(F.transform("blocks", cut)).alias("hit_no", "hit"))
+    exploded = blocks.select(*kept, F.posexplode(cut).alias("hit_no", "hit"))
     return exploded.select(*kept, "hit_no", "hit.elements", "hit.texts")
 
 
 def extract_hits(pages: DataFrame, sites: Mapping[str, SiteRules] = SITES) -> DataFrame:
     """Search pages -> property index rows, with ``page_id``, ``hit_no`` and ``_errors``."""
     hits = hit_rows(with_nodes(pages), sites)
-    e, t = F.col("elements"), F.col("texts")
     raw = hits.select(
         "page_id", "hit_no", "site", "vendor", "type", "crawl_url", "crawled_date",
-        *[c.alias(n) for n, c in _fields(sites, "hit_fields", e, t).items()],
-        _errors(sites, "hit_needs", e, t).alias("_errors"),
+        *[c.alias(n) for n, c in _fields(sites, "hit_fields").items()],
+        _errors(sites, "hit_needs").alias("_errors"),
     )
 
     def parsed(value: Column) -> Column:
-        return _per_site(
-            sites,
-            lambda r: S.parse_for_types(value, "type", list(r.parsed_types) if r.parsed_types else None),
-        )
+        unread = [
+            (F.col("site") == name) & ~F.col("type").isin(list(rules.parsed_types))
+            for name, rules in sites.items() if rules.parsed_types
+        ]
+        return F.when(~reduce(lambda a, b: a | b, unread, F.lit(False)), value)
 
     link = S.absolute_link("vendor", "href")
     computed = {
@@ -161,11 +151,10 @@ def extract_listings(
     ``keep_raw`` also returns the texts the count columns were read from, as ``<field>_raw``.
     """
     parsed = with_nodes(pages)
-    e, t = F.col("elements"), F.col("texts")
     raw = parsed.select(
         "page_id", "site", "vendor", "type", F.col("url").alias("link"), "crawled_date",
-        *[c.alias(n) for n, c in _fields(sites, "page_fields", e, t).items()],
-        _errors(sites, "page_needs", e, t).alias("_errors"),
+        *[c.alias(n) for n, c in _fields(sites, "page_fields").items()],
+        _errors(sites, "page_needs").alias("_errors"),
     )
     price, size = S.extract_number("price_raw"), S.extract_number("property_size_raw")
     property_id = S.extract_property_id("link")

@@ -360,57 +360,51 @@ def blocks(spark, sf_dir):
 
 @query
 def page_title(spark, sf_dir):
-    e, t = F.col("elements"), F.col("texts")
-    title = sel.first_or_null(sel.own_texts(t, sel.elements_at(e, sel.El("h1"))))
-    return _parsed(spark, sf_dir).select("page_id", title.alias("title"))
+    title = sel.first_or_null(sel.own_texts(sel.elements_at(sel.El("h1"))))
+    return _parsed(spark, sf_dir).select("page_id", F.expr(title).alias("title"))
 
 
 @query
 def page_links(spark, sf_dir):
-    links = sel.list_or_null(sel.attr_values(sel.elements_at(F.col("elements"), sel.El("nav"), sel.El("a")), "href"))
-    return _parsed(spark, sf_dir).select("page_id", links.alias("links")).select(
+    links = sel.list_or_null(sel.attr_values(sel.elements_at(sel.El("nav"), sel.El("a")), "href"))
+    return _parsed(spark, sf_dir).select("page_id", F.expr(links).alias("links")).select(
         "page_id", F.size("links").cast("bigint").alias("n_links"), F.array_join("links", " ").alias("links")
     )
 
 
 @query
 def label_value(spark, sf_dir):
-    value = sel.texts_after_label(F.col("elements"), F.col("texts"), "h1", "", "p")
+    value = F.expr(sel.texts_after_label("h1", "", "p"))
     return _parsed(spark, sf_dir).select("page_id", F.array_join(value, "").alias("value"))
 
 
 @query
 def page_text(spark, sf_dir):
-    """Footer and ad texts, each trimmed, joined."""
-    e, t = F.col("elements"), F.col("texts")
-    ad = sel.join_texts(sel.own_texts(t, sel.elements_at(e, sel.El("div", cls="ad"))), " ")
-    menu = sel.join_texts(sel.all_texts(t, sel.elements_at(e, sel.El("nav"))), ", ")
-    return _parsed(spark, sf_dir).select("page_id", ad.alias("ad"), menu.alias("menu"))
+    """Ad and menu texts, each trimmed, joined."""
+    ad = sel.join_texts(sel.own_texts(sel.elements_at(sel.El("div", cls="ad"))), " ")
+    menu = sel.join_texts(sel.all_texts(sel.elements_at(sel.El("nav"))), ", ")
+    return _parsed(spark, sf_dir).select("page_id", F.expr(ad).alias("ad"), F.expr(menu).alias("menu"))
 
 
 @query
 def pick_pos(spark, sf_dir):
-    links = sel.attr_values(sel.elements_at(F.col("elements"), sel.El("a")), "href")
-    rows = _parsed(spark, sf_dir).select("page_id", links.alias("v"))
-    v = F.col("v")
-    return rows.select(
-        "page_id", sel.pick(v, 0).alias("first"), sel.pick(v, 1).alias("second"), sel.pick(v, -3).alias("third_last"),
-        sel.pick(v, -1).alias("last"), sel.pick(v, 1, more_than=4).alias("second_of_five"),
-        sel.pick(v, 1, exactly=5).alias("second_of_exactly_five"),
-    )
+    links = F.expr(sel.attr_values(sel.elements_at(sel.El("a")), "href"))
+    rows = _parsed(spark, sf_dir).select("page_id", links.alias("links"))
+    picks = {
+        "first": sel.pick("links", 0), "second": sel.pick("links", 1), "third_last": sel.pick("links", -3),
+        "last": sel.pick("links", -1), "second_of_five": sel.pick("links", 1, more_than=4),
+        "second_of_exactly_five": sel.pick("links", 1, exactly=5),
+    }
+    return rows.select("page_id", *[F.expr(e).alias(n) for n, e in picks.items()])
 
 
 @query
 def li_value(spark, sf_dir):
     pages = with_nodes(dv.detail_pages(spark, sf_dir))
-    e, t = F.col("elements"), F.col("texts")
-
-    def item(label: str):
-        values = sel.texts_of_labelled_items(e, t, "list-info clearfix", label)
-        return sel.bind(values, lambda v: sel.pick(v, 1, more_than=2))
-
+    labels = {"rooms": "Số phòng", "floors": "Số tầng", "facing": "Hướng nhà"}
+    items = {n: sel.texts_of_labelled_items("list-info clearfix", label) for n, label in labels.items()}
     return pages.select(
-        "page_id", item("Số phòng").alias("rooms"), item("Số tầng").alias("floors"), item("Hướng nhà").alias("facing")
+        "page_id", *[F.expr(sel.pick(values, 1, more_than=2)).alias(n) for n, values in items.items()]
     )
 
 
