@@ -48,7 +48,7 @@ def extract_number(s: Column | str) -> Column:
 def extract_unit(s: Column | str) -> Column:
     """Everything that is no ASCII digit, untrimmed; null for empty or null text."""
     s = as_column(s)
-    return F.when(s != "", F.regexp_replace(s, "[0-9]+", ""))
+    return F.when(s != "", F.translate(s, "0123456789", ""))
 
 
 def rchop(s: Column | str, suffix: str) -> Column:

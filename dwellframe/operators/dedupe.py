@@ -20,11 +20,7 @@ def dup_members(df: DataFrame, keys: list[str], order: list[Column]) -> DataFram
 
     One row per member instead of one list per group: a list of a hot group's ids would not fit a task.
     """
-    groups = dup_groups(df, keys)
-    renamed = groups.select(*[F.col(k).alias(f"_d_{k}") for k in keys], "n")
-    cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(renamed[f"_d_{k}"]) for k in keys])
-    members = df.join(renamed, cond).drop(*[f"_d_{k}" for k in keys])
-    return number_rows(members, keys, order, "pos")
+    return number_rows(df, keys, order, "pos", size_out="n").filter("n > 1")
 
 
 def dedupe_survivor(

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from dwellframe.functions import scalars as S
 from dwellframe.functions import select as sel
 from dwellframe.plans.site_rules import (
-    SITES, AfterLabel, Attr, LabelledItem, Need, RunValue, SiteRules, Source, Take, Texts,
+    SITES, AfterLabel, Attr, LabelledItem, RunValue, SiteRules, Source, Take, Texts,
 )
 from dwellframe.schemas import LISTING, PROPERTY_INDEX
 from dwellframe.sources.html_nodes import with_nodes
@@ -74,15 +74,12 @@ def _fields(sites: Mapping[str, SiteRules], part: str) -> dict[str, Column]:
     return {n: built(n) for n in dict.fromkeys(n for r in sites.values() for n in getattr(r, part))}
 
 
-def _errors(sites: Mapping[str, SiteRules], part: str) -> Column:
-    def lacking(need: Need) -> str:
-        short = f"n < {need.size} and n > 0" if need.if_any else f"n < {need.size}"
-        reason = sel.quoted(f"missing {need.field}")
-        return sel.bind(f"size({_values(need.source)})", "n", f"if({short}, {reason}, null)")
+def _faults(sites: Mapping[str, SiteRules]) -> Column:
+    """Reasons a page's record is unusable, from its fields."""
 
     def build(rules: SiteRules) -> str | None:
-        needs = getattr(rules, part)
-        return f"array_compact(array({', '.join(lacking(n) for n in needs)}))" if needs else None
+        found = [f"if({when}, {sel.quoted(f'missing {part}')}, null)" for part, when in rules.page_faults.items()]
+        return f"array_compact(array({', '.join(found)}))" if found else None
 
     return F.expr(f"coalesce({_per_site(sites, build)}, cast(array() as array<string>))")
 
@@ -114,8 +111,8 @@ def extract_hits(pages: DataFrame, sites: Mapping[str, SiteRules] = SITES) -> Da
     raw = hits.select(
         "page_id", "hit_no", "site", "vendor", "type", "crawl_url", "crawled_date",
         *[c.alias(n) for n, c in _fields(sites, "hit_fields").items()],
-        _errors(sites, "hit_needs").alias("_errors"),
     )
+    linked = raw.withColumn("link", S.absolute_link("vendor", "href"))
 
     def parsed(value: Column) -> Column:
         unread = [
@@ -124,10 +121,8 @@ def extract_hits(pages: DataFrame, sites: Mapping[str, SiteRules] = SITES) -> Da
         ]
         return F.when(~reduce(lambda a, b: a | b, unread, F.lit(False)), value)
 
-    link = S.absolute_link("vendor", "href")
     computed = {
-        "link": link,
-        "property_id": S.extract_property_id(link),
+        "property_id": S.extract_property_id("link"),
         "listing_type": S.extract_listing_type("crawl_url"),
         "created_date": F.col("crawled_date"),
         "last_indexed_date": F.col("crawled_date"),
@@ -135,9 +130,12 @@ def extract_hits(pages: DataFrame, sites: Mapping[str, SiteRules] = SITES) -> Da
         **{f"property_{q}": parsed(S.extract_number(f"property_{q}_raw")) for q in ("price", "size")},
         **{f"property_{q}_unit": parsed(S.extract_unit(f"property_{q}_raw")) for q in ("price", "size")},
     }
-    columns = [computed.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in PROPERTY_INDEX
-               if f.name in computed or f.name in raw.columns]
-    return raw.select("page_id", "hit_no", *columns, "_errors")
+    columns = [
+        (computed[f.name] if f.name in computed else F.col(f.name)).cast(f.dataType).alias(f.name)
+        for f in PROPERTY_INDEX
+    ]
+    lost = F.when(F.col("link").isNull(), F.array(F.lit("missing link"))).otherwise(F.array().cast("array<string>"))
+    return linked.select("page_id", "hit_no", *columns, lost.alias("_errors"))
 
 
 # --- detail pages -------------------------------------------------------------------------------
@@ -150,30 +148,32 @@ def extract_listings(
 
     ``keep_raw`` also returns the texts the count columns were read from, as ``<field>_raw``.
     """
-    parsed = with_nodes(pages)
-    raw = parsed.select(
+    raw = with_nodes(pages).select(
         "page_id", "site", "vendor", "type", F.col("url").alias("link"), "crawled_date",
         *[c.alias(n) for n, c in _fields(sites, "page_fields").items()],
-        _errors(sites, "page_needs").alias("_errors"),
     )
-    price, size = S.extract_number("price_raw"), S.extract_number("property_size_raw")
-    property_id = S.extract_property_id("link")
+    # read once, used several times below
+    read = raw.withColumns({
+        "property_id": S.extract_property_id("link"),
+        "price": S.extract_number("price_raw"),
+        "property_size": S.extract_number("property_size_raw"),
+        "_errors": _faults(sites),
+    })
     computed = {
-        "property_id": property_id,
-        "key": S.listing_key("vendor", property_id, "type"),
-        "price": price,
+        "key": S.listing_key("vendor", "property_id", "type"),
         "price_unit": S.extract_unit("price_raw"),
-        "property_size": size,
         "property_size_unit": S.extract_unit("property_size_raw"),
-        "price_per_sqm": S.price_per_sqm(price, size),
+        "price_per_sqm": S.price_per_sqm("price", "property_size"),
         "address": _blank_on(F.col("address"), "mbnd", "tbds"),
         "contact_address": _blank_on(F.col("contact_address"), "mbnd"),
         "contact_link": S.contact_link("vendor", "contact_href") if "contact_href" in raw.columns else F.lit(None),
         **{f: S.extract_number(f"{f}_raw") for f in COUNT_FIELDS},
     }
-    columns = [computed.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in LISTING]
+    columns = [
+        (computed[f.name] if f.name in computed else F.col(f.name)).cast(f.dataType).alias(f.name) for f in LISTING
+    ]
     extra = [f"{f}_raw" for f in COUNT_FIELDS] if keep_raw else []
-    return raw.select("page_id", *columns, *extra, "_errors")
+    return read.select("page_id", *columns, *extra, "_errors")
 
 
 def _blank_on(value: Column, *sites: str) -> Column:
@@ -182,6 +182,9 @@ def _blank_on(value: Column, *sites: str) -> Column:
 
 
 def quarantine(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split extracted records into (usable, set aside with reasons)."""
+    """Split extracted records into (usable, set aside with reasons).
+
+    Both halves are lazy: to write both, stage the records first, or the pages are parsed twice.
+    """
     good = F.size("_errors") == 0
     return records.filter(good).drop("_errors"), records.filter(~good)

@@ -91,7 +91,7 @@ def frontier(index: DataFrame, vendor: str, type_: str, k: int = 100) -> DataFra
 
 def frontier_per_pair(index: DataFrame, k: int = 100) -> DataFrame:
     """The oldest ``k`` uncrawled rows of every (vendor, type), numbered in ``rn``."""
-    return top_k_per_group(uncrawled(index), GROUP, oldest_first(), k)
+    return top_k_per_group(uncrawled(index), GROUP, oldest_first(), k, ["property_id", "link"])
 
 
 def batch_rows(index: DataFrame, size: int = 100, batches: int | None = None) -> DataFrame:
@@ -104,7 +104,7 @@ def batch_rows(index: DataFrame, size: int = 100, batches: int | None = None) ->
     if batches is None:
         numbered = number_rows(rows, GROUP, oldest_first())
     else:
-        numbered = top_k_per_group(rows, GROUP, oldest_first(), size * batches)
+        numbered = top_k_per_group(rows, GROUP, oldest_first(), size * batches, ["property_id", "link"])
     return numbered.withColumn("batch", F.expr(f"(rn - 1) div {int(size)}"))
 
 

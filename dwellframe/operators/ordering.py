@@ -30,19 +30,19 @@ def _limit_threshold(df: DataFrame) -> int:
 
 
 def top_k_per_group(
-    df: DataFrame, group: list[str], order: list[Column], k: int, out: str = "rn", salts: int = 32
+    df: DataFrame, group: list[str], order: list[Column], k: int, salt_by: list[str], out: str = "rn", salts: int = 32
 ) -> DataFrame:
     """The first ``k`` rows of every group, numbered from 1 in ``out``.
 
-    Groups are few and large (vendor and type), so they are first cut into ``salts`` slices by row
-    hash and limited there; the last step sees at most ``salts * k`` rows of a group. Beyond the
+    Groups are few and large (vendor and type), so they are first cut into ``salts`` slices by a hash
+    of ``salt_by`` and limited there; the last step sees at most ``salts * k`` rows of a group. Beyond the
     planner's limit threshold the slices would not be cut on the map side; such a ``k`` goes to
     :func:`number_rows`, which needs no group in one task.
     """
     if k > _limit_threshold(df):
         numbered = number_rows(df, group, order, out)
         return numbered.filter(F.col(out) <= k)
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
+    salt = F.pmod(F.xxhash64(*salt_by), F.lit(salts))
     sliced = Window.partitionBy(*group, "_salt").orderBy(*order)
     whole = Window.partitionBy(*group).orderBy(*order)
     return (
@@ -72,44 +72,49 @@ def _ranged(df: DataFrame, order: list[Column]) -> DataFrame:
     )
 
 
-def _offsets(parts: DataFrame, size: str) -> DataFrame:
-    """Running total of ``size`` before each partition. One row per shuffle partition, no more."""
+def _offsets(sizes: DataFrame) -> DataFrame:
+    """``sizes(_part, _n)`` -> running total before each partition.
+
+    One row per shuffle partition, so both the unpartitioned window here and the broadcasts of its
+    result are bounded by configuration, not by data.
+    """
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    return parts.select("_part", F.coalesce(F.sum(size).over(before), F.lit(0)).alias("_before"))
+    return sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
 
 
-def number_rows(df: DataFrame, group: list[str], order: list[Column], out: str = "rn") -> DataFrame:
+def number_rows(
+    df: DataFrame, group: list[str], order: list[Column], out: str = "rn", size_out: str | None = None
+) -> DataFrame:
     """Exact 1-based row numbers per group, in ``order``, with no group gathered in one task.
 
     Rows are range-partitioned over (group, order), so a hot group spans many partitions. A row's
     global position is its place in its partition plus the rows before that partition; its number is
-    that minus the position where its group starts.
+    that minus the position where its group starts. ``size_out`` also returns the group's row count.
     """
     ranged = _ranged(df, [F.col(g).asc_nulls_first() for g in group] + order)
-    offsets = _offsets(ranged.groupBy("_part").agg(F.count("*").alias("_n")), "_n")
-    # offsets has one row per shuffle partition, so its size is bounded by configuration
-    placed = ranged.join(F.broadcast(offsets), "_part").withColumn("_at", F.col("_before") + F.col("_place"))
-    placed = placed.drop("_part", "_place", "_before")
-    if not group:
-        return placed.withColumn(out, F.col("_at") + 1).drop("_at")
-    starts = placed.groupBy(*group).agg(F.min("_at").alias("_start"))
-    starts = starts.select(*[F.col(g).alias(f"_g_{g}") for g in group], "_start")
-    match = reduce(lambda a, b: a & b, [placed[g].eqNullSafe(starts[f"_g_{g}"]) for g in group])
-    return (
-        placed.join(starts, match)
-        .withColumn(out, F.col("_at") - F.col("_start") + 1)
-        .drop("_at", "_start", *[f"_g_{g}" for g in group])
+    pieces = ranged.groupBy("_part", *group).agg(F.count("*").alias("_n"), F.min("_place").alias("_first"))
+    offsets = F.broadcast(_offsets(pieces.groupBy("_part").agg(F.sum("_n").alias("_n"))))
+    starts = (
+        pieces.join(offsets, "_part")
+        .groupBy(*[F.col(g).alias(f"_g_{g}") for g in group])
+        .agg(F.min(F.col("_before") + F.col("_first")).alias("_start"), F.sum("_n").alias("_size"))
     )
+    placed = ranged.join(offsets, "_part").withColumn("_at", F.col("_before") + F.col("_place"))
+    match = reduce(lambda a, b: a & b, [placed[g].eqNullSafe(starts[f"_g_{g}"]) for g in group])
+    numbered = placed.join(starts, match).withColumn(out, F.col("_at") - F.col("_start") + 1)
+    if size_out:
+        numbered = numbered.withColumnRenamed("_size", size_out)
+    return numbered.drop("_part", "_place", "_before", "_at", "_start", "_size", *[f"_g_{g}" for g in group])
 
 
 def running_total(df: DataFrame, order: list[Column], value: str, out: str) -> DataFrame:
     """Inclusive running sum of an integer column over the whole table, partition by partition."""
     ranged = _ranged(df, order)
-    offsets = _offsets(ranged.groupBy("_part").agg(F.sum(value).alias("_n")), "_n")
+    offsets = F.broadcast(_offsets(ranged.groupBy("_part").agg(F.sum(value).alias("_n"))))
     inside = Window.partitionBy("_part").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
     return (
         ranged.withColumn("_sum", F.sum(value).over(inside))
-        .join(F.broadcast(offsets), "_part")
+        .join(offsets, "_part")
         .withColumn(out, F.col("_before") + F.col("_sum"))
         .drop("_part", "_place", "_sum", "_before")
     )

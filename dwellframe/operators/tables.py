@@ -77,15 +77,24 @@ def insert_checks(checks: DataFrame, source: DataFrame) -> DataFrame:
 
 def put_by_key(
     target: DataFrame, source: DataFrame, key: str = "key", written_at: str = "crawled_date",
-    tiebreak: list[Column] | None = None,
+    small_keys: DataFrame | None = None,
 ) -> DataFrame:
-    """Last write wins, whole row. On equal times the source row replaces the stored one."""
+    """Last write wins, whole row. On equal times the source row replaces the stored one.
+
+    With ``small_keys``, the source's keys behind a broadcast hint, stored rows of other keys pass
+    through without a shuffle.
+    """
+    order = [F.col(written_at).desc_nulls_last(), F.col("_new").desc()]
+    order += total_order(source, [], [key, written_at])
+    untouched = None
+    if small_keys is not None:
+        untouched = target.join(small_keys, null_safe(target, small_keys, [key]), "left_anti")
+        target = target.join(small_keys, null_safe(target, small_keys, [key]), "left_semi")
     both = target.withColumn("_new", F.lit(0)).unionByName(
         source.withColumn("_new", F.lit(1)), allowMissingColumns=True
     )
-    lead = [F.col(written_at).desc_nulls_last(), F.col("_new").desc()]
-    order = lead + (tiebreak or total_order(source, [], [key, written_at]))
-    return first_per_key(both, [key], order).drop("_new")
+    current = first_per_key(both, [key], order).drop("_new")
+    return current if untouched is None else untouched.unionByName(current, allowMissingColumns=True)
 
 
 def update_where(

@@ -41,7 +41,7 @@ def query(fn: Query) -> Query:
 
 def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search hits with their parsed columns, as the index takes them."""
-    return dv.view(spark, sf_dir, dv.HITS).select(
+    return dv.hits(spark, sf_dir).select(
         "vendor", "type", S.extract_property_id("link").alias("property_id"), "link", "created_date",
         F.col("price_raw").alias("property_price_raw"),
         S.extract_number("price_raw").alias("property_price"),
@@ -62,7 +62,7 @@ def _split(df: DataFrame, column: str, at: str) -> tuple[DataFrame, DataFrame]:
 
 @query
 def number_unit(spark, sf_dir):
-    v = dv.view(spark, sf_dir, dv.HITS)
+    v = dv.hits(spark, sf_dir)
     return v.select(
         "l_orderkey", "l_linenumber", "price_raw", "size_raw",
         S.extract_number("price_raw").alias("price"), S.extract_unit("price_raw").alias("price_unit"),
@@ -72,7 +72,7 @@ def number_unit(spark, sf_dir):
 
 @query
 def typed_parse(spark, sf_dir):
-    v = dv.view(spark, sf_dir, dv.HITS)
+    v = dv.hits(spark, sf_dir)
     return v.select(
         "l_orderkey", "l_linenumber", "type", "price_raw",
         S.parse_for_types(S.extract_number("price_raw"), "type", ["sell", "rent"]).alias("price"),
@@ -82,21 +82,22 @@ def typed_parse(spark, sf_dir):
 
 @query
 def property_key(spark, sf_dir):
-    v = dv.view(spark, sf_dir, dv.HITS)
-    pid = S.extract_property_id("link")
-    return v.select("link", pid.alias("property_id"), S.listing_key("vendor", pid, "type").alias("key"))
+    v = dv.hits(spark, sf_dir).withColumn("property_id", S.extract_property_id("link"))
+    return v.select("link", "property_id", S.listing_key("vendor", "property_id", "type").alias("key"))
 
 
 @query
 def price_per_sqm(spark, sf_dir):
-    v = dv.view(spark, sf_dir, dv.HITS)
-    ratio = S.price_per_sqm(S.extract_number("price_raw"), S.extract_number("size_raw"))
-    return v.select("l_orderkey", "l_linenumber", "price_raw", "size_raw", ratio.alias("price_per_sqm"))
+    read = dv.hits(spark, sf_dir).withColumns(
+        {"price": S.extract_number("price_raw"), "size": S.extract_number("size_raw")}
+    )
+    ratio = S.price_per_sqm("price", "size").alias("price_per_sqm")
+    return read.select("l_orderkey", "l_linenumber", "price_raw", "size_raw", ratio)
 
 
 @query
 def abs_link(spark, sf_dir):
-    v = dv.view(spark, sf_dir, dv.HITS)
+    v = dv.hits(spark, sf_dir)
     padded = F.concat(F.lit(" \n "), "link", F.lit(" 　"))
     return v.select("vendor", "link", S.absolute_link("vendor", padded).alias("abs_link"))
 
@@ -175,7 +176,7 @@ def mark_crawled(spark, sf_dir):
 
 @query
 def recode_type(spark, sf_dir):
-    h = dv.view(spark, sf_dir, dv.HITS)
+    h = dv.hits(spark, sf_dir)
     return tables.recode(h, "type", "rent", "lease").select("l_orderkey", "l_linenumber", "link", "type")
 
 
@@ -294,7 +295,7 @@ def exhausted_types(spark, sf_dir):
 
 @query
 def split_links(spark, sf_dir):
-    v = dv.view(spark, sf_dir, dv.HITS)
+    v = dv.hits(spark, sf_dir)
     full = F.concat("vendor", "link")
     pair = F.concat(full, F.lit(","), full, F.lit("?from="), "vendor")
     batches = v.select("l_orderkey", "l_linenumber", "vendor", pair.alias("links"))
@@ -330,8 +331,12 @@ def job_stats_compat(spark, sf_dir):
 
 @query
 def fleet_summary(spark, sf_dir):
-    jobs = dv.view(spark, sf_dir, dv.JOBS).agg(F.min("start_time").alias("started_at"))
-    hosts = dv.view(spark, sf_dir, dv.HOSTS).crossJoin(F.broadcast(jobs))  # one row
+    jobs = dv.view(spark, sf_dir, dv.JOBS)
+    hosts = jobs.groupBy("host").agg(
+        (F.count_if(F.col("state") == "running") > 280).alias("alive"),
+        F.count("*").alias("spawned"),
+        F.min("start_time").alias("started_at"),
+    )
     return monitor.fleet_summary(hosts, _ntz(NOW))
 
 

@@ -71,7 +71,7 @@ from {lineitem}
 """
 
 HOSTS = """
-select s_name as host, s_nationkey % 6 as running, s_acctbal > 0 as alive, s_nationkey % 4 as spawned
+select s_name as host, s_nationkey % 6 as running
 from {supplier}
 """
 
@@ -96,6 +96,10 @@ def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return spark.sql(sql, **{n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names})
 
 
+def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(HITS, lineitem=spread_small_scan(table(spark, sf_dir, "lineitem")))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -218,8 +218,10 @@ ORACLES: dict[str, str] = {
         count(*) filter (state = 'finished') as finished,
         avg(secs % 86400 // 60 % 60) filter (state = 'finished') as avg_minutes from {JOBS} j group by host""",
     "fleet_summary": f"""select alive_hosts, spawned, s // 86400 as days, s % 86400 // 3600 as hours,
-        s % 3600 // 60 as minutes from (select count(*) filter (alive) as alive_hosts, cast(sum(spawned) as bigint) as spawned,
-        (select (epoch_us(timestamp '{NOW}') - epoch_us(min(start_time))) // 1000000 from {JOBS} j) as s from {HOSTS} h) x""",
+        s % 3600 // 60 as minutes from (select count(*) filter (running > 280) as alive_hosts,
+        cast(sum(n) as bigint) as spawned, (epoch_us(timestamp '{NOW}') - epoch_us(min(since))) // 1000000 as s
+        from (select host, count(*) as n, count(*) filter (state = 'running') as running, min(start_time) as since
+          from {JOBS} j group by host) h) x""",
     "node_counts": """select page_id, tag, count(*) as n from (select page_id, unnest(regexp_extract_all(
         regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?s)(<script>|<style>).*?</(script|style)>', '\\1', 'g'),
         '<([a-zA-Z][a-zA-Z0-9]*)', 1)) as tag from pages) t group by all""",

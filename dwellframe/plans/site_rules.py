@@ -5,7 +5,7 @@ Class names, ids and labels are fixed values: the sites' own markup vocabulary.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from dwellframe.functions.select import El
 
@@ -77,27 +77,14 @@ FIRST = Take(at=0)
 LIST = Take(as_list=True)
 
 
-@dataclass(frozen=True)
-class Need:
-    """A list that must be at least ``size`` long, or the record is set aside as lacking ``field``.
-
-    ``if_any`` lets an empty list pass.
-    """
-
-    field: str
-    source: Source
-    size: int = 1
-    if_any: bool = False
-
-
 @dataclass(frozen=True)
 class SiteRules:
     page_style: str
     blocks: tuple[El, ...]
     hit_fields: dict[str, tuple[Source, Take]]
     page_fields: dict[str, tuple[Source, Take]]
-    hit_needs: tuple[Need, ...] = ()
-    page_needs: tuple[Need, ...] = ()
+    # what makes a page's record unusable: missing part -> condition over the page fields
+    page_faults: dict[str, str] = field(default_factory=dict)
     # types whose search prices and sizes are read as numbers; None reads all
     parsed_types: tuple[str, ...] | None = None
 
@@ -134,21 +121,17 @@ SECOND_OF_THREE = Take(at=1, more_than=2)
 _GIA = _texts("kqchitiet", "gia-title", El("strong"))
 _DATES = _texts("prd-more-info", El("div"))
 _HIT_INFO = _texts("content", "info", El("span"))
-_HIT_HREF_BDS = _attr("href", "p-title", El("a"))
-_HIT_HREF_MBND = _attr("href", "row title", El("a"))
-_HIT_HREF_TBDS = _attr("href", "content", "title", El("a"))
 
 BDS = SiteRules(
     page_style="path",
     blocks=(El("div", class_prefix="vip"),),
     hit_fields={
-        "href": (_HIT_HREF_BDS, FIRST),
+        "href": (_attr("href", "p-title", El("a")), FIRST),
         "property_price_raw": (_texts("product-price"), FIRST),
         "property_size_raw": (_texts("product-area"), FIRST),
         "property_area": (_texts("product-city-dist"), Take(sep=", ", when_empty="")),
         "posted_date": (_texts("floatright"), FIRST),
     },
-    hit_needs=(Need("link", _HIT_HREF_BDS),),
     parsed_types=("sell", "rent"),
     page_fields={
         "posted_date": (_DATES, Take(at=-3, more_than=2)),
@@ -179,25 +162,24 @@ BDS = SiteRules(
         "project_scale": (_div("Quy mô"), FIRST),
         "project_link": (_attr("href", El("a", id="LeftMainContent__productDetail_linkProject")), FIRST),
     },
-    page_needs=(
-        Need("posted_date", _DATES, 3, if_any=True),
-        Need("title", _texts("pm-title", El("h1"))),
-        Need("price", _GIA, 1),
-        Need("property_size", _GIA, 2),
-    ),
+    page_faults={
+        "posted_date": "expire_date is not null and posted_date is null",
+        "title": "title is null",
+        "price": "price_raw is null",
+        "property_size": "property_size_raw is null",
+    },
 )
 
 MBND = SiteRules(
     page_style="query",
     blocks=_css("resultItem"),
     hit_fields={
-        "href": (_HIT_HREF_MBND, FIRST),
+        "href": (_attr("href", "row title", El("a")), FIRST),
         "property_price_raw": (_texts("listing-price"), FIRST),
         "property_size_raw": (_texts("col-xs-12 lline"), Take(at=-1)),
         "property_area": (_texts("row lline", "col-xs-6"), Take(sep=", ", when_empty="")),
         "posted_date": (_texts("col-lg-4 lline hidden-xs"), FIRST),
     },
-    hit_needs=(Need("link", _HIT_HREF_MBND),),
     page_fields={
         "posted_date": (_texts(_box("lblDateCreated")), FIRST),
         "title": (_texts("navi-title"), FIRST),
@@ -229,12 +211,11 @@ TBDS = SiteRules(
     page_style="path",
     blocks=_css("col-gr-75per", "group-prd", El("li")),
     hit_fields={
-        "href": (_HIT_HREF_TBDS, FIRST),
+        "href": (_attr("href", "content", "title", El("a")), FIRST),
         "property_price_raw": (_HIT_INFO, FIRST),
         "property_size_raw": (_HIT_INFO, Take(at=1)),
         "property_area": (_texts("content", "fsize-13"), Take(at=1)),
     },
-    hit_needs=(Need("link", _HIT_HREF_TBDS),),
     page_fields={
         "posted_date": (_texts("list-info clearfix", "value line"), Take(sep="/", first=2, more_than=2)),
         "title": (_texts("folder-title", El("h1")), FIRST),

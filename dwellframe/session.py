@@ -40,6 +40,9 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_staged: list[str] = []
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` once under the scratch folder and read it back.
 
@@ -49,4 +52,14 @@ def stage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_root(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete the tables this process has staged, once their readers are done. Returns how many."""
+    dropped = 0
+    while _staged:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        dropped += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return dropped

@@ -10,6 +10,7 @@ import re
 import sys
 from collections.abc import Iterator
 from html import unescape
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -26,7 +27,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
-RAW_TEXT = frozenset(["script", "style"])
 BLOCKS = frozenset(
     "address article aside blockquote center details dir div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 "
     "header hr main menu nav ol p pre section table ul".split()
@@ -47,124 +47,131 @@ ENDS: dict[str, tuple[frozenset[str], frozenset[str]]] = {
        for tag in ("tbody", "thead", "tfoot")},
     "body": (frozenset(["head"]), frozenset()),
 }
-TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
-LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
+# One split of a page by this pattern yields its texts and, between them, the groups
+# (raw tag, its attributes, its raw text, slash, name, attributes). Comments and declarations leave
+# all groups empty. Attribute text minds quotes, unless a quote never closes.
+_REST = r"""[^<>"']*+(?:(?:"[^"]*"|'[^']*')[^<>"']*+)*+"""
+MARKUP = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
+    rf"|<(script|style)(?=[\s/>])({_REST})>(.*?)(?:</\1\s*>|\Z)"
+    rf"|<(/?)([a-z][^\s/<>]*+)({_REST}(?=>)|[^<>]*)>",
+    re.S | re.I,
+)
 ATTRIBUTE = re.compile(r"([^\s=/>\"'][^\s=/>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
+NO_ENDS: tuple[frozenset[str], frozenset[str]] = (frozenset(), frozenset())
 
 
-def _attributes(text: str) -> list[tuple[str, str]]:
+def _attributes(text: str) -> dict[str, str]:
     found: dict[str, str] = {}
     for name, double, single, bare in ATTRIBUTE.findall(text):
         value = double or single or bare
         found.setdefault(name.lower(), unescape(value) if "&" in value else value)
-    return list(found.items())
+    return found
 
 
-def parse_page(html: str | None) -> tuple[list[list], list[list]]:
-    """Elements and text nodes of one page, each numbered in document order.
+def parse_into(html: str | None, elements: list[list], texts: list[list]) -> None:
+    """Append one page's elements and text nodes, numbered in document order, to column lists.
 
     Recovers from unclosed and misnested tags the way browsers mostly do; markup broken beyond that
     may nest differently from another parser's reading.
     """
-    elements: list[list] = []
-    texts: list[list] = []
     if not html:
-        return elements, texts
-    stack: list[list] = []
-    seq = pos = 0
-    size = len(html)
-    tag_at = TAG.match
-    pending: list[str] = []
-
-    def flush() -> None:
-        nonlocal seq
-        if pending:
-            raw = "".join(pending)
-            pending.clear()
-            parent = stack[-1] if stack else None
-            text = unescape(raw) if "&" in raw and not (parent and parent[3] in RAW_TEXT) else raw
-            texts.append([seq, parent[0] if parent else None, text])
-            if parent is not None and parent[8] is None:
-                parent[8] = text
-            seq += 1
+        return
+    e_seq, e_end, e_parent, e_tag, e_id, e_class, e_classes, e_attrs, e_own = elements
+    t_seq, t_parent, t_text = texts
+    open_tags: list[str] = []
+    open_rows: list[int] = []
+    seq = 0
 
     def close_to(depth: int) -> None:
-        while len(stack) > depth:
-            stack.pop()[1] = seq - 1
-
-    while pos < size:
-        lt = html.find("<", pos)
-        if lt < 0:
-            pending.append(html[pos:])
-            break
-        if lt > pos:
-            pending.append(html[pos:lt])
-        if html.startswith("<!--", lt):
-            flush()
-            end = html.find("-->", lt + 4)
-            pos = size if end < 0 else end + 3
-            continue
-        if html[lt + 1 : lt + 2] in ("!", "?"):
-            flush()
-            end = html.find(">", lt)
-            pos = size if end < 0 else end + 1
-            continue
-        match = tag_at(html, lt)
-        if match is None and html[lt + 1 : lt + 2].isalpha() and tag_at is TAG.match:
-            # a quote never closes: read the rest of the page without minding quotes
-            tag_at = LOOSE_TAG.match
-            match = tag_at(html, lt)
-        if match is None:
-            pending.append("<")
-            pos = lt + 1
-            continue
-        flush()
-        pos = match.end()
-        slash, name, rest = match.groups()
-        tag = name.lower()
-        if slash:
-            for depth in range(len(stack) - 1, -1, -1):
-                opened = stack[depth][3]
-                if opened == tag:
-                    close_to(depth)
-                    break
-                if tag not in BLOCKS and tag not in CELLS and opened in CELLS:
-                    break
+        for row in open_rows[depth:]:
+            e_end[row] = seq - 1
+        del open_rows[depth:], open_tags[depth:]
+
+    parts = MARKUP.split(html)
+    parts += [None] * 6
+    for text, raw_tag, raw_rest, raw_text, slash, name, rest in zip(*[iter(parts)] * 7):
+        if text:
+            if "&" in text:
+                text = unescape(text)
+            t_seq.append(seq)
+            t_text.append(text)
+            if open_rows:
+                row = open_rows[-1]
+                t_parent.append(e_seq[row])
+                if e_own[row] is None:
+                    e_own[row] = text
+            else:
+                t_parent.append(None)
+            seq += 1
+        if name is not None:
+            tag = name.lower()
+            if slash:
+                if open_tags and open_tags[-1] == tag:
+                    open_tags.pop()
+                    e_end[open_rows.pop()] = seq - 1
+                elif tag in open_tags:
+                    inline = tag not in BLOCKS and tag not in CELLS
+                    for depth in range(len(open_tags) - 1, -1, -1):
+                        if open_tags[depth] == tag:
+                            close_to(depth)
+                            break
+                        if inline and open_tags[depth] in CELLS:
+                            break
+                continue
+            ended, bounds = ENDS.get(tag, NO_ENDS)
+            if ended and not ended.isdisjoint(open_tags):
+                cut = None
+                for depth in range(len(open_tags) - 1, -1, -1):
+                    if open_tags[depth] in ended:
+                        cut = depth
+                    elif open_tags[depth] in bounds:
+                        break
+                if cut is not None:
+                    close_to(cut)
+        elif raw_tag is not None:
+            tag, rest = raw_tag.lower(), raw_rest
+        else:
             continue
-        ended, bounds = ENDS.get(tag, (frozenset(), frozenset()))
-        if ended:
-            cut = None
-            for depth in range(len(stack) - 1, -1, -1):
-                opened = stack[depth][3]
-                if opened in ended:
-                    cut = depth
-                elif opened in bounds:
-                    break
-            if cut is not None:
-                close_to(cut)
-        attrs = _attributes(rest) if rest else []
-        named = dict(attrs)
-        css = named.get("class")
-        element = [
-            seq, seq, stack[-1][0] if stack else None, tag, named.get("id"), css,
-            css.split() if css else [], attrs, None,
-        ]
-        elements.append(element)
+        e_parent.append(e_seq[open_rows[-1]] if open_rows else None)
+        e_seq.append(seq)
+        e_end.append(seq)
+        e_tag.append(tag)
+        if rest:
+            attrs = _attributes(rest)
+            css = attrs.get("class")
+            e_id.append(attrs.get("id"))
+            e_class.append(css)
+            e_classes.append(css.split() if css else ())
+            e_attrs.append(attrs)
+        else:
+            e_id.append(None)
+            e_class.append(None)
+            e_classes.append(())
+            e_attrs.append({})
+        e_own.append(None)
+        if raw_tag is not None:
+            if raw_text:
+                t_seq.append(seq + 1)
+                t_parent.append(seq)
+                t_text.append(raw_text)
+                e_own[-1] = raw_text
+                seq += 1
+                e_end[-1] = seq
+        elif tag not in VOID:
+            open_tags.append(tag)
+            open_rows.append(len(e_seq) - 1)
         seq += 1
-        if tag in VOID:
-            continue
-        stack.append(element)
-        if tag in RAW_TEXT:
-            close = re.compile(rf"</{tag}\s*>", re.I).search(html, pos)
-            end = close.start() if close else size
-            if end > pos:
-                pending.append(html[pos:end])
-                flush()
-            close_to(len(stack) - 1)
-            pos = close.end() if close else size
-    flush()
     close_to(0)
-    return elements, texts
+
+
+def parse_page(html: str | None) -> tuple[list[dict], list[dict]]:
+    """Elements and text nodes of one page as dicts."""
+    columns = [[] for _ in ELEMENT.names], [[] for _ in TEXT_NODE.names]
+    parse_into(html, *columns)
+    return tuple(
+        [dict(zip(kind.names, row)) for row in zip(*lists)] for kind, lists in zip((ELEMENT, TEXT_NODE), columns)
+    )
 
 
 ARROW_ELEMENT = pa.struct(
@@ -178,27 +185,41 @@ ARROW_TEXT = pa.struct([("seq", pa.int64()), ("parent_seq", pa.int64()), ("text"
 PAGES_PER_BATCH = 64
 
 
-def _lists(rows: list[list[list]], kind: pa.StructType) -> pa.ListArray:
-    offsets = [0]
-    for page in rows:
-        offsets.append(offsets[-1] + len(page))
-    flat = [node for page in rows for node in page]
-    columns = [pa.array([node[i] for node in flat], kind.field(i).type) for i in range(kind.num_fields)]
-    struct = pa.StructArray.from_arrays(columns, fields=[kind.field(i) for i in range(kind.num_fields)])
+def _column(values: list, kind: pa.DataType) -> pa.Array:
+    if pa.types.is_map(kind):
+        offsets = pa.array([0, *accumulate(map(len, values))], pa.int32())
+        keys = pa.array([k for v in values for k in v], pa.string())
+        return pa.MapArray.from_arrays(offsets, keys, pa.array([x for v in values for x in v.values()], pa.string()))
+    if pa.types.is_list(kind):
+        offsets = pa.array([0, *accumulate(map(len, values))], pa.int32())
+        return pa.ListArray.from_arrays(offsets, pa.array([x for v in values for x in v], pa.string()))
+    return pa.array(values, kind)
+
+
+def _per_page(columns: list[list], offsets: list[int], kind: pa.StructType) -> pa.ListArray:
+    fields = [kind.field(i) for i in range(kind.num_fields)]
+    struct = pa.StructArray.from_arrays([_column(c, f.type) for c, f in zip(columns, fields)], fields=fields)
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), struct)
 
 
 def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
+        where = whole.schema.get_field_index("html")
+        kept = [i for i in range(whole.num_columns) if i != where]
+        names = [whole.schema.field(i).name for i in kept] + ["elements", "texts"]
         for at in range(0, whole.num_rows, PAGES_PER_BATCH):
             batch = whole.slice(at, PAGES_PER_BATCH)
-            where = batch.schema.get_field_index("html")
-            parsed = [parse_page(html) for html in batch.column(where).to_pylist()]
-            kept = [i for i in range(batch.num_columns) if i != where]
+            elements: list[list] = [[] for _ in range(ARROW_ELEMENT.num_fields)]
+            texts: list[list] = [[] for _ in range(ARROW_TEXT.num_fields)]
+            element_ends, text_ends = [0], [0]
+            for html in batch.column(where).to_pylist():
+                parse_into(html, elements, texts)
+                element_ends.append(len(elements[0]))
+                text_ends.append(len(texts[0]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in kept]
-                + [_lists([p[0] for p in parsed], ARROW_ELEMENT), _lists([p[1] for p in parsed], ARROW_TEXT)],
-                names=[batch.schema.field(i).name for i in kept] + ["elements", "texts"],
+                + [_per_page(elements, element_ends, ARROW_ELEMENT), _per_page(texts, text_ends, ARROW_TEXT)],
+                names=names,
             )
 
 
