@@ -21,7 +21,7 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 NUMBER_PATTERN = r"\d*\.?,?\d+"
-ID_PATTERN = r"-(?:pr|ad)?([0-9]+)\z"
+ID_PATTERN = r"-(?:pr|ad)?([0-9]+)(?:\.htm)?\z"
 FAILURE = "FAILURE"
 
 
@@ -41,8 +41,7 @@ def blank_to_null(s: Column | str) -> Column:
 def extract_number(s: Column | str) -> Column:
     """All number-like pieces joined, commas read as dots; null if that is no number."""
     pieces = F.regexp_extract_all(as_column(s), F.lit(NUMBER_PATTERN), F.lit(0))
-    digits = F.translate(F.array_join(pieces, ""), ",", ".")
-    return blank_to_null(digits).try_cast("double")
+    return F.translate(F.array_join(pieces, ""), ",", ".").try_cast("double")
 
 
 def extract_unit(s: Column | str) -> Column:
@@ -57,7 +56,8 @@ def rchop(s: Column | str, suffix: str) -> Column:
 
 
 def extract_property_id(link: Column | str) -> Column:
-    return blank_to_null(F.regexp_extract(rchop(link, ".htm"), ID_PATTERN, 1))
+    """Digits ending the link after ``-``, ``-pr`` or ``-ad``, one trailing ``.htm`` aside; else null."""
+    return F.get(F.regexp_extract_all(as_column(link), F.lit(ID_PATTERN), F.lit(1)), F.lit(0))
 
 
 def extract_listing_type(url: Column | str) -> Column:

@@ -137,28 +137,23 @@ def append_all(target: DataFrame, source: DataFrame) -> DataFrame:
     return target.unionByName(source, allowMissingColumns=True)
 
 
-def missing_fields(df: DataFrame, columns: list[str]) -> Column:
-    """Names of the given columns that are null, empty text or an empty array."""
-    types = dict(df.dtypes)
-
-    def empty(name: str) -> Column:
-        c = F.col(name)
-        if types[name].startswith("array"):
-            return c.isNull() | (F.size(c) == 0)
-        if types[name] == "string":
-            return c.isNull() | (c == "")
-        return c.isNull()
-
-    if not columns:
-        return F.array().cast("array<string>")
-    return F.array_compact(F.array(*[F.when(empty(c), F.lit(c)) for c in columns]))
+def _is_empty(df: DataFrame, name: str) -> Column:
+    """Null, empty text or an empty array."""
+    c, kind = F.col(name), df.schema[name].dataType.typeName()
+    if kind == "array":
+        return c.isNull() | (F.size(c) == 0)
+    return c.isNull() | (c == "") if kind == "string" else c.isNull()
 
 
 def require_fields(df: DataFrame, columns: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Split into (complete, incomplete) rows. No columns by default, so nothing is held back."""
-    flagged = df.withColumn("_missing", missing_fields(df, columns or []))
-    complete = F.size("_missing") == 0
-    return flagged.filter(complete).drop("_missing"), flagged.filter(~complete)
+    """Split into (complete, incomplete) rows; the latter name their empty columns in ``_missing``.
+
+    No columns are required by default, so nothing is held back.
+    """
+    empty = {c: _is_empty(df, c) for c in columns or []}
+    lacking = reduce(lambda a, b: a | b, empty.values(), F.lit(False))
+    names = F.array(*[F.when(e, F.lit(c)) for c, e in empty.items()]).cast("array<string>")
+    return df.filter(~lacking), df.filter(lacking).withColumn("_missing", F.array_compact(names))
 
 
 def semi_by_keys(df: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
