@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dwellframe.functions.scalars import as_column, upgrade_scheme
-from dwellframe.operators.ordering import number_rows, running_total, top_k_per_group
+from dwellframe.operators.ordering import broadcast_if_small, number_rows, running_total, top_k_per_group
 from dwellframe.operators.tables import mark_crawled
 from dwellframe.session import stage
 
@@ -186,6 +186,8 @@ def claim_cycle(
     """
     numbered = batch_rows(index, size)
     placed = assign_batches(number_batches(batch_counts(numbered), tasks), free_slots(hosts, max_parallel))
-    rows = stage(numbered.join(placed.select(*GROUP, "batch", "host", "slot"), [*GROUP, "batch"]))
+    # no more rows than the fleet has free places
+    placed = broadcast_if_small(stage(placed.select(*GROUP, "batch", "host", "slot")))
+    rows = stage(numbered.join(placed, [*GROUP, "batch"]))
     assigned = crawl_batches(rows, "host", "slot")
     return assigned, mark_crawled(index, rows, run_ts, check_size=True)

@@ -10,6 +10,25 @@ from pyspark.sql import functions as F
 from dwellframe.session import stage
 
 
+# Largest table handed to every executor, in measured bytes.
+BROADCAST_BYTES = 64 << 20
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes the rows hold, counted over the actual rows. Runs a job: for data already staged or kept."""
+    per_row = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns]
+    return df.agg(F.coalesce(F.sum(reduce(lambda a, b: a + b, per_row)), F.lit(0))).first()[0]
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if its measured size allows; otherwise unchanged, to be shuffled.
+
+    A hint rather than adaptive execution, because by the time that has seen this side to be small it
+    has already shuffled the other.
+    """
+    return F.broadcast(df) if measured_bytes(df) <= limit else df
+
+
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     """Join condition in which null keys match each other; still an equi-join for the planner."""
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
@@ -92,13 +111,15 @@ def number_rows(
     that minus the position where its group starts. ``size_out`` also returns the group's row count.
     """
     ranged = _ranged(df, [F.col(g).asc_nulls_first() for g in group] + order)
-    pieces = ranged.groupBy("_part", *group).agg(F.count("*").alias("_n"), F.min("_place").alias("_first"))
+    pieces = stage(ranged.groupBy("_part", *group).agg(F.count("*").alias("_n"), F.min("_place").alias("_first")))
     offsets = F.broadcast(_offsets(pieces.groupBy("_part").agg(F.sum("_n").alias("_n"))))
     starts = (
         pieces.join(offsets, "_part")
         .groupBy(*[F.col(g).alias(f"_g_{g}") for g in group])
         .agg(F.min(F.col("_before") + F.col("_first")).alias("_start"), F.sum("_n").alias("_size"))
     )
+    # few groups: broadcast, so the rows are not shuffled again; many: an even shuffle on the group
+    starts = broadcast_if_small(starts)
     placed = ranged.join(offsets, "_part").withColumn("_at", F.col("_before") + F.col("_place"))
     match = reduce(lambda a, b: a & b, [placed[g].eqNullSafe(starts[f"_g_{g}"]) for g in group])
     numbered = placed.join(starts, match).withColumn(out, F.col("_at") - F.col("_start") + 1)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dwellframe.schemas import CONTACT_COLUMNS
 
-BATCH = "batch_id"
+BATCH, BASE = "batch_id", "base"
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None, drop_contacts: bool = False) -> None:
@@ -48,13 +50,36 @@ def _complete_folders(spark: SparkSession, root: str, prefix: str) -> list[int]:
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
-    """All committed micro-batches, or those numbered below ``before``; an empty table if there are none."""
-    numbers = _complete_folders(spark, path, f"{BATCH}=")
-    wanted = [n for n in numbers if before is None or n < before]
-    if not wanted:
-        return spark.createDataFrame([], schema)
+    """All committed micro-batches, or those numbered below ``before``; an empty table if there are none.
+
+    Batches already folded into a base are read from there.
+    """
     root = path.rstrip("/")
-    return spark.read.schema(schema).parquet(*[f"{root}/{BATCH}={n}" for n in wanted])
+
+    def numbers(prefix: str) -> list[int]:
+        return [n for n in _complete_folders(spark, root, prefix) if before is None or n < before]
+
+    base = max(numbers(f"{BASE}="), default=None)
+    folders = [] if base is None else [f"{root}/{BASE}={base}"]
+    folders += [f"{root}/{BATCH}={n}" for n in numbers(f"{BATCH}=") if base is None or n > base]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*folders)
+
+
+def fold_batches(
+    spark: SparkSession, path: str, schema: T.StructType, reduce: Callable[[DataFrame], DataFrame] = lambda df: df
+) -> int | None:
+    """Write all micro-batches but the last, reduced, as one base folder. Returns the last one folded.
+
+    The last stays out since a restarted stream may still replay it. Nothing is deleted.
+    """
+    done = _complete_folders(spark, path, f"{BATCH}=")
+    if len(done) < 2:
+        return None
+    rows = reduce(read_batches(spark, path, schema, before=done[-1]))
+    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BASE}={done[-2]}")
+    return done[-2]
 
 
 def snapshot_version(spark: SparkSession, root: str) -> int | None:

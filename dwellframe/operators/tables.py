@@ -11,14 +11,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dwellframe.operators.ordering import first_per_key, null_safe
+from dwellframe.operators.ordering import broadcast_if_small, first_per_key, null_safe
 from dwellframe.schemas import INDEX_INSERTED, INDEX_KEYS
 
 
-# Largest key set handed to every executor, in measured bytes.
-BROADCAST_BYTES = 64 << 20
-
-
 def total_order(df: DataFrame, lead: list[Column], besides: list[str] | None = None) -> list[Column]:
     """``lead`` followed by every sortable column not in ``besides``, so that 'first' is one definite row."""
     skip = set(besides or [])
@@ -26,17 +22,6 @@ def total_order(df: DataFrame, lead: list[Column], besides: list[str] | None = N
     return lead + [F.col(c).asc_nulls_first() for c in names]
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Bytes the rows hold, counted over the actual rows. Runs a job: for data already staged or kept."""
-    per_row = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns]
-    return df.agg(F.coalesce(F.sum(reduce(lambda a, b: a + b, per_row)), F.lit(0))).first()[0]
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` with a broadcast hint if its measured size allows; otherwise unchanged, to be shuffled."""
-    return F.broadcast(df) if measured_bytes(df) <= limit else df
-
-
 def new_rows(
     target: DataFrame, source: DataFrame, keys: list[str], order: list[Column], small_keys: DataFrame | None = None
 ) -> DataFrame:
@@ -52,9 +37,11 @@ def new_rows(
     return first.join(present, null_safe(first, present, keys), "left_anti")
 
 
-def insert_if_absent(target: DataFrame, source: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+def insert_if_absent(
+    target: DataFrame, source: DataFrame, keys: list[str], order: list[Column], small_keys: DataFrame | None = None
+) -> DataFrame:
     """First write wins: ``target`` plus the first source row of every key it lacks."""
-    added = new_rows(target, source, keys, order)
+    added = new_rows(target, source, keys, order, small_keys)
     return target.unionByName(added, allowMissingColumns=True)
 
 
@@ -64,10 +51,10 @@ def index_rows(hits: DataFrame) -> DataFrame:
     return hits.select(*[c for c in INDEX_KEYS + INDEX_INSERTED if c in names])
 
 
-def insert_hits(index: DataFrame, hits: DataFrame) -> DataFrame:
+def insert_hits(index: DataFrame, hits: DataFrame, small_keys: DataFrame | None = None) -> DataFrame:
     rows = index_rows(hits)
     order = total_order(rows, [F.col("created_date").asc_nulls_first()], INDEX_KEYS + ["created_date"])
-    return insert_if_absent(index, rows, INDEX_KEYS, order)
+    return insert_if_absent(index, rows, INDEX_KEYS, order, small_keys)
 
 
 def insert_checks(checks: DataFrame, source: DataFrame) -> DataFrame:

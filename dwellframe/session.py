@@ -13,6 +13,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # pages are large rows: keep the batches handed to the page parser to some tens of megabytes
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
 }
 
 

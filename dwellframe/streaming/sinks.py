@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from dwellframe.operators.ordering import first_per_key
-from dwellframe.operators.sinks import read_batches, write_batch, write_snapshot
-from dwellframe.operators.tables import BROADCAST_BYTES, index_rows, measured_bytes, new_rows, total_order
+from dwellframe.operators.ordering import BROADCAST_BYTES, first_per_key, measured_bytes
+from dwellframe.operators.sinks import fold_batches, read_batches, write_batch
+from dwellframe.operators.tables import index_rows, new_rows, total_order
 from dwellframe.schemas import FETCH_CHECK, INDEX_KEYS, LISTING, PROPERTY_INDEX
 
 Sink = Callable[[DataFrame, int], None]
@@ -80,9 +80,12 @@ def read_latest(
     return first_per_key(rows, [key], latest_first(rows, written_at))
 
 
-def fold_latest(spark: SparkSession, path: str, root: str, schema: T.StructType = LISTING) -> int:
-    """Write the current rows as one snapshot."""
-    return write_snapshot(read_latest(spark, path, schema), root)
+def fold_latest(
+    spark: SparkSession, path: str, schema: T.StructType = LISTING, key: str = "key",
+    written_at: str = "crawled_date",
+) -> int | None:
+    """Fold a last-write-wins table's older batches into their current rows."""
+    return fold_batches(spark, path, schema, lambda df: first_per_key(df, [key], latest_first(df, written_at)))
 
 
 def route(sinks: dict[str, Sink], kind: str = "kind") -> Sink:

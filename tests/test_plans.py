@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from dwellframe.operators import dedupe, extract, frontier, sinks, tables
+from dwellframe.operators import dedupe, extract, frontier, ordering, sinks, tables
 from dwellframe.plans.catalog import QUERIES
 from dwellframe.plans.driver_views import detail_pages, search_pages
 from dwellframe.session import stage
@@ -64,7 +64,7 @@ def test_insert_cuts_the_source_before_shuffling_it(spark, index, no_broadcast):
 
 
 def test_small_source_leaves_the_target_unshuffled(spark, index, no_broadcast):
-    keys = tables.broadcast_if_small(index.select("vendor", "type", "property_id"))
+    keys = ordering.broadcast_if_small(index.select("vendor", "type", "property_id"))
     source = index.filter("extra < 3")
     text = plan(tables.put_by_key(index.withColumnRenamed("created_date", "crawled_date"), source.withColumnRenamed("created_date", "crawled_date"), key="property_id", small_keys=F.broadcast(source.select("property_id"))))
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
@@ -74,11 +74,16 @@ def test_small_source_leaves_the_target_unshuffled(spark, index, no_broadcast):
 
 
 def test_large_key_sets_are_not_hinted(spark, index, no_broadcast):
-    keys = tables.broadcast_if_small(index.select("property_id"), limit=10)
+    keys = ordering.broadcast_if_small(index.select("property_id"), limit=10)
     joined = index.join(keys, tables.null_safe(index, keys, ["property_id"]), "left_semi")
     assert "SortMergeJoin" in plan(joined)
 
 
+def test_numbering_of_few_groups_shuffles_rows_once(spark, index, no_broadcast):
+    text = plan(ordering.number_rows(index, ["vendor", "type"], [F.col("created_date"), F.col("property_id")]))
+    assert "SortMergeJoin" not in text and "rangepartitioning" not in text
+
+
 @pytest.mark.parametrize("build", [
     lambda spark, p: extract.extract_listings(p(detail_pages)), lambda spark, p: extract.extract_hits(p(search_pages)),
 ])

@@ -48,6 +48,11 @@ def test_index_stream_equals_batch_and_survives_replay(spark, tmp_path):
     assert len([p for p in (tmp_path / "index").iterdir() if p.name.startswith("batch_id=")]) == 4
     streams.index_sink(out)(data.filter("file = 3").drop("file"), 3)
     assert got() == first
+    assert sinks.fold_batches(spark, out, PROPERTY_INDEX) == 2
+    assert got() == first
+    streams.index_sink(out)(data.filter("file = 3").drop("file"), 3)
+    streams.index_sink(out)(data.drop("file"), 4)
+    assert got() == first
 
 
 def test_check_stream_keeps_first_status(spark, tmp_path):
@@ -68,14 +73,16 @@ def listings(spark, n=300):
 
 def test_listing_stream_equals_batch_and_folds(spark, tmp_path):
     data = listings(spark)
-    source, out, root = (str(tmp_path / p) for p in ("in", "out", "snap"))
+    source, out = (str(tmp_path / p) for p in ("in", "out"))
     land(data, source, 3)
     run(spark, source, LISTING, streams.listing_sink(out), str(tmp_path / "cp"))
     rows = data.drop("file")
     want = {r.key: r.title for r in first_per_key(rows, ["key"], streams.latest_first(rows, "crawled_date")).collect()}
     assert {r.key: r.title for r in streams.read_latest(spark, out).collect()} == want
-    assert streams.fold_latest(spark, out, root) == 1 and streams.fold_latest(spark, out, root) == 2
-    assert {r.key: r.title for r in sinks.read_snapshot(spark, root).collect()} == want
+    assert streams.fold_latest(spark, out) == 1
+    assert {r.key: r.title for r in streams.read_latest(spark, out).collect()} == want
+    folded = spark.read.parquet(f"{out}/base=1")
+    assert folded.count() == folded.select("key").distinct().count()
 
 
 def test_routed_stream(spark, tmp_path):

@@ -44,7 +44,7 @@ def test_small_key_path_gives_the_same(spark):
     make = lambda n: index(spark, [("v", rng.choice("ab"), rng.choice([None, "1", "2", "3", "4"]), str(i), i % 5, None) for i in range(n)])
     stored, hits = tables.insert_hits(make(0), make(6)), make(30)
     order = [F.col("created_date"), F.col("link")]
-    keys = tables.broadcast_if_small(hits.select(*INDEX_KEYS))
+    keys = ordering.broadcast_if_small(hits.select(*INDEX_KEYS))
     slim = tables.new_rows(stored, hits, INDEX_KEYS, order, keys)
     assert as_set(slim) == as_set(tables.new_rows(stored, hits, INDEX_KEYS, order))
 
