@@ -93,21 +93,30 @@ def page_blocks(parsed: DataFrame, sites: Mapping[str, SiteRules] = SITES) -> Da
     return parsed.withColumn("blocks", F.expr(blocks)).withColumn("n_hits", F.size("blocks"))
 
 
-def hit_rows(parsed: DataFrame, sites: Mapping[str, SiteRules] = SITES) -> DataFrame:
-    """One row per hit, carrying only the nodes of its own block (``elements``, ``texts``)."""
+def hit_rows(parsed: DataFrame, sites: Mapping[str, SiteRules] = SITES, keep_empty: bool = False) -> DataFrame:
+    """One row per hit, carrying only the nodes of its own block (``elements``, ``texts``).
+
+    ``keep_empty`` gives a page without hits one row with a null ``hit_no``.
+    """
 
     own = f"filter(elements, e -> e.seq = b.seq or ({sel.inside('e', 'b')}))"
     told = f"filter(texts, t -> {sel.inside('t', 'b')})"
     cut = F.expr(f"transform(blocks, b -> struct({own} as elements, {told} as texts))")
     blocks = page_blocks(parsed, sites)
     kept = [c for c in parsed.columns if c not in ("elements", "texts")]
-    exploded = blocks.select(*kept, F.posexplode(cut).alias("hit_no", "hit"))
+    exploded = blocks.select(*kept, (F.posexplode_outer if keep_empty else F.posexplode)(cut).alias("hit_no", "hit"))
     return exploded.select(*kept, "hit_no", "hit.elements", "hit.texts")
 
 
-def extract_hits(pages: DataFrame, sites: Mapping[str, SiteRules] = SITES) -> DataFrame:
-    """Search pages -> property index rows, with ``page_id``, ``hit_no`` and ``_errors``."""
-    hits = hit_rows(with_nodes(pages), sites)
+def extract_hits(
+    pages: DataFrame, sites: Mapping[str, SiteRules] = SITES, keep_empty: bool = False
+) -> DataFrame:
+    """Search pages -> property index rows, with ``page_id``, ``hit_no`` and ``_errors``.
+
+    With ``keep_empty`` a page without hits also gives a row, set aside as having none, so that
+    :func:`hits_per_page` can count all pages from one staged result.
+    """
+    hits = hit_rows(with_nodes(pages), sites, keep_empty)
     raw = hits.select(
         "page_id", "hit_no", "site", "vendor", "type", "crawl_url", "crawled_date",
         *[c.alias(n) for n, c in _fields(sites, "hit_fields").items()],
@@ -134,10 +143,19 @@ def extract_hits(pages: DataFrame, sites: Mapping[str, SiteRules] = SITES) -> Da
         (computed[f.name] if f.name in computed else F.col(f.name)).cast(f.dataType).alias(f.name)
         for f in PROPERTY_INDEX
     ]
-    lost = F.when(F.col("link").isNull(), F.array(F.lit("missing link"))).otherwise(F.array().cast("array<string>"))
+    lost = (
+        F.when(F.col("hit_no").isNull(), F.array(F.lit("no hits")))
+        .when(F.col("link").isNull(), F.array(F.lit("missing link")))
+        .otherwise(F.array().cast("array<string>"))
+    )
     return linked.select("page_id", "hit_no", *columns, lost.alias("_errors"))
 
 
+def hits_per_page(records: DataFrame) -> DataFrame:
+    """Hits of each page, linkless ones included, from records extracted with ``keep_empty``."""
+    return records.groupBy("page_id").agg(F.count("hit_no").alias("n_results"))
+
+
 # --- detail pages -------------------------------------------------------------------------------
 
 

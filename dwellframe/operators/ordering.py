@@ -29,6 +29,12 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
     return F.broadcast(df) if measured_bytes(df) <= limit else df
 
 
+def small_or_none(keys: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame | None:
+    """The distinct keys behind a broadcast hint, or None if they are too large for it."""
+    keys = keys.distinct()
+    return F.broadcast(keys) if measured_bytes(keys) <= limit else None
+
+
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     """Join condition in which null keys match each other; still an equi-join for the planner."""
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])

@@ -12,7 +12,8 @@ from dwellframe.functions import select as sel
 from dwellframe.operators import dedupe, encode, extract, frontier, monitor, tables
 from dwellframe.operators.ordering import first_per_key
 from dwellframe.plans import driver_views as dv
-from dwellframe.session import stage
+from dwellframe.plans import flows
+from dwellframe.schemas import LISTING, PROPERTY_INDEX
 from dwellframe.sources.html_nodes import html_nodes, with_nodes
 from dwellframe.sources.readers import read_pages, spread_small_scan
 
@@ -205,14 +206,14 @@ def require_fields(spark, sf_dir):
 @query
 def merge_rental(spark, sf_dir):
     """Clean up the rentals, add them to the index, recode their type, reset one vendor."""
-    rental = dv.view(spark, sf_dir, dv.RENTAL)
-    kept = dedupe.dedupe_survivor(rental, order=["seq", "ep", "sk"]).select(
+    rental = dv.view(spark, sf_dir, dv.RENTAL).select(
+        F.col("property_id").cast("string").alias("property_id"), "seq", "property_area", "property_size_unit",
+        "property_price_unit", "ep", "sk", F.lit("rent").alias("type"),
         F.concat(F.lit("http://v"), F.col("sk") % 3, F.lit(".example.com")).alias("vendor"),
-        F.lit("rent").alias("type"), F.col("property_id").cast("string").alias("property_id"), "property_area",
     )
     index = dv.view(spark, sf_dir, dv.INDEX).select("vendor", "type", "property_id", "last_crawled_date")
-    merged = tables.recode(tables.append_all(index, kept), "type", "rent", "lease")
-    return tables.reset_crawled(merged, SECURE_VENDOR, _ntz(CRAWLED_SINCE))
+    merged = flows.merge_rental(index, rental, ["seq", "ep", "sk"], SECURE_VENDOR, _ntz(CRAWLED_SINCE))
+    return merged.select("vendor", "type", "property_id", "last_crawled_date", "property_area")
 
 
 # --- duplicates ---------------------------------------------------------------------------------
@@ -443,16 +444,18 @@ def quarantine(spark, sf_dir):
 @query
 def search_to_index(spark, sf_dir):
     """Search pages -> hits -> index, first write wins."""
-    good, _ = extract.quarantine(extract.extract_hits(dv.search_pages(spark, sf_dir)))
-    hits = stage(tables.index_rows(good))
-    index = tables.insert_hits(hits.filter(F.lit(False)), hits)
+    index = flows.index_search_pages(dv.search_pages(spark, sf_dir), spark.createDataFrame([], PROPERTY_INDEX)).index
     return index.select("vendor", "type", "property_id", "link", "property_price", "property_area")
 
 
+@query
+def search_visits(spark, sf_dir):
+    """Hits per search page, counted from the extracted records."""
+    return extract.hits_per_page(extract.extract_hits(dv.search_pages(spark, sf_dir), keep_empty=True))
+
+
 @query
 def pages_to_listings(spark, sf_dir):
     """Detail pages -> listings -> last write per key -> encoded rows."""
-    good, _ = extract.quarantine(extract.extract_listings(dv.detail_pages(spark, sf_dir)))
-    rows = good.select("key", "link", "crawled_date", "title", "price", "address")
-    latest = first_per_key(rows, ["key"], [F.col("crawled_date").desc(), F.col("link")])
-    return encode.encode_for_kv(latest)
+    landed = flows.land_listings(dv.detail_pages(spark, sf_dir), spark.createDataFrame([], LISTING))
+    return flows.for_kv(landed.listings).select("key", "link", "crawled_date", "title", "price", "address")

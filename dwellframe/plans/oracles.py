@@ -248,6 +248,8 @@ ORACLES: dict[str, str] = {
         where o_orderpriority <> '5-LOW' and o_custkey % 7 = 0
         union all select 'page', p_partkey, 'missing property_size' from part where p_partkey % 3 = 0 and p_size % 10 = 0""",
     "search_to_index": f"""select vendor, type, property_id, link, property_price, property_area from {EXPECTED_HITS} h""",
+    "search_visits": """select o_orderkey as page_id, case when o_orderpriority = '5-LOW' then 0 else 3 end as n_results
+        from orders""",
     "pages_to_listings": f"""select key, link, '2024-01-01 00:00:00' as crawled_date, title,
         cast(cast(price as varchar) as decimal(38,18)) as price, address from (select *, row_number() over (
         partition by key order by link) as k from {EXPECTED_PAGES} p) x where k = 1""",

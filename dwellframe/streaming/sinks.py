@@ -10,15 +10,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from dwellframe.operators.ordering import BROADCAST_BYTES, first_per_key, measured_bytes
+from dwellframe.operators.extract import quarantine
+from dwellframe.operators.ordering import first_per_key, small_or_none
 from dwellframe.operators.sinks import fold_batches, read_batches, write_batch
 from dwellframe.operators.tables import index_rows, new_rows, total_order
-from dwellframe.schemas import FETCH_CHECK, INDEX_KEYS, LISTING, PROPERTY_INDEX
+from dwellframe.schemas import CONTACT_COLUMNS, FETCH_CHECK, INDEX_KEYS, LISTING, PROPERTY_INDEX
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -35,9 +37,7 @@ def insert_sink(path: str, schema: T.StructType, keys: list[str], lead: list[str
         order = total_order(batch, [F.col(c).asc_nulls_first() for c in lead], keys + lead)
         first = first_per_key(batch, keys, order).persist()
         try:
-            wanted = first.select(*[F.col(k).alias(k) for k in keys])
-            small = F.broadcast(wanted) if measured_bytes(wanted) <= BROADCAST_BYTES else None
-            write_batch(new_rows(table, first, keys, order, small), path, batch_id)
+            write_batch(new_rows(table, first, keys, order, small_or_none(first.select(*keys))), path, batch_id)
         finally:
             first.unpersist()
 
@@ -57,11 +57,16 @@ def latest_first(df: DataFrame, written_at: str) -> list[Column]:
     return total_order(df, [F.col(written_at).desc_nulls_last()], [written_at])
 
 
-def listing_sink(path: str, key: str = "key", written_at: str = "crawled_date") -> Sink:
-    """Last write wins: keeps each key's last row of the batch."""
+def listing_sink(
+    path: str, key: str = "key", written_at: str = "crawled_date", drop_contacts: bool = False
+) -> Sink:
+    """Last write wins: keeps each key's last row of the batch. ``drop_contacts`` leaves contact columns out."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        winners = first_per_key(batch, [key], latest_first(batch, written_at))
+        if drop_contacts:
+            batch = batch.drop(*CONTACT_COLUMNS)
+        rows = batch.select(*[c for c in LISTING.names if c in batch.columns])
+        winners = first_per_key(rows, [key], latest_first(rows, written_at))
         write_batch(winners, path, batch_id)
 
     return write
@@ -102,6 +107,21 @@ def route(sinks: dict[str, Sink], kind: str = "kind") -> Sink:
     return write
 
 
+def page_sink(extractor: Callable[[DataFrame], DataFrame], sink: Sink, set_aside: str) -> Sink:
+    """Extract a batch of pages once; usable records go to ``sink``, the others to a table of their own."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        records = extractor(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            good, bad = quarantine(records)
+            sink(good, batch_id)
+            write_batch(bad, set_aside, batch_id)
+        finally:
+            records.unpersist()
+
+    return write
+
+
 def start_sink(stream: DataFrame, sink: Sink, checkpoint: str, available_now: bool = True) -> DataStreamWriter:
     """A writer over the stream; call ``start()`` on it."""
     writer = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
