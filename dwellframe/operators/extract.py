@@ -4,7 +4,7 @@ Rules turn into column expressions over a page's node arrays, chosen per row by
 whole extraction is one narrow stage: scan, parse, project. Nothing is shuffled or pivoted.
 
 Pages come as rows (page_id, url, html, site, vendor, type, crawled_date), search pages also with
-the ``crawl_url`` they came from.
+the ``crawl_url`` they came from. Without a ``crawled_date`` the time of the run stands in.
 """
 
 from __future__ import annotations
@@ -26,6 +26,17 @@ from dwellframe.sources.html_nodes import with_nodes
 COUNT_FIELDS = ["num_floors", "num_bedrooms", "num_bathrooms", "frontage", "distance_to_road"]
 
 
+def of_run(pages: DataFrame, **constants: str) -> DataFrame:
+    """Pages of one crawl run, with the run's constants (site, vendor, type, crawl_url) as columns."""
+    return pages.withColumns({name: F.lit(value) for name, value in constants.items()})
+
+
+def _dated(pages: DataFrame) -> DataFrame:
+    if "crawled_date" in pages.columns:
+        return pages
+    return pages.withColumn("crawled_date", F.current_timestamp())
+
+
 def _values(source: Source) -> str:
     match source:
         case Texts(path):
@@ -116,7 +127,7 @@ def extract_hits(
     With ``keep_empty`` a page without hits also gives a row, set aside as having none, so that
     :func:`hits_per_page` can count all pages from one staged result.
     """
-    hits = hit_rows(with_nodes(pages), sites, keep_empty)
+    hits = hit_rows(with_nodes(_dated(pages)), sites, keep_empty)
     raw = hits.select(
         "page_id", "hit_no", "site", "vendor", "type", "crawl_url", "crawled_date",
         *[c.alias(n) for n, c in _fields(sites, "hit_fields").items()],
@@ -166,7 +177,7 @@ def extract_listings(
 
     ``keep_raw`` also returns the texts the count columns were read from, as ``<field>_raw``.
     """
-    raw = with_nodes(pages).select(
+    raw = with_nodes(_dated(pages)).select(
         "page_id", "site", "vendor", "type", F.col("url").alias("link"), "crawled_date",
         *[c.alias(n) for n, c in _fields(sites, "page_fields").items()],
     )

@@ -20,9 +20,12 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_page_files(spark: SparkSession, path: str) -> DataFrame:
-    """Landed pages kept as one file each; the file's address stands in for the url."""
+    """Landed pages kept as one file each; the file's address stands in for the url.
+
+    Bytes that are no UTF-8 become replacement characters, so one bad page cannot fail the job.
+    """
     files = spark.read.format("binaryFile").load(path)
-    return files.select(F.col("path").alias("url"), F.decode("content", "UTF-8").alias("html"))
+    return files.select(F.col("path").alias("url"), F.make_valid_utf8(F.col("content").cast("string")).alias("html"))
 
 
 def read_jobs(spark: SparkSession, path: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import unicodedata
+from html.parser import HTMLParser
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,6 +66,34 @@ def test_long_broken_pages_are_read_in_reasonable_time():
         parse_page(html)
 
 
+class Reader(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.tags, self.text = [], []
+
+    def handle_starttag(self, tag, attrs):
+        self.tags.append((tag, dict(attrs)))
+
+    def handle_data(self, data):
+        self.text.append(data)
+
+
+def test_driver_pages_read_as_the_standard_parser_reads_them(spark):
+    for row in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("html").collect():
+        reader = Reader()
+        reader.feed(row.html)
+        reader.close()
+        elements, texts = parse_page(row.html)
+        assert [(e["tag"], e["attrs"]) for e in elements] == reader.tags
+        assert "".join(t["text"] for t in texts) == "".join(reader.text)
+
+
+def test_run_constants_and_time(spark):
+    pages = extract.of_run(page(spark, HITS["bds"]), url="u", site="bds", vendor="v", type="sell", crawl_url="/a.htm")
+    hit = extract.extract_hits(pages).first()
+    assert hit.vendor == "v" and hit.listing_type == "a" and hit.created_date is not None
+
+
 def page(spark, html, **columns):
     df = spark.createDataFrame([(1, html)], "page_id long, html string")
     return df.select("page_id", "html", *[F.lit(v).alias(k) for k, v in columns.items()])

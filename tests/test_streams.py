@@ -119,7 +119,8 @@ def test_text_sources(spark, tmp_path):
     assert [r.value for r in read_lines(spark, str(tmp_path / "lines.txt")).collect()] == ["a", "b"]
     (tmp_path / "pages").mkdir()
     (tmp_path / "pages" / "p.html").write_text("<p>Giá</p>", encoding="utf8")
-    assert [r.html for r in read_page_files(spark, str(tmp_path / "pages")).collect()] == ["<p>Giá</p>"]
+    (tmp_path / "pages" / "q.html").write_bytes(b"<p>\xff</p>")
+    assert {r.html for r in read_page_files(spark, str(tmp_path / "pages")).collect()} == {"<p>Giá</p>", "<p>\ufffd</p>"}
     (tmp_path / "jobs.json").write_text('{"host": "h", "state": "running", "start_time": "2024-01-01 00:00:00"}\n')
     job = read_jobs(spark, str(tmp_path / "jobs.json")).first()
     assert (job.host, job.state, job.start_time, job.end_time) == ("h", "running", DAY, None)
