@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dwellframe.functions.scalars import as_column, upgrade_scheme
-from dwellframe.operators.ordering import broadcast_if_small, number_rows, running_total, top_k_per_group
+from dwellframe.operators.ordering import (
+    broadcast_if_small, limit_threshold, number_rows, running_total, top_k_per_group,
+)
 from dwellframe.operators.tables import mark_crawled
 from dwellframe.session import stage
 
@@ -94,17 +98,37 @@ def frontier_per_pair(index: DataFrame, k: int = 100) -> DataFrame:
     return top_k_per_group(uncrawled(index), GROUP, oldest_first(), k, ["property_id", "link"])
 
 
+def oldest_candidates(rows: DataFrame, k: int) -> DataFrame:
+    """A superset of each pair's oldest ``k`` rows, cut at an hour: no older row is left out.
+
+    Rows are counted per pair and hour, which combines on the map side; a pair's cut is the last hour
+    before which it has fewer than ``k`` rows. So a claim of a few batches does not sort a whole frontier.
+    """
+    hour = F.date_trunc("hour", "created_date")
+    counts = rows.groupBy(*GROUP, hour.alias("hour")).agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy(*GROUP).orderBy(F.col("hour").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    needed = counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).filter(F.col("before") < k)
+    cuts = needed.groupBy(*[F.col(g).alias(f"_c_{g}") for g in GROUP]).agg(F.max("hour").alias("_cut"))
+    cuts = broadcast_if_small(stage(cuts))
+    same = reduce(lambda a, b: a & b, [rows[g].eqNullSafe(cuts[f"_c_{g}"]) for g in GROUP])
+    kept = rows.join(cuts, same).filter(F.col("created_date").isNull() | (hour <= F.col("_cut")))
+    return kept.select(*rows.columns)
+
+
 def batch_rows(index: DataFrame, size: int = 100, batches: int | None = None) -> DataFrame:
     """Uncrawled rows with their batch number: consecutive runs of ``size`` per (vendor, type).
 
-    ``batches`` bounds how many batches of a pair are numbered, as a fleet's free slots do. Without
+    ``batches`` bounds how many batches of a pair are numbered, as a fleet's free places do. Without
     it the whole frontier is numbered.
     """
     rows = uncrawled(index).select(*GROUP, "link", "property_id", "created_date")
     if batches is None:
         numbered = number_rows(rows, GROUP, oldest_first())
-    else:
+    elif size * batches <= limit_threshold(index):
         numbered = top_k_per_group(rows, GROUP, oldest_first(), size * batches, ["property_id", "link"])
+    else:
+        numbered = number_rows(oldest_candidates(rows, size * batches), GROUP, oldest_first())
+        numbered = numbered.filter(F.col("rn") <= size * batches)
     return numbered.withColumn("batch", F.expr(f"(rn - 1) div {int(size)}"))
 
 
@@ -141,6 +165,12 @@ def exhausted_types(tasks: DataFrame, index: DataFrame) -> DataFrame:
     return task_types(tasks).select(*GROUP).distinct().join(live, GROUP, "left_anti")
 
 
+def fleet_capacity(hosts: DataFrame, max_parallel: int) -> int:
+    """Free places of all hosts together."""
+    free = F.greatest(F.lit(max_parallel) - F.col("running"), F.lit(0))
+    return hosts.agg(F.coalesce(F.sum(free), F.lit(0))).first()[0]
+
+
 def free_slots(hosts: DataFrame, max_parallel: int) -> DataFrame:
     """``hosts(host, running)`` -> one row per free place, numbered from 0 in host order."""
     free = hosts.select("host", F.greatest(F.lit(max_parallel) - F.col("running"), F.lit(0)).alias("free"))
@@ -184,7 +214,7 @@ def claim_cycle(
     Returns (assigned batches, updated index). Both come from one staged set of claimed rows, so what
     is dispatched and what is marked are the same rows.
     """
-    numbered = batch_rows(index, size)
+    numbered = batch_rows(index, size, fleet_capacity(hosts, max_parallel))
     placed = assign_batches(number_batches(batch_counts(numbered), tasks), free_slots(hosts, max_parallel))
     # no more rows than the fleet has free places
     placed = broadcast_if_small(stage(placed.select(*GROUP, "batch", "host", "slot")))

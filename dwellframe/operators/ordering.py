@@ -50,7 +50,8 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def _limit_threshold(df: DataFrame) -> int:
+def limit_threshold(df: DataFrame) -> int:
+    """The largest k the planner cuts groups to before a shuffle."""
     return int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
 
 
@@ -64,7 +65,7 @@ def top_k_per_group(
     planner's limit threshold the slices would not be cut on the map side; such a ``k`` goes to
     :func:`number_rows`, which needs no group in one task.
     """
-    if k > _limit_threshold(df):
+    if k > limit_threshold(df):
         numbered = number_rows(df, group, order, out)
         return numbered.filter(F.col(out) <= k)
     salt = F.pmod(F.xxhash64(*salt_by), F.lit(salts))

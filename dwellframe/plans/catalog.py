@@ -283,9 +283,10 @@ def crawl_batches(spark, sf_dir):
 
 @query
 def assign_batches(spark, sf_dir):
-    rows = frontier.batch_rows(dv.view(spark, sf_dir, dv.INDEX), BATCH)
+    hosts = dv.view(spark, sf_dir, dv.HOSTS)
+    rows = frontier.batch_rows(dv.view(spark, sf_dir, dv.INDEX), BATCH, frontier.fleet_capacity(hosts, MAX_PARALLEL))
     numbered = frontier.number_batches(frontier.batch_counts(rows), dv.tasks(spark, sf_dir))
-    slots = frontier.free_slots(dv.view(spark, sf_dir, dv.HOSTS), MAX_PARALLEL)
+    slots = frontier.free_slots(hosts, MAX_PARALLEL)
     return frontier.assign_batches(numbered, slots).select("host", "slot", "vendor", "type", "batch", "n")
 
 

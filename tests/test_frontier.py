@@ -86,6 +86,30 @@ def test_frontier_and_batches(spark):
             assert [found[k][i] for i in sorted(found[k])] == runs
 
 
+def test_bounded_numbering_beyond_the_limit_threshold(spark):
+    _, index = make_index(spark, 400)
+    index = index.withColumn("created_date", F.when(F.col("property_id") % 11 != 0, F.col("created_date") + F.expr("make_dt_interval(0, cast(property_id as int) % 5)")))
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    spark.conf.set(key, "10")
+    try:
+        bounded = frontier.batch_rows(index, 6, 5)
+        rows = frontier.uncrawled(index).select("vendor", "type", "link", "property_id", "created_date")
+        assert 0 < frontier.oldest_candidates(rows, 3).count() < rows.count()
+    finally:
+        spark.conf.unset(key)
+    full = frontier.batch_rows(index, 6).filter("batch < 5")
+    as_rows = lambda df: sorted((r.vendor, r.type, r.batch, r.rn, r.property_id) for r in df.collect())
+    assert as_rows(bounded) == as_rows(full) == as_rows(frontier.batch_rows(index, 6, 5))
+
+
+def test_no_free_place_claims_nothing(spark):
+    _, index = make_index(spark, 50)
+    tasks = spark.createDataFrame([("s", "v", ["sell"])], TASKS)
+    hosts = spark.createDataFrame([("h1", 5)], "host string, running int")
+    assigned, after = frontier.claim_cycle(index, tasks, hosts, 5, F.lit("2024-06-01").cast("timestamp_ntz"))
+    assert assigned.count() == 0 and after.exceptAll(index).count() == 0
+
+
 def test_claim_assigns_every_batch_once(spark):
     rows, index = make_index(spark, 300)
     tasks = spark.createDataFrame([("s", "v", ["rent", "none", "sell"]), ("s", "w", ["sell"])], TASKS)
