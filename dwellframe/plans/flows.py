@@ -5,7 +5,6 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from dwellframe.operators import dedupe, encode, extract, frontier, tables
 from dwellframe.operators.ordering import small_or_none

@@ -9,7 +9,7 @@ from __future__ import annotations
 from dwellframe.functions.scalars import WHITESPACE
 from dwellframe.plans import driver_views as dv
 from dwellframe.plans.catalog import (
-    BATCH, CHECK_SPLIT, CRAWLED_SINCE, HOST_SUFFIX, MAX_PARALLEL, NOW, RUN_TS, SECURE_VENDOR,
+    BATCH, CRAWLED_SINCE, HOST_SUFFIX, MAX_PARALLEL, NOW, RUN_TS, SECURE_VENDOR,
 )
 
 
@@ -229,11 +229,13 @@ ORACLES: dict[str, str] = {
         case when o_orderpriority = '5-LOW' then 0 else 3 end as n_hits from orders""",
     "page_title": f"""select page_id, trim({_unescaped("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)")}, {SPACES}) as title
         from pages""",
-    "page_links": f"select page_id, len(v) as n_links, array_to_string(v, ' ') as links from (select page_id, {LINKS} as v from pages) p",
+    "page_links": f"""select page_id, len(v) as n_links, array_to_string(v, ' ') as links
+        from (select page_id, {LINKS} as v from pages) p""",
     "label_value": f"""select page_id, {_unescaped(
         "regexp_replace(regexp_extract(html, '(?s)</h1>\\s*<p>(.*?)<(?:p>|/p>|/article>)', 1), '<[^>]*>', '', 'g')")}
         as value from pages""",
-    "page_text": f"""select page_id, trim({_unescaped("regexp_extract(html, '(?s)<div class=\"ad\">(.*?)</div>', 1)")}, {SPACES}) as ad,
+    "page_text": f"""select page_id,
+        trim({_unescaped("regexp_extract(html, '(?s)<div class=\"ad\">(.*?)</div>', 1)")}, {SPACES}) as ad,
         array_to_string(list_transform(regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '>([^<]+)<', 1),
           lambda v: trim({_unescaped('v')}, {SPACES})), ', ') as menu from pages""",
     "pick_pos": f"""select page_id, v[1] as first, v[2] as second, case when len(v) >= 3 then v[-3] end as third_last,
