@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -97,3 +98,21 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
         .limit(rows)
     )
     return docs.join(F.broadcast(chosen), docs["doc_id"] == F.col("__id")).select(docs["text"].alias("text"), "y")
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts (A-Z lower-cased, cut at ASCII white space), and each text's place in them."""
+    import pandas as pd
+
+    cut = [t.encode().lower().split() if t else [] for t in texts.to_pylist()]
+    offsets = np.concatenate([[0], np.cumsum([len(w) for w in cut])]).astype(np.int64)
+    distinct = pa.array([w for words in cut for w in words], pa.large_binary()).dictionary_encode()
+    hashed = pd.util.hash_array(distinct.dictionary.to_numpy(zero_copy_only=False), categorize=False)
+    return hashed[distinct.indices.to_numpy()] if offsets[-1] else np.zeros(0, np.uint64), offsets
+
+
+def mix(a: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads close values apart."""
+    a = (a ^ (a >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    a = (a ^ (a >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return a ^ (a >> np.uint64(31))

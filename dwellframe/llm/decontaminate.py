@@ -1,7 +1,7 @@
 """Benchmark decontamination: one automaton over all windows of the test items scans each text once.
 
 Texts and items are lower-cased (A-Z) and cut into words. The automaton (Aho-Corasick) reads a text as a
-sequence of word numbers, words outside the benchmark being 0, and reports every window wherever it ends.
+sequence of word numbers and reports every window wherever it ends.
 Word positions are mapped back to code points of the original text.
 """
 
@@ -62,27 +62,35 @@ def window_table(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 class Automaton:
+    """Word numbers are spelled with three characters from separate alphabets, so no node has many children
+    and no match can start inside a word. Words that the benchmark lacks are spelled as three zeros."""
+
     def __init__(self, pairs: list[tuple[bytes, str]]):
         import ahocorasick
 
         items = defaultdict(list)
         for window, item in pairs:
             items[window].append(item)
-        self.number: dict[bytes, int] = {}
-        self.machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        self.code: dict[bytes, str] = {}
+        self.machine = ahocorasick.Automaton()
         for window, of in items.items():
-            key = tuple(self.number.setdefault(w, len(self.number) + 1) for w in window.split())
-            self.machine.add_word(key, (len(key), of))
+            words = window.split()
+            self.machine.add_word("".join(map(self._spell, words)), (len(words), of))
         self.machine.make_automaton()
 
+    def _spell(self, word: bytes) -> str:
+        n = len(self.code)
+        return self.code.setdefault(word, chr(0x100 + n // 4096) + chr(0x80 + n // 64 % 64) + chr(1 + n % 64))
+
     def scan(self, words: list[bytes]) -> tuple[list[int], list[str]]:
         """Positions of hit words, and the items with occurring windows."""
-        get = self.number.get
-        sequence = tuple([get(w, 0) for w in words])
-        if not any(sequence):
+        get, none = self.code.get, "\0\0\0"
+        found = list(self.machine.iter("".join([get(w, none) for w in words])))
+        if not found:
             return [], []
         edge, items = np.zeros(len(words) + 1, np.int32), set()
-        for last, (size, of) in self.machine.iter(sequence):
+        for at, (size, of) in found:
+            last = at // 3
             edge[last - size + 1] += 1
             edge[last + 1] -= 1
             items.update(of)

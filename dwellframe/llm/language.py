@@ -45,10 +45,12 @@ def windows_of(raw: bytes, size: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class ByteNet:
+    """``filters`` has one column per filter, for the bytes of the widest; a narrower filter's lower rows stay 0."""
+
     languages: list[str]
     embed: np.ndarray
-    filters: list[np.ndarray]
-    shifts: list[np.ndarray]
+    filters: np.ndarray
+    shifts: np.ndarray
     dense: np.ndarray
     bias: np.ndarray
 
@@ -56,54 +58,53 @@ class ByteNet:
     def new(cls, languages: list[str], size: int = 6, filters: int = 16, seed: int = 7) -> ByteNet:
         rng = np.random.default_rng(seed)
         normal = lambda *shape, scale: (rng.standard_normal(shape) * scale).astype(np.float32)
-        return cls(
-            languages, normal(256, size, scale=0.5), [normal(w * size, filters, scale=(2 / (w * size)) ** 0.5) for w in WIDTHS],
-            [np.zeros(filters, np.float32) for _ in WIDTHS], normal(filters * len(WIDTHS), len(languages), scale=0.1),
-            np.zeros(len(languages), np.float32),
+        columns = filters * len(WIDTHS)
+        net = cls(
+            languages, normal(256, size, scale=0.5), normal(max(WIDTHS) * size, columns, scale=0.3), np.zeros(columns, np.float32),
+            normal(columns, len(languages), scale=0.1), np.zeros(len(languages), np.float32),
         )
+        net.filters *= net.mask()
+        return net
+
+    def mask(self) -> np.ndarray:
+        """1 where a filter of its width has a weight."""
+        rows, columns = self.filters.shape
+        width = np.repeat(WIDTHS, columns // len(WIDTHS))
+        return (np.arange(rows)[:, None] < width * self.embed.shape[1]).astype(np.float32)
 
     def parameters(self) -> list[np.ndarray]:
-        return [self.embed, *self.filters, *self.shifts, self.dense, self.bias]
+        return [self.embed, self.filters, self.shifts, self.dense, self.bias]
 
-    def _patches(self, x: np.ndarray) -> list[np.ndarray]:
+    def _responses(self, x: np.ndarray) -> np.ndarray:
+        """windows x places x filters; past the end of a window come zero vectors."""
         e = self.embed[x]
-        n, _, d = e.shape
-        return [sliding_window_view(e.reshape(n, -1), w * d, axis=1)[:, ::d] for w in WIDTHS]
-
-    def pooled(self, x: np.ndarray) -> np.ndarray:
-        best = [(p @ f).max(axis=1) + b for p, f, b in zip(self._patches(x), self.filters, self.shifts, strict=True)]
-        return np.maximum(np.concatenate(best, axis=1), 0)
+        n, size, d = e.shape
+        reach = max(WIDTHS)
+        e = np.concatenate([e.reshape(n, size * d), np.zeros((n, (reach - 1) * d), np.float32)], axis=1)
+        patches = np.ascontiguousarray(sliding_window_view(e, reach * d, axis=1)[:, ::d])
+        return (patches.reshape(-1, reach * d) @ self.filters).reshape(n, size, -1)
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
-        out = [self.pooled(x[i : i + BATCH]) for i in range(0, len(x), BATCH)]
-        return softmax(np.concatenate(out) @ self.dense + self.bias)
+        out = [self._responses(x[i : i + BATCH]).max(axis=1) for i in range(0, len(x), BATCH)]
+        return softmax(np.maximum(np.concatenate(out) + self.shifts, 0) @ self.dense + self.bias)
 
     def gradients(self, x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
         """Of the mean cross-entropy, in the order of ``parameters``."""
-        n, d = len(x), self.embed.shape[1]
-        rows = np.arange(n)[:, None]
-        places, parts = [], []
-        for p, f, b in zip(self._patches(x), self.filters, self.shifts, strict=True):
-            r = p @ f + b
-            places.append(r.argmax(axis=1))
-            parts.append(np.take_along_axis(r, places[-1][:, None], 1)[:, 0])
-        hidden = np.maximum(np.concatenate(parts, axis=1), 0)
+        n, d, reach = len(x), self.embed.shape[1], max(WIDTHS)
+        r = self._responses(x)
+        at = r.argmax(axis=1)
+        hidden = np.maximum(np.take_along_axis(r, at[:, None], 1)[:, 0] + self.shifts, 0)
         error = softmax(hidden @ self.dense + self.bias)
         error[np.arange(n), y] -= 1
         error /= n
-        back = (error @ self.dense.T) * (hidden > 0)
-        g_embed, g_filters, g_shifts = np.zeros_like(self.embed), [], []
-        e = self.embed[x]
-        for k, w in enumerate(WIDTHS):
-            size = self.filters[k].shape[1]
-            g, at = back[:, k * size : (k + 1) * size], places[k]
-            reach = at[:, :, None] + np.arange(w)  # n x filters x width: the bytes under each best response
-            seen = e[rows[:, :, None], reach].reshape(n, size, w * d)
-            g_filters.append(np.einsum("nfk,nf->kf", seen, g))
-            g_shifts.append(g.sum(0))
-            to_bytes = (g[:, :, None] * self.filters[k].T[None]).reshape(n, size, w, d)
-            np.add.at(g_embed, x[rows[:, :, None], reach], to_bytes)
-        return [g_embed, *g_filters, *g_shifts, hidden.T @ error, error.sum(0)]
+        g = (error @ self.dense.T) * (hidden > 0)
+        place = at[:, :, None] + np.arange(reach)  # windows x filters x reach: the bytes under each best response
+        inside = place < x.shape[1]
+        under = x[np.arange(n)[:, None, None], np.minimum(place, x.shape[1] - 1)]
+        seen = (self.embed[under] * inside[..., None]).reshape(n, -1, reach * d)
+        to_bytes = (g[:, :, None] * self.filters.T).reshape(n, -1, reach, d) * inside[..., None]
+        g_embed = np.stack([np.bincount(under.ravel(), to_bytes[..., k].ravel(), 256) for k in range(d)], axis=1)
+        return [g_embed, np.einsum("nfk,nf->kf", seen, g) * self.mask(), g.sum(0), hidden.T @ error, error.sum(0)]
 
 
 def softmax(z: np.ndarray) -> np.ndarray:

@@ -13,7 +13,7 @@ import struct
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,13 +84,13 @@ class Pieces:
         self.suffix = model.trainer_spec.treat_whitespace_as_suffix
         self.fallback = model.trainer_spec.byte_fallback
         self.map = CharacterMap(self.spec.precompiled_charsmap)
-        self.kinds = np.array([p.type for p in model.pieces], np.int8)
-        self.names = [p.piece for p in model.pieces]
-        self.own = sorted((p.piece.encode() for p in model.pieces if p.type == pb.ModelProto.SentencePiece.USER_DEFINED), key=len)[::-1]
-        self.byte_kind = pb.ModelProto.SentencePiece.BYTE
-        self.unknown = pb.ModelProto.SentencePiece.UNKNOWN
-        # no piece goes on past the end of a word: then chunks of blanks and a word are merged independently
-        self.apart = not any(re.search(f"[^{SPACE}]{SPACE}", p.piece) for p in model.pieces)
+        kind = pb.ModelProto.SentencePiece
+        self.own = sorted((p.piece.encode() for p in model.pieces if p.type == kind.USER_DEFINED), key=len)[::-1]
+        self.sizes = np.array([1 if p.type == kind.BYTE else len(p.piece.encode()) for p in model.pieces], np.int64)
+        self.plain = not (self.map.units or self.spec.remove_extra_whitespaces or self.own or self.suffix) and self.spec.escape_whitespaces
+        # no piece goes on past the end of a word: then blanks with the word after them are merged independently
+        apart = not any(re.search(f"[^{SPACE}]{SPACE}", p.piece) for p in model.pieces)
+        self.chunked = apart and self.fallback and self.spec.add_dummy_prefix and self.spec.escape_whitespaces and not self.suffix
         self.whole = sentencepiece.SentencePieceProcessor(model_proto=blob)
         self.eos = self.whole.eos_id()
         plain = pb.ModelProto.FromString(blob)
@@ -98,20 +98,18 @@ class Pieces:
         plain.normalizer_spec.add_dummy_prefix = False
         plain.normalizer_spec.remove_extra_whitespaces = False
         self.merger = sentencepiece.SentencePieceProcessor(model_proto=plain.SerializeToString())
-        self.known: dict[str, tuple[list[int], list[int]]] = {}
+        self.known: dict[str, int] = {}
+        self.ids, self.first = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def normalise(self, text: str) -> tuple[str, np.ndarray]:
         """The normalised text and, for each of its byte boundaries, the byte offset in ``text``."""
         spec, raw = self.spec, text.encode()
         if not text:
             return "", np.zeros(1, np.int64)
-        if not self.map.units and not spec.remove_extra_whitespaces and not self.own and not self.suffix:
-            source = np.frombuffer(raw, np.uint8)
-            size = np.where(source == 32, 3, 1) if spec.escape_whitespaces else np.ones(len(source), np.int64)
-            lead = 3 if spec.escape_whitespaces else 1
-            at = np.concatenate([np.zeros(lead * spec.add_dummy_prefix, np.int64), np.repeat(np.arange(len(source)), size), [len(source)]])
-            blank = SPACE if spec.escape_whitespaces else " "
-            return blank * spec.add_dummy_prefix + text.replace(" ", blank), at
+        if self.plain:
+            source, lead = np.frombuffer(raw, np.uint8), 3 * spec.add_dummy_prefix
+            at = np.repeat(np.arange(len(source) + 1), np.append(np.where(source == 32, 3, 1), 1))
+            return SPACE * spec.add_dummy_prefix + text.replace(" ", SPACE), np.concatenate([np.zeros(lead, np.int64), at])
         return self._mapped(raw)
 
     def _prefix(self, raw: bytes, at: int) -> tuple[int, bytes]:
@@ -164,42 +162,74 @@ class Pieces:
             put(blank, end)
         return out.decode(), np.array([*at, end], np.int64)
 
-    def _learn(self, chunks: list[str]) -> None:
-        fresh = [c for c in dict.fromkeys(chunks) if c not in self.known]
-        if not fresh:
-            return
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known.clear()
-            fresh = list(dict.fromkeys(chunks))
-        for chunk, ids in zip(fresh, self.merger.encode(fresh, num_threads=1), strict=True):
-            self.known[chunk] = (ids, self._sizes(chunk, ids))
-
-    def _sizes(self, chunk: str, ids: list[int]) -> list[int]:
-        """Bytes of the normalised chunk under each id."""
-        sizes = [1 if self.kinds[i] == self.byte_kind else -1 if self.kinds[i] == self.unknown else len(self.names[i].encode()) for i in ids]
-        if -1 in sizes:  # unknown runs take what the known pieces after them leave
-            at, raw = 0, chunk.encode()
-            for k, i in enumerate(ids):
-                if sizes[k] < 0:
-                    follow = self.names[ids[k + 1]].encode() if k + 1 < len(ids) else None
-                    stop = raw.index(follow, at + 1) if follow else len(raw)
-                    sizes[k] = stop - at
-                at += sizes[k]
-        return sizes
+    def _learn(self, keys: list[str]) -> None:
+        """Merge the chunks that are not known yet, many at a call: a chunk is a blank and its key."""
+        known = self.known
+        fresh = [k for k in dict.fromkeys(keys) if k not in known]
+        if len(known) + len(fresh) > REMEMBERED:
+            known.clear()
+            self.ids, self.first = np.zeros(0, np.int32), np.zeros(1, np.int64)
+            fresh = list(dict.fromkeys(keys))
+        parts, counts = [], []
+        blank = [k for k in fresh if not k.strip(SPACE)]  # runs of blanks alone would join the next chunk
+        words = [k for k in fresh if k.strip(SPACE)]
+        for k in blank:
+            parts.append(np.array(self.merger.encode(SPACE + k), np.int32))
+            counts.append(np.array([len(parts[-1])]))
+        for i in range(0, len(words), 1000):
+            some = words[i : i + 1000]
+            ids = np.array(self.merger.encode(SPACE + SPACE.join(some)), np.int32)
+            ends = np.cumsum([3 + len(k.encode()) for k in some])
+            last = np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1
+            parts.append(ids)
+            counts.append(np.diff(last, prepend=0))
+        for k in (*blank, *words):
+            known[k] = len(known)
+        if fresh:
+            self.ids = np.concatenate([self.ids, *parts])
+            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.concatenate(counts))])
+
+    def _keys(self, text: str, made: str) -> list[str]:
+        """The chunks of the normalised text without their first blank."""
+        if self.plain and SPACE not in text and "  " not in text and text[0] != " " and text[-1] != " ":
+            return text.split(" ")
+        return [c[1:] for c in re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", made)]
+
+    def encode_batch(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(ids, starts, ends) of each text; see ``encode``."""
+        normal = [self.normalise(t) for t in texts]
+        if not self.chunked:
+            return [self._direct(made, at) for made, at in normal]
+        keys = [self._keys(t, made) if made else [] for t, (made, _) in zip(texts, normal, strict=True)]
+        flat = [k for ks in keys for k in ks]
+        self._learn(flat)
+        place = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
+        first, n = self.first[place], self.first[place + 1] - self.first[place]
+        after = np.concatenate([[0], np.cumsum(n)])
+        ids = self.ids[np.repeat(first - after[:-1], n) + np.arange(after[-1])] if len(flat) else np.zeros(0, np.int32)
+        stops = after[np.cumsum([0, *map(len, keys)])]
+        out = []
+        for a, b, (_, at) in zip(stops[:-1], stops[1:], normal, strict=True):
+            own = ids[a:b]
+            ends = np.cumsum(self.sizes[own])
+            out.append((own, at[ends - self.sizes[own]], at[ends]))
+        return out
+
+    def _direct(self, made: str, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Without chunks; unknown characters have no piece of their own length, so the library tells it."""
+        if self.fallback:
+            ids = np.array(self.merger.encode(made), np.int32)
+            n = self.sizes[ids]
+        else:
+            found = self.merger.encode(made, out_type="immutable_proto").pieces
+            ids = np.array([p.id for p in found], np.int32)
+            n = np.array([len(p.surface.encode()) for p in found], np.int64)
+        ends = np.cumsum(n).astype(np.int64)
+        return ids, at[ends - n], at[ends]
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, starts, ends): a piece's bytes in the original text are ``[start, end)``."""
-        made, at = self.normalise(text)
-        chunks = re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", made) if self.apart else [made] * bool(made)
-        self._learn(chunks)
-        known = self.known
-        ids, sizes = [], []
-        for c in chunks:
-            i, s = known[c]
-            ids += i
-            sizes += s
-        ends = np.cumsum(np.array(sizes, np.int64))
-        return np.array(ids, np.int32), at[np.concatenate([[0], ends[:-1]]) if len(ends) else ends], at[ends]
+        return self.encode_batch([text])[0]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.whole.decode(ids, num_threads=1)
@@ -231,10 +261,10 @@ def encode_texts(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)
         own = model(path)
 
         def work(texts):
+            texts = [t or "" for t in texts]
             ids, starts, ends = [], [], []
-            for text in texts:
-                i, s, e = own.encode(text or "")
-                size = len((text or "").encode())
+            for text, (i, s, e) in zip(texts, own.encode_batch(texts), strict=True):
+                size = len(text.encode())
                 ids.append(np.append(i, np.int32(own.eos)))
                 starts.append(np.append(s, size))
                 ends.append(np.append(e, size))
@@ -256,9 +286,13 @@ def decode_ids(encoded: DataFrame, path: str, ids: str = "ids", out: str = "deco
     return encoded.withColumn(out, decode(ids))
 
 
+def sha256_of_ids(ids: str) -> Column:
+    return F.sha2(F.concat_ws(" ", F.col(ids).cast("array<string>")), 256)
+
+
 def digests(encoded: DataFrame) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and n_bytes, the length that the spans cover."""
     return encoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), sha256_of_ids("ids").alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"), F.element_at("ends", -1).cast("long").alias("n_bytes"),
     )

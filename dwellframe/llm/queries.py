@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellframe.llm import decontaminate, language, pieces, quality_gam, quality_rules, secrets, toxicity, url_rules
+from dwellframe.llm import decontaminate, katz, language, ngram_jaccard, pieces, quality_gam, quality_rules, secrets, toxicity, url_rules
 from dwellframe.llm.common import documents, remainder
 
 
@@ -26,8 +26,8 @@ HOST_RULES = url_rules.rule_list([
 PATTERNS = [
     url_rules.Pattern(*r)
     for r in [
-        ("block", "://spam-farm."), ("block", "://adult-x."), ("block", "://*casino*."), ("block", "^ads^"), ("block", "^banner^"),
-        ("block", "^tracker^"), ("block", "^cart^checkout^"), ("block", "^login^"), ("block", "?*&ref=x|"), ("allow", "://blog.*^en^"),
+        ("block", "||spam-farm."), ("block", "||adult-x."), ("block", "||*casino*."), ("block", "^ads^"), ("block", "^banner^"),
+        ("block", "^tracker^"), ("block", "^cart^checkout^"), ("block", "^login^"), ("allow", "://blog.*^en^"),
         ("allow", "^wiki^"), ("block", "^feed.xml|"), ("block", "^wp-admin^"),
     ]
 ]
@@ -37,6 +37,11 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.find_secrets(documents(spark, sf_dir), vocabulary(SECRET_VOCABULARY)))
 
 
+def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = katz.score(katz.learn(documents(spark, sf_dir), remainder("doc_id", 5) != 1))
+    return scored.select("doc_id", (remainder("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
@@ -79,11 +84,15 @@ def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), HOST_RULES, PATTERNS)
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.jaccard_components(documents(spark, sf_dir))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     predicted = language.predict_language(docs, language.fit_language(docs, remainder("doc_id", 3) != 1))
     return predicted.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op3_quality_rules, op4_decontaminate, op5_toxicity, op6_quality_gam, op7_pieces, op8_url_rules, op10_language)}
+QUERIES = {f.__name__: f for f in (op1_secrets, op2_katz, op3_quality_rules, op4_decontaminate, op5_toxicity, op6_quality_gam, op7_pieces, op8_url_rules, op9_ngram_jaccard, op10_language)}
 ORACLES: dict[str, str] = {}

@@ -44,8 +44,10 @@ STEMS = (4, 5, 6)
 #: Bounds of the training sample and of what is learned from it.
 SAMPLE = 20_000
 LEXICON = 4_000
-LEAST_TEXTS = 6
-LEAST_LOG_ODDS = 3.5
+LEAST_LOG_ODDS = 4.2
+#: A learned word or opening occurs in so many toxic texts at least, and in this share of them: the words
+#: of a few copies of one toxic text are not taken for insults.
+LEAST_TEXTS, LEAST_SHARE = 6, 0.015
 
 REACH = 3
 NEGATED, REPORTED, TARGETED = 0.1, 0.5, 1.5
@@ -220,7 +222,7 @@ def learn_lexicon(sample: DataFrame, size: int = LEXICON) -> Lexicon:
     if not pos or not neg:
         return made
     odds = F.log((F.col("pos") + 0.5) / (pos + 1)) - F.log((F.col("neg") + 0.5) / (neg + 1))
-    rows = _term_counts(sample).filter(F.col("pos") >= LEAST_TEXTS).withColumn("w", odds).filter(F.col("w") >= LEAST_LOG_ODDS)
+    rows = _term_counts(sample).filter(F.col("pos") >= max(LEAST_TEXTS, LEAST_SHARE * pos)).withColumn("w", odds).filter(F.col("w") >= LEAST_LOG_ODDS)
     rows = rows.orderBy(F.desc(F.col("w") * F.log1p("pos")), "term").limit(size).collect()
     for r in rows:
         term, entry = r["term"], ("i", min(r["w"], 8.0) / 2)

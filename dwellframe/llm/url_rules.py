@@ -1,7 +1,7 @@
 """URL filters: pattern rules indexed by their rarest literal token.
 
-A rule's pattern has ``*`` for any characters, ``^`` for a separator or the end, and ``|`` at either end for
-an anchor. A rule is filed under that of its literal tokens which is rarest among the URLs at hand. The
+A rule's pattern has ``*`` for any characters, ``^`` for a separator or the end, ``|`` at either end for an
+anchor, and ``||`` at its start for the start of the host or of one of its labels. A rule is filed under that of its literal tokens which is rarest among the URLs at hand. The
 tokens of a URL fetch the rules filed under them, and only those rules' regular expressions run on it.
 """
 
@@ -38,10 +38,11 @@ class Pattern(NamedTuple):
 
     def regex(self) -> str:
         body = self.pattern.lower()
-        start, end = body.startswith("|"), body.endswith("|")
-        body = body.removeprefix("|").removesuffix("|")
+        label, end = body.startswith("||"), body.endswith("|")
+        start = body.startswith("|") and not label
+        body = body.removeprefix("|").removeprefix("|").removesuffix("|")
         made = "".join({"*": ".*", "^": "([^a-z0-9_.%-]|$)"}.get(c) or re.sub(r"([^a-z0-9/])", r"\\\1", c) for c in body)
-        return "^" * start + made + "$" * end
+        return "^[a-z]+://([^/?#]*[.])?" * label + "^" * start + made + "$" * end
 
     def tokens(self) -> list[str]:
         """Literal tokens that any matching URL must have as whole tokens: none next to ``*`` or an open end."""
