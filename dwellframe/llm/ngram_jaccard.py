@@ -352,8 +352,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     gone = stage(rows.join(chosen, match, "leftanti").select(F.col("doc_id").alias("id"), F.col("class").alias("of")), "gone")
     again = stage(rows.filter("count > 1").join(chosen, match, "leftsemi").select(F.col("doc_id").alias("id"), F.col("class").alias("of")), "again")
 
+    at = docs.columns.index("text")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, sets in _sets(batches, docs.columns.index("text")):
+        for part, sets in _sets(batches, at):
             made = pa.array([class_of(s) if len(s) else None for s in sets], pa.int64())
             yield pa.RecordBatch.from_arrays([*part.columns, made], names=[*part.schema.names, "__class"])
 
