@@ -8,7 +8,8 @@ it has not had, so mass is left even where all its successors are frequent.
 
 Tables: ``unigrams`` (word, count), and ``evaluated``, dealt by history, which holds the bigram counts
 (``kind`` model: history, words, counts), the statistics of histories and the scored parts of texts.
-Words are 64-bit hashes.
+Words are 64-bit hashes in ``unigrams``, which numbers them from the most frequent on; elsewhere they are
+those numbers, which take fewer bytes.
 """
 
 from __future__ import annotations
@@ -27,15 +28,18 @@ from dwellframe.llm.common import mix, slices, stage, word_hashes
 
 K = 5
 #: Tokens that a task packs at once, and about how many one bucket holds.
-CHUNK, BUCKET = 1_500_000, 1_500_000
+CHUNK, BUCKET = 1_200_000, 1_500_000
 #: Histories with this share of all tokens are split over all buckets; there are at most 1 / HOT of them.
 HOT = 1 / 4096
 #: A unigram table below this size is sent to all tasks; a larger one is joined to blocks of texts.
 BROADCAST_BYTES = 96 << 20
+#: Texts whose parts are added up together: 2 to this power.
+RANGE = 12
 #: Texts in a block when the unigram table is joined.
 BLOCK = 2000
 
-END, START = (int.from_bytes(pd.util.hash_array(np.array([x], object)).tobytes(), "little") for x in ("end of text\n", "start of text\n"))
+END = pd.util.hash_array(np.array(["end of text\n"], object))[0]
+UNKNOWN, START = -1, -2
 PACKED = "h ch runs w cw train occ doc".split()
 EVALUATED = (
     "kind string, block long, h long, ids array<long>, counts array<long>, values array<double>, "
@@ -86,7 +90,7 @@ class Unigrams:
 
 
 def count_words(docs: DataFrame, train: Column) -> DataFrame:
-    """(w, c) of the training rows, ends included; staged. Each task sends a word once per ``CHUNK`` tokens."""
+    """(w, c, id) of the training rows, ends included; staged. Each task sends a word once per ``CHUNK`` tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -107,7 +111,8 @@ def count_words(docs: DataFrame, train: Column) -> DataFrame:
             yield counted()
 
     counts = docs.filter(train).select("text").mapInArrow(run, "w long, c long")
-    return stage(counts.groupBy("w").agg(F.sum("c").alias("c")), "unigrams")
+    ranked = counts.groupBy("w").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "w")
+    return stage(ranked.select("w", "c", F.monotonically_increasing_id().alias("id")), "unigrams")
 
 
 @dataclass
@@ -130,15 +135,29 @@ class Chunk:
         return tokens, doc
 
 
-def pack(chunk: Chunk, block: int, hashes: np.ndarray, counts: np.ndarray, uni: Unigrams, buckets: int) -> list[dict]:
+Lookup = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def lookup_of(table: pa.Table) -> Lookup:
+    """Hashes in order, counts and numbers of a part of the unigrams."""
+    w, c, i = (table.column(n).to_numpy() for n in ("w", "c", "id"))
+    w = w.view(np.uint64)
+    order = np.argsort(w)
+    return w[order], c[order].astype(np.int64), i[order].astype(np.int64)
+
+
+def pack(chunk: Chunk, block: int, lookup: Lookup, uni: Unigrams, buckets: int) -> list[dict]:
     """Rows for the buckets: one per text with its base figures, and one per bucket with bigrams and where they occur.
 
-    ``hashes`` (sorted) and ``counts`` are the unigrams, or those of them that these texts need.
+    ``lookup`` are the unigrams, or those of them that these texts need.
     """
+    hashes, counts, numbers = lookup
     tokens, doc = chunk.tokens()
     known, local = np.unique(tokens, return_inverse=True)
     at = np.minimum(np.searchsorted(hashes, known), max(0, len(hashes) - 1))
-    c = np.where(hashes[at] == known, counts[at], 0) if len(hashes) else np.zeros(len(known), np.int64)
+    hit = hashes[at] == known if len(hashes) else np.zeros(len(known), bool)
+    c, number = np.zeros(len(known), np.int64), np.full(len(known) + 1, UNKNOWN)
+    c[hit], number[:-1][hit] = counts[at[hit]], numbers[at[hit]]
     texts = len(chunk.ids)
     base = np.bincount(doc, uni.base(c)[local], texts)
     n_known = np.bincount(doc[c[local] > 0], minlength=texts)
@@ -163,12 +182,11 @@ def pack(chunk: Chunk, block: int, hashes: np.ndarray, counts: np.ndarray, uni:
     start = np.flatnonzero(np.insert((w[1:] != w[:-1]) | (h[1:] != h[:-1]), 0, True))
     occ = np.diff(np.append(start, len(w)))
     train = np.add.reduceat(chunk.train[d].astype(np.int64), start)
-    words = np.append(known, np.uint64(0))
-    w_hash = words[w[start]]
-    h_hash = np.where(h[start] == len(known), np.uint64(START), words[h[start]])
+    w_id = number[w[start]]
+    h_id = np.where(h[start] == len(known), START, number[h[start]])
     cw, ch = np.append(c, 0)[w[start]], ch[start]
     hot = ch >= max(1.0, uni.tokens * HOT)
-    bucket = (np.where(hot, mix(h_hash + mix(w_hash)), mix(h_hash)) % np.uint64(buckets)).astype(np.int64)
+    bucket = (np.where(hot, mix(mix(w_id.view(np.uint64)) + h_id.view(np.uint64)), mix(h_id.view(np.uint64))) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
     place = np.append(0, np.cumsum(occ))
@@ -176,9 +194,9 @@ def pack(chunk: Chunk, block: int, hashes: np.ndarray, counts: np.ndarray, uni:
         e = order[edges[k] : edges[k + 1]]
         if not len(e):
             continue
-        heads = np.flatnonzero(np.insert(h_hash[e][1:] != h_hash[e][:-1], 0, True))
+        heads = np.flatnonzero(np.insert(h_id[e][1:] != h_id[e][:-1], 0, True))
         inside = np.repeat(place[e] - np.append(0, np.cumsum(occ[e]))[:-1], occ[e]) + np.arange(occ[e].sum())
-        arrays = (h_hash[e][heads].view(np.int64), ch[e][heads], np.diff(np.append(heads, len(e))), w_hash[e].view(np.int64), cw[e], train[e], occ[e], d[inside])
+        arrays = (h_id[e][heads], ch[e][heads], np.diff(np.append(heads, len(e))), w_id[e], cw[e], train[e], occ[e], d[inside])
         rows.append({"bucket": k, "kind": "bigrams", "block": block, **dict(zip(PACKED, arrays, strict=True))})
     return rows
 
@@ -187,17 +205,26 @@ def _packed_schema(kind: str) -> str:
     return f"bucket int, kind string, block long, doc_id {kind}, n_tokens long, n_known long, base double, direct double, " + ", ".join(f"{c} binary" for c in PACKED)
 
 
+def _press(a: np.ndarray, press) -> bytes:
+    """Compressed by byte planes: the upper bytes of small numbers cost next to nothing."""
+    return press(a.astype(np.int64).view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def _unpress(b: bytes, unpress) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(unpress(b), np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+
+
 def _packer(uni: Unigrams, buckets: int, id_type: pa.DataType):
-    """Function from (chunk, block, hashes, counts) to a record batch of the packed rows."""
+    """Function from (chunk, block, lookup) to a record batch of the packed rows."""
     import zstandard
 
     press = zstandard.ZstdCompressor(level=1).compress
     plain = {"bucket": pa.int32(), "kind": pa.string(), "block": pa.int64(), "doc_id": id_type, "n_tokens": pa.int64(), "n_known": pa.int64(), "base": pa.float64(), "direct": pa.float64()}
 
-    def made(chunk: Chunk, block: int, hashes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        rows = pack(chunk, block, hashes, counts, uni, buckets)
+    def made(chunk: Chunk, block: int, lookup: Lookup) -> pa.RecordBatch:
+        rows = pack(chunk, block, lookup, uni, buckets)
         columns = [pa.array([r.get(c) for r in rows], kind) for c, kind in plain.items()]
-        columns += [pa.array([press(r[c].astype(np.int64).tobytes()) if c in r else None for r in rows], pa.binary()) for c in PACKED]
+        columns += [pa.array([_press(r[c], press) if c in r else None for r in rows], pa.binary()) for c in PACKED]
         return pa.RecordBatch.from_arrays(columns, names=[*plain, *PACKED])
 
     return made
@@ -218,17 +245,14 @@ def _packed(docs: DataFrame, train: Column, table: DataFrame, uni: Unigrams, buc
     """Packed rows of all texts. A block's number leaves room for the texts in it, which are numbered on from it."""
     kind, id_type = docs.schema["doc_id"].dataType.simpleString(), to_arrow_type(docs.schema["doc_id"].dataType)
     rows = docs.select("doc_id", "text", F.coalesce(train, F.lit(False)).alias("train"))
-    if uni.types * 16 < BROADCAST_BYTES:
-        got = table.toArrow()
-        w, c = got.column("w").to_numpy().view(np.uint64), got.column("c").to_numpy()
-        order = np.argsort(w)
-        held = docs.sparkSession.sparkContext.broadcast((w[order], c[order]))
+    if uni.types * 24 < BROADCAST_BYTES:
+        held = docs.sparkSession.sparkContext.broadcast(lookup_of(table.toArrow()))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             from pyspark import TaskContext
 
             made = _packer(uni, buckets, id_type)
-            hashes, counts = held.value
+            lookup = held.value
             parts, size, block = [], 0, TaskContext.get().partitionId() << 40
             for batch in batches:
                 for part in slices(batch, 1):
@@ -236,10 +260,10 @@ def _packed(docs: DataFrame, train: Column, table: DataFrame, uni: Unigrams, buc
                     size += len(parts[-1].words)
                     if size >= CHUNK:
                         chunk = _joined(parts)
-                        yield made(chunk, block, hashes, counts)
+                        yield made(chunk, block, lookup)
                         parts, size, block = [], 0, block + len(chunk.ids)
             if parts:
-                yield made(_joined(parts), block, hashes, counts)
+                yield made(_joined(parts), block, lookup)
 
         return rows.mapInArrow(run, _packed_schema(kind))
     return _packed_by_join(rows, table, uni, buckets, kind, id_type)
@@ -264,11 +288,9 @@ def _packed_by_join(rows: DataFrame, table: DataFrame, uni: Unigrams, buckets: i
     def run(texts: pa.Table, words: pa.Table) -> pa.Table:
         made = _packer(uni, buckets, id_type)
         if not texts.num_rows:
-            return pa.Table.from_batches([made(Chunk([], np.zeros(0, bool), np.zeros(0, np.uint64), np.zeros(1, np.int64)), 0, np.zeros(0, np.uint64), np.zeros(0, np.int64))])
-        w, c = words.column("w").to_numpy().view(np.uint64), words.column("c").to_numpy()
-        order = np.argsort(w)
+            return pa.Table.from_batches([made(Chunk([], np.zeros(0, bool), np.zeros(0, np.uint64), np.zeros(1, np.int64)), 0, lookup_of(words))])
         block = texts.column("b")[0].as_py() << 32
-        return pa.Table.from_batches([made(_rows(texts, 1), block, w[order], c[order])])
+        return pa.Table.from_batches([made(_rows(texts, 1), block, lookup_of(words))])
 
     return placed.groupBy("b").cogroup(wanted.groupBy("b")).applyInArrow(run, _packed_schema(kind))
 
@@ -297,7 +319,7 @@ def evaluate(group: pa.Table, uni: Unigrams, schema: pa.Schema) -> pa.Table:
              values=_lists(direct, np.arange(len(direct))))
     packs = group.filter(pa.array(kinds == "bigrams"))
     if packs.num_rows:
-        read = {c: [np.frombuffer(unpress(x), np.int64) for x in packs.column(c).to_pylist()] for c in PACKED}
+        read = {c: [_unpress(x, unpress) for x in packs.column(c).to_pylist()] for c in PACKED}
         blocks = packs.column("block").to_pylist()
         row = np.concatenate([d + b for d, b in zip(read["doc"], blocks, strict=True)])
         h, ch, runs, w, cw, train, occ = (np.concatenate(read[c]) for c in PACKED[:-1])
@@ -366,7 +388,7 @@ class Model:
     factors: np.ndarray
 
     def bigrams(self) -> DataFrame:
-        """(h, w, c): all bigrams of the training texts."""
+        """(h, w, c): all bigrams of the training texts, by the numbers of their words; a text's start is -2."""
         rows = self.evaluated.filter("kind = 'model'").select("h", F.explode(F.arrays_zip("ids", "counts")).alias("x"))
         return rows.select("h", F.col("x.ids").alias("w"), F.col("x.counts").alias("c"))
 
@@ -404,25 +426,49 @@ def score(model: Model) -> DataFrame:
     sums = [F.max(F.col("values")[0]).alias("v0"), *(F.sum(F.col("values")[k]).alias(f"v{k}") for k in range(1, K + 2))]
     split = {r["h"]: np.array([r[f"v{k}"] for k in range(K + 2)]) for r in hot.groupBy("h").agg(*sums).collect()}
 
+    def known(batch: pa.RecordBatch) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Texts and what is to be added to them."""
+        kind = np.array(batch.column(0).to_pylist(), object)
+        part, history = batch.filter(pa.array(kind == "part")), batch.filter(pa.array(kind == "history"))
+        marks = part.column(3).flatten().to_numpy().reshape(-1, K)
+        stats = history.column(4).flatten().to_numpy().reshape(-1, K + 2).copy()
+        for k in np.flatnonzero(stats[:, 0] >= max(1.0, uni.tokens * HOT)):
+            stats[k] = split[history.column(1)[int(k)].as_py()]
+        times = history.column(2).value_lengths().to_numpy()
+        values = part.column(4).flatten().to_numpy() + marks @ np.log10(factors[1:])
+        return [part.column(2).flatten().to_numpy(), history.column(2).flatten().to_numpy()], [values, np.repeat(log_backoff(stats, factors), times)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, values = [np.zeros(0, np.int64)], [np.zeros(0)]
-            for kind, h, ids, counts, stats in zip(*(batch.column(k) for k in range(5)), strict=True):
-                own = ids.values.to_numpy()
-                if kind.as_py() == "part":
-                    marks = counts.values.to_numpy().reshape(-1, K)
-                    values.append(stats.values.to_numpy() + marks @ np.log10(factors[1:]))
-                else:
-                    of = split.get(h.as_py())
-                    of = stats.values.to_numpy() if of is None else of
-                    values.append(np.full(len(own), log_backoff(of[None], factors)[0]))
-                rows.append(own)
+        rows, values, size = [], [], 0
+
+        def added() -> pa.RecordBatch:
             row, inverse = np.unique(np.concatenate(rows), return_inverse=True)
-            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(np.bincount(inverse, np.concatenate(values), len(row)))], ["block", "part"])
-
-    parts = model.evaluated.filter("kind in ('part', 'history')").select("kind", "h", "ids", "counts", "values").mapInArrow(run, "block long, part double")
-    figures = ("doc_id", "n_tokens", "n_known", "base")
-    texts = model.evaluated.filter("kind = 'text'").select("block", F.col("values")[0].alias("part"), *figures)
-    nothing = [F.lit(None).cast(texts.schema[c].dataType).alias(c) for c in figures]
-    added = texts.union(parts.select("block", "part", *nothing)).groupBy("block").agg(F.sum("part").alias("score"), *(F.max(c).alias(c) for c in figures))
-    return added.select("doc_id", "n_tokens", "n_known", F.lit(uni.tokens).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
+            part = np.bincount(inverse, np.concatenate(values), len(row))
+            group = row >> RANGE
+            edges = np.append(np.flatnonzero(np.insert(group[1:] != group[:-1], 0, True)), len(row)) if len(row) else np.zeros(1, np.int64)
+            cut = lambda a: pa.array([a[i:j].tobytes() for i, j in zip(edges[:-1], edges[1:], strict=True)], pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(group[edges[:-1]]), cut(row), cut(part)], ["group", "rows", "parts"])
+
+        for batch in batches:
+            r, v = known(batch)
+            rows += r
+            values += v
+            size += sum(map(len, r))
+            if size >= 2 * CHUNK:
+                yield added()
+                rows, values, size = [], [], 0
+        if rows:
+            yield added()
+
+    def total(group: pa.Table) -> pa.Table:
+        row, inverse = np.unique(np.concatenate([np.frombuffer(x, np.int64) for x in group.column("rows").to_pylist()]), return_inverse=True)
+        parts = np.concatenate([np.frombuffer(x, np.float64) for x in group.column("parts").to_pylist()])
+        return pa.table({"row": row, "part": np.bincount(inverse, parts, len(row))})
+
+    parts = model.evaluated.filter("kind in ('part', 'history')").select("kind", "h", "ids", "counts", "values").mapInArrow(run, "group long, rows binary, parts binary")
+    sums = parts.groupBy("group").applyInArrow(total, "row long, part double")
+    texts = model.evaluated.filter("kind = 'text'").select("block", F.col("values")[0].alias("direct"), "doc_id", "n_tokens", "n_known", "base")
+    return texts.join(sums, F.col("block") == F.col("row"), "left").select(
+        "doc_id", "n_tokens", "n_known", F.lit(uni.tokens).cast("long").alias("train_tokens"), F.col("base").alias("base_score"),
+        (F.col("direct") + F.coalesce("part", F.lit(0.0))).alias("score"),
+    )
