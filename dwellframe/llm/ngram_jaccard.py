@@ -5,15 +5,20 @@ Two sets whose Jaccard similarity reaches the threshold must share several shing
 each (the rarer ones come first), so only these openings of the sets are indexed, and a class that shares too
 few of its own with anything is done with.
 
-1. Grouping: every indexed shingle names one leader among the classes that hold it; each is compared with its
-   leaders only, so a shingle held by many texts makes a star, not all pairs. Linked classes form groups.
-2. Matrix: shingles whose holders all fell into one group are settled. For the others the remaining groups,
-   cut to a bounded number of members, are stored with the union of their shingles. A class is a query for
-   the groups of other components which share enough shingles; where its overlap with a group's union is
-   too small, no member can be similar and the group stays closed. Open groups are compared member by member.
-
-No link between components is missed: a pair either shares a settled shingle, and is in one component, or
-meets in step 2. Shingles and classes are 64-bit hashes; no shingle is left out for being frequent.
+1. Rare shingles, held by a few classes, name their pairs; a pair is compared if the shingles it shares, and
+   the common ones it could share at most, are enough. This leaves pairs that share common shingles only.
+2. Grouping: every common shingle names one leader among the classes that hold it; each is compared with its
+   leaders only, so a shingle held by many texts makes a star, not all pairs.
+3. Matrix: shingles whose holders are all in one component by now are settled. The classes that hold others
+   are dealt into groups of similar ones, by their first leader, of a bounded number of members. The matrix
+   of shingles and groups tells which groups share enough shingles; of those, each member of one is a query
+   for the other. Where its overlap with the group's union of shingles is too small, no member can be
+   similar and the group stays closed; an open group is compared member by member, but for members that are
+   in the query's component already.
+
+No link between components is missed: a pair shares a rare shingle and is counted, or shares a settled one
+and is in one component, or meets in step 3. Shingles and classes are 64-bit hashes; none is left out for
+being frequent.
 """
 
 from __future__ import annotations
@@ -32,8 +37,10 @@ from dwellframe.llm.components import components
 WIDTH = 5
 #: Similarity 75 / 100.
 OVER, UNDER = 75, 100
+#: A shingle held by more classes is common: its holders are compared by way of leaders and groups.
+COMMON = 8
 #: Members of a group whose union is stored.
-GROUP = 64
+GROUP = 256
 #: Rounds of leaders before the matrix.
 ROUNDS = 2
 #: Shingles counted at once when frequent ones are looked for, the least count that is kept, and how many
@@ -151,11 +158,12 @@ def _described(docs: DataFrame) -> DataFrame:
     return stage(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, class long, opening binary"), "described")
 
 
-def _index(described: DataFrame) -> DataFrame:
-    """(t, rep, n, comp): openings of classes, without the shingles that only one of them holds; staged.
+def _index(described: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Common shingles as (t, rep, n, comp), of classes that hold enough of them, and pairs (a, b) with rare ones.
 
     Entries travel packed, each class once per task, dealt by hash into buckets of about ``BUCKET``
-    entries; only shared shingles become rows. Classes that share too few of them are left out.
+    entries; only what is shared becomes rows: a common shingle with each holder, or the few pairs of a
+    rare one, counted.
     """
     entries = described.agg(F.sum(F.expr("octet_length(opening)")) / 8).first()[0] or 0
     buckets = max(1, int(entries // BUCKET) + 1)
@@ -190,15 +198,34 @@ def _index(described: DataFrame) -> DataFrame:
         t, rep, n = t[order], rep[order], n[order]
         fresh = np.insert((t[1:] != t[:-1]) | (rep[1:] != rep[:-1]), 0, True)  # other tasks may have the class too
         t, rep, n = t[fresh], rep[fresh], n[fresh]
-        same = t[1:] == t[:-1]
-        keep = np.append(same, False) | np.insert(same, 0, False)
-        return pd.DataFrame({"t": t[keep], "rep": rep[keep], "n": n[keep]})
+        run = np.cumsum(np.insert(t[1:] != t[:-1], 0, True)) - 1
+        held = np.bincount(run)[run]
+        common = held > COMMON
+        out = [pd.DataFrame({"t": t[common], "a": rep[common], "b": np.int64(0), "n": n[common], "shared": np.int64(0)})]
+        rare = (held > 1) & ~common
+        r, v, m = run[rare], rep[rare], n[rare]
+        for k in range(1, COMMON):  # the holders of a rare shingle stand together: pairs at each distance
+            one, two = slice(0, len(r) - k), slice(k, len(r))
+            pair = (r[one] == r[two]) & (UNDER * np.minimum(m[one], m[two]) >= OVER * np.maximum(m[one], m[two]))
+            if pair.any():
+                found = pd.DataFrame({"a": v[one][pair], "b": v[two][pair], "n": np.minimum(m[one], m[two])[pair]})
+                counted = found.groupby(["a", "b", "n"], as_index=False).size().rename(columns={"size": "shared"})
+                out.append(counted.assign(t=np.int64(0)))
+        return pd.concat(out)[["t", "a", "b", "n", "shared"]]
 
     openings = described.filter("octet_length(opening) > 0").select("class", "n_shingles", "opening")
     packed = openings.mapInArrow(pack, "bucket int, t binary, rep binary, n binary, runs binary")
-    index = stage(packed.groupBy("bucket").applyInPandas(shared, "t long, rep long, n long"), "index")
-    enough = index.groupBy("rep").agg(F.count("*").alias("held"), F.first("n").alias("n")).filter(f"held >= {LEAST_SHARED}").select("rep")
-    return index.join(enough, "rep").select("t", "rep", "n", F.col("rep").alias("comp"))
+    made = stage(packed.groupBy("bucket").applyInPandas(shared, "t long, a long, b long, n long, shared long"), "index")
+    index = made.filter("shared = 0").select("t", F.col("a").alias("rep"), "n", F.col("a").alias("comp"))
+    held = stage(index.groupBy("rep").agg(F.count("*").alias("held"), F.first("n").alias("n")), "held")
+    # pairs with a rare shingle: what they share of these, and could share of common ones
+    pairs = made.filter("shared > 0").groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.first("n").alias("n"))
+    sides = [held.select(F.col("rep").alias(k), F.col("held").alias(f"{k}_held")) for k in "ab"]
+    both = pairs.join(sides[0], "a", "left").join(sides[1], "b", "left")
+    could = F.col("shared") + F.least(F.coalesce("a_held", F.lit(0)), F.coalesce("b_held", F.lit(0)))
+    rare = both.filter(could >= F.ceil(F.col("n") / SHARED)).select("a", "b")
+    enough = held.filter(f"held >= {LEAST_SHARED}").select("rep")
+    return index.join(enough, "rep", "leftsemi"), stage(rare, "rare")
 
 
 def _needed_sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
@@ -266,59 +293,69 @@ def _from_leaders(index: DataFrame, turn: int) -> DataFrame:
 
 def _from_matrix(index: DataFrame, sets: DataFrame) -> DataFrame | None:
     """Links (a, b) between components, by bounding queries against the unions of groups; None if there is no candidate."""
-    members = index.select("rep", "comp", "n").distinct()
-    sizes = members.groupBy("comp").agg(F.ceil(F.count("*") / GROUP).alias("chunks"))
-    placed = members.join(sizes, "comp").select("rep", "comp", "n", F.pmod(F.xxhash64("rep"), F.col("chunks")).alias("chunk"))
-    placed = stage(placed.select("rep", "n", "comp", F.xxhash64("comp", "chunk").alias("g")), "groups")
-    matrix = index.join(placed.select("rep", "g"), "rep").groupBy("t", "g", "comp").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    hits = index.select("t", F.col("rep").alias("q"), F.col("n").alias("qn"), F.col("comp").alias("qcomp")).join(matrix, "t")
-    hits = hits.filter(f"qcomp < comp and {UNDER} * qn >= {OVER} * least and {UNDER} * most >= {OVER} * qn")
-    counted = hits.groupBy("q", "g").agg(F.count("*").alias("held"), F.first("qn").alias("n")).filter(f"held >= {LEAST_SHARED}")
-    queries = stage(counted.select("q", "g"), "queries")
-    if queries.isEmpty():
+    leaders = index.groupBy("t").agg(F.min("rep").alias("leader"))
+    placed = index.join(leaders, "t").groupBy("rep", "n", "comp").agg(F.min("leader").alias("leader"))
+    sizes = placed.groupBy("leader").agg(F.ceil(F.count("*") / GROUP).alias("chunks"))
+    chunk = F.pmod(F.xxhash64("rep"), F.col("chunks"))
+    placed = stage(placed.join(sizes, "leader").select("rep", "n", "comp", F.xxhash64("leader", chunk).alias("g")), "groups")
+    cells = index.select("t", "rep", "n", "comp").join(placed.select("rep", "g"), "rep")
+    matrix = stage(cells.groupBy("t", "g").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.min("comp").alias("lo"), F.max("comp").alias("hi")), "matrix")
+    other = matrix.select("t", *(F.col(c).alias(f"o_{c}") for c in ("g", "least", "most", "lo", "hi")))
+    meets = matrix.join(other, "t").filter("g <= o_g and not (lo = hi and o_lo = o_hi and lo = o_lo)")
+    meets = meets.filter(f"{UNDER} * o_most >= {OVER} * least and {UNDER} * most >= {OVER} * o_least")
+    counted = meets.groupBy("g", "o_g").agg(F.count("*").alias("held"), F.greatest(F.min("least"), F.min("o_least")).alias("n"))
+    met = stage(counted.filter(f"held >= {LEAST_SHARED}").select(F.col("g").alias("g1"), F.col("o_g").alias("g2")), "met")
+    if met.isEmpty():
         return None
-    opened = placed.join(queries.select("g").distinct(), "g", "leftsemi").join(sets, "rep").select("g", "rep", "set")
-    asked = queries.join(sets.select(F.col("rep").alias("q"), F.col("set").alias("asked")), "q").select("g", "q", "asked")
-    # a group that very many texts ask is repeated, so that no task has to hear all of them
-    salts = queries.groupBy("g").agg(F.ceil(F.count("*") / 2000).cast("int").alias("salts"))
-    asked = asked.join(salts, "g").select("g", F.pmod(F.hash("q"), F.col("salts")).alias("salt"), "q", "asked")
-    opened = opened.join(salts, "g").select("g", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "rep", "set")
-
-    def open_group(queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-        held = [(r, np.frombuffer(s, np.uint64)) for r, s in zip(members["rep"], members["set"], strict=True)]
-        union = np.unique(np.concatenate([s for _, s in held])) if held else np.zeros(0, np.uint64)
+    members = placed.join(sets, "rep").select("g", "rep", "comp", "set")
+    sides = F.explode(F.array_distinct(F.array("g1", "g2"))).alias("g")
+    opened = met.select("g1", "g2", sides).join(members, "g")
+
+    def open_groups(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        held = {g: [(r, c, np.frombuffer(s, np.uint64)) for r, c, s in zip(x["rep"], x["comp"], x["set"], strict=True)] for g, x in rows.groupby("g")}
+        one, two = held.get(key[0], []), held.get(key[1], [])
+        union = np.unique(np.concatenate([s for *_, s in two])) if two else np.zeros(0, np.uint64)
+        up: dict[int, int] = {}
+
+        def top(c: int) -> int:
+            while c in up:
+                c = up[c]
+            return c
+
         links = []
-        for q, raw in zip(queries["q"], queries["asked"], strict=True):
-            x = np.frombuffer(raw, np.uint64)
+        for rep, comp, x in one:
             if UNDER * _overlap(x, union) < OVER * len(x):
                 continue
-            for rep, s in held:
-                if UNDER * min(len(x), len(s)) >= OVER * max(len(x), len(s)) and similar(_overlap(x, s), len(x), len(s)):
-                    links.append((q, rep))
-                    break  # all members are in one component
+            for other, its, y in two:
+                if (key[0] == key[1] and rep <= other) or top(comp) == top(its) or UNDER * min(len(x), len(y)) < OVER * max(len(x), len(y)):
+                    continue
+                if similar(_overlap(x, y), len(x), len(y)):
+                    links.append((rep, other))
+                    up[top(comp)] = top(its)
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
-    return asked.groupBy("g", "salt").cogroup(opened.groupBy("g", "salt")).applyInPandas(open_group, "a long, b long")
+    return opened.groupBy("g1", "g2").applyInPandas(open_groups, "a long, b long")
 
 
 def _solved(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Every row as (doc_id, n_shingles, class, ..) and every class as (class, comp, its least doc_id), both staged."""
     described = _described(docs)
     classes = described.filter("class is not null").groupBy(F.col("class").alias("rep")).agg(F.min("doc_id").alias("doc_id"))
-    index = _index(described)
-    links = found = sets = None
-    nothing = docs.sparkSession.createDataFrame([], "node long, component long")
+    index, rare = _index(described)
+    wanted = index.select("rep").union(rare.select(F.explode(F.array("a", "b")).alias("rep"))).distinct()
+    sets = _needed_sets(docs, classes.join(wanted, "rep", "leftsemi"))
+    links = stage(_verified(rare, sets), "pairs")
+    found = components(links)
     for turn in range(ROUNDS + 1):
-        index = _with_components(index, nothing if found is None else found)
+        index = _with_components(index, found)
         if index.isEmpty():
             break
-        if sets is None:
-            sets = _needed_sets(docs, classes.join(index.select("rep").distinct(), "rep", "leftsemi"))
         fresh = _verified(_from_leaders(index, turn), sets) if turn < ROUNDS else _from_matrix(index, sets)
         if fresh is not None:
-            links = stage(fresh if links is None else links.union(fresh), "pairs")
+            links = stage(links.union(fresh), "pairs")
             found = components(links)
-    joined = classes.join(nothing if found is None else found, F.col("rep") == F.col("node"), "left")
+    joined = classes.join(found, F.col("rep") == F.col("node"), "left")
     return described, stage(joined.select(F.col("rep").alias("class"), F.coalesce("component", "rep").alias("comp"), "doc_id"), "nodes")
 
 

@@ -221,7 +221,7 @@ class Pieces:
             ids = np.array(self.merger.encode(made), np.int32)
             n = self.sizes[ids]
         else:
-            found = self.merger.encode(made, out_type="immutable_proto").pieces
+            found = self.merger.encode(made, return_type="proto").pieces
             ids = np.array([p.id for p in found], np.int32)
             n = np.array([len(p.surface.encode()) for p in found], np.int64)
         ends = np.cumsum(n).astype(np.int64)
