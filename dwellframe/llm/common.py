@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dwellframe.session import scratch_root
+
 #: Texts handed to a worker function at once, in bytes; one longer text forms a batch of its own.
 BATCH_BYTES = 4 << 20
 
@@ -31,10 +33,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     The lineage ends there, so lost executors cost no recomputation and values are pinned.
     """
     spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
