@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from dwellframe.session import scratch_root
 
 #: Texts handed to a worker function at once, in bytes; one longer text forms a batch of its own.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,11 +45,11 @@ GROUP = 256
 ROUNDS = 2
 #: Shingles counted at once when frequent ones are looked for, the least count that is kept, and how many
 #: frequent shingles are known to all tasks. They only decide which shingles of a set come first.
-COUNTED, LEAST, FREQUENT = 1_000_000, 3, 400_000
+COUNTED, LEAST, FREQUENT = 600_000, 3, 400_000
 #: Similar sets share this part of the smaller set's size in their openings, at least; openings are as much longer.
 SHARED = 16
 #: Entries of the index that one task sorts at a time, about.
-BUCKET = 1_000_000
+BUCKET = 500_000
 #: A table of ids below this size is sent to all tasks.
 BROADCAST_BYTES = 32 << 20
 
