@@ -36,8 +36,22 @@ def encode_for_kv(
 ) -> DataFrame:
     """Encode top-level columns by type; nested values and other types pass unchanged.
 
+    A floating-point column ``x`` gets a column ``x_text`` beside it: a number that the store's decimals
+    cannot hold exactly, NaN and infinities included, is kept there as its shortest text, and ``x`` is null.
+
     ``overrides`` maps a Spark type name to a Column -> Column function replacing the default.
     """
     rules = {**ENCODERS, **(overrides or {})}
     keep: Callable[[Column], Column] = lambda c: c
-    return df.select(*[rules.get(_type_name(f.dataType), keep)(F.col(f"`{f.name}`")).alias(f.name) for f in df.schema])
+    out = []
+    for f in df.schema:
+        value, kind = F.col(f"`{f.name}`"), _type_name(f.dataType)
+        made = rules.get(kind, keep)(value)
+        if kind in ("double", "float") and rules[kind] is _float_to_decimal:
+            if f"{f.name}_text" in df.columns:
+                raise ValueError(f"column {f.name}_text is taken")
+            exact = made.cast(kind).eqNullSafe(value)
+            out += [F.when(exact, made).alias(f.name), F.when(~exact, value.cast("string")).alias(f"{f.name}_text")]
+        else:
+            out.append(made.alias(f.name))
+    return df.select(*out)

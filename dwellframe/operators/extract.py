@@ -151,7 +151,7 @@ def extract_hits(
         **{f"property_{q}_unit": parsed(S.extract_unit(f"property_{q}_raw")) for q in ("price", "size")},
     }
     columns = [
-        (computed[f.name] if f.name in computed else F.col(f.name)).cast(f.dataType).alias(f.name)
+        (computed[f.name] if f.name in computed else _or_null(linked, f.name)).cast(f.dataType).alias(f.name)
         for f in PROPERTY_INDEX
     ]
     lost = (
@@ -199,12 +199,17 @@ def extract_listings(
         **{f: S.extract_number(f"{f}_raw") for f in COUNT_FIELDS},
     }
     columns = [
-        (computed[f.name] if f.name in computed else F.col(f.name)).cast(f.dataType).alias(f.name) for f in LISTING
+        (computed[f.name] if f.name in computed else _or_null(read, f.name)).cast(f.dataType).alias(f.name) for f in LISTING
     ]
     extra = [f"{f}_raw" for f in COUNT_FIELDS] if keep_raw else []
     return read.select("page_id", *columns, *extra, "_errors")
 
 
+def _or_null(df: DataFrame, name: str) -> Column:
+    """A field that none of the given sites has is null."""
+    return F.col(name) if name in df.columns else F.lit(None)
+
+
 def _blank_on(value: Column, *sites: str) -> Column:
     """Blank text counts as absent on these sites."""
     return F.when(F.col("site").isin(*sites), S.blank_to_null(value)).otherwise(value)
@@ -215,5 +220,7 @@ def quarantine(records: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Both halves are lazy: to write both, stage the records first, or the pages are parsed twice.
     """
+    # a generator keeps the filters from being pushed below the extraction, which would then run twice
+    records = records.select(F.inline(F.array(F.struct(*records.columns))))
     good = F.size("_errors") == 0
     return records.filter(good).drop("_errors"), records.filter(~good)

@@ -59,11 +59,13 @@ def pages_until_empty(visits: DataFrame, max_depth: int | None = None) -> DataFr
     The first empty page is a grouped minimum joined back, not a window over the seed: a hot seed is
     combined on the map side, and the join can be broadcast or split where skewed.
     """
-    if max_depth is not None:
-        visits = visits.filter(F.col("idx") <= max_depth)
-    stops = visits.filter("n_results = 0").groupBy("seed").agg(F.min("idx").alias("stop"))
-    joined = visits.join(stops, "seed", "left")
-    return joined.filter(F.col("stop").isNull() | (F.col("idx") <= F.col("stop"))).drop("stop")
+    empty = F.min(F.when(F.col("n_results") == 0, F.col("idx")))
+    bounds = [empty.alias("stop"), F.min("idx").alias("start")]
+    joined = visits.join(visits.groupBy("seed").agg(*bounds), "seed", "left")
+    kept = F.col("stop").isNull() | (F.col("idx") <= F.col("stop"))
+    if max_depth is not None:  # the page a seed starts from is always visited
+        kept &= F.col("idx") <= F.greatest(F.lit(max_depth), F.col("start"))
+    return joined.filter(kept).drop("stop", "start")
 
 
 def next_page(visits: DataFrame, max_depth: int) -> DataFrame:
@@ -155,8 +157,9 @@ def crawl_batches(numbered: DataFrame, *carried: str) -> DataFrame:
 
 
 def task_types(tasks: DataFrame) -> DataFrame:
-    """Requested (vendor, type) pairs with their place in the task's list."""
-    return tasks.select("vendor", F.posexplode("types").alias("type_pos", "type"))
+    """Requested (vendor, type) pairs with their place in the task's list, and the task's own if it has a ``task_pos``."""
+    place = ["task_pos"] if "task_pos" in tasks.columns else []
+    return tasks.select("vendor", *place, F.posexplode("types").alias("type_pos", "type"))
 
 
 def exhausted_types(tasks: DataFrame, index: DataFrame) -> DataFrame:
@@ -180,16 +183,19 @@ def free_slots(hosts: DataFrame, max_parallel: int) -> DataFrame:
 
 
 def number_batches(batches: DataFrame, tasks: DataFrame) -> DataFrame:
-    """Give batches of the requested pairs one running number ``slot``: vendors by name, types in list order.
+    """Give batches of the requested pairs one running number ``slot``: tasks by ``task_pos`` (without it, vendors
+    by name), types in list order. A pair that several tasks name counts once, at its first place.
 
     The window runs over one count per requested pair, which the task configuration bounds; the
     batches themselves are not gathered.
     """
-    wanted = batches.join(task_types(tasks), GROUP)
-    per_pair = wanted.groupBy(*GROUP, "type_pos").agg((F.max("batch") + 1).alias("n_batches"))
-    before = Window.orderBy("vendor", "type_pos").rowsBetween(Window.unboundedPreceding, -1)
+    named = task_types(tasks)
+    first = F.min(F.struct("task_pos" if "task_pos" in named.columns else "vendor", "type_pos")).alias("place")
+    wanted = batches.join(named.groupBy(*GROUP).agg(first), GROUP)
+    per_pair = wanted.groupBy(*GROUP, "place").agg((F.max("batch") + 1).alias("n_batches"))
+    before = Window.orderBy("place", *GROUP).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_pair.select(*GROUP, F.coalesce(F.sum("n_batches").over(before), F.lit(0)).alias("offset"))
-    return wanted.join(offsets, GROUP).withColumn("slot", F.col("batch") + F.col("offset")).drop("offset")
+    return wanted.join(offsets, GROUP).withColumn("slot", F.col("batch") + F.col("offset")).drop("offset", "place")
 
 
 def assign_batches(batches: DataFrame, slots: DataFrame) -> DataFrame:

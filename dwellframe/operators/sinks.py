@@ -10,7 +10,9 @@ from pyspark.sql import types as T
 
 from dwellframe.schemas import CONTACT_COLUMNS
 
-BATCH, BASE = "batch_id", "base"
+STREAM, BATCH, BASE = "stream", "batch_id", "base"
+#: Columns that every row of a stream table carries: who wrote it, and in which micro-batch.
+WRITTEN = T.StructType([T.StructField("written_stream", T.StringType()), T.StructField("written_batch", T.LongType())])
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None, drop_contacts: bool = False) -> None:
@@ -20,9 +22,16 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None, drop
     df.write.mode("append").partitionBy(*(partition_by or [])).parquet(path)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Write one micro-batch into its own folder. A replayed batch replaces its own earlier try only."""
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH}={batch_id}")
+def write_batch(df: DataFrame, path: str, stream: str, batch_id: int) -> None:
+    """Write one micro-batch of one stream into its own folder. A replayed batch replaces its own earlier try only.
+
+    ``stream`` is the writer's own name, kept with its checkpoint: a new checkpoint needs a new name, since
+    its batches are numbered from 0 again.
+    """
+    if not stream or "/" in stream or "=" in stream:
+        raise ValueError("a stream's name must not be empty or hold / or =")
+    rows = df.withColumns({"written_stream": F.lit(stream), "written_batch": F.lit(batch_id).cast("long")})
+    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{STREAM}={stream}/{BATCH}={batch_id}")
 
 
 def _files(spark: SparkSession, path: str):
@@ -49,37 +58,71 @@ def _complete_folders(spark: SparkSession, root: str, prefix: str) -> list[int]:
     return sorted(numbers)
 
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
-    """All committed micro-batches, or those numbered below ``before``; an empty table if there are none.
+def _streams(spark: SparkSession, root: str) -> list[str]:
+    fs, jroot = _files(spark, root)
+    if not fs.exists(jroot):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(jroot)]
+    return sorted(n.removeprefix(f"{STREAM}=") for n in names if n.startswith(f"{STREAM}="))
+
+
+def _base(spark: SparkSession, root: str) -> tuple[str | None, dict[str, int]]:
+    """The newest complete base, and the last batch of each stream that it holds."""
+    numbers = _complete_folders(spark, root, f"{BASE}=")
+    numbers = [n for n in numbers if exists(spark, f"{root}/held={n}/_SUCCESS")]
+    if not numbers:
+        return None, {}
+    held = spark.read.parquet(f"{root}/held={numbers[-1]}").collect()
+    return f"{root}/{BASE}={numbers[-1]}", {r["stream"]: r["last"] for r in held}
 
-    Batches already folded into a base are read from there.
-    """
-    root = path.rstrip("/")
 
-    def numbers(prefix: str) -> list[int]:
-        return [n for n in _complete_folders(spark, root, prefix) if before is None or n < before]
+def read_batches(
+    spark: SparkSession, path: str, schema: T.StructType, before: tuple[str, int] | None = None, written: bool = False
+) -> DataFrame:
+    """All committed micro-batches of all streams; an empty table if there are none.
 
-    base = max(numbers(f"{BASE}="), default=None)
-    folders = [] if base is None else [f"{root}/{BASE}={base}"]
-    folders += [f"{root}/{BATCH}={n}" for n in numbers(f"{BATCH}=") if base is None or n > base]
-    if not folders:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*folders)
+    ``before`` = (stream, n) leaves out that stream's batches from ``n`` on, so a replay does not meet its
+    own rows. Batches that a base holds are read from there. ``written`` adds the ``WRITTEN`` columns.
+    """
+    root = path.rstrip("/")
+    base, held = _base(spark, root)
+    folders = [base] if base else []
+    for stream in _streams(spark, root):
+        for n in _complete_folders(spark, f"{root}/{STREAM}={stream}", f"{BATCH}="):
+            if n > held.get(stream, -1) and not (before and before[0] == stream and n >= before[1]):
+                folders.append(f"{root}/{STREAM}={stream}/{BATCH}={n}")
+    full = T.StructType([*schema.fields, *WRITTEN.fields])
+    rows = spark.read.schema(full).parquet(*folders) if folders else spark.createDataFrame([], full)
+    return rows if written else rows.select(*schema.names)
 
 
 def fold_batches(
     spark: SparkSession, path: str, schema: T.StructType, reduce: Callable[[DataFrame], DataFrame] = lambda df: df
-) -> int | None:
-    """Write all micro-batches but the last, reduced, as one base folder. Returns the last one folded.
+) -> dict[str, int]:
+    """Write all micro-batches but each stream's last, reduced, as one base. Returns what the base holds.
 
-    The last stays out since a restarted stream may still replay it. Nothing is deleted.
+    The last ones stay out since a restarted stream may still replay its own. A record beside the base
+    names the last batch that it holds of each stream; a base without that record is not read. Nothing is
+    deleted.
     """
-    done = _complete_folders(spark, path, f"{BATCH}=")
-    if len(done) < 2:
-        return None
-    rows = reduce(read_batches(spark, path, schema, before=done[-1]))
-    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BASE}={done[-2]}")
-    return done[-2]
+    root = path.rstrip("/")
+    base, held = _base(spark, root)
+    after = dict(held)
+    folders = [base] if base else []
+    for stream in _streams(spark, root):
+        done = _complete_folders(spark, f"{root}/{STREAM}={stream}", f"{BATCH}=")[:-1]
+        fresh = [n for n in done if n > held.get(stream, -1)]
+        folders += [f"{root}/{STREAM}={stream}/{BATCH}={n}" for n in fresh]
+        if fresh:
+            after[stream] = fresh[-1]
+    if after == held:
+        return held
+    number = max(_complete_folders(spark, root, f"{BASE}="), default=-1) + 1
+    rows = spark.read.schema(T.StructType([*schema.fields, *WRITTEN.fields])).parquet(*folders)
+    reduce(rows).write.mode("overwrite").parquet(f"{root}/{BASE}={number}")
+    record = spark.createDataFrame(sorted(after.items()), "stream string, last long")
+    record.coalesce(1).write.mode("overwrite").parquet(f"{root}/held={number}")
+    return after
 
 
 def snapshot_version(spark: SparkSession, root: str) -> int | None:

@@ -313,6 +313,15 @@ def claim_cycle(spark, sf_dir):
     return after.select("vendor", "type", "property_id", "last_crawled_date")
 
 
+@query
+def claim_dispatch(spark, sf_dir):
+    index = dv.view(spark, sf_dir, dv.INDEX)
+    assigned, _ = frontier.claim_cycle(
+        index, dv.tasks(spark, sf_dir), dv.view(spark, sf_dir, dv.HOSTS), MAX_PARALLEL, _ntz(RUN_TS), BATCH
+    )
+    return assigned.select("host", "slot", "vendor", "type", "batch", "n", "links", F.array_join("property_ids", ",").alias("ids"))
+
+
 # --- figures ------------------------------------------------------------------------------------
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 
 from dwellframe.operators import dedupe, encode, extract, frontier, tables
 from dwellframe.operators.ordering import small_or_none
-from dwellframe.schemas import INDEX_KEYS
+from dwellframe.schemas import CONTACT_COLUMNS, INDEX_KEYS
 from dwellframe.session import stage
 
 
@@ -41,9 +41,10 @@ class Landed(NamedTuple):
     set_aside: DataFrame
 
 
-def land_listings(pages: DataFrame, listings: DataFrame) -> Landed:
-    """Detail pages into the listing table, last write wins."""
-    good, bad = extract.quarantine(stage(extract.extract_listings(pages)))
+def land_listings(pages: DataFrame, listings: DataFrame, drop_contacts: bool = False) -> Landed:
+    """Detail pages into the listing table, last write wins. ``drop_contacts`` leaves contact columns out of both tables."""
+    records = extract.extract_listings(pages)
+    good, bad = extract.quarantine(stage(records.drop(*CONTACT_COLUMNS) if drop_contacts else records))
     keys = small_or_none(good.select("key"))
     return Landed(tables.put_by_key(listings, good.drop("page_id"), small_keys=keys), bad)
 

@@ -167,7 +167,7 @@ ORACLES: dict[str, str] = {
         and last_crawled_date > timestamp '{CRAWLED_SINCE}' then null else last_crawled_date end as last_crawled_date
         from {INDEX} i""",
     "kv_encode": """select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') as ts, strftime(ts, '%Y-%m-%d') as day,
-        cast(cast(value as varchar) as decimal(38,18)) as value,
+        cast(cast(value as varchar) as decimal(38,18)) as value, cast(null as varchar) as value_text,
         case when event_type = 'error' then ' ' else event_type end as event_type, user_id from events""",
     "require_fields": f"""select vendor, type, property_id, created_date, property_price from {PARSED_HITS} h
         where property_id is not null and property_price is not null""",
@@ -211,6 +211,9 @@ ORACLES: dict[str, str] = {
         case when a.host is not null then timestamp '{RUN_TS}' else i.last_crawled_date end as last_crawled_date
         from {INDEX} i left join {BATCHED} b on i.property_id = b.property_id
         left join {ASSIGNED} a on b.vendor = a.vendor and b.type = a.type and b.batch = a.batch""",
+    "claim_dispatch": f"""select a.host, a.slot, a.vendor, a.type, a.batch, a.n, string_agg(b.link, ',' order by b.rn) as links,
+        string_agg(b.property_id, ',' order by b.rn) as ids from {ASSIGNED} a join {BATCHED} b
+        on b.vendor = a.vendor and b.type = a.type and b.batch = a.batch group by all""",
     "job_stats": f"""select host, count(*) filter (state = 'running') as running,
         count(*) filter (state = 'finished') as finished,
         avg(secs // 60) filter (state = 'finished') as avg_minutes from {JOBS} j group by host""",

@@ -1,6 +1,7 @@
 """Record streams into tables, micro-batch by micro-batch.
 
-Tables are folders of committed micro-batches. An insert-only table takes just the rows it lacks; a
+Tables are folders of committed micro-batches, one folder for each stream that writes, so a second stream
+or a new checkpoint never meets another's batches. An insert-only table takes just the rows it lacks; a
 last-write-wins table takes each batch's winners and is resolved when read, then folded from time to
 time. So a micro-batch writes data in proportion to itself, never the table again, and a replayed
 batch overwrites its own folder with the same rows.
@@ -25,40 +26,50 @@ from dwellframe.schemas import CONTACT_COLUMNS, FETCH_CHECK, INDEX_KEYS, LISTING
 Sink = Callable[[DataFrame, int], None]
 
 
-def insert_sink(path: str, schema: T.StructType, keys: list[str], lead: list[str]) -> Sink:
+def insert_sink(path: str, stream: str, schema: T.StructType, keys: list[str], lead: list[str]) -> Sink:
     """First write wins, over the whole table and within the batch in ``lead`` order.
 
     A micro-batch is usually small beside the table: its keys are measured and, if they fit, broadcast
-    to the table scan. A backlog too large for that is joined by shuffle.
+    to the table scan. A backlog too large for that is joined by shuffle. Streams that write at the same
+    time may both insert a key; ``read_first`` settles which row counts.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table = read_batches(batch.sparkSession, path, schema, before=batch_id)
+        table = read_batches(batch.sparkSession, path, schema, before=(stream, batch_id))
         order = total_order(batch, [F.col(c).asc_nulls_first() for c in lead], keys + lead)
         first = first_per_key(batch, keys, order).persist()
         try:
-            write_batch(new_rows(table, first, keys, order, small_or_none(first.select(*keys))), path, batch_id)
+            write_batch(new_rows(table, first, keys, order, small_or_none(first.select(*keys))), path, stream, batch_id)
         finally:
             first.unpersist()
 
     return write
 
 
-def index_sink(path: str) -> Sink:
-    insert = insert_sink(path, PROPERTY_INDEX, INDEX_KEYS, ["created_date"])
+def read_first(spark: SparkSession, path: str, schema: T.StructType, keys: list[str], lead: list[str]) -> DataFrame:
+    """An insert-only table with one row per key, whichever streams wrote it: the first in ``lead`` order."""
+    rows = read_batches(spark, path, schema, written=True)
+    order = total_order(rows, [F.col(c).asc_nulls_first() for c in [*lead, "written_batch", "written_stream"]], keys + lead)
+    return first_per_key(rows, keys, order).select(*schema.names)
+
+
+def index_sink(path: str, stream: str) -> Sink:
+    insert = insert_sink(path, stream, PROPERTY_INDEX, INDEX_KEYS, ["created_date"])
     return lambda batch, batch_id: insert(index_rows(batch), batch_id)
 
 
-def check_sink(path: str) -> Sink:
-    return insert_sink(path, FETCH_CHECK, ["ip"], ["date"])
+def check_sink(path: str, stream: str) -> Sink:
+    return insert_sink(path, stream, FETCH_CHECK, ["ip"], ["date"])
 
 
 def latest_first(df: DataFrame, written_at: str) -> list[Column]:
-    return total_order(df, [F.col(written_at).desc_nulls_last()], [written_at])
+    """Later times first; of equal times the later write, where rows say when they were written."""
+    lead = [written_at, *(c for c in ("written_batch", "written_stream") if c in df.columns)]
+    return total_order(df, [F.col(c).desc_nulls_last() for c in lead], lead)
 
 
 def listing_sink(
-    path: str, key: str = "key", written_at: str = "crawled_date", drop_contacts: bool = False
+    path: str, stream: str, key: str = "key", written_at: str = "crawled_date", drop_contacts: bool = False
 ) -> Sink:
     """Last write wins: keeps each key's last row of the batch. ``drop_contacts`` leaves contact columns out."""
 
@@ -67,13 +78,13 @@ def listing_sink(
             batch = batch.drop(*CONTACT_COLUMNS)
         rows = batch.select(*[c for c in LISTING.names if c in batch.columns])
         winners = first_per_key(rows, [key], latest_first(rows, written_at))
-        write_batch(winners, path, batch_id)
+        write_batch(winners, path, stream, batch_id)
 
     return write
 
 
-def append_sink(path: str) -> Sink:
-    return lambda batch, batch_id: write_batch(batch, path, batch_id)
+def append_sink(path: str, stream: str) -> Sink:
+    return lambda batch, batch_id: write_batch(batch, path, stream, batch_id)
 
 
 def read_latest(
@@ -81,14 +92,14 @@ def read_latest(
     written_at: str = "crawled_date",
 ) -> DataFrame:
     """The current rows of a last-write-wins table."""
-    rows = read_batches(spark, path, schema)
-    return first_per_key(rows, [key], latest_first(rows, written_at))
+    rows = read_batches(spark, path, schema, written=True)
+    return first_per_key(rows, [key], latest_first(rows, written_at)).select(*schema.names)
 
 
 def fold_latest(
     spark: SparkSession, path: str, schema: T.StructType = LISTING, key: str = "key",
     written_at: str = "crawled_date",
-) -> int | None:
+) -> dict[str, int]:
     """Fold a last-write-wins table's older batches into their current rows."""
     return fold_batches(spark, path, schema, lambda df: first_per_key(df, [key], latest_first(df, written_at)))
 
@@ -107,15 +118,21 @@ def route(sinks: dict[str, Sink], kind: str = "kind") -> Sink:
     return write
 
 
-def page_sink(extractor: Callable[[DataFrame], DataFrame], sink: Sink, set_aside: str) -> Sink:
-    """Extract a batch of pages once; usable records go to ``sink``, the others to a table of their own."""
+def page_sink(
+    extractor: Callable[[DataFrame], DataFrame], sink: Sink, set_aside: str, stream: str, drop_contacts: bool = False
+) -> Sink:
+    """Extract a batch of pages once; usable records go to ``sink``, the others to a table of their own.
+
+    ``drop_contacts`` leaves personal contact columns out of both.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        records = extractor(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        records = extractor(batch)
+        records = (records.drop(*CONTACT_COLUMNS) if drop_contacts else records).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             good, bad = quarantine(records)
             sink(good, batch_id)
-            write_batch(bad, set_aside, batch_id)
+            write_batch(bad, set_aside, stream, batch_id)
         finally:
             records.unpersist()
 

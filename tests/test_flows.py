@@ -64,7 +64,7 @@ def test_page_streams_equal_batch(spark, tmp_path):
     for i in range(3):
         pages.filter(F.col("page_id") % 3 == i).coalesce(1).write.mode("append").parquet(path("pages"))
     stream = spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 1).parquet(path("pages"))
-    sink = streams.page_sink(extract.extract_hits, streams.index_sink(path("index")), path("aside"))
+    sink = streams.page_sink(extract.extract_hits, streams.index_sink(path("index"), "a"), path("aside"), "a")
     streams.start_sink(stream, sink, path("cp")).start().awaitTermination()
     batch = flows.index_search_pages(pages, spark.createDataFrame([], PROPERTY_INDEX))
     got = sinks.read_batches(spark, path("index"), PROPERTY_INDEX)
@@ -77,7 +77,7 @@ def test_detail_stream_without_contacts(spark, tmp_path):
     pages = dv.detail_pages(spark, SF)
     pages.write.parquet(path("pages"))
     stream = spark.readStream.schema(pages.schema).parquet(path("pages"))
-    sink = streams.page_sink(extract.extract_listings, streams.listing_sink(path("out"), drop_contacts=True), path("aside"))
+    sink = streams.page_sink(extract.extract_listings, streams.listing_sink(path("out"), "a"), path("aside"), "a", drop_contacts=True)
     streams.start_sink(stream, sink, path("cp")).start().awaitTermination()
     got = streams.read_latest(spark, path("out"))
     want = flows.land_listings(pages, spark.createDataFrame([], LISTING)).listings

@@ -102,6 +102,19 @@ def test_bounded_numbering_beyond_the_limit_threshold(spark):
     assert as_rows(bounded) == as_rows(full) == as_rows(frontier.batch_rows(index, 6, 5))
 
 
+def test_prefix_keeps_a_start_beyond_the_depth(spark):
+    visits = spark.createDataFrame([("a", 5, 3), ("a", 6, 1), ("b", 1, 2), ("b", 2, 1), ("b", 3, 1)], "seed string, idx int, n_results int")
+    assert {(r.seed, r.idx) for r in frontier.pages_until_empty(visits, 2).collect()} == {("a", 5), ("b", 1), ("b", 2)}
+
+
+def test_repeated_pairs_and_task_order(spark):
+    batches = spark.createDataFrame([(v, "sell", b, 10) for v in "av" for b in range(3)], "vendor string, type string, batch long, n long")
+    tasks = spark.createDataFrame(
+        [(0, "s", "v", ["sell"]), (1, "s", "a", ["sell"]), (2, "s2", "v", ["rent", "sell"])], "task_pos int, spider string, vendor string, types array<string>")
+    got = sorted((r.slot, r.vendor, r.batch) for r in frontier.number_batches(batches, tasks).collect())
+    assert got == [(0, "v", 0), (1, "v", 1), (2, "v", 2), (3, "a", 0), (4, "a", 1), (5, "a", 2)]
+
+
 def test_no_free_place_claims_nothing(spark):
     _, index = make_index(spark, 50)
     tasks = spark.createDataFrame([("s", "v", ["sell"])], TASKS)

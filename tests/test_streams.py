@@ -39,19 +39,19 @@ def test_index_stream_equals_batch_and_survives_replay(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "index")
     land(data, source, 4)
     schema = data.drop("file").schema
-    run(spark, source, schema, streams.index_sink(out), str(tmp_path / "cp"))
+    run(spark, source, schema, streams.index_sink(out, "a"), str(tmp_path / "cp"))
     got = lambda: sorted(str(tuple(r)) for r in sinks.read_batches(spark, out, PROPERTY_INDEX).collect())
     empty = spark.createDataFrame([], PROPERTY_INDEX)
     want = sorted(str(tuple(r)) for r in tables.insert_hits(empty, data.drop("file")).select(*PROPERTY_INDEX.names).collect())
     first = got()
     assert first == want and len(first) == len({(r.vendor, r.property_id) for r in data.collect()})
-    assert len([p for p in (tmp_path / "index").iterdir() if p.name.startswith("batch_id=")]) == 4
-    streams.index_sink(out)(data.filter("file = 3").drop("file"), 3)
+    assert len([p for p in (tmp_path / "index" / "stream=a").iterdir() if p.name.startswith("batch_id=")]) == 4
+    streams.index_sink(out, "a")(data.filter("file = 3").drop("file"), 3)
     assert got() == first
-    assert sinks.fold_batches(spark, out, PROPERTY_INDEX) == 2
+    assert sinks.fold_batches(spark, out, PROPERTY_INDEX) == {"a": 2}
     assert got() == first
-    streams.index_sink(out)(data.filter("file = 3").drop("file"), 3)
-    streams.index_sink(out)(data.drop("file"), 4)
+    streams.index_sink(out, "a")(data.filter("file = 3").drop("file"), 3)
+    streams.index_sink(out, "a")(data.drop("file"), 4)
     assert got() == first
 
 
@@ -59,7 +59,7 @@ def test_check_stream_keeps_first_status(spark, tmp_path):
     rows = [(200 + i % 3, DAY + dt.timedelta(seconds=i), f"ip{i % 7}", i // 20) for i in range(60)]
     data = spark.createDataFrame(rows, "status int, date timestamp, ip string, file int")
     land(data, str(tmp_path / "in"), 3)
-    run(spark, str(tmp_path / "in"), FETCH_CHECK, streams.check_sink(str(tmp_path / "out")), str(tmp_path / "cp"))
+    run(spark, str(tmp_path / "in"), FETCH_CHECK, streams.check_sink(str(tmp_path / "out"), "a"), str(tmp_path / "cp"))
     got = {r.ip: r.status for r in sinks.read_batches(spark, str(tmp_path / "out"), FETCH_CHECK).collect()}
     assert got == {f"ip{i}": 200 + i % 3 for i in range(7)}
 
@@ -75,21 +75,64 @@ def test_listing_stream_equals_batch_and_folds(spark, tmp_path):
     data = listings(spark)
     source, out = (str(tmp_path / p) for p in ("in", "out"))
     land(data, source, 3)
-    run(spark, source, LISTING, streams.listing_sink(out), str(tmp_path / "cp"))
+    run(spark, source, LISTING, streams.listing_sink(out, "a"), str(tmp_path / "cp"))
     rows = data.drop("file")
     want = {r.key: r.title for r in first_per_key(rows, ["key"], streams.latest_first(rows, "crawled_date")).collect()}
     assert {r.key: r.title for r in streams.read_latest(spark, out).collect()} == want
-    assert streams.fold_latest(spark, out) == 1
+    assert streams.fold_latest(spark, out) == {"a": 1}
     assert {r.key: r.title for r in streams.read_latest(spark, out).collect()} == want
-    folded = spark.read.parquet(f"{out}/base=1")
+    folded = spark.read.parquet(f"{out}/base=0")
     assert folded.count() == folded.select("key").distinct().count()
 
 
+def test_second_stream_and_new_checkpoint_lose_nothing(spark, tmp_path):
+    """Two streams into one table, before and after folds: every key is there once, no batch hides another's."""
+    data, out = hits(spark), str(tmp_path / "index")
+    part = lambda k: data.filter(F.col("file") == k).drop("file")
+    keys = lambda: sorted((r.vendor, r.property_id or "") for r in sinks.read_batches(spark, out, PROPERTY_INDEX).collect())
+    wanted = lambda n: sorted({(r.vendor, r.property_id or "") for r in data.filter(F.col("file") < n).collect()})
+    one, two = (streams.index_sink(out, name) for name in ("one", "two"))
+    one(part(0), 0)
+    one(part(1), 1)
+    two(part(2), 0)
+    assert keys() == wanted(3)
+    assert sinks.fold_batches(spark, out, PROPERTY_INDEX) == {"one": 0}
+    streams.index_sink(out, "three")(part(3), 0)
+    two(part(2), 0)  # a replay
+    assert keys() == wanted(4)
+    two(part(0), 1)
+    assert sinks.fold_batches(spark, out, PROPERTY_INDEX) == {"one": 0, "two": 0}
+    assert sinks.fold_batches(spark, out, PROPERTY_INDEX) == {"one": 0, "two": 0}
+    assert keys() == wanted(4)
+
+
+def test_concurrent_inserts_are_settled_on_reading(spark, tmp_path):
+    out = str(tmp_path / "checks")
+    row = lambda status, day: spark.createDataFrame([(status, DAY + dt.timedelta(days=day), "ip")], "status int, date timestamp, ip string")
+    sinks.write_batch(row(500, 1), out, "b", 0)
+    sinks.write_batch(row(200, 0), out, "a", 0)  # as if both had read the table before either wrote
+    got = streams.read_first(spark, out, FETCH_CHECK, ["ip"], ["date"]).collect()
+    assert [r.status for r in got] == [200]
+
+
+def test_equal_times_go_to_the_later_write(spark, tmp_path):
+    out = str(tmp_path / "out")
+    one = lambda title: listings(spark, 1).drop("file").withColumns({"title": F.lit(title), "key": F.lit("k"), "crawled_date": F.lit(DAY)})
+    sink = streams.listing_sink(out, "a")
+    for n, title in enumerate(("z old", "b new", "a newest")):
+        sink(one(title), n)
+    assert [r.title for r in streams.read_latest(spark, out).collect()] == ["a newest"]
+    streams.fold_latest(spark, out)
+    assert [r.title for r in streams.read_latest(spark, out).collect()] == ["a newest"]
+    put = tables.put_by_key(one("z old"), one("b new"))
+    assert [r.title for r in put.collect()] == ["b new"]
+
+
 def test_routed_stream(spark, tmp_path):
     base = hits(spark, 100).withColumn("kind", F.when(F.col("vendor") == "v", "index").otherwise("raw"))
     source, index, raw = (str(tmp_path / p) for p in ("in", "index", "raw"))
     land(base, source, 4)
-    sink = streams.route({"index": streams.index_sink(index), "raw": streams.append_sink(raw)})
+    sink = streams.route({"index": streams.index_sink(index, "a"), "raw": streams.append_sink(raw, "a")})
     run(spark, source, base.drop("file").schema, sink, str(tmp_path / "cp"))
     kept = sinks.read_batches(spark, index, PROPERTY_INDEX)
     assert {r.vendor for r in kept.collect()} == {"v"}

@@ -163,12 +163,22 @@ def test_encode(spark):
     assert {k: str(v) for k, v in row.items() if k in "fg"} == {"f": "0.100000000000000000", "g": "2.500000000000000000"}
     assert {k: v for k, v in row.items() if k not in "fg"} == {
         "t": "2024-01-02 03:04:05", "n": "2024-01-02 03:04:05", "d": "2024-01-02", "e": " ", "s": "x", "i": 7, "a": [""],
-        "z": None,
+        "z": None, "f_text": None, "g_text": None,
     }
     upper = encode.encode_for_kv(df.select("s", "e"), {"string": F.upper}).first()
     assert tuple(upper) == ("X", "")
 
 
+def test_encode_loses_no_number(spark):
+    values = [1e21, 123456789012345678901.0, 1.5e-19, float("nan"), float("inf"), -float("inf"), 0.1, -2.5, 0.0, None]
+    rows = encode.encode_for_kv(spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double")).orderBy("i").collect()
+    for v, r in zip(values, rows, strict=True):
+        assert (r.x is None) or (r.x_text is None)
+        back = None if r.x is None and r.x_text is None else float(r.x if r.x is not None else r.x_text.replace("Infinity", "inf"))
+        assert repr(back) == repr(v)
+    assert [r.x is None for r in rows] == [True] * 6 + [False] * 3 + [True]
+
+
 def test_encode_time(spark):
     df = spark.sql("select time'03:04:05.678' as t")
     assert encode.encode_for_kv(df).first()[0] == "03:04:05"
