@@ -157,7 +157,7 @@ class Lexicon:
 @dataclass
 class Grammar:
     lexicon: Lexicon
-    weights: np.ndarray = field(default_factory=lambda: np.array([-3.0, 1.0, 1.0, 0.0]))
+    weights: np.ndarray = field(default_factory=lambda: np.array([-3.0, 2.0, 1.5, 0.0]))
 
     def clauses(self, text: str) -> list[tuple[int, int, float]]:
         """(start, end, score) of the clauses that match, in code points."""
@@ -233,7 +233,7 @@ def learn_lexicon(sample: DataFrame, size: int = LEXICON) -> Lexicon:
     return made
 
 
-def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
     """Logistic regression by Newton steps, with the intercept first and not penalised."""
     a, w = np.column_stack([np.ones(len(x)), x]), np.zeros(x.shape[1] + 1)
     penalty = np.diag([1e-3, *[ridge] * x.shape[1]])
