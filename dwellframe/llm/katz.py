@@ -27,8 +27,8 @@ from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 from dwellframe.llm.common import mix, slices, stage, word_hashes
 
 K = 5
-#: Tokens that a task packs at once, and about how many one bucket holds.
-CHUNK, BUCKET = 1_200_000, 1_500_000
+#: Tokens that a task packs at once, counts or adds up at once, and about how many one bucket holds.
+CHUNK, COUNTED, BUCKET = 600_000, 2_400_000, 1_500_000
 #: Histories with this share of all tokens are split over all buckets; there are at most 1 / HOT of them.
 HOT = 1 / 4096
 #: A unigram table below this size is sent to all tasks; a larger one is joined to blocks of texts.
@@ -90,7 +90,7 @@ class Unigrams:
 
 
 def count_words(docs: DataFrame, train: Column) -> DataFrame:
-    """(w, c, id) of the training rows, ends included; staged. Each task sends a word once per ``CHUNK`` tokens."""
+    """(w, c, id) of the training rows, ends included; staged. Each task sends a word once per ``COUNTED`` tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -104,7 +104,7 @@ def count_words(docs: DataFrame, train: Column) -> DataFrame:
                 words, _ = word_hashes(part.column(0))
                 held += [words, np.full(part.num_rows, END, np.uint64)]
                 size += len(words) + part.num_rows
-                if size >= 2 * CHUNK:
+                if size >= COUNTED:
                     yield counted()
                     held, size = [], 0
         if held:
@@ -324,22 +324,25 @@ def evaluate(group: pa.Table, uni: Unigrams, schema: pa.Schema) -> pa.Table:
         row = np.concatenate([d + b for d, b in zip(read["doc"], blocks, strict=True)])
         h, ch, runs, w, cw, train, occ = (np.concatenate(read[c]) for c in PACKED[:-1])
         h, ch = np.repeat(h, runs), np.repeat(ch, runs)
-        del read
+        del read, packs, texts, group
         order = np.lexsort((w, h))
         new = np.insert((h[order][1:] != h[order][:-1]) | (w[order][1:] != w[order][:-1]), 0, True)
         pair = np.empty(len(h), np.int64)
         pair[order] = np.cumsum(new) - 1
         seen = np.bincount(pair, train).astype(np.int64)  # of each pair
         one = order[new]
-        ph, pw, pc = h[one], w[one], cw[one]
+        ph, pw, pc, pch = h[one], w[one], cw[one], ch[one]
         r = seen[pair]
+        del order, new, one, h, w, train
         # texts: the logarithms known by now, and how many tokens have each discount
         value = np.where(r > 0, np.log10(np.maximum(r, 1) / (ch + 1.0)), np.log10(uni.probability(cw)))
-        entry = np.repeat(np.arange(len(h)), occ)
+        entry = np.repeat(np.arange(len(occ)), occ)
+        del ch, cw
         rows, inverse = np.unique(row, return_inverse=True)
         total = np.bincount(inverse, value[entry])
         small = np.where(r <= K, r, 0)[entry]
         marks = np.bincount(inverse * (K + 1) + small, minlength=len(rows) * (K + 1)).reshape(-1, K + 1)[:, 1:]
+        del inverse, small, value
         emit("part", 1, ids=_lists(rows, np.zeros(1)), values=_lists(total, np.zeros(1)), counts=_lists(marks.ravel(), np.zeros(1)))
         # model: the bigrams of each history
         had = seen > 0
@@ -352,7 +355,7 @@ def evaluate(group: pa.Table, uni: Unigrams, schema: pa.Schema) -> pa.Table:
         heads = np.flatnonzero(np.insert(ph[1:] != ph[:-1], 0, True))
         of = np.cumsum(np.insert(ph[1:] != ph[:-1], 0, True)) - 1
         stats = np.empty((len(heads), K + 2))
-        stats[:, 0] = ch[one][heads]
+        stats[:, 0] = pch[heads]
         for k in range(1, K + 1):
             stats[:, k] = np.bincount(of, seen == k, len(heads))
         stats[:, K + 1] = np.bincount(of, np.where(had, uni.probability(pc), 0.0), len(heads))
@@ -454,7 +457,7 @@ def score(model: Model) -> DataFrame:
             rows += r
             values += v
             size += sum(map(len, r))
-            if size >= 2 * CHUNK:
+            if size >= COUNTED:
                 yield added()
                 rows, values, size = [], [], 0
         if rows:
