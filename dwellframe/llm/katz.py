@@ -20,6 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
@@ -28,11 +29,11 @@ from dwellframe.llm.common import mix, slices, stage, word_hashes
 
 K = 5
 #: Tokens that a task packs at once, counts or adds up at once, and about how many one bucket holds.
-CHUNK, COUNTED, BUCKET = 600_000, 2_400_000, 1_500_000
+CHUNK, COUNTED, BUCKET = 600_000, 1_200_000, 1_500_000
 #: Histories with this share of all tokens are split over all buckets; there are at most 1 / HOT of them.
 HOT = 1 / 4096
 #: A unigram table below this size is sent to all tasks; a larger one is joined to blocks of texts.
-BROADCAST_BYTES = 96 << 20
+BROADCAST_BYTES = 48 << 20
 #: Texts whose parts are added up together: 2 to this power.
 RANGE = 12
 #: Texts in a block when the unigram table is joined.
@@ -135,15 +136,43 @@ class Chunk:
         return tokens, doc
 
 
-Lookup = tuple[np.ndarray, np.ndarray, np.ndarray]
+@dataclass
+class Lookup:
+    """A part of the unigrams: hashes in order, and the rank of each by number.
+
+    Counts fall as numbers rise, and numbers run on but for the edges of the table's files. So both are kept
+    as runs of ranks, (first rank, value), and a word takes 12 bytes.
+    """
 
+    hashes: np.ndarray
+    ranks: np.ndarray
+    counts: tuple[np.ndarray, np.ndarray]
+    shifts: tuple[np.ndarray, np.ndarray]
 
-def lookup_of(table: pa.Table) -> Lookup:
-    """Hashes in order, counts and numbers of a part of the unigrams."""
-    w, c, i = (table.column(n).to_numpy() for n in ("w", "c", "id"))
-    w = w.view(np.uint64)
-    order = np.argsort(w)
-    return w[order], c[order].astype(np.int64), i[order].astype(np.int64)
+    @classmethod
+    def of(cls, table: pa.Table) -> Lookup:
+        numbers = table.column("id").to_numpy()
+        order = np.argsort(numbers, kind="stable")
+        counts, shifts = cls._runs(table.column("c").to_numpy()[order]), cls._runs(numbers[order] - np.arange(len(order)))
+        hashes = table.column("w").to_numpy()[order].view(np.uint64)
+        ranks = np.argsort(hashes)
+        return cls(hashes[ranks], ranks.astype(np.int32), counts, shifts)
+
+    @staticmethod
+    def _runs(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        first = np.flatnonzero(np.append(True, a[1:] != a[:-1])[: len(a)])
+        return first, a[first]
+
+    def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Count and number of each word; 0 and ``UNKNOWN`` for those not held."""
+        c, number = np.zeros(len(words), np.int64), np.full(len(words), UNKNOWN)
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
+            hit = self.hashes[at] == words
+            rank = self.ranks[at[hit]]
+            of = lambda runs: runs[1][np.searchsorted(runs[0], rank, "right") - 1]
+            c[hit], number[hit] = of(self.counts), rank + of(self.shifts)
+        return c, number
 
 
 def pack(chunk: Chunk, block: int, lookup: Lookup, uni: Unigrams, buckets: int) -> list[dict]:
@@ -151,13 +180,10 @@ def pack(chunk: Chunk, block: int, lookup: Lookup, uni: Unigrams, buckets: int)
 
     ``lookup`` are the unigrams, or those of them that these texts need.
     """
-    hashes, counts, numbers = lookup
     tokens, doc = chunk.tokens()
     known, local = np.unique(tokens, return_inverse=True)
-    at = np.minimum(np.searchsorted(hashes, known), max(0, len(hashes) - 1))
-    hit = hashes[at] == known if len(hashes) else np.zeros(len(known), bool)
-    c, number = np.zeros(len(known), np.int64), np.full(len(known) + 1, UNKNOWN)
-    c[hit], number[:-1][hit] = counts[at[hit]], numbers[at[hit]]
+    c, number = lookup.find(known)
+    number = np.append(number, UNKNOWN)
     texts = len(chunk.ids)
     base = np.bincount(doc, uni.base(c)[local], texts)
     n_known = np.bincount(doc[c[local] > 0], minlength=texts)
@@ -241,12 +267,18 @@ def _joined(chunks: list[Chunk]) -> Chunk:
     return Chunk([i for c in chunks for i in c.ids], np.concatenate([c.train for c in chunks]), np.concatenate([c.words for c in chunks]), offsets)
 
 
-def _packed(docs: DataFrame, train: Column, table: DataFrame, uni: Unigrams, buckets: int) -> DataFrame:
+def _held(table: DataFrame, uni: Unigrams) -> Broadcast | None:
+    """The unigrams for all tasks, where they take less than ``BROADCAST_BYTES``."""
+    if uni.types * 12 >= BROADCAST_BYTES:
+        return None
+    return table.sparkSession.sparkContext.broadcast(Lookup.of(table.toArrow()))
+
+
+def _packed(docs: DataFrame, train: Column, table: DataFrame, uni: Unigrams, buckets: int, held: Broadcast | None) -> DataFrame:
     """Packed rows of all texts. A block's number leaves room for the texts in it, which are numbered on from it."""
     kind, id_type = docs.schema["doc_id"].dataType.simpleString(), to_arrow_type(docs.schema["doc_id"].dataType)
     rows = docs.select("doc_id", "text", F.coalesce(train, F.lit(False)).alias("train"))
-    if uni.types * 24 < BROADCAST_BYTES:
-        held = docs.sparkSession.sparkContext.broadcast(lookup_of(table.toArrow()))
+    if held:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             from pyspark import TaskContext
@@ -288,9 +320,9 @@ def _packed_by_join(rows: DataFrame, table: DataFrame, uni: Unigrams, buckets: i
     def run(texts: pa.Table, words: pa.Table) -> pa.Table:
         made = _packer(uni, buckets, id_type)
         if not texts.num_rows:
-            return pa.Table.from_batches([made(Chunk([], np.zeros(0, bool), np.zeros(0, np.uint64), np.zeros(1, np.int64)), 0, lookup_of(words))])
+            return pa.Table.from_batches([made(Chunk([], np.zeros(0, bool), np.zeros(0, np.uint64), np.zeros(1, np.int64)), 0, Lookup.of(words))])
         block = texts.column("b")[0].as_py() << 32
-        return pa.Table.from_batches([made(_rows(texts, 1), block, lookup_of(words))])
+        return pa.Table.from_batches([made(_rows(texts, 1), block, Lookup.of(words))])
 
     return placed.groupBy("b").cogroup(wanted.groupBy("b")).applyInArrow(run, _packed_schema(kind))
 
@@ -403,7 +435,8 @@ def learn(docs: DataFrame, train: Column) -> Model:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, int(size // 6 // BUCKET) + 1)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    packed = _packed(docs, train, table, uni, buckets)
+    held = _held(table, uni)
+    packed = _packed(docs, train, table, uni, buckets, held)
     schema = EVALUATED.format(kind)
 
     arrow = to_arrow_schema(docs.sparkSession.createDataFrame([], schema).schema)
@@ -412,6 +445,8 @@ def learn(docs: DataFrame, train: Column) -> Model:
         return evaluate(group, uni, arrow)
 
     evaluated = stage(packed.groupBy("bucket").applyInArrow(run, schema), "evaluated")
+    if held:
+        held.destroy()  # the staged table does not need it
     got = evaluated.filter("kind = 'seen'").select(F.posexplode("counts").alias("k", "n")).groupBy("k").agg(F.sum("n").alias("n")).collect()
     return Model(table, evaluated, uni, good_turing({r["k"] + 1: r["n"] for r in got}))
 
