@@ -13,6 +13,7 @@ compounds, which occur almost only in texts labelled toxic.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dwellframe.llm.common import labelled_sample, map_texts
+from dwellframe.llm.common import labelled_sample, map_texts, stage
 
 #: Words that start each class.
 SEEDS = {
@@ -41,13 +42,14 @@ WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 #: Openings of words of these lengths may be learned.
 STEMS = (4, 5, 6)
 
-#: Bounds of the training sample and of what is learned from it.
+#: Bound of the training sample.
 SAMPLE = 20_000
-LEXICON = 4_000
 LEAST_LOG_ODDS = 4.2
-#: A learned word or opening occurs in so many toxic texts at least, and in this share of them: the words
-#: of a few copies of one toxic text are not taken for insults.
-LEAST_TEXTS, LEAST_SHARE = 6, 0.015
+#: A learned word or opening occurs in so many toxic texts at least that are no copies of each other, however
+#: many toxic texts there are: the words of one toxic text and its copies are not taken for insults.
+LEAST_TEXTS = 6
+#: Texts are copies if more than this share of their word triples agrees, by the ``SKETCH`` least hashes of each.
+NEAR, SKETCH = 0.5, 64
 
 REACH = 3
 NEGATED, REPORTED, TARGETED = 0.1, 0.5, 1.5
@@ -214,18 +216,75 @@ def _term_counts(sample: DataFrame) -> DataFrame:
     return sample.select("text", "y").mapInArrow(run, "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
 
-def learn_lexicon(sample: DataFrame, size: int = LEXICON) -> Lexicon:
-    """Seeds, and at most ``size`` words and openings whose log-odds of a toxic text are high."""
+def _sketch(words: list[str]) -> np.ndarray:
+    """The least hashes of a text's word triples; of a text under three words, of all its words as one."""
+    triples = {" ".join(words[k : k + 3]) for k in range(max(1, len(words) - 2))}
+    return np.array(sorted({zlib.crc32(t.encode()) for t in triples})[:SKETCH], np.uint32)
+
+
+def _near(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sketches are of copies: the share of common ones among the least of both together."""
+    least = np.union1d(a, b)[:SKETCH]
+    return int((np.isin(least, a) & np.isin(least, b)).sum()) > NEAR * len(least)
+
+
+def _supported(toxic: DataFrame, terms: list[str]) -> set[str]:
+    """Those of ``terms`` that occur in ``LEAST_TEXTS`` texts of which none is a copy of another.
+
+    Each text comes as its sketch and the places of its terms, so the driver holds no more than the sample's.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = {t: k for k, t in enumerate(terms)}
+        for batch in batches:
+            sketches, held = [], []
+            for text in batch.column(0).to_pylist():
+                words = WORD.findall((text or "").lower())
+                seen = set(words)
+                seen |= {w[:n] + "*" for w in seen for n in STEMS if len(w) > n}
+                if found := sorted(place[t] for t in seen & place.keys()):
+                    sketches.append(_sketch(words).tobytes())
+                    held.append(np.array(found, np.int32).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(sketches, pa.binary()), pa.array(held, pa.binary())], ["sketch", "terms"])
+
+    rows = toxic.select("text").mapInArrow(run, "sketch binary, terms binary").collect()
+    rows = sorted((bytes(r["sketch"]), bytes(r["terms"])) for r in rows)
+    sketches = [np.frombuffer(sketch, np.uint32) for sketch, _ in rows]
+    apart: dict[int, list[int]] = {}
+    for n, (_, held) in enumerate(rows):
+        near: dict[int, bool] = {}  # many terms of a text have the same texts to compare with
+        for k in np.frombuffer(held, np.int32).tolist():
+            others = apart.setdefault(k, [])
+            if len(others) < LEAST_TEXTS:
+                for o in others:
+                    if o not in near:
+                        near[o] = _near(sketches[n], sketches[o])
+                    if near[o]:
+                        break
+                else:
+                    others.append(n)
+    return {terms[k] for k, others in apart.items() if len(others) >= LEAST_TEXTS}
+
+
+def learn_lexicon(sample: DataFrame) -> Lexicon:
+    """Seeds, and all words and openings whose log-odds of a toxic text are high and which enough texts have.
+
+    Exact copies count once. How many texts are enough does not depend on the sample's size, so the insults
+    of a language that few toxic texts are in are learned too.
+    """
     made = Lexicon.seeded()
+    sample = stage(sample.select("text", "y").distinct(), "toxicity-sample")
     total = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
     pos, neg = total.get(1, 0), total.get(0, 0)
     if not pos or not neg:
         return made
     odds = F.log((F.col("pos") + 0.5) / (pos + 1)) - F.log((F.col("neg") + 0.5) / (neg + 1))
-    rows = _term_counts(sample).filter(F.col("pos") >= max(LEAST_TEXTS, LEAST_SHARE * pos)).withColumn("w", odds).filter(F.col("w") >= LEAST_LOG_ODDS)
-    rows = rows.orderBy(F.desc(F.col("w") * F.log1p("pos")), "term").limit(size).collect()
+    rows = _term_counts(sample).filter(F.col("pos") >= LEAST_TEXTS).withColumn("w", odds).filter(F.col("w") >= LEAST_LOG_ODDS).collect()
+    enough = _supported(sample.filter("y = 1"), sorted(r["term"] for r in rows))
     for r in rows:
         term, entry = r["term"], ("i", min(r["w"], 8.0) / 2)
+        if term not in enough:
+            continue
         if term.endswith("*"):
             made.stems[term[:-1]] = entry
         elif made.words.get(term, ("i",))[0] in "it":

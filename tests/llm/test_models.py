@@ -139,6 +139,31 @@ def test_learned_words_and_openings(spark, table):
     assert grammar.score("one zurgle two") > 0.7 > grammar.score("one two")
 
 
+def test_insults_of_a_rare_language_are_learned(spark, table):
+    """12 of 812 toxic texts have them, less than 1.5 %; words of one text's many near copies stay out, and exact copies count once."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefgh", k=7))
+    texts, marks = [], []
+
+    def add(words, bad):
+        texts.append((len(texts), " ".join(words)))
+        marks.append((len(marks), bad, 1))
+
+    for _ in range(8000):
+        add([word() for _ in range(8)], 0)
+    for _ in range(700):
+        add([*(word() for _ in range(8)), "zurgle"], 1)
+    for k in range(12):
+        add([*(word() for _ in range(8)), "mirkox", "vostibul" if k < 5 else word()], 1)
+    copied = [word() for _ in range(40)] + ["quandry"]
+    for _ in range(60):
+        add([word(), *copied], 1)
+    for _ in range(40):
+        add(texts[8700][1].split() + ["plomber"], 1)
+    lexicon = toxicity.fit_toxicity(table(texts), labels(spark, marks), F.lit(True)).lexicon
+    assert [lexicon.of(w)[0] for w in ("zurgle", "mirkox", "vostibul", "quandry", "plomber")] == ["i", "i", "o", "o", "o"]
+
+
 def test_quality_on_held_out_rows(spark):
     sf = SF.replace("0.001", "0.01")
     rows = [r for r in by_label(spark, sf, queries.op6_quality_gam(spark, sf), "quality") if r[0]]
