@@ -30,6 +30,10 @@ PART = re.compile(r"[A-Z]?[a-z]{2,}|[A-Z]+(?![a-z])|[0-9]{1,8}")
 
 #: Random strings have fewer characters per token than this.
 MAX_RATIO = 2.4
+#: Stretches of this length inside a run, the least of a candidate, are random at fewer characters per token than the
+#: second number; dates and codes, which hold more separators than the third, are not.
+WINDOW, WINDOW_RATIO, WINDOW_MARKS = 20, 1.9, 3
+MARKS = re.compile(r"[+/_=-]")
 #: Tokens are counted piece by piece, so that one long run costs linear time.
 PIECE = 256
 
@@ -76,18 +80,71 @@ def ratio(s: str, encode: Callable[[str], list[int]]) -> float:
     return len(s) / sum(len(encode(s[i : i + PIECE])) for i in range(0, len(s), PIECE))
 
 
+def kinds(s: str) -> int:
+    return bool(re.search("[0-9]", s)) + bool(re.search("[a-z]", s)) + bool(re.search("[A-Z]", s))
+
+
+def random_parts(s: str, encode, max_ratio: float = MAX_RATIO, known: Collection[str] = ()) -> list[tuple[int, int, float]]:
+    """(start, end, ratio) of what is random in a run: all of it, or else parts between separators, or else windows.
+
+    Ordinary words beside a key raise the ratio of the whole run, so each part of a candidate's length is tested
+    like a run, and what the parts leave (a key may hold separators) in windows. Windows that fail are joined, and
+    ordinary words at their ends left out. Identifiers inside the run are excluded like whole ones.
+    """
+    if s.lower() in known or UUID.fullmatch(s):
+        return []
+    if kinds(s) >= 2 and not is_identifier(s, known) and (r := ratio(s, encode)) < max_ratio:
+        return [(0, len(s), r)]
+    found, at = [], 0
+    parts = [(m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9]+", s)]
+    closed = [m.span() for m in UUID.finditer(s)]  # no window reaches into these
+    for a, b in parts:
+        if b - a < WINDOW:
+            continue
+        part = s[a:b]
+        if part.lower() in known or len(part) in DIGEST_LENGTHS and is_identifier(part):
+            closed.append((a, b))
+        elif b - a < len(s) and kinds(part) >= 2 and not is_identifier(part, known) and (r := ratio(part, encode)) < max_ratio:
+            found.append((a, b, r))
+    for a, b in [*sorted([*closed, *((a, b) for a, b, _ in found)]), (len(s), len(s))]:
+        found += _random_windows(s, at, a, parts, encode)
+        at = max(at, b)
+    return sorted(found)
+
+
+def _random_windows(s: str, low: int, high: int, parts: list[tuple[int, int]], encode) -> list[tuple[int, int, float]]:
+    joined: list[list[int]] = []
+    for a in range(low, high - WINDOW + 1):
+        w = s[a : a + WINDOW]
+        if kinds(w) >= 2 and len(MARKS.findall(w)) <= WINDOW_MARKS and not is_identifier(w) and ratio(w, encode) < WINDOW_RATIO:
+            if joined and a <= joined[-1][1]:
+                joined[-1][1] = a + WINDOW
+            else:
+                joined.append([a, a + WINDOW])
+    out = []
+    for a, b in joined:
+        inside = [p for p in parts if p[0] < b and a < p[1]]
+        word = lambda p: bool(re.fullmatch(r"[A-Z]?[a-z]{3,}|[A-Z]{3,}", s[slice(*p)])) and p[1] - p[0] < WINDOW
+        while len(inside) > 1 and word(inside[0]):
+            inside.pop(0)
+            a = inside[0][0]
+        while len(inside) > 1 and word(inside[-1]):
+            inside.pop()
+            b = inside[-1][1]
+        a, b = max(low, min(a, inside[0][0])), min(high, max(b, inside[-1][1]))  # a key is reported to its ends
+        out.append((a, b, ratio(s[a:b], encode)))
+    return out
+
+
 def scan(text: str | None, encode, max_ratio: float = MAX_RATIO, known: Collection[str] = ()) -> list[tuple]:
     """All spans (kind, start, end, ratio), by start then kind. Random strings never overlap the base spans."""
     text = text or ""
     found: list[tuple] = [(s, k, e, None) for s, k, e in base_spans(text)]
     taken = [(s, e) for s, _, e, _ in found]
     for m in CANDIDATE.finditer(text):
-        s = m[0]
-        kinds = bool(re.search("[0-9]", s)) + bool(re.search("[a-z]", s)) + bool(re.search("[A-Z]", s))
-        if kinds < 2 or is_identifier(s, known) or any(a < m.end() and m.start() < b for a, b in taken):
+        if any(a < m.end() and m.start() < b for a, b in taken):
             continue
-        if (r := ratio(s, encode)) < max_ratio:
-            found.append((m.start(), 3, m.end(), r))
+        found += [(m.start() + a, 3, m.start() + b, r) for a, b, r in random_parts(m[0], encode, max_ratio, known)]
     return [(KINDS[k], s, e, r) for s, k, e, r in sorted(found, key=lambda x: x[:3])]
 
 

@@ -52,6 +52,26 @@ def test_random_strings_are_found_and_identifiers_are_not():
     assert secrets.scan(f"see {keys[0]} there", encode, known={keys[0].lower()}) == []
 
 
+def test_random_keys_beside_ordinary_words():
+    encode = secrets.tokenizer(queries.vocabulary(queries.SECRET_VOCABULARY))
+    rng = random.Random(8)
+    path = "documentation/information/development/international/management/"
+    for _ in range(50):
+        key = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=24))
+        for run in (path + key, path.replace("/", "_")[:-1] + "=" + key, path + key + "/" + path):
+            assert secrets.ratio(run, encode) > secrets.MAX_RATIO
+            spans = secrets.scan(f"see {run} there", encode)
+            assert [s[:3] for s in spans] == [("random", 4 + len(path), 4 + len(path) + 24)], (run, spans)
+    cut = path + "q7Xk2Rv/9LmZt4W+b8NcY3Hs/" + path  # no part of it has a candidate's length
+    (kind, start, end, _), = secrets.scan(cut, encode)
+    assert kind == "random" and start <= len(path) and end >= len(path) + 24
+    plain = [
+        path + "2024-01-31/us-east-1/v2/index", path + "550e8400-e29b-41d4-a716-446655440000/" + path, path[:-1],
+        3 * path + "9F86D081884C7D659A2FEAA0C55AD015A3BF4F1B2B0B822CD15D6C15B0F00A08",
+    ]
+    assert [p for p in plain if secrets.scan(f"see {p} there", encode)] == []
+
+
 def test_redact_keeps_rows_and_columns(table):
     source = table([(1, "a password=abcdefgh b"), (2, None), (3, "plain"), (3, "plain"), (4, "token=" + "0a" * 20 + " z")])
     out = secrets.redact(source, queries.vocabulary(queries.SECRET_VOCABULARY))
