@@ -136,15 +136,25 @@ def _random_windows(s: str, low: int, high: int, parts: list[tuple[int, int]], e
     return out
 
 
+def within(start: int, end: int, spans: list[tuple[int, int]]) -> bool:
+    """Whether ``spans``, ordered by start, cover everything from ``start`` to ``end``."""
+    for a, b in spans:
+        if a <= start:
+            start = max(start, b)
+    return start >= end
+
+
 def scan(text: str | None, encode, max_ratio: float = MAX_RATIO, known: Collection[str] = ()) -> list[tuple]:
-    """All spans (kind, start, end, ratio), by start then kind. Random strings never overlap the base spans."""
+    """All spans (kind, start, end, ratio), by start then kind. Random strings may overlap base spans, but none lies within them."""
     text = text or ""
     found: list[tuple] = [(s, k, e, None) for s, k, e in base_spans(text)]
     taken = [(s, e) for s, _, e, _ in found]
     for m in CANDIDATE.finditer(text):
-        if any(a < m.end() and m.start() < b for a, b in taken):
+        near = [(a, b) for a, b in taken if a < m.end() and m.start() < b]
+        if within(m.start(), m.end(), near):
             continue
-        found += [(m.start() + a, 3, m.start() + b, r) for a, b, r in random_parts(m[0], encode, max_ratio, known)]
+        parts = [(m.start() + a, 3, m.start() + b, r) for a, b, r in random_parts(m[0], encode, max_ratio, known)]
+        found += [p for p in parts if not within(p[0], p[2], near)]
     return [(KINDS[k], s, e, r) for s, k, e, r in sorted(found, key=lambda x: x[:3])]
 
 

@@ -72,6 +72,14 @@ def test_random_keys_beside_ordinary_words():
     assert [p for p in plain if secrets.scan(f"see {p} there", encode)] == []
 
 
+def test_random_strings_reach_over_base_spans():
+    encode = secrets.tokenizer(queries.vocabulary(queries.SECRET_VOCABULARY))
+    run = "Qz7Lw9Xk" + "0a1b2c3d4e5f60718293a4b5" + "Vn3Tq8RmZp2YhK6W"
+    spans = secrets.scan(f"see {run} there", encode)
+    assert [s[:3] for s in spans] == [("random", 4, 4 + len(run)), ("hex", 12, 36)]
+    assert [s[0] for s in secrets.scan("set password=" + run[8:32] + " there", encode)] == ["assign", "hex"]
+
+
 def test_redact_keeps_rows_and_columns(table):
     source = table([(1, "a password=abcdefgh b"), (2, None), (3, "plain"), (3, "plain"), (4, "token=" + "0a" * 20 + " z")])
     out = secrets.redact(source, queries.vocabulary(queries.SECRET_VOCABULARY))
