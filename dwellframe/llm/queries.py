@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellframe.llm import decontaminate, katz, language, ngram_jaccard, pieces, quality_gam, quality_rules, secrets, toxicity, url_rules
+from dwellframe.llm import chat_format, decontaminate, katz, language, ngram_jaccard, pieces, quality_gam, quality_rules
+from dwellframe.llm import secrets, toxicity, turn_repair, url_rules, whitening
 from dwellframe.llm.common import documents, remainder
+from dwellframe.llm.oracles import ORACLES  # noqa: F401
 
 
 def vocabulary(name: str) -> str:
@@ -94,5 +96,27 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op2_katz, op3_quality_rules, op4_decontaminate, op5_toxicity, op6_quality_gam, op7_pieces, op8_url_rules, op9_ngram_jaccard, op10_language)}
-ORACLES: dict[str, str] = {}
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/conversations.parquet")
+
+
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.digests(chat_format.format_chats(chat_format.with_hostile(conversations(spark, sf_dir))))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return whitening.whiten(rows, whitening.fit_whitening(rows))
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.audits(turn_repair.repair_turns(turn_repair.damage(conversations(spark, sf_dir))))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_secrets, op2_katz, op3_quality_rules, op4_decontaminate, op5_toxicity, op6_quality_gam, op7_pieces, op8_url_rules,
+        op9_ngram_jaccard, op10_language, op11_chat_format, op12_whitening, op13_turn_repair,
+    )
+}

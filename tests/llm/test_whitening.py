@@ -1,0 +1,119 @@
+"""Whitening against numpy's own eigenvectors and plain sums."""
+
+import math
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import types as T
+
+from dwellframe.llm import queries, whitening
+
+VECTOR = T.StructType([
+    T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())),
+    *[T.StructField(n, T.StringType()) for n in ("component", "n", "size", "i", "total", "whitened")],
+])
+
+
+def matrices():
+    rng = np.random.default_rng(0)
+    for n in (1, 2, 3, 5, 17, 64):
+        turned, _ = np.linalg.qr(rng.normal(size=(n, n)))
+        x = rng.normal(size=(n, n))
+        yield x @ x.T
+        yield np.diag(np.arange(1.0, n + 1))  # the mean is an eigenvalue
+        yield np.eye(n) * 3
+        yield (turned * 10.0 ** -np.linspace(0, 10, n)) @ turned.T
+        yield (turned * np.repeat([5.0, 1.0], [n // 2, n - n // 2])) @ turned.T
+        yield x[:, : max(1, n // 2)] @ x[:, : max(1, n // 2)].T
+        yield np.zeros((n, n))
+
+
+@pytest.mark.parametrize("k", range(42))
+def test_spectral_equals_numpy(k):
+    a = list(matrices())[k]
+    a = (a + a.T) / 2
+    values, vectors = whitening.spectral(a)
+    scale = max(np.abs(a).max(), 1e-300)
+    assert np.abs(values - np.linalg.eigvalsh(a)[::-1]).max() <= 1e-14 * len(a) * scale
+    assert np.abs(vectors.T @ vectors - np.eye(len(a))).max() < 1e-14
+    assert np.abs(a @ vectors - vectors * values).max() <= 1e-14 * len(a) * scale
+
+
+def test_products_are_exact():
+    rng = np.random.default_rng(1)
+    for top in (10, 1 << 20, 1 << 30, 1 << 46):
+        block = rng.integers(-top, top, size=(50, 4))
+        wide = block.astype(object)
+        assert (whitening.products(block) == wide.T @ wide).all()
+
+
+def plain(rows):
+    """vec_id -> (n, deviation, |whitened| by component, explained), for rows with usable vectors of one length."""
+    x = [[math.floor(64 * float(np.float32(c))) + 1_000_000 for c in v] for _, v in rows]
+    n, sums = len(x), [sum(c) for c in zip(*x, strict=True)]
+    apart = np.array([[(n * a - s) / n for a, s in zip(v, sums, strict=True)] for v in x])
+    cov = apart.T @ apart / n
+    values, vectors = np.linalg.eigh(cov)
+    values, vectors = values[::-1], vectors[:, ::-1]
+    kept = min(32, int((values > 1e-12 * values[0]).sum()))
+    white = apart @ vectors[:, :kept] / np.sqrt(values[:kept])
+    out = {}
+    for (key, _), v, w in zip(rows, x, white, strict=True):
+        out[key] = n, sum((n * a - s) ** 2 for a, s in zip(v, sums, strict=True)), np.abs(w), values[:kept] / np.trace(cov)
+    return out
+
+
+def check(got, want):
+    rows = {}
+    for r in got:
+        rows.setdefault(r.vec_id, []).append(r)
+    assert set(rows) == set(want)
+    assert len({r.identity_error for r in got}) == 1 and got[0].identity_error < 1e-9
+    for key, (n, deviation, white, explained) in want.items():
+        mine = sorted(rows[key], key=lambda r: r.component)
+        assert [r.component for r in mine] == list(range(1, len(white) + 1))
+        assert {(r.n, r.deviation) for r in mine} == {(n, deviation)}
+        assert np.allclose(np.abs([r.whitened for r in mine]), white, rtol=1e-7, atol=1e-8)
+        assert np.allclose([r.explained for r in mine], explained, rtol=1e-9)
+
+
+def test_query_equals_plain_version(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = duckdb.sql(f"select vec_id, embedding from '{sf}/embeddings.parquet'").fetchall()
+    got = queries.op12_whitening(spark, sf).collect()
+    check(got, plain(rows))
+    signs = {}
+    for r in got:
+        signs.setdefault(r.component, []).append(r.whitened)
+    white = np.array([signs[c] for c in sorted(signs)])
+    assert np.abs(np.cov(white, bias=True) - np.eye(len(white))).max() < 1e-9  # one sign for all rows of a component
+
+
+def test_unusable_rows_are_left_out(spark):
+    rng = np.random.default_rng(5)
+    good = [(i, rng.normal(size=3).astype(np.float32).tolist()) for i in range(40)]
+    bad = [(100, None), (101, []), (102, [1.0, None, 2.0]), (103, [1.0, float("nan"), 2.0]), (104, [float("inf"), 0.0, 0.0]), (105, [1.0, 2.0]), (106, [3e30, 0.0, 0.0])]
+    rows = [(*r, *"abcdef") for r in good + bad]
+    df = spark.createDataFrame(rows, VECTOR).repartition(5)
+    check(whitening.whiten(df, whitening.fit_whitening(df)).collect(), plain(good))
+
+
+def test_repeated_ids_and_wide_entries(spark):
+    rng = np.random.default_rng(6)
+    rows = [(7, (rng.normal(size=2) * 2.0**37).astype(np.float32).tolist()) for _ in range(30)]
+    df = spark.createDataFrame([(*r, *"abcdef") for r in rows + rows[:3] + [(None, rows[0][1])]], VECTOR)
+    got = whitening.whiten(df, whitening.fit_whitening(df)).collect()
+    assert len(got) == 34 * 2 and {r.n for r in got} == {34} and {r.deviation for r in got} == {None}
+    assert got[0].identity_error < 1e-9
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None)], [(1, [1.0, 2.0])], [(1, [1.0, 2.0]), (2, [1.0, 2.0])]])
+def test_no_variance_gives_no_rows(spark, rows):
+    df = spark.createDataFrame([(*r, *"abcdef") for r in rows], VECTOR)
+    assert whitening.whiten(df, whitening.fit_whitening(df)).collect() == []
+
+
+def test_flat_directions_give_no_component(spark):
+    df = spark.createDataFrame([(i, [float(i), 2.0 * i, 5.0], *"abcdef") for i in range(9)], VECTOR)
+    assert {r.component for r in whitening.whiten(df, whitening.fit_whitening(df)).collect()} == {1}
