@@ -12,7 +12,7 @@ from dwellframe.functions import select as sel
 from dwellframe.operators import dedupe, encode, extract, frontier, monitor, tables
 from dwellframe.operators.ordering import first_per_key
 from dwellframe.plans import driver_views as dv
-from dwellframe.plans import flows
+from dwellframe.plans import flows, streams
 from dwellframe.schemas import LISTING, PROPERTY_INDEX
 from dwellframe.sources.html_nodes import html_nodes, with_nodes
 from dwellframe.sources.readers import read_pages, spread_small_scan
@@ -25,6 +25,8 @@ SPLIT_DATE = "1998-01-01 00:00:00"
 CHECK_SPLIT = "2024-01-05 00:00:00"
 CRAWLED_SINCE = "1997-07-30 00:00:00"
 NOW = "2003-01-01 12:34:56"
+STREAM_DATES = ("1994-06-01 00:00:00", "1997-01-01 00:00:00")
+CHECK_DATES = ("2024-01-05 00:00:00", "2024-01-15 00:00:00")
 BATCH = 25
 MAX_PARALLEL = 5
 SECURE_VENDOR = "http://v1.example.com"
@@ -216,6 +218,56 @@ def merge_rental(spark, sf_dir):
     return merged.select("vendor", "type", "property_id", "last_crawled_date", "property_area")
 
 
+# --- streams ------------------------------------------------------------------------------------
+
+
+def _third(column: str, *bounds: str):
+    """Slice 0, 1 or 2 by two dates."""
+    return sum((F.when(F.col(column) >= _ntz(b), 1).otherwise(0) for b in bounds), F.lit(0))
+
+
+@query
+def stream_index(spark, sf_dir):
+    return streams.stream_index(spark, _hits(spark, sf_dir), _third("created_date", *STREAM_DATES))
+
+
+@query
+def stream_checks(spark, sf_dir):
+    return streams.stream_checks(spark, dv.view(spark, sf_dir, dv.CHECKS), _third("date", *CHECK_DATES))
+
+
+@query
+def stream_listings(spark, sf_dir):
+    """Times are months, so most rows tie with others of their key; slices go by the day of the month."""
+    h = _hits(spark, sf_dir).withColumn("key", S.listing_key("vendor", "property_id", "type"))
+    month = F.date_trunc("month", "created_date").cast("timestamp_ntz")
+    rows = h.select("key", "link", "property_price_raw", month.alias("crawled_date"), F.day("created_date").alias("slice"))
+    slice_of = F.when(F.col("slice") <= 10, 0).when(F.col("slice") <= 20, 1).otherwise(2)
+    return streams.stream_listings(spark, rows, slice_of)
+
+
+@query
+def stream_routed(spark, sf_dir):
+    """Hits as index and listing records, errors as raw records, other events as checks."""
+    h = _hits(spark, sf_dir).withColumn("key", S.listing_key("vendor", "property_id", "type"))
+    ev = dv.view(spark, sf_dir, dv.CHECKS)
+    columns = {
+        "vendor": "string", "type": "string", "property_id": "string", "created_date": "timestamp_ntz", "link": "string", "key": "string",
+        "crawled_date": "timestamp_ntz", "ip": "string", "date": "timestamp_ntz", "status": "int",
+    }
+
+    def records(rows, kind, when, **made):
+        fields = [(F.col(made[c]) if c in made else F.lit(None)).cast(t).alias(c) for c, t in columns.items()]
+        return rows.select(kind.alias("kind"), when.alias("slice"), F.struct(*fields).alias("record"))
+
+    by_date, by_check = _third("created_date", *STREAM_DATES), _third("date", *CHECK_DATES)
+    index = records(h, F.lit("index"), by_date, vendor="vendor", type="type", property_id="property_id", created_date="created_date", link="link")
+    listing = records(h, F.lit("listing"), by_date, key="key", crawled_date="created_date", link="link")
+    told = F.when(F.col("status") == 500, "raw").otherwise("check")
+    checks = records(ev, told, by_check, ip="ip", date="date", status="status")
+    return streams.stream_routed(spark, index.unionByName(listing).unionByName(checks), F.col("slice"))
+
+
 # --- duplicates ---------------------------------------------------------------------------------
 
 

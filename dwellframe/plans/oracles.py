@@ -259,3 +259,24 @@ ORACLES: dict[str, str] = {
         cast(cast(price as varchar) as decimal(38,18)) as price, address from (select *, row_number() over (
         partition by key order by link) as k from {EXPECTED_PAGES} p) x where k = 1""",
 }
+
+ORACLES["stream_index"] = ORACLES["index_first_write"]
+ORACLES["stream_checks"] = ORACLES["first_status"]
+ORACLES["stream_listings"] = f"""select key, link, property_price_raw, crawled_date from (
+    select *, row_number() over (partition by key order by crawled_date desc, slice desc, link, property_price_raw) as k from (
+    select vendor || ':' || coalesce(property_id, 'FAILURE') || ':' || type as key, link, property_price_raw,
+      cast(date_trunc('month', created_date) as timestamp) as crawled_date,
+      case when day(created_date) <= 10 then 0 when day(created_date) <= 20 then 1 else 2 end as slice from {PARSED_HITS} h) x) y
+    where k = 1"""
+ORACLES["stream_routed"] = f"""
+    select 'index' as kind, vendor || ':' || type || ':' || coalesce(property_id, '') as id, link as value from (
+      select *, row_number() over (partition by vendor, type, property_id order by created_date, link) as k from {PARSED_HITS} h) x where k = 1
+    union all
+    select 'check', ip, cast(status as varchar) from (
+      select *, row_number() over (partition by ip order by date, status) as k from {CHECKS} c where status <> 500) x where k = 1
+    union all
+    select 'listing', key, link from (
+      select *, row_number() over (partition by key order by created_date desc, link) as k from (
+      select *, vendor || ':' || coalesce(property_id, 'FAILURE') || ':' || type as key from {PARSED_HITS} h) x) y where k = 1
+    union all
+    select 'raw', ip, cast(status as varchar) from {CHECKS} c where status = 500"""

@@ -1,10 +1,10 @@
 """Record streams into tables, micro-batch by micro-batch.
 
-Tables are folders of committed micro-batches, one folder for each stream that writes, so a second stream
-or a new checkpoint never meets another's batches. An insert-only table takes just the rows it lacks; a
-last-write-wins table takes each batch's winners and is resolved when read, then folded from time to
-time. So a micro-batch writes data in proportion to itself, never the table again, and a replayed
-batch overwrites its own folder with the same rows.
+Tables are folders of committed micro-batches in one order over all streams that write them (``operators.commits``).
+An insert-only table takes just the rows it lacks, and looks for them only in the hash buckets that the batch's keys
+fall into; a last-write-wins table takes each batch's winners and is resolved when read. Folders of one size
+are merged from time to time. So a micro-batch reads and writes data in proportion to itself, never the table, and a
+replayed batch changes nothing.
 """
 
 from __future__ import annotations
@@ -17,74 +17,110 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
+from dwellframe.operators.commits import State, read_state
 from dwellframe.operators.extract import quarantine
 from dwellframe.operators.ordering import first_per_key, small_or_none
-from dwellframe.operators.sinks import fold_batches, read_batches, write_batch
-from dwellframe.operators.tables import index_rows, new_rows, total_order
-from dwellframe.schemas import CONTACT_COLUMNS, FETCH_CHECK, INDEX_KEYS, LISTING, PROPERTY_INDEX
+from dwellframe.operators.sinks import BUCKET_ROWS, FAN, fold_batches, merge_batches, read_batches, rows_at_keys, write_batch
+from dwellframe.operators.tables import new_rows, total_order
+from dwellframe.schemas import CONTACT_COLUMNS, FETCH_CHECK, INDEX_INSERTED, INDEX_KEYS, LISTING, PROPERTY_INDEX
 
 Sink = Callable[[DataFrame, int], None]
 
 
-def insert_sink(path: str, stream: str, schema: T.StructType, keys: list[str], lead: list[str]) -> Sink:
-    """First write wins, over the whole table and within the batch in ``lead`` order.
+def _of_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema`` that ``df`` has, in its types."""
+    there = set(df.columns)
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema if f.name in there])
 
-    A micro-batch is usually small beside the table: its keys are measured and, if they fit, broadcast
-    to the table scan. A backlog too large for that is joined by shuffle. Streams that write at the same
-    time may both insert a key; ``read_first`` settles which row counts.
+
+def insert_sink(
+    path: str, stream: str, schema: T.StructType, keys: list[str], lead: list[str], fan: int = FAN, bucket_rows: int = BUCKET_ROWS
+) -> Sink:
+    """First write wins: over the table in the order of commits, and within a batch in ``lead`` order.
+
+    The batch's keys say which buckets of the table are opened; there they are broadcast if they are measured to fit,
+    else joined by shuffle. If another stream commits first, the batch is compared with the table again, so streams that
+    write at the same time insert no key twice.
     """
+    key_schema = T.StructType([schema[k] for k in keys])
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table = read_batches(batch.sparkSession, path, schema, before=(stream, batch_id))
-        order = total_order(batch, [F.col(c).asc_nulls_first() for c in lead], keys + lead)
-        first = first_per_key(batch, keys, order).persist()
+        spark = batch.sparkSession
+        if batch_id <= read_state(spark, path).streams.get(stream, -1):
+            return
+        rows = _of_schema(batch, schema)
+        order = total_order(rows, [F.col(c).asc_nulls_first() for c in lead], keys + lead)
+        first = first_per_key(rows, keys, order).persist()
         try:
-            write_batch(new_rows(table, first, keys, order, small_or_none(first.select(*keys))), path, stream, batch_id)
+            wanted = first.select(*keys)
+            few = small_or_none(wanted)
+
+            def lacking(state: State) -> DataFrame:
+                return new_rows(rows_at_keys(spark, path, key_schema, keys, wanted, state), first, keys, order, few)
+
+            write_batch(first, path, stream, batch_id, keys, first.count(), bucket_rows, lacking)
         finally:
             first.unpersist()
+        merge_batches(spark, path, schema, keys=keys, fan=fan, bucket_rows=bucket_rows)
 
     return write
 
 
 def read_first(spark: SparkSession, path: str, schema: T.StructType, keys: list[str], lead: list[str]) -> DataFrame:
-    """An insert-only table with one row per key, whichever streams wrote it: the first in ``lead`` order."""
+    """An insert-only table with one row per key even if rows were written without looking: the first in ``lead`` order."""
     rows = read_batches(spark, path, schema, written=True)
-    order = total_order(rows, [F.col(c).asc_nulls_first() for c in [*lead, "written_batch", "written_stream"]], keys + lead)
+    order = total_order(rows, [F.col(c).asc_nulls_first() for c in [*lead, "written_seq"]], keys + lead)
     return first_per_key(rows, keys, order).select(*schema.names)
 
 
-def index_sink(path: str, stream: str) -> Sink:
-    insert = insert_sink(path, stream, PROPERTY_INDEX, INDEX_KEYS, ["created_date"])
-    return lambda batch, batch_id: insert(index_rows(batch), batch_id)
+def index_sink(path: str, stream: str, **sizes: int) -> Sink:
+    inserted = T.StructType([PROPERTY_INDEX[c] for c in INDEX_KEYS + INDEX_INSERTED])
+    return insert_sink(path, stream, inserted, INDEX_KEYS, ["created_date"], **sizes)
 
 
-def check_sink(path: str, stream: str) -> Sink:
-    return insert_sink(path, stream, FETCH_CHECK, ["ip"], ["date"])
+def check_sink(path: str, stream: str, schema: T.StructType = FETCH_CHECK, **sizes: int) -> Sink:
+    return insert_sink(path, stream, schema, ["ip"], ["date"], **sizes)
 
 
 def latest_first(df: DataFrame, written_at: str) -> list[Column]:
-    """Later times first; of equal times the later write, where rows say when they were written."""
-    lead = [written_at, *(c for c in ("written_batch", "written_stream") if c in df.columns)]
+    """Later times first; of equal times the later commit, where rows say which."""
+    lead = [written_at, *(c for c in ("written_seq",) if c in df.columns)]
     return total_order(df, [F.col(c).desc_nulls_last() for c in lead], lead)
 
 
+def _current(key: str, written_at: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda df: first_per_key(df, [key], latest_first(df, written_at))
+
+
 def listing_sink(
-    path: str, stream: str, key: str = "key", written_at: str = "crawled_date", drop_contacts: bool = False
+    path: str, stream: str, key: str = "key", written_at: str = "crawled_date", drop_contacts: bool = False,
+    schema: T.StructType = LISTING, fan: int = FAN, bucket_rows: int = BUCKET_ROWS,
 ) -> Sink:
     """Last write wins: keeps each key's last row of the batch. ``drop_contacts`` leaves contact columns out."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if drop_contacts:
-            batch = batch.drop(*CONTACT_COLUMNS)
-        rows = batch.select(*[c for c in LISTING.names if c in batch.columns])
-        winners = first_per_key(rows, [key], latest_first(rows, written_at))
-        write_batch(winners, path, stream, batch_id)
+        spark = batch.sparkSession
+        if batch_id <= read_state(spark, path).streams.get(stream, -1):
+            return
+        rows = _of_schema(batch.drop(*CONTACT_COLUMNS) if drop_contacts else batch, schema)
+        winners = _current(key, written_at)(rows).persist()
+        try:
+            write_batch(winners, path, stream, batch_id, [key], winners.count(), bucket_rows)
+        finally:
+            winners.unpersist()
+        merge_batches(spark, path, schema, _current(key, written_at), [key], fan, bucket_rows)
 
     return write
 
 
-def append_sink(path: str, stream: str) -> Sink:
-    return lambda batch, batch_id: write_batch(batch, path, stream, batch_id)
+def append_sink(path: str, stream: str, fan: int = FAN) -> Sink:
+    """All rows of every batch, once each. Needs the same columns in every batch."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, path, stream, batch_id)
+        merge_batches(batch.sparkSession, path, batch.schema, fan=fan)
+
+    return write
 
 
 def read_latest(
@@ -92,8 +128,7 @@ def read_latest(
     written_at: str = "crawled_date",
 ) -> DataFrame:
     """The current rows of a last-write-wins table."""
-    rows = read_batches(spark, path, schema, written=True)
-    return first_per_key(rows, [key], latest_first(rows, written_at)).select(*schema.names)
+    return _current(key, written_at)(read_batches(spark, path, schema, written=True)).select(*schema.names)
 
 
 def fold_latest(
@@ -101,7 +136,7 @@ def fold_latest(
     written_at: str = "crawled_date",
 ) -> dict[str, int]:
     """Fold a last-write-wins table's older batches into their current rows."""
-    return fold_batches(spark, path, schema, lambda df: first_per_key(df, [key], latest_first(df, written_at)))
+    return fold_batches(spark, path, schema, _current(key, written_at), [key])
 
 
 def route(sinks: dict[str, Sink], kind: str = "kind") -> Sink:
