@@ -80,14 +80,14 @@ def map_texts(
                 ]
                 yield pa.RecordBatch.from_arrays(columns, schema=out)
 
-    return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(run, schema)
+    return docs.select(*(F.col(c).alias(f"c{k}") for k, c in enumerate(keep)), F.col(text).alias("text")).mapInArrow(run, schema)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Column, rows: int) -> DataFrame:
     """(text, y) of at most ``rows`` labelled documents, the first in the order of a hash of their id.
 
-    Only rows with ``train`` true and a non-null label and id take part. A repeated id counts once,
-    with its largest label. The ids chosen are at most ``rows`` long integers, so they are broadcast.
+    Only rows with ``train`` true and a non-null label and id take part. A repeated id counts once, with its largest
+    label and, of several texts, the first by bytes. The ids chosen are at most ``rows`` long integers, so they are broadcast.
     """
     chosen = (
         labels.filter(train & F.col(label).isNotNull() & F.col("doc_id").isNotNull())
@@ -96,7 +96,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
         .orderBy(F.xxhash64("__id"), "__id")
         .limit(rows)
     )
-    return docs.join(F.broadcast(chosen), docs["doc_id"] == F.col("__id")).select(docs["text"].alias("text"), "y")
+    texts = docs.select(F.col("doc_id").alias("__doc"), F.col("text"))
+    found = texts.join(F.broadcast(chosen), F.col("__doc") == F.col("__id"))
+    return found.groupBy("__id", "y").agg(F.min("text").alias("text")).select("text", "y")
 
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

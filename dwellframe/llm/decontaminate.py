@@ -47,7 +47,7 @@ def windows_of(text: str | None, width: int = WIDTH) -> list[bytes]:
 
 
 def window_table(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Distinct (window, item): the item's id as text. Rows with a null id or without words have none."""
+    """Distinct (window, item): the item's id as text, null for an item without one. Rows without words have none."""
     schema = "window binary, item string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -57,7 +57,7 @@ def window_table(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
                 [pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.string())], ["window", "item"]
             )
 
-    items = benchmark.filter("item_id is not null").select(F.col("item_id").cast("string").alias("item"), "text")
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text")
     return items.mapInArrow(run, schema).distinct()
 
 
@@ -93,11 +93,11 @@ class Automaton:
             last = at // 3
             edge[last - size + 1] += 1
             edge[last + 1] -= 1
-            items.update(of)
+            items.update(i for i in of if i is not None)
         return np.flatnonzero(np.cumsum(edge)).tolist(), sorted(items)
 
 
-def _pass(docs: DataFrame, pairs: list[tuple[bytes, str]], keep: list[str]) -> DataFrame:
+def _pass(docs: DataFrame, pairs: list[tuple[bytes, str]], keep: list[str], text: str = "text") -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(pairs)
 
     def make():
@@ -112,29 +112,29 @@ def _pass(docs: DataFrame, pairs: list[tuple[bytes, str]], keep: list[str]) -> D
 
         return work
 
-    return map_texts(docs, make, FIELDS, keep=keep)
+    return map_texts(docs, make, FIELDS, keep=keep, text=text)
 
 
 def scan_benchmark(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None, width: int = WIDTH,
-                   per_pass: int = WINDOWS_PER_PASS) -> DataFrame:
+                   per_pass: int = WINDOWS_PER_PASS, text: str = "text") -> DataFrame:
     """The kept columns, ``n_words``, ``hits`` (positions of hit words) and ``items`` for every row of ``docs``.
 
     The benchmark's windows are counted first. Up to ``per_pass`` of them form one automaton, sent to all
     tasks; a larger benchmark is dealt by hash into parts of that size and the texts are scanned once for
     each, with a staged table between, so neither the driver nor a task ever holds more than one part.
 
-    Null texts and texts or items without words have no hits; null item ids are left out; repeated rows
-    are scanned each; equal items count under each of their ids; other columns are ignored.
+    Null texts and texts or items without words have no hits; windows of items with a null id hit, and are named by
+    none; repeated rows are scanned each; equal items count under each of their ids; other columns are ignored.
     """
     keep = ["doc_id"] if keep is None else list(keep)
     table = window_table(benchmark, width)
     parts = max(1, -(-table.count() // per_pass))
     if parts == 1:
-        return _pass(docs, [tuple(r) for r in table.collect()], keep)
+        return _pass(docs, [tuple(r) for r in table.collect()], keep, text)
     table = stage(table.withColumn("part", F.pmod(F.xxhash64("window"), F.lit(parts))), "windows")
     plain = [F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)]
     names = [f"kept_{i}" for i in range(len(keep))]
-    found = docs.select(*plain, F.col("text").alias("text"), F.lit(0).cast("long").alias("n0"),
+    found = docs.select(*plain, F.col(text).alias("text"), F.lit(0).cast("long").alias("n0"),
                         F.array().cast("array<int>").alias("h0"), F.array().cast("array<string>").alias("i0"))
     for part in range(parts):
         pairs = [(r["window"], r["item"]) for r in table.filter(F.col("part") == part).select("window", "item").collect()]
@@ -161,20 +161,25 @@ def spans_of(text: str, hits: list[int]) -> list[tuple[int, int]]:
 
 
 def hit_spans(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Rows with hits only: the kept columns, ``items`` and ``spans`` (start, end in code points of the text)."""
+    """Rows with hits only: the kept columns, ``items`` and ``spans`` (start, end in code points of the text).
+
+    Nulls, rows without words, repeated rows and empty tables as in :func:`scan_benchmark`; columns of any name.
+    """
     keep = ["doc_id"] if keep is None else list(keep)
-    found = scan_benchmark(docs.withColumn("__copy", F.col("text")), benchmark, [*keep, "__copy"]).filter(F.size("hits") > 0)
+    packed = docs.select(F.struct(*keep).alias("row"), "text")
+    found = scan_benchmark(packed, benchmark, ["row", "text"]).filter(F.size("hits") > 0)
 
     @F.pandas_udf(T.ArrayType(HIT))
     def places(text, hits):
         return text.combine(hits, lambda t, h: [{"start": a, "end": b} for a, b in spans_of(t, list(h))])
 
-    return found.select(*keep, "items", places("__copy", "hits").alias("spans"))
+    return found.select("row.*", "items", places("text", "hits").alias("spans"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows that hold any benchmark window; columns unchanged."""
-    others = [c for c in docs.columns if c != "text"]
-    copied = docs.withColumn("__copy", F.col("text"))
-    found = scan_benchmark(copied, benchmark, [*others, "__copy"]).filter(F.size("hits") == 0)
-    return found.select(*(F.col("__copy").alias("text") if c == "text" else F.col(c) for c in docs.columns))
+    """``docs`` without the rows that hold any benchmark window; columns unchanged, whatever their names.
+
+    Null and empty texts stay; repeated rows stay or go alike; an empty benchmark drops nothing.
+    """
+    packed = docs.select(F.struct(*docs.columns).alias("row"))
+    return scan_benchmark(packed, benchmark, ["row"], text="row.text").filter(F.size("hits") == 0).select("row.*")

@@ -7,7 +7,6 @@ scored in batches, and their probabilities are averaged by the bytes they hold.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,8 +26,6 @@ BATCH = 48
 #: Bounds of the training sample: documents for each language, and windows spread evenly over each of them.
 SAMPLE_DOCS = 1200
 SAMPLE_WINDOWS = 4
-MAX_LANGUAGES = 200
-LETTER = re.compile(r"[^\W\d_]")
 
 FIELDS = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
 
@@ -135,25 +132,20 @@ def train(x: np.ndarray, names: np.ndarray, epochs: int = 4, batch: int = 64, ra
 def sample_windows(docs: DataFrame, train_rows: Column, per_language: int = SAMPLE_DOCS, windows: int = SAMPLE_WINDOWS) -> DataFrame:
     """(raw, lang): windows spread evenly over the first ``per_language`` documents of each language by a hash of the id.
 
-    Rows with a null id, text or lang take no part. A hash of the id, spread over its whole range, is cut
-    at a level that keeps some more than are needed, so no task ranks a whole language.
+    Rows with a null id, text or lang take no part; of a repeated id with one lang the first text by bytes does. A hash of
+    the id, spread over its whole range, is cut at a level that keeps some more than are needed, so no task ranks a whole
+    language. Every lang value is learned, however rare.
     """
     from pyspark.sql import Window
 
     rows = docs.filter(train_rows & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    rows = rows.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).alias("h"))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    level = None
-    for c in counts:
-        cut = F.lit(int(min(1.0, 2 * per_language / c["count"] + 0.001) * (1 << 40)))
-        fits = (F.col("lang") == c["lang"]) & (F.col("h") < cut)
-        level = fits if level is None else level | fits
-    if level is None:
-        level = F.lit(False)
+    rows = rows.select("doc_id", "lang", "text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).alias("h"))
+    share = F.least(F.lit(1.0), 2 * per_language / F.col("n") + 0.001)
+    cuts = rows.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("n")).select("of", (share * (1 << 40)).alias("cut"))
+    near = rows.join(cuts, (F.col("lang") == F.col("of")) & (F.col("h") < F.col("cut")))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
-    chosen = rows.filter(level).withColumn("place", place).filter(F.col("place") <= per_language).select("doc_id", "lang").distinct()
-    chosen = chosen.select(F.col("doc_id").alias("__id"), F.col("lang").alias("__lang"))
-    texts = docs.join(F.broadcast(chosen), (docs["doc_id"] == F.col("__id")) & (docs["lang"] == F.col("__lang")))
+    once = near.groupBy("doc_id", "lang", "h").agg(F.min("text").alias("text"))
+    texts = once.withColumn("place", place).filter(F.col("place") <= per_language)
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,7 +158,7 @@ def sample_windows(docs: DataFrame, train_rows: Column, per_language: int = SAMP
                     langs.append(lang)
             yield pa.RecordBatch.from_arrays([pa.array(raws, pa.binary()), pa.array(langs, pa.string())], ["raw", "lang"])
 
-    return texts.select(docs["text"], docs["lang"]).mapInArrow(cut_out, "raw binary, lang string")
+    return texts.select("text", "lang").mapInArrow(cut_out, "raw binary, lang string")
 
 
 def fit_language(docs: DataFrame, train_rows: Column, **bounds: int) -> ByteNet | None:
@@ -189,7 +181,7 @@ def predict_language(docs: DataFrame, net: ByteNet | None) -> DataFrame:
     def make():
         def work(texts):
             names, scores = ["und"] * len(texts), [0.0] * len(texts)
-            rows = [k for k, t in enumerate(texts) if net is not None and t is not None and LETTER.search(t)]
+            rows = [k for k, t in enumerate(texts) if net is not None and t is not None and any(map(str.isalpha, t))]
             if rows:
                 cut = [windows_of(texts[k].encode()) for k in rows]
                 starts = np.concatenate([[0], np.cumsum([len(w) for _, w in cut])[:-1]])

@@ -2,7 +2,7 @@
 
 Natural prose compresses by a factor that depends on how much of it there is. Repetitive text compresses
 far better, keys and encoded data hardly at all. The factor is taken over the whole text and over chunks of
-a fixed size; each has limits for its length.
+a fixed size, the last of which ends where the text ends; each has limits for its length.
 """
 
 from __future__ import annotations
@@ -18,9 +18,9 @@ WHITE = "\x20\x09\x0a\x0b\x0c\x0d"
 CHUNK = 4096
 #: (bytes from, least, most): factors inside the limits pass. Short texts only fail at extremes, since a frame's fixed bytes count.
 BANDS = ((0, 0.0, 1e9), (200, 0.9, 6.0), (1000, 1.1, 8.0), (4096, 1.25, 10.0), (32768, 1.35, 12.0), (131072, 1.35, 16.0))
-CHUNK_BAND = (1.1, 10.0)
-#: A text whose chunks outside the chunk limits are more than this share of all its full chunks fails.
-BAD_CHUNKS = 0.5
+CHUNK_BAND = (1.45, 10.0)
+#: (chunks from, share): a text fails if more than this share of its chunks is outside the chunk limits.
+BAD_CHUNKS = ((0, 0.0), (5, 0.2), (20, 0.15), (100, 0.1))
 
 FIELDS = [
     *(T.StructField(n, T.LongType()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
@@ -69,16 +69,24 @@ def band(size: int) -> tuple[float, float]:
     return least, most
 
 
+def chunks_of(raw: bytes) -> list[bytes]:
+    """Every byte of a text of at least a chunk's length, in chunks; the last one reaches back to be full."""
+    if len(raw) < CHUNK:
+        return []
+    return [raw[i : i + CHUNK] for i in [*range(0, len(raw) - CHUNK, CHUNK), len(raw) - CHUNK]]
+
+
 def judge(text: str | None, compress) -> tuple:
     """The values of ``FIELDS`` for one text; ``compress`` is a function from bytes to bytes."""
     text = text or ""
     *counts, failed = base_counts(text)
     raw = text.encode()
     factor = len(raw) / len(compress(raw)) if raw else None
-    chunks = [raw[i : i + CHUNK] for i in range(0, len(raw) - CHUNK + 1, CHUNK)]
+    chunks = chunks_of(raw)
     bad = sum(not CHUNK_BAND[0] <= CHUNK / len(compress(c)) <= CHUNK_BAND[1] for c in chunks)
     least, most = band(len(raw))
-    passes = factor is not None and least <= factor <= most and bad <= BAD_CHUNKS * len(chunks)
+    share = [s for n, s in BAD_CHUNKS if len(chunks) >= n][-1]
+    passes = factor is not None and least <= factor <= most and bad <= share * len(chunks)
     return *counts, failed, passes and not failed, factor, len(chunks), bad
 
 

@@ -20,20 +20,27 @@ KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+#: A run of this alphabet, or such runs joined by dots, as in signed tokens.
+CANDIDATE = re.compile(r"(?:[A-Za-z0-9+/_=-]{8,}+\.)+[A-Za-z0-9+/_=-]{8,}+|[A-Za-z0-9+/_=-]{20,}+")
 
 UUID = re.compile(r"[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}")
-#: Lengths of hexadecimal MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512 digests.
+#: Lengths of hexadecimal MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512 digests, and what is said shortly before them.
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
+#: Keys have the first two lengths as well, so capitals of these are digests only where the text says so.
+KEY_LENGTHS = (32, 40)
+DIGEST_NAME = re.compile(r"(?i)sha-?\d+|md5|digest|checksum|fingerprint|hash|commit")
+NAME_REACH = 24
 #: Parts of an identifier: a word with at most one leading capital, capitals, or a number of a few digits.
 PART = re.compile(r"[A-Z]?[a-z]{2,}|[A-Z]+(?![a-z])|[0-9]{1,8}")
 
 #: Random strings have fewer characters per token than this.
 MAX_RATIO = 2.4
+#: Letters of one case need a lower one, since invented or compound words come near. Digits alone are numbers, not secrets.
+LETTER_RATIO = 2.05
 #: Stretches of this length inside a run, the least of a candidate, are random at fewer characters per token than the
 #: second number; dates and codes, which hold more separators than the third, are not.
 WINDOW, WINDOW_RATIO, WINDOW_MARKS = 20, 1.9, 3
-MARKS = re.compile(r"[+/_=-]")
+MARKS = re.compile(r"[+/_=.-]")
 #: Tokens are counted piece by piece, so that one long run costs linear time.
 PIECE = 256
 
@@ -64,16 +71,23 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def is_identifier(s: str, known: Collection[str] = ()) -> bool:
-    """True for known digests, digest-shaped and UUID strings, paths, and names made of words and short numbers."""
-    if s.lower() in known or UUID.fullmatch(s):
-        return True
-    if len(s) in DIGEST_LENGTHS and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", s):
+def is_digest(s: str, named: bool = False) -> bool:
+    """Hexadecimal of a digest's length: lower-case (a fixed pattern has those), or capitals of a length no key has, or ``named``."""
+    if len(s) not in DIGEST_LENGTHS:
+        return False
+    return bool(re.fullmatch("[0-9a-f]+" if len(s) in KEY_LENGTHS and not named else "[0-9a-f]+|[0-9A-F]+", s))
+
+
+def is_identifier(s: str, known: Collection[str] = (), named: bool = False) -> bool:
+    """True for known strings, digests, UUID strings, paths, and names made of words and short numbers."""
+    if s.lower() in known or UUID.fullmatch(s) or is_digest(s, named):
         return True
     parts = PART.findall(s)
     words = sum(len(p) for p in parts if len(p) >= 4 and p.isalpha())
     covered = sum(map(len, parts))
-    return covered + len(re.findall(r"[+/_=-]", s)) == len(s) and words >= 0.7 * covered
+    if re.fullmatch("[a-z]+|[A-Z0-9]+", s):
+        return False  # looks like words whatever its letters are; its ratio says
+    return covered + len(MARKS.findall(s)) == len(s) and words >= 0.7 * covered
 
 
 def ratio(s: str, encode: Callable[[str], list[int]]) -> float:
@@ -84,16 +98,26 @@ def kinds(s: str) -> int:
     return bool(re.search("[0-9]", s)) + bool(re.search("[a-z]", s)) + bool(re.search("[A-Z]", s))
 
 
-def random_parts(s: str, encode, max_ratio: float = MAX_RATIO, known: Collection[str] = ()) -> list[tuple[int, int, float]]:
+def limit(s: str, max_ratio: float) -> float:
+    """Characters per token below which a run is random."""
+    if kinds(s) >= 2:
+        return max_ratio
+    return min(max_ratio, LETTER_RATIO) if re.fullmatch("[a-z]+|[A-Z]+", s) else 0.0
+
+
+def random_parts(
+    s: str, encode, max_ratio: float = MAX_RATIO, known: Collection[str] = (), named: bool = False
+) -> list[tuple[int, int, float]]:
     """(start, end, ratio) of what is random in a run: all of it, or else parts between separators, or else windows.
 
     Ordinary words beside a key raise the ratio of the whole run, so each part of a candidate's length is tested
     like a run, and what the parts leave (a key may hold separators) in windows. Windows that fail are joined, and
-    ordinary words at their ends left out. Identifiers inside the run are excluded like whole ones.
+    ordinary words at their ends left out. Identifiers inside the run are excluded like whole ones. ``named``: the
+    text before names a digest.
     """
     if s.lower() in known or UUID.fullmatch(s):
         return []
-    if kinds(s) >= 2 and not is_identifier(s, known) and (r := ratio(s, encode)) < max_ratio:
+    if not is_identifier(s, known, named) and (r := ratio(s, encode)) < limit(s, max_ratio):
         return [(0, len(s), r)]
     found, at = [], 0
     parts = [(m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9]+", s)]
@@ -102,9 +126,9 @@ def random_parts(s: str, encode, max_ratio: float = MAX_RATIO, known: Collection
         if b - a < WINDOW:
             continue
         part = s[a:b]
-        if part.lower() in known or len(part) in DIGEST_LENGTHS and is_identifier(part):
+        if part.lower() in known or is_digest(part, named):
             closed.append((a, b))
-        elif b - a < len(s) and kinds(part) >= 2 and not is_identifier(part, known) and (r := ratio(part, encode)) < max_ratio:
+        elif b - a < len(s) and not is_identifier(part, known, named) and (r := ratio(part, encode)) < limit(part, max_ratio):
             found.append((a, b, r))
     for a, b in [*sorted([*closed, *((a, b) for a, b, _ in found)]), (len(s), len(s))]:
         found += _random_windows(s, at, a, parts, encode)
@@ -153,7 +177,8 @@ def scan(text: str | None, encode, max_ratio: float = MAX_RATIO, known: Collecti
         near = [(a, b) for a, b in taken if a < m.end() and m.start() < b]
         if within(m.start(), m.end(), near):
             continue
-        parts = [(m.start() + a, 3, m.start() + b, r) for a, b, r in random_parts(m[0], encode, max_ratio, known)]
+        named = bool(DIGEST_NAME.search(text, max(0, m.start() - NAME_REACH), m.start()))
+        parts = [(m.start() + a, 3, m.start() + b, r) for a, b, r in random_parts(m[0], encode, max_ratio, known, named)]
         found += [p for p in parts if not within(p[0], p[2], near)]
     return [(KINDS[k], s, e, r) for s, k, e, r in sorted(found, key=lambda x: x[:3])]
 

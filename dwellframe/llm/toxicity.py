@@ -44,7 +44,10 @@ STEMS = (4, 5, 6)
 
 #: Bound of the training sample.
 SAMPLE = 20_000
-LEAST_LOG_ODDS = 4.2
+#: A word is learned if it is so much likelier in toxic texts, by the log of the ratio, as best guess ...
+LEAST_LOG_ODDS = 3.5
+#: ... and still so much at ``DEVIATIONS`` standard errors below it: few texts, or classes of like size, need a clearer difference.
+LEAST_BOUND, DEVIATIONS = 0.7, 2.0
 #: A learned word or opening occurs in so many toxic texts at least that are no copies of each other, however
 #: many toxic texts there are: the words of one toxic text and its copies are not taken for insults.
 LEAST_TEXTS = 6
@@ -267,10 +270,11 @@ def _supported(toxic: DataFrame, terms: list[str]) -> set[str]:
 
 
 def learn_lexicon(sample: DataFrame) -> Lexicon:
-    """Seeds, and all words and openings whose log-odds of a toxic text are high and which enough texts have.
+    """Seeds, and all words and openings surely likelier in toxic texts which enough texts have.
 
-    Exact copies count once. How many texts are enough does not depend on the sample's size, so the insults
-    of a language that few toxic texts are in are learned too.
+    Exact copies count once. The test is of the ratio of the word's shares in toxic and other texts, given how many there are,
+    so it does not depend on how many of the labelled texts are toxic, and the insults of a language that few toxic texts
+    are in are learned too.
     """
     made = Lexicon.seeded()
     sample = stage(sample.select("text", "y").distinct(), "toxicity-sample")
@@ -279,7 +283,9 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
     if not pos or not neg:
         return made
     odds = F.log((F.col("pos") + 0.5) / (pos + 1)) - F.log((F.col("neg") + 0.5) / (neg + 1))
-    rows = _term_counts(sample).filter(F.col("pos") >= LEAST_TEXTS).withColumn("w", odds).filter(F.col("w") >= LEAST_LOG_ODDS).collect()
+    error = F.sqrt(1 / (F.col("pos") + 0.5) + 1 / (F.col("neg") + 0.5))
+    sure = (F.col("w") >= LEAST_LOG_ODDS) & (F.col("w") - DEVIATIONS * error >= LEAST_BOUND)
+    rows = _term_counts(sample).filter(F.col("pos") >= LEAST_TEXTS).withColumn("w", odds).filter(sure).collect()
     enough = _supported(sample.filter("y = 1"), sorted(r["term"] for r in rows))
     for r in rows:
         term, entry = r["term"], ("i", min(r["w"], 8.0) / 2)
@@ -356,11 +362,14 @@ def matched_clauses(docs: DataFrame, grammar: Grammar) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, grammar: Grammar, least: float = 0.7) -> DataFrame:
-    """``docs`` without the rows that score ``least`` or more; columns unchanged."""
+    """``docs`` without the rows that score ``least`` or more; columns unchanged, whatever their names.
+
+    Null and empty texts have the score of texts without matches; repeated rows stay or go alike.
+    """
 
     def make():
-        return lambda texts: [[grammar.score(t) for t in texts], texts]
+        return lambda texts: [[grammar.score(t) for t in texts]]
 
-    others = [c for c in docs.columns if c != "text"]
-    fields = [T.StructField("__score", T.DoubleType()), T.StructField("text", T.StringType())]
-    return map_texts(docs, make, fields, keep=others).filter(F.col("__score") < least).select(*docs.columns)
+    packed = docs.select(F.struct(*docs.columns).alias("row"))
+    scored = map_texts(packed, make, [T.StructField("score", T.DoubleType())], keep=["row"], text="row.text")
+    return scored.filter(F.col("score") < least).select("row.*")

@@ -54,15 +54,14 @@ def contamination(docs: list[tuple], items: list[tuple]) -> dict:
     windows = defaultdict(set)
     for item, text in items:
         words = cut(text)
-        if words and item is not None:
-            for i in range(max(1, len(words) - 9)):
-                windows[tuple(words[i : i + 10])].add(str(item))
+        for i in range(max(1, len(words) - 9) if words else 0):
+            windows[tuple(words[i : i + 10])] |= {str(item)} if item is not None else set()
     sizes, out = {len(w) for w in windows}, {}
     for doc, text in docs:
         words, hit, found = cut(text), set(), set()
         for n in sizes:
             for i in range(len(words) - n + 1):
-                if own := windows.get(tuple(words[i : i + n])):
+                if (own := windows.get(tuple(words[i : i + n]))) is not None:
                     hit.update(range(i, i + n))
                     found |= own
         out[doc] = len(words), len(hit), len(found), sha(",".join(sorted(found)))
