@@ -2,8 +2,10 @@
 
 Every function takes and returns SQL expression text, to be handed to ``F.expr``: a rule set is some
 dozens of nested lambdas, and the planner reads them as one text much faster than they could be put
-together call by call. Nothing here joins or shuffles. Nesting is a comparison of document-order
-numbers: node n lies inside element e when ``e.seq < n.seq and n.seq <= e.end_seq``.
+together call by call. Nothing here joins or shuffles. What lies inside an element is a slice of each array, so a
+selection reads what it returns and the insides of the elements it goes through, not the page once for each element.
+
+Arrays may hold a part of a page (one hit): ``Part`` says how far its places are off.
 """
 
 from __future__ import annotations
@@ -47,30 +49,63 @@ def bind(value: str, name: str, body: str) -> str:
     return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
-def inside(node: str, element: str) -> str:
-    return f"{element}.seq < {node}.seq and {node}.seq <= {element}.end_seq"
+@dataclass(frozen=True)
+class Part:
+    """Where the nodes are: the arrays' names, and how many elements and texts of the page come before theirs."""
+
+    elements: str = "elements"
+    texts: str = "texts"
+    elements_before: str = "0"
+    texts_before: str = "0"
+
+
+PAGE = Part()
+#: One hit of a search page, as ``extract.hit_rows`` cuts it out.
+HIT = Part(elements_before="elements_before", texts_before="texts_before")
+
+
+def inside(element: str, part: Part = PAGE) -> str:
+    """The elements inside one of the part's."""
+    return f"slice({part.elements}, {element}.place - {part.elements_before} + 1, {element}.size)"
+
+
+def at_places(places: str, part: Part = PAGE) -> str:
+    return f"transform({places}, p -> element_at({part.elements}, p - {part.elements_before}))"
 
 
-def elements_at(*steps: El, elements: str = "elements") -> str:
-    """Elements matching the last step and lying inside matches of the steps before, in page order."""
-    found = f"filter({elements}, e -> {steps[0].matches('e')})"
+def marked(mark: int) -> str:
+    """Elements that the parser found under a mark; none where the page was read without it."""
+    return at_places(f"coalesce(get(marks, {mark}), cast(array() as array<int>))")
+
+
+def elements_at(*steps: El, part: Part = PAGE, first: str | None = None) -> str:
+    """Elements matching the last step and lying inside matches of the steps before, once each, in page order.
+
+    ``first`` gives the matches of the first step where they are known already.
+    """
+    found = first or f"filter({part.elements}, e -> {steps[0].matches('e')})"
     for step in steps[1:]:
-        linked = "o.seq = e.parent_seq" if step.child else inside("e", "o")
-        below = f"filter({elements}, e -> {step.matches('e')} and exists(outer, o -> {linked}))"
-        found = bind(found, "outer", below)
+        linked = " and e.parent_seq = o.seq" if step.child else ""
+        below = f"filter({inside('o', part)}, e -> {step.matches('e')}{linked})"
+        places = f"sort_array(array_distinct(flatten(transform(outer, o -> transform({below}, e -> e.place)))))"
+        one = f"flatten(transform(outer, o -> {below}))"  # elements around each other hold the same ones
+        found = bind(found, "outer", f"if(size(outer) < 2, {one}, {at_places(places, part)})")
     return found
 
 
-def own_texts(found: str, texts: str = "texts") -> str:
+def _texts(places: str, part: Part) -> str:
+    return f"transform({places}, i -> element_at({part.texts}, i - {part.texts_before}).text)"
+
+
+def own_texts(found: str, part: Part = PAGE) -> str:
     """Direct text children of the found elements, in page order."""
-    mine = f"filter({texts}, t -> coalesce(array_contains(seqs, t.parent_seq), false))"
-    return bind(f"transform({found}, e -> e.seq)", "seqs", f"transform({mine}, t -> t.text)")
+    return _texts(f"sort_array(flatten(transform({found}, e -> e.own)))", part)
 
 
-def all_texts(found: str, texts: str = "texts") -> str:
+def all_texts(found: str, part: Part = PAGE) -> str:
     """Every text inside the found elements, once each, in page order."""
-    mine = f"filter({texts}, t -> exists(spans, e -> {inside('t', 'e')}))"
-    return bind(f"transform({found}, e -> struct(e.seq, e.end_seq))", "spans", f"transform({mine}, t -> t.text)")
+    run = "if(e.n_texts > 0, sequence(e.text_place, e.text_place + e.n_texts - 1), cast(array() as array<int>))"
+    return _texts(f"sort_array(array_distinct(flatten(transform({found}, e -> {run}))))", part)
 
 
 def attr_values(found: str, name: str) -> str:
@@ -78,37 +113,25 @@ def attr_values(found: str, name: str) -> str:
     return f"filter(transform({found}, e -> element_at(e.attrs, {quoted(name)})), v -> v is not null)"
 
 
-def texts_after_label(
-    label_tag: str, label: str, value_tag: str, elements: str = "elements", texts: str = "texts"
-) -> str:
+def texts_after_label(label_tag: str, label: str, value_tag: str, part: Part = PAGE) -> str:
     """Texts of the value elements that follow a label.
 
     A label is a ``label_tag`` element whose first own text contains ``label``. Its value is the next
     ``value_tag`` element after the label's end, so neither inside it nor around it. Texts over all
-    labels come as one list, each once.
+    labels come as one list, each once. For pages read without marks: it looks through what follows each label.
     """
     told = f"e.tag = {quoted(label_tag)} and coalesce(contains(e.own_text, {quoted(label)}), false)"
-    labels = f"filter({elements}, e -> {told})"
-    next_value = "get(filter(candidates, c -> c.seq > l.end_seq), 0)"
-    values = bind(
-        f"filter({elements}, e -> e.tag = {quoted(value_tag)})",
-        "candidates",
-        f"array_compact(transform({labels}, l -> {next_value}))",
-    )
-    return all_texts(values, texts)
-
-
-def texts_of_labelled_items(
-    list_class: str, label: str, elements: str = "elements", texts: str = "texts"
-) -> str:
+    labels = f"filter({part.elements}, e -> {told})"
+    rest = f"slice({part.elements}, l.place - {part.elements_before} + l.size + 1, size({part.elements}))"
+    next_value = f"get(filter({rest}, c -> c.tag = {quoted(value_tag)}), 0)"
+    return all_texts(f"array_compact(transform({labels}, l -> {next_value}))", part)
+
+
+def texts_of_labelled_items(list_class: str, label: str, part: Part = PAGE, first: str | None = None) -> str:
     """Texts of the ``li`` items of a ``ul`` (exact class attribute) in which some text contains ``label``."""
-    items = elements_at(El("ul", class_attr=list_class), El("li", child=True), elements=elements)
-    named = bind(
-        f"filter({texts}, t -> contains(t.text, {quoted(label)}))",
-        "told",
-        f"filter({items}, i -> exists(told, t -> {inside('t', 'i')}))",
-    )
-    return all_texts(named, texts)
+    items = elements_at(El("ul", class_attr=list_class), El("li", child=True), part=part, first=first)
+    told = f"slice({part.texts}, i.text_place - {part.texts_before}, i.n_texts)"
+    return all_texts(f"filter({items}, i -> exists({told}, t -> contains(t.text, {quoted(label)})))", part)
 
 
 # --- picking from a list of texts ---------------------------------------------------------------

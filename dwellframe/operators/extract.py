@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 
 from dwellframe.functions import scalars as S
 from dwellframe.functions import select as sel
+from dwellframe.functions.select import El
 from dwellframe.plans.site_rules import (
     SITES, AfterLabel, Attr, LabelledItem, RunValue, SiteRules, Source, Take, Texts,
 )
 from dwellframe.schemas import LISTING, PROPERTY_INDEX
-from dwellframe.sources.html_nodes import with_nodes
+from dwellframe.sources.html_nodes import Names, with_nodes
 
 COUNT_FIELDS = ["num_floors", "num_bedrooms", "num_bathrooms", "frontage", "distance_to_road"]
 
@@ -37,16 +38,61 @@ def _dated(pages: DataFrame) -> DataFrame:
     return pages.withColumn("crawled_date", F.current_timestamp())
 
 
-def _values(source: Source) -> str:
+def _start(source: Source) -> El | AfterLabel | None:
+    """What a selection starts from: the parser marks it, so that no field searches the page."""
+    match source:
+        case Texts(path) | Attr(path, _):
+            return path[0]
+        case LabelledItem(_, list_class):
+            return El("ul", class_attr=list_class)
+        case AfterLabel():
+            return source
+    return None
+
+
+def _marks(rules: SiteRules, part: str) -> dict[El | AfterLabel, int]:
+    """Numbers of a site's marks: where its page fields start, or its search hits."""
+    starts = [rules.blocks[0]] if part == "hit_fields" else [_start(source) for source, _ in rules.page_fields.values()]
+    return {start: n for n, start in enumerate(dict.fromkeys(s for s in starts if s is not None))}
+
+
+def page_names(sites: Mapping[str, SiteRules], part: str) -> dict[str, Names]:
+    """What the parser is to keep of each site's pages for the fields of ``part``: what some rule names."""
+    made = {}
+    for name, rules in sites.items():
+        marks = _marks(rules, part)
+        asked: dict[El, int | None] = {e: n for e, n in marks.items() if isinstance(e, El)}
+        for source, _ in [(Texts(rules.blocks), None)] * (part == "hit_fields") + list(getattr(rules, part).values()):
+            match source:
+                case Texts(path) | Attr(path, _):
+                    steps = path
+                case LabelledItem(_, list_class):
+                    steps = (El("ul", class_attr=list_class), El("li", child=True))
+                case AfterLabel(_, label_tag, value_tag) if part == "hit_fields":
+                    steps = (El(label_tag), El(value_tag))
+                case _:
+                    steps = ()
+            for step in steps:
+                asked.setdefault(step, None)
+        elements = [(e.tag, tuple(e.cls.split()), e.id, e.class_attr, e.class_prefix, n) for e, n in asked.items()]
+        labels = [(e.label_tag, e.label, e.value_tag, n) for e, n in marks.items() if isinstance(e, AfterLabel)]
+        made[name] = Names(elements, labels, len(marks))
+    return made
+
+
+def _values(source: Source, marks: Mapping | None = None) -> str:
+    """The texts a rule finds on a page with ``marks``, or else in one hit."""
+    part = sel.HIT if marks is None else sel.PAGE
+    first = None if marks is None or (start := _start(source)) is None else sel.marked(marks[start])
     match source:
         case Texts(path):
-            return sel.own_texts(sel.elements_at(*path))
+            return sel.own_texts(sel.elements_at(*path, part=part, first=first), part)
         case Attr(path, name):
-            return sel.attr_values(sel.elements_at(*path), name)
+            return sel.attr_values(sel.elements_at(*path, part=part, first=first), name)
         case AfterLabel(label, label_tag, value_tag):
-            return sel.texts_after_label(label_tag, label, value_tag)
+            return sel.all_texts(first) if first else sel.texts_after_label(label_tag, label, value_tag, part)
         case LabelledItem(label, list_class):
-            return sel.texts_of_labelled_items(list_class, label)
+            return sel.texts_of_labelled_items(list_class, label, part, first)
         case RunValue(column):
             return f"array({column})"
     raise TypeError(f"no such rule source: {source!r}")
@@ -77,10 +123,14 @@ def _per_site(sites: Mapping[str, SiteRules], build: Callable[[SiteRules], str |
 def _fields(sites: Mapping[str, SiteRules], part: str) -> dict[str, Column]:
     """One column per field any site has a rule for."""
 
+    marks = {id(r): _marks(r, part) if part == "page_fields" else None for r in sites.values()}
+
     def built(name: str) -> Column:
-        return F.expr(
-            _per_site(sites, lambda r: _taken(_values(rule[0]), rule[1]) if (rule := getattr(r, part).get(name)) else None)
-        )
+        def of_site(r: SiteRules) -> str | None:
+            rule = getattr(r, part).get(name)
+            return _taken(_values(rule[0], marks[id(r)]), rule[1]) if rule else None
+
+        return F.expr(_per_site(sites, of_site))
 
     return {n: built(n) for n in dict.fromkeys(n for r in sites.values() for n in getattr(r, part))}
 
@@ -98,25 +148,32 @@ def _faults(sites: Mapping[str, SiteRules]) -> Column:
 # --- search pages -------------------------------------------------------------------------------
 
 
+def search_nodes(pages: DataFrame, sites: Mapping[str, SiteRules] = SITES) -> DataFrame:
+    """Search pages parsed to what their sites' rules name."""
+    return with_nodes(pages, page_names(sites, "hit_fields"))
+
+
 def page_blocks(parsed: DataFrame, sites: Mapping[str, SiteRules] = SITES) -> DataFrame:
     """Add ``blocks``, the hit elements of each search page, and ``n_hits``."""
-    blocks = _per_site(sites, lambda r: sel.elements_at(*r.blocks))
+    marked = "marks" in parsed.columns
+    blocks = _per_site(sites, lambda r: sel.elements_at(*r.blocks, first=sel.marked(_marks(r, "hit_fields")[r.blocks[0]]) if marked else None))
     return parsed.withColumn("blocks", F.expr(blocks)).withColumn("n_hits", F.size("blocks"))
 
 
 def hit_rows(parsed: DataFrame, sites: Mapping[str, SiteRules] = SITES, keep_empty: bool = False) -> DataFrame:
-    """One row per hit, carrying only the nodes of its own block (``elements``, ``texts``).
+    """One row per hit, carrying only the nodes of its own block: ``elements`` and ``texts``, slices of the page's.
 
-    ``keep_empty`` gives a page without hits one row with a null ``hit_no``.
+    ``elements_before`` and ``texts_before`` say how many of the page's come before them. ``keep_empty`` gives a page
+    without hits one row with a null ``hit_no``.
     """
-
-    own = f"filter(elements, e -> e.seq = b.seq or ({sel.inside('e', 'b')}))"
-    told = f"filter(texts, t -> {sel.inside('t', 'b')})"
-    cut = F.expr(f"transform(blocks, b -> struct({own} as elements, {told} as texts))")
+    cut = F.expr(
+        "transform(blocks, b -> struct(slice(elements, b.place, b.size + 1) as elements, slice(texts, b.text_place, b.n_texts) as texts,"
+        " b.place - 1 as elements_before, b.text_place - 1 as texts_before))"
+    )
     blocks = page_blocks(parsed, sites)
-    kept = [c for c in parsed.columns if c not in ("elements", "texts")]
+    kept = [c for c in parsed.columns if c not in ("elements", "texts", "marks")]
     exploded = blocks.select(*kept, (F.posexplode_outer if keep_empty else F.posexplode)(cut).alias("hit_no", "hit"))
-    return exploded.select(*kept, "hit_no", "hit.elements", "hit.texts")
+    return exploded.select(*kept, "hit_no", "hit.*")
 
 
 def extract_hits(
@@ -127,7 +184,7 @@ def extract_hits(
     With ``keep_empty`` a page without hits also gives a row, set aside as having none, so that
     :func:`hits_per_page` can count all pages from one staged result.
     """
-    hits = hit_rows(with_nodes(_dated(pages)), sites, keep_empty)
+    hits = hit_rows(search_nodes(_dated(pages), sites), sites, keep_empty)
     raw = hits.select(
         "page_id", "hit_no", "site", "vendor", "type", "crawl_url", "crawled_date",
         *[c.alias(n) for n, c in _fields(sites, "hit_fields").items()],
@@ -177,7 +234,7 @@ def extract_listings(
 
     ``keep_raw`` also returns the texts the count columns were read from, as ``<field>_raw``.
     """
-    raw = with_nodes(_dated(pages)).select(
+    raw = with_nodes(_dated(pages), page_names(sites, "page_fields")).select(
         "page_id", "site", "vendor", "type", F.col("url").alias("link"), "crawled_date",
         *[c.alias(n) for n, c in _fields(sites, "page_fields").items()],
     )

@@ -64,11 +64,15 @@ CONTACT_COLUMNS = [
 ]
 
 # One parsed page: elements and text nodes, numbered together in document order.
-# A node n lies inside element e exactly when e.seq < n.seq <= e.end_seq.
+# A node n lies inside element e exactly when e.seq < n.seq <= e.end_seq. Arrays are in that order too, so what lies
+# inside e is one run of each: ``size`` elements after e's own ``place``, ``n_texts`` texts from ``text_place``.
+# ``own`` has the places of the texts directly below e. Places count from 1.
 ELEMENT = _table(
-    "seq end_seq parent_seq tag id class_attr classes attrs own_text",
+    "seq end_seq parent_seq tag id class_attr classes attrs own_text place size text_place n_texts own",
     _columns("seq end_seq parent_seq", T.LongType()),
+    _columns("place size text_place n_texts", T.IntegerType()),
     _columns("classes", TEXT_LIST),
     _columns("attrs", T.MapType(T.StringType(), T.StringType())),
+    _columns("own", T.ArrayType(T.IntegerType())),
 )
 TEXT_NODE = _table("seq parent_seq text", _columns("seq parent_seq", T.LongType()))

@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import re
 import sys
+from bisect import bisect
 from collections.abc import Iterator
 from html import unescape
 from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -61,126 +63,210 @@ ATTRIBUTE = re.compile(r"([^\s=/>\"'][^\s=/>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*
 NO_ENDS: tuple[frozenset[str], frozenset[str]] = (frozenset(), frozenset())
 
 
+CACHED, SHORT = 4096, 80
+_seen: dict[str, dict[str, str]] = {}
+
+
 def _attributes(text: str) -> dict[str, str]:
-    found: dict[str, str] = {}
+    """Attributes by name. Short attribute texts recur, so their readings are kept a while; nobody changes them."""
+    if (found := _seen.get(text)) is not None:
+        return found
+    found = {}
     for name, double, single, bare in ATTRIBUTE.findall(text):
         value = double or single or bare
         found.setdefault(name.lower(), unescape(value) if "&" in value else value)
+    if len(text) <= SHORT:
+        if len(_seen) >= CACHED:
+            _seen.clear()
+        _seen[text] = found
     return found
 
 
-def parse_into(html: str | None, elements: list[list], texts: list[list]) -> None:
-    """Append one page's elements and text nodes, numbered in document order, to column lists.
+class Names:
+    """What to keep of a page, and what to mark in it.
+
+    ``elements`` are (tag, classes, id, class attribute, class prefix, mark): an element that fulfils all that is
+    not None is kept and its place noted under the mark, if there is one. ``labels`` are (label tag, label, value tag, mark): the
+    next value tag after the end of a label tag whose first own text holds the label is kept and marked likewise.
+    Texts are kept inside kept elements.
+    """
+
+    def __init__(self, elements: list[tuple], labels: list[tuple], n_marks: int) -> None:
+        self.n_marks = n_marks
+        self.by: dict[tuple[str, str], list[tuple]] = {}  # filed under the rarest thing asked for
+        self.prefixes: list[tuple] = []
+        for asked in elements:
+            tag, classes, id_, css, prefix, _ = asked
+            if prefix is not None:
+                self.prefixes.append(asked)
+            else:
+                key = ("id", id_) if id_ is not None else ("css", css) if css is not None else ("class", classes[0]) if classes else ("tag", tag)
+                self.by.setdefault(key, []).append(asked)
+        self.labels: dict[str, list[tuple]] = {}
+        for tag, label, value_tag, mark in labels:
+            self.labels.setdefault(tag, []).append((label, value_tag, mark))
+        self.matched: dict[tuple, list[int | None]] = {}
+
+    def match(self, tag: str, id_: str | None, css: str | None) -> list[int | None]:
+        """Marks of an element, with None for each thing it fulfils that has no mark. Elements recur, so answers are kept a while."""
+        key = tag, id_, css
+        if (found := self.matched.get(key)) is None:
+            if len(self.matched) >= CACHED:
+                self.matched.clear()
+            found = self.matched[key] = self._match(tag, id_, css, css.split() if css else [])
+        return found
+
+    def _match(self, tag: str, id_: str | None, css: str | None, classes: list[str]) -> list[int | None]:
+        by = self.by
+        asked = by.get(("tag", tag), ())
+        if css is not None:
+            asked = [*asked, *by.get(("css", css), ()), *self.prefixes]
+            for name in classes:
+                asked += by.get(("class", name), ())
+        if id_ is not None:
+            asked = [*asked, *by.get(("id", id_), ())]
+        return [
+            mark
+            for want_tag, want_classes, want_id, want_css, prefix, mark in asked
+            if (want_tag is None or want_tag == tag) and (want_id is None or want_id == id_) and (want_css is None or want_css == css)
+            and (prefix is None or css.startswith(prefix)) and all(c in classes for c in want_classes)
+        ]
+
+
+NOT_ASKED, UNREAD = None, ()
+
+
+def parse_into(html: str | None, elements: list[list], texts: list[list], names: Names | None = None) -> list[list[int]]:
+    """Append one page's elements and text nodes, numbered in document order, to column lists; returns the marks.
 
     Recovers from unclosed and misnested tags the way browsers mostly do; markup broken beyond that
-    may nest differently from another parser's reading.
+    may nest differently from another parser's reading. Open tags are looked up by name, so deep nesting costs no more.
     """
+    marks: list[list[int]] = [[] for _ in range(names.n_marks)] if names else []
     if not html:
-        return
-    e_seq, e_end, e_parent, e_tag, e_id, e_class, e_classes, e_attrs, e_own = elements
+        return marks
+    e_seq, e_end, e_parent, e_tag, e_id, e_class, e_classes, e_attrs = elements
     t_seq, t_parent, t_text = texts
+    before = len(e_seq) - 1  # places count from 1
     open_tags: list[str] = []
-    open_rows: list[int] = []
+    open_rows: list[int] = []  # -1: not kept
+    open_seqs: list[int] = []
+    open_told: list = []  # of a label tag: the labels its first own text holds
+    depths: dict[str, list[int]] = {}
+    waiting: dict[str, list[int]] = {}  # value tag -> marks for the next one
+    asked_labels = names.labels if names else {}
     seq = 0
+    kept = 0 if names else 1  # kept elements around here; without names all is kept
 
     def close_to(depth: int) -> None:
-        for row in open_rows[depth:]:
-            e_end[row] = seq - 1
-        del open_rows[depth:], open_tags[depth:]
+        nonlocal kept
+        while len(open_tags) > depth:
+            depths[open_tags.pop()].pop()
+            open_seqs.pop()
+            if (row := open_rows.pop()) >= 0:
+                e_end[row] = seq - 1
+                kept -= 1
+            if told := open_told.pop():
+                for value_tag, mark in told:
+                    waiting.setdefault(value_tag, []).append(mark)
+
+    def innermost(tags) -> int:
+        """Depth of the innermost open one of some tags; -1 if none is."""
+        return max([d[-1] for t in tags if (d := depths.get(t))], default=-1)
 
     parts = MARKUP.split(html)
     parts += [None] * 6
     for text, raw_tag, raw_rest, raw_text, slash, name, rest in zip(*[iter(parts)] * 7):
         if text:
-            if "&" in text:
-                text = unescape(text)
-            t_seq.append(seq)
-            t_text.append(text)
-            if open_rows:
-                row = open_rows[-1]
-                t_parent.append(e_seq[row])
-                if e_own[row] is None:
-                    e_own[row] = text
-            else:
-                t_parent.append(None)
+            unread = asked_labels and open_told and open_told[-1] is UNREAD
+            if kept or unread:
+                if "&" in text:
+                    text = unescape(text)
+                if kept:
+                    t_seq.append(seq)
+                    t_text.append(text)
+                    t_parent.append(open_seqs[-1] if open_seqs else None)
+                if unread:
+                    open_told[-1] = [(v, mark) for label, v, mark in asked_labels[open_tags[-1]] if label in text]
             seq += 1
         if name is not None:
             tag = name.lower()
             if slash:
-                if open_tags and open_tags[-1] == tag:
-                    open_tags.pop()
-                    e_end[open_rows.pop()] = seq - 1
-                elif tag in open_tags:
-                    inline = tag not in BLOCKS and tag not in CELLS
-                    for depth in range(len(open_tags) - 1, -1, -1):
-                        if open_tags[depth] == tag:
-                            close_to(depth)
-                            break
-                        if inline and open_tags[depth] in CELLS:
-                            break
+                if depths.get(tag):
+                    depth = depths[tag][-1]
+                    if depth == len(open_tags) - 1 or tag in BLOCKS or tag in CELLS or innermost(CELLS) <= depth:
+                        close_to(depth)
                 continue
             ended, bounds = ENDS.get(tag, NO_ENDS)
-            if ended and not ended.isdisjoint(open_tags):
-                cut = None
-                for depth in range(len(open_tags) - 1, -1, -1):
-                    if open_tags[depth] in ended:
-                        cut = depth
-                    elif open_tags[depth] in bounds:
-                        break
-                if cut is not None:
-                    close_to(cut)
+            for t in ended:
+                if depths.get(t):
+                    bound = innermost(bounds)
+                    cut = min([d[at] for t in ended if (d := depths.get(t)) and (at := bisect(d, bound)) < len(d)], default=-1)
+                    if cut >= 0:
+                        close_to(cut)
+                    break
         elif raw_tag is not None:
             tag, rest = raw_tag.lower(), raw_rest
         else:
             continue
-        e_parent.append(e_seq[open_rows[-1]] if open_rows else None)
-        e_seq.append(seq)
-        e_end.append(seq)
-        e_tag.append(tag)
         if rest:
             attrs = _attributes(rest)
-            css = attrs.get("class")
-            e_id.append(attrs.get("id"))
+            css, id_ = attrs.get("class"), attrs.get("id")
+        else:
+            attrs, css, id_ = {}, None, None
+        row = -1
+        if names:
+            found = names.match(tag, id_, css)
+            if tag in waiting:
+                found = found + waiting.pop(tag)
+            if found:
+                row = len(e_seq)
+                for mark in found:
+                    if mark is not None:
+                        marks[mark].append(row - before)
+        else:
+            row = len(e_seq)
+        if row >= 0:
+            e_parent.append(open_seqs[-1] if open_seqs else None)
+            e_seq.append(seq)
+            e_end.append(seq)
+            e_tag.append(tag)
+            e_id.append(id_)
             e_class.append(css)
             e_classes.append(css.split() if css else ())
             e_attrs.append(attrs)
-        else:
-            e_id.append(None)
-            e_class.append(None)
-            e_classes.append(())
-            e_attrs.append({})
-        e_own.append(None)
         if raw_tag is not None:
             if raw_text:
-                t_seq.append(seq + 1)
-                t_parent.append(seq)
-                t_text.append(raw_text)
-                e_own[-1] = raw_text
                 seq += 1
-                e_end[-1] = seq
+                if row >= 0 or kept:
+                    t_seq.append(seq)
+                    t_parent.append(seq - 1)
+                    t_text.append(raw_text)
+                if row >= 0:
+                    e_end[-1] = seq
         elif tag not in VOID:
+            depths.setdefault(tag, []).append(len(open_tags))
             open_tags.append(tag)
-            open_rows.append(len(e_seq) - 1)
+            open_rows.append(row)
+            open_seqs.append(seq)
+            open_told.append(UNREAD if tag in asked_labels else NOT_ASKED)
+            kept += row >= 0
         seq += 1
     close_to(0)
-
-
-def parse_page(html: str | None) -> tuple[list[dict], list[dict]]:
-    """Elements and text nodes of one page as dicts."""
-    columns = [[] for _ in ELEMENT.names], [[] for _ in TEXT_NODE.names]
-    parse_into(html, *columns)
-    return tuple(
-        [dict(zip(kind.names, row)) for row in zip(*lists)] for kind, lists in zip((ELEMENT, TEXT_NODE), columns)
-    )
+    return marks
 
 
 ARROW_ELEMENT = pa.struct(
     [
         ("seq", pa.int64()), ("end_seq", pa.int64()), ("parent_seq", pa.int64()), ("tag", pa.string()),
         ("id", pa.string()), ("class_attr", pa.string()), ("classes", pa.list_(pa.string())),
-        ("attrs", pa.map_(pa.string(), pa.string())), ("own_text", pa.string()),
+        ("attrs", pa.map_(pa.string(), pa.string())), ("own_text", pa.string()), ("place", pa.int32()), ("size", pa.int32()),
+        ("text_place", pa.int32()), ("n_texts", pa.int32()), ("own", pa.list_(pa.int32())),
     ]
 )
+ARROW_MARKS = pa.list_(pa.list_(pa.int32()))
+#: What reading a page gives for an element; the rest follows from the numbers.
+PARSED = "seq end_seq parent_seq tag id class_attr classes attrs".split()
 ARROW_TEXT = pa.struct([("seq", pa.int64()), ("parent_seq", pa.int64()), ("text", pa.string())])
 PAGES_PER_BATCH = 64
 
@@ -192,53 +278,101 @@ def _column(values: list, kind: pa.DataType) -> pa.Array:
         return pa.MapArray.from_arrays(offsets, keys, pa.array([x for v in values for x in v.values()], pa.string()))
     if pa.types.is_list(kind):
         offsets = pa.array([0, *accumulate(map(len, values))], pa.int32())
-        return pa.ListArray.from_arrays(offsets, pa.array([x for v in values for x in v], pa.string()))
+        return pa.ListArray.from_arrays(offsets, pa.array([x for v in values for x in v], kind.value_type))
     return pa.array(values, kind)
 
 
-def _per_page(columns: list[list], offsets: list[int], kind: pa.StructType) -> pa.ListArray:
-    fields = [kind.field(i) for i in range(kind.num_fields)]
-    struct = pa.StructArray.from_arrays([_column(c, f.type) for c, f in zip(columns, fields)], fields=fields)
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), struct)
-
-
-def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        where = whole.schema.get_field_index("html")
-        kept = [i for i in range(whole.num_columns) if i != where]
-        names = [whole.schema.field(i).name for i in kept] + ["elements", "texts"]
-        for at in range(0, whole.num_rows, PAGES_PER_BATCH):
-            batch = whole.slice(at, PAGES_PER_BATCH)
-            elements: list[list] = [[] for _ in range(ARROW_ELEMENT.num_fields)]
-            texts: list[list] = [[] for _ in range(ARROW_TEXT.num_fields)]
-            element_ends, text_ends = [0], [0]
-            for html in batch.column(where).to_pylist():
-                parse_into(html, elements, texts)
-                element_ends.append(len(elements[0]))
-                text_ends.append(len(texts[0]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in kept]
-                + [_per_page(elements, element_ends, ARROW_ELEMENT), _per_page(texts, text_ends, ARROW_TEXT)],
-                names=names,
-            )
-
-
-def with_nodes(pages: DataFrame) -> DataFrame:
-    """Replace ``html`` by the arrays ``elements`` and ``texts``. No shuffle; other columns pass through."""
-    schema = T.StructType(
-        [f for f in pages.schema if f.name != "html"]
-        + [
-            T.StructField("elements", T.ArrayType(ELEMENT)),
-            T.StructField("texts", T.ArrayType(TEXT_NODE)),
-        ]
-    )
-    return pages.mapInArrow(_parse_batches, schema)
+def _inner(e_seq: np.ndarray, e_end: np.ndarray, ends: list[int], t_seq: np.ndarray, t_parent: np.ndarray, text_ends: list[int], told: pa.Array) -> dict[str, pa.Array]:
+    """Where the insides of all elements of a batch lie, from the numbers of its nodes: places, sizes, own texts.
+
+    Numbers grow along a page and, with the page's own high bits, along the batch, so that places are found by bisection.
+    """
+    e_page, t_page = (np.repeat(np.arange(len(x) - 1), np.diff(x)) for x in (ends, text_ends))
+    e_key, t_key = (e_page << 32) + e_seq, (t_page << 32) + t_seq
+    last = (e_page << 32) + e_end
+    row = np.arange(len(e_seq))
+    size = np.searchsorted(e_key, last, "right") - row - 1
+    text_at = np.searchsorted(t_key, e_key, "right")
+    n_texts = np.searchsorted(t_key, last, "right") - text_at
+    parent_key = (t_page << 32) + t_parent
+    parent = np.searchsorted(e_key, parent_key)
+    mine = np.flatnonzero((t_parent >= 0) & (parent < len(e_key)))
+    mine = mine[e_key[parent[mine]] == parent_key[mine]]
+    mine = mine[np.argsort(parent[mine], kind="stable")]
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(parent[mine], minlength=len(e_seq)))])
+    has = np.diff(offsets) > 0
+    first = np.where(has, mine[np.minimum(offsets[:-1], max(len(mine) - 1, 0))] if len(mine) else 0, 0)
+    e_first, t_first = np.asarray(ends)[e_page], np.asarray(text_ends)
+    own = (mine - t_first[t_page[mine]] + 1).astype(np.int32)
+    return {
+        "own_text": told.take(pa.array(first, mask=~has)) if len(told) else pa.nulls(len(e_seq), pa.string()),
+        "place": pa.array((row - e_first + 1).astype(np.int32)), "size": pa.array(size.astype(np.int32)),
+        "text_place": pa.array((text_at - t_first[e_page] + 1).astype(np.int32)), "n_texts": pa.array(n_texts.astype(np.int32)),
+        "own": pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(own)),
+    }
+
+
+def node_columns(pages: list[str | None], names: list[Names | None] | None = None) -> tuple[pa.ListArray, pa.ListArray, list[list[list[int]]]]:
+    """Elements, texts and marks of some pages, one list a page."""
+    elements: list[list] = [[] for _ in PARSED]
+    texts: list[list] = [[] for _ in range(ARROW_TEXT.num_fields)]
+    element_ends, text_ends, marks = [0], [0], []
+    for html, asked in zip(pages, names or [None] * len(pages), strict=True):
+        marks.append(parse_into(html, elements, texts, asked))
+        element_ends.append(len(elements[0]))
+        text_ends.append(len(texts[0]))
+    told = pa.array(texts[2], pa.string())
+    numbers = [np.array(c, np.int64) for c in (elements[0], elements[1], texts[0], [-1 if p is None else p for p in texts[1]])]
+    made = _inner(numbers[0], numbers[1], element_ends, numbers[2], numbers[3], text_ends, told)
+    made |= {n: _column(c, ARROW_ELEMENT.field(n).type) for n, c in zip(PARSED, elements, strict=True)}
+    fields = list(ARROW_ELEMENT)
+    whole = pa.StructArray.from_arrays([made[f.name] for f in fields], fields=fields)
+    read = pa.StructArray.from_arrays([pa.array(texts[0], pa.int64()), pa.array(texts[1], pa.int64()), told], fields=list(ARROW_TEXT))
+    return pa.ListArray.from_arrays(pa.array(element_ends, pa.int32()), whole), pa.ListArray.from_arrays(pa.array(text_ends, pa.int32()), read), marks
+
+
+def parse_page(html: str | None) -> tuple[list[dict], list[dict]]:
+    """Elements and text nodes of one page as dicts."""
+    elements, texts, _ = node_columns([html])
+    return [{**e, "attrs": dict(e["attrs"])} for e in elements[0].as_py()], texts[0].as_py()
+
+
+def _parse_batches(names: Names | dict[str, Names] | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nothing = Names([], [], 0)
+        for whole in batches:
+            where = whole.schema.get_field_index("html")
+            kept = [i for i in range(whole.num_columns) if i != where]
+            columns = [whole.schema.field(i).name for i in kept] + ["elements", "texts"] + (["marks"] if names else [])
+            for at in range(0, whole.num_rows, PAGES_PER_BATCH):
+                batch = whole.slice(at, PAGES_PER_BATCH)
+                by_page = [names] * batch.num_rows
+                if isinstance(names, dict):
+                    by_page = [names.get(s, nothing) for s in batch.column(whole.schema.get_field_index("site")).to_pylist()]
+                elements, texts, marks = node_columns(batch.column(where).to_pylist(), by_page)
+                made = [elements, texts, *([pa.array(marks, ARROW_MARKS)] if names else [])]
+                yield pa.RecordBatch.from_arrays([batch.column(i) for i in kept] + made, names=columns)
+
+    return run
+
+
+def with_nodes(pages: DataFrame, names: Names | dict[str, Names] | None = None) -> DataFrame:
+    """Replace ``html`` by the arrays ``elements`` and ``texts``. No shuffle; other columns pass through.
+
+    With ``names``, or names for each value of the column ``site``, only what they ask for is kept, and ``marks`` has
+    the places of the elements found under each mark, so that selections need not search the page.
+    """
+    made = [T.StructField("elements", T.ArrayType(ELEMENT)), T.StructField("texts", T.ArrayType(TEXT_NODE))]
+    if names:
+        made.append(T.StructField("marks", T.ArrayType(T.ArrayType(T.IntegerType()))))
+    schema = T.StructType([f for f in pages.schema if f.name != "html"] + made)
+    return pages.mapInArrow(_parse_batches(names), schema)
 
 
 def html_nodes(parsed: DataFrame) -> DataFrame:
     """Parsed pages as a node table, one row per element or text node (tag ``#text``)."""
     nulls = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in ELEMENT}
-    fields = [f.name for f in ELEMENT if f.name != "own_text"]
+    fields = "seq end_seq parent_seq tag id class_attr classes attrs".split()
     elements = parsed.select("page_id", F.explode("elements").alias("n")).select(
         "page_id", *[F.col(f"n.{f}") for f in fields], F.lit(None).cast("string").alias("text")
     )
