@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dwellframe.llm.common import map_texts
+from dwellframe.llm.common import map_texts, stage
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
@@ -26,6 +26,8 @@ BATCH = 48
 #: Bounds of the training sample: documents for each language, and windows spread evenly over each of them.
 SAMPLE_DOCS = 1200
 SAMPLE_WINDOWS = 4
+#: Up to so many languages their levels are sent to all tasks, else joined by shuffle.
+FEW_LANGUAGES = 100_000
 
 FIELDS = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
 
@@ -140,9 +142,12 @@ def sample_windows(docs: DataFrame, train_rows: Column, per_language: int = SAMP
 
     rows = docs.filter(train_rows & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     rows = rows.select("doc_id", "lang", "text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).alias("h"))
-    share = F.least(F.lit(1.0), 2 * per_language / F.col("n") + 0.001)
-    cuts = rows.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("n")).select("of", (share * (1 << 40)).alias("cut"))
-    near = rows.join(cuts, (F.col("lang") == F.col("of")) & (F.col("h") < F.col("cut")))
+    # a level that ten standard deviations keep from giving too few
+    share = F.least(F.lit(1.0), (per_language + 10 * per_language**0.5 + 10) / F.col("n"))
+    counts = rows.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("n"))
+    cuts = stage(counts.select("of", (share * (1 << 40)).alias("cut")), "levels")
+    few = F.broadcast(cuts) if cuts.count() <= FEW_LANGUAGES else cuts
+    near = rows.join(few, (F.col("lang") == F.col("of")) & (F.col("h") < F.col("cut")))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
     once = near.groupBy("doc_id", "lang", "h").agg(F.min("text").alias("text"))
     texts = once.withColumn("place", place).filter(F.col("place") <= per_language)
