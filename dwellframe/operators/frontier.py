@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dwellframe.functions.scalars import as_column, upgrade_scheme
-from dwellframe.operators.ordering import (
-    broadcast_if_small, limit_threshold, number_rows, running_total, top_k_per_group,
-)
+from dwellframe.operators.ordering import broadcast_if_small, limit_threshold, number_rows, top_k_per_group
 from dwellframe.operators.tables import mark_crawled
 from dwellframe.session import stage
 
@@ -129,11 +127,19 @@ def batch_rows(index: DataFrame, size: int = 100, batches: int | None = None) ->
     elif size * batches <= limit_threshold(index):
         numbered = top_k_per_group(rows, GROUP, oldest_first(), size * batches, ["property_id", "link"])
     else:
-        numbered = number_rows(oldest_candidates(rows, size * batches), GROUP, oldest_first())
-        numbered = numbered.filter(F.col("rn") <= size * batches)
+        numbered = bounded_rows(oldest_candidates(rows, size * batches), size * batches)
+    return in_batches(numbered, size)
+
+
+def in_batches(numbered: DataFrame, size: int) -> DataFrame:
     return numbered.withColumn("batch", F.expr(f"(rn - 1) div {int(size)}"))
 
 
+def bounded_rows(rows: DataFrame, k: int) -> DataFrame:
+    """Each pair's oldest ``k`` rows, numbered, of rows cut down already to those and few more."""
+    return number_rows(rows, GROUP, oldest_first()).filter(F.col("rn") <= k)
+
+
 def batch_counts(numbered: DataFrame) -> DataFrame:
     return numbered.groupBy(*GROUP, "batch").agg(F.count("*").alias("n"))
 
@@ -177,7 +183,9 @@ def fleet_capacity(hosts: DataFrame, max_parallel: int) -> int:
 def free_slots(hosts: DataFrame, max_parallel: int) -> DataFrame:
     """``hosts(host, running)`` -> one row per free place, numbered from 0 in host order."""
     free = hosts.select("host", F.greatest(F.lit(max_parallel) - F.col("running"), F.lit(0)).alias("free"))
-    summed = running_total(free.filter("free > 0"), [F.col("host")], "free", "upto")
+    # one row per host of the fleet: a configured number, so one plain window is enough
+    upto = F.sum("free").over(Window.orderBy("host").rowsBetween(Window.unboundedPreceding, 0))
+    summed = free.filter("free > 0").withColumn("upto", upto)
     places = F.sequence(F.col("upto") - F.col("free"), F.col("upto") - 1)
     return summed.select("host", F.explode(places).alias("slot"))
 
@@ -212,6 +220,14 @@ def split_links(batches: DataFrame, secure_vendors: list[str] | None = None) ->
     return urls.withColumn("url", F.when(secure, upgrade_scheme("url")).otherwise(F.col("url")))
 
 
+def placed_rows(numbered: DataFrame, tasks: DataFrame, hosts: DataFrame, max_parallel: int) -> DataFrame:
+    """Rows of the batches that get a free place, with their host and slot; ``numbered`` is read twice, so pinned before."""
+    placed = assign_batches(number_batches(batch_counts(numbered), tasks), free_slots(hosts, max_parallel))
+    # no more rows than the fleet has free places
+    placed = broadcast_if_small(stage(placed.select(*GROUP, "batch", "host", "slot")))
+    return numbered.join(placed, [*GROUP, "batch"])
+
+
 def claim_cycle(
     index: DataFrame, tasks: DataFrame, hosts: DataFrame, max_parallel: int, run_ts: Column, size: int = 100
 ) -> tuple[DataFrame, DataFrame]:
@@ -220,10 +236,7 @@ def claim_cycle(
     Returns (assigned batches, updated index). Both come from one staged set of claimed rows, so what
     is dispatched and what is marked are the same rows.
     """
-    numbered = batch_rows(index, size, fleet_capacity(hosts, max_parallel))
-    placed = assign_batches(number_batches(batch_counts(numbered), tasks), free_slots(hosts, max_parallel))
-    # no more rows than the fleet has free places
-    placed = broadcast_if_small(stage(placed.select(*GROUP, "batch", "host", "slot")))
-    rows = stage(numbered.join(placed, [*GROUP, "batch"]))
+    numbered = stage(batch_rows(index, size, fleet_capacity(hosts, max_parallel)))
+    rows = stage(placed_rows(numbered, tasks, hosts, max_parallel))
     assigned = crawl_batches(rows, "host", "slot")
     return assigned, mark_crawled(index, rows, run_ts, check_size=True)

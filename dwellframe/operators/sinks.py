@@ -229,9 +229,9 @@ def _snapshot(spark: SparkSession, root: str, state: State, folders: list[str])
     return spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/{f}" for f in folders]).select(*schema.names)
 
 
-def read_snapshot(spark: SparkSession, root: str, parts: list[dict] | None = None) -> DataFrame:
-    """The current version; with ``parts``, only those partitions (dicts of partition values) of it."""
-    state = read_state(spark, root)
+def read_snapshot(spark: SparkSession, root: str, parts: list[dict] | None = None, state: State | None = None) -> DataFrame:
+    """The current version, or that of ``state``; with ``parts``, only those partitions (dicts of partition values) of it."""
+    state = state or read_state(spark, root)
     if not state.seq:
         raise FileNotFoundError(f"no complete snapshot under {root}")
     return _snapshot(spark, root, state, [f for f in state.folders if parts is None or _wanted(f, parts)])
@@ -242,46 +242,61 @@ def _wanted(folder: str, parts: list[dict]) -> bool:
     return any(all(own.get(k) == (None if v is None else str(v)) for k, v in part.items()) for part in parts)
 
 
-def _write_version(df: DataFrame, root: str, version: int, partition_by: list[str]) -> dict[str, dict]:
-    """Write rows below a name of this writer's own; the folders of its partitions.
+def _write_version(
+    df: DataFrame, root: str, version: int, partition_by: list[str], measures: dict[str, Column] | None = None
+) -> dict[str, dict]:
+    """Write rows below a name of this writer's own; the folders of its partitions, with ``measures`` of their rows.
 
     Partitions are dealt by their size as measured while shuffling, so a large one spans many files and small ones share a task.
     """
-    name = f"{VERSION}={version}-{uuid.uuid4().hex[:12]}"
+    spark, base = df.sparkSession, f"{root.rstrip('/')}/{VERSION}={version}-{uuid.uuid4().hex[:12]}"
     rows = df.hint("rebalance", *partition_by) if partition_by else df
-    rows.write.partitionBy(*partition_by).parquet(f"{root.rstrip('/')}/{name}")
-    files, level = Files(df.sparkSession, root), [name]
+    rows.write.partitionBy(*partition_by).parquet(base)
+    files, level = Files(spark, root), [base.rsplit("/", 1)[1]]
     for key in partition_by:
         level = [f"{f}/{n}" for f in level for n in files.names(f) if n.startswith(f"{key}=")]
-    return {f: {} for f in level}
-
-
-def write_snapshot(df: DataFrame, root: str, partition_by: list[str] | None = None, on: int | None = None) -> int:
+    made: dict[str, dict] = {f: {} for f in level}
+    if measures and level:
+        own = spark.read.schema(df.schema).parquet(base)
+        found = own.groupBy(*partition_by).agg(*[c.alias(n) for n, c in measures.items()]).collect()
+        by_part = {tuple(None if r[k] is None else str(r[k]) for k in partition_by): r for r in found}
+        for f in level:
+            r = by_part[tuple(_partition(f)[k] for k in partition_by)]
+            made[f] = {n: r[n] for n in measures}
+    return made
+
+
+def write_snapshot(
+    df: DataFrame, root: str, partition_by: list[str] | None = None, on: int | None = None, measures: dict[str, Column] | None = None, **more
+) -> int:
     """Write the table's next version beside the one being read; returns its number.
 
     The log names the files of each partition of a version, so readers see either the old table or the whole new
     one. A version can be written once: the writer that comes second gets :class:`CommitTaken`. ``on`` is the
     version that ``df`` was made from, if another may have been written since; default is the current one.
+    ``measures`` are aggregates kept with each partition in the log, ``more`` anything kept with the table.
     """
     spark, keys = df.sparkSession, list(partition_by or [])
     state = read_state(spark, root)
     if on is not None and on != state.seq:
         raise CommitTaken(f"{root} is at version {state.seq}, not {on}")
-    added = _write_version(df, root, state.seq + 1, keys)
+    added = _write_version(df, root, state.seq + 1, keys, measures)
     ordered = [c for c in df.columns if c not in keys] + keys
-    done = commit(spark, root, state, added, list(state.folders), schema=df.select(*ordered).schema.jsonValue(), partition_by=keys)
+    done = commit(spark, root, state, added, list(state.folders), schema=df.select(*ordered).schema.jsonValue(), partition_by=keys, **more)
     if done is None:
         raise CommitTaken(f"version {state.seq + 1} of {root} was written meanwhile")
     return done.seq
 
 
 def update_snapshot(
-    spark: SparkSession, root: str, parts: list[dict], change: Callable[[DataFrame], DataFrame], on: int | None = None
+    spark: SparkSession, root: str, parts: list[dict], change: Callable[[DataFrame], DataFrame], on: int | None = None,
+    measures: dict[str, Column] | None = None, **more,
 ) -> int:
     """The next version, in which only the partitions named in ``parts`` are rewritten: ``change`` gets their rows.
 
     Other partitions keep their files. ``change`` may add columns, which are null elsewhere, and rows of partitions
     named in ``parts`` only. The writer that comes second gets :class:`CommitTaken` and can start over on the new version.
+    ``more`` is kept with the table from this version on.
     """
     state = read_state(spark, root)
     if not state.seq:
@@ -290,13 +305,13 @@ def update_snapshot(
         raise CommitTaken(f"{root} is at version {state.seq}, not {on}")
     keys, old = state.more["partition_by"], [f for f in state.folders if _wanted(f, parts)]
     rows = change(_snapshot(spark, root, state, old))
-    added = _write_version(rows, root, state.seq + 1, keys)
+    added = _write_version(rows, root, state.seq + 1, keys, measures)
     if stray := [f for f in added if not _wanted(f, parts)]:
         raise ValueError(f"rows outside the given partitions: {sorted(_partition(stray[0]).items())}")
     known = T.StructType.fromJson(state.more["schema"])
     names = [c for c in dict.fromkeys([*known.names, *rows.columns]) if c not in keys] + keys
     schema = T.StructType([rows.schema[c] if c in rows.columns else known[c] for c in names])
-    done = commit(spark, root, state, added, old, schema=schema.jsonValue())
+    done = commit(spark, root, state, added, old, schema=schema.jsonValue(), **more)
     if done is None:
         raise CommitTaken(f"version {state.seq + 1} of {root} was written meanwhile")
     return done.seq

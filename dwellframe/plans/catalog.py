@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,11 +10,12 @@ from pyspark.sql import functions as F
 
 from dwellframe.functions import scalars as S
 from dwellframe.functions import select as sel
-from dwellframe.operators import dedupe, encode, extract, frontier, monitor, tables
+from dwellframe.operators import dedupe, encode, extract, frontier, monitor, sinks, tables, work
 from dwellframe.operators.ordering import first_per_key
 from dwellframe.plans import driver_views as dv
 from dwellframe.plans import flows, streams
 from dwellframe.schemas import LISTING, PROPERTY_INDEX
+from dwellframe.session import scratch_root
 from dwellframe.sources.html_nodes import html_nodes, with_nodes
 from dwellframe.sources.readers import read_pages, spread_small_scan
 
@@ -288,6 +290,16 @@ def dedupe_survivor(spark, sf_dir):
     return dedupe.dedupe_survivor(v, order=["seq", "ep", "sk"]).select("property_id", "seq", "property_area", "ep")
 
 
+@query
+def survivor_merge(spark, sf_dir):
+    """Survivors of two deliveries, the second merged into the states kept of the first."""
+    v, order = dv.view(spark, sf_dir, dv.RENTAL), ["seq", "ep", "sk"]
+    known = dedupe.survivor_states(v.filter("seq % 3 > 0"), order=order)
+    arriving = dedupe.survivor_states(v.filter("seq % 3 = 0"), order=order)
+    merged = dedupe.survivors(dedupe.merge_survivors(known, arriving), v.columns)
+    return merged.select("property_id", "seq", "property_area", "ep")
+
+
 # --- frontier -----------------------------------------------------------------------------------
 
 
@@ -374,6 +386,29 @@ def claim_dispatch(spark, sf_dir):
     return assigned.select("host", "slot", "vendor", "type", "batch", "n", "links", F.array_join("property_ids", ",").alias("ids"))
 
 
+@query
+def claim_repeat(spark, sf_dir):
+    """A claim from the work table, asked for twice: the batches of the second answer."""
+    root = f"{scratch_root(spark).rstrip('/')}/work-{uuid.uuid4().hex}"
+    work.write_work(dv.view(spark, sf_dir, dv.INDEX), root, "year")
+    for _ in range(2):
+        batches = work.claim_work(
+            spark, root, "morning", dv.tasks(spark, sf_dir), dv.view(spark, sf_dir, dv.HOSTS), MAX_PARALLEL, _ntz(RUN_TS), BATCH
+        )
+    return batches.select("host", "slot", "vendor", "type", "batch", "n", "links", F.array_join("property_ids", ",").alias("ids"))
+
+
+@query
+def snapshot_reset(spark, sf_dir):
+    """One vendor's rows made due again in a stored index: its partitions alone are rewritten."""
+    root = f"{scratch_root(spark).rstrip('/')}/index-{uuid.uuid4().hex}"
+    sinks.write_snapshot(dv.view(spark, sf_dir, dv.INDEX), root, ["vendor", "type"])
+    sinks.update_snapshot(
+        spark, root, [{"vendor": SECURE_VENDOR}], lambda rows: tables.reset_crawled(rows, SECURE_VENDOR, _ntz(CRAWLED_SINCE))
+    )
+    return sinks.read_snapshot(spark, root).select("vendor", "property_id", "last_crawled_date")
+
+
 # --- figures ------------------------------------------------------------------------------------
 
 
@@ -510,6 +545,13 @@ def search_to_index(spark, sf_dir):
     return index.select("vendor", "type", "property_id", "link", "property_price", "property_area")
 
 
+@query
+def pages_due(spark, sf_dir):
+    """All search pages visited until none is due, with their hits."""
+    visits = flows.page_through(dv.paged_seeds(spark, sf_dir), dv.fetch_paged).visits
+    return visits.select("seed", F.col("idx").cast("bigint").alias("idx"), "url", "n_results")
+
+
 @query
 def search_visits(spark, sf_dir):
     """Hits per search page, counted from the extracted records."""

@@ -204,8 +204,40 @@ def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# seeds whose search pages have hits up to some page, then none
+PAGED_SEEDS = """
+select s_suppkey as seed, case s_suppkey % 3 when 0 then 'bds' when 1 then 'mbnd' else 'tbds' end as site,
+  concat('http://s', cast(s_suppkey as string), '.example.com') as vendor, 'sell' as type, '/ban/nha-dat.htm' as crawl_url,
+  cast(case when s_nationkey % 5 > 0 then s_nationkey % 5 + 1 end as int) as max_depth,
+  cast(case when s_suppkey % 4 = 0 then 2 end as int) as start_index,
+  cast(s_suppkey % 6 as int) as filled, s_acctbal
+from {supplier}
+"""
+
+
+def paged_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return view(spark, sf_dir, PAGED_SEEDS)
+
+
+def fetch_paged(due: DataFrame) -> DataFrame:
+    """The due pages of ``paged_seeds``, rendered: page idx has three hits up to ``filled``, none beyond; page 4 of some never landed."""
+    landed = due.filter("not (idx = 4 and seed % 7 = 0)")
+    rows = landed.select(
+        "url", (F.col("seed") * 300 + F.col("idx") * 3 + F.col("seed") % 3).alias("o_orderkey"), F.lit(1).alias("o_custkey"),
+        F.col("s_acctbal").alias("o_totalprice"), F.lit("F").alias("o_orderstatus"),
+        F.when(F.col("idx") <= F.col("filled"), "1-URGENT").otherwise("5-LOW").alias("o_orderpriority"),
+    )
+    return rendered_search_pages(rows, F.col("url"))
+
+
 def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One search page per order with up to three hits; some pages are empty, some hits have no link."""
+    url = F.concat(F.lit("http://x.example.com/ban/nha-dat.htm/p"), F.col("o_orderkey").cast("string"))
+    return rendered_search_pages(view(spark, sf_dir, ORDERS), url)
+
+
+def rendered_search_pages(rows: DataFrame, url: Column) -> DataFrame:
+    """Search pages of rows with an order's columns, in the markup of the site that the key names."""
     key = F.col("o_orderkey")
     price = F.col("o_totalprice").cast("decimal(12,2)")
     filled = F.col("o_orderpriority") != "5-LOW"
@@ -240,7 +272,7 @@ def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     return _pages(
-        view(spark, sf_dir, ORDERS), "o_orderkey",
+        rows, "o_orderkey",
         {
             "bds": _html('<div class="nav">x</div>', three(bds)),
             "mbnd": three(mbnd),
@@ -248,5 +280,5 @@ def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         },
         type=F.expr("case o_orderstatus when 'F' then 'sell' when 'O' then 'rent' else 'lease' end"),
         crawl_url=F.lit("/ban/nha-dat.htm"),
-        url=F.concat(F.lit("http://x.example.com/ban/nha-dat.htm/p"), key.cast("string")),
+        url=url,
     )

@@ -280,3 +280,11 @@ ORACLES["stream_routed"] = f"""
       select *, vendor || ':' || coalesce(property_id, 'FAILURE') || ':' || type as key from {PARSED_HITS} h) x) y where k = 1
     union all
     select 'raw', ip, cast(status as varchar) from {CHECKS} c where status = 500"""
+ORACLES["survivor_merge"] = ORACLES["dedupe_survivor"]
+ORACLES["claim_repeat"] = ORACLES["claim_dispatch"]
+ORACLES["snapshot_reset"] = ORACLES["recrawl_reset"]
+ORACLES["pages_due"] = f"""select seed, idx, vendor || crawl_url || case site when 'mbnd' then '?p=' else '/p' end || idx as url,
+    case when idx <= filled then 3 else 0 end as n_results
+  from (select *, unnest(range(first, greatest(first, least(coalesce(max_depth, 2), filled + 1)) + 1)) as idx
+    from (select *, coalesce(start_index, case site when 'mbnd' then 0 else 1 end) as first from {_view(dv.PAGED_SEEDS)} v) a) b
+  where not (seed % 7 = 0 and idx >= 4 and first <= 4)"""
