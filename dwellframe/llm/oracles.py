@@ -92,3 +92,27 @@ from last l left join figures g on l.conv_id is not distinct from g.conv_id left
 """
 
 ORACLES: dict[str, str] = {"op11_chat_format": OP11_CHAT_FORMAT, "op13_turn_repair": OP13_TURN_REPAIR}
+
+
+def url_rules_sql(hosts, patterns, default: str = "allow") -> str:
+    """Every host rule as a CASE, and every pattern's regular expression tried on every url."""
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    by_length = sorted(hosts, key=lambda r: (-len(str(r)), str(r)))
+    fits = [f"when (host = {quoted(r.host)} or ends_with(host, {quoted('.' + r.host)})) and starts_with(path, {quoted(r.path)})" for r in by_length]
+    rule = "case " + " ".join(f"{f} then {quoted(str(r))}" for f, r in zip(fits, by_length, strict=True)) + " end"
+    verdict = "case rule " + " ".join(f"when {quoted(str(r))} then {quoted(r.verdict)}" for r in by_length) + " end"
+    ordered = [*(p for p in patterns if p.verdict == "allow"), *(p for p in patterns if p.verdict != "allow")]
+    matches = [f"when regexp_matches(lower_url, {quoted(p.regex())})" for p in ordered]
+    number = "case " + " ".join(f"{m} then {n}" for n, m in enumerate(matches)) + " end"
+    of = lambda field: "case hit " + " ".join(f"when {n} then {quoted(getattr(p, field))}" for n, p in enumerate(ordered)) + " end"
+    return f"""
+with cut as (
+  select page_id, translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as lower_url,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path
+  from pages
+), ruled as (select *, {rule} as rule, {number} as hit from cut)
+select page_id, host, path, rule, coalesce({verdict}, {of("verdict")}, {quoted(default)}) as verdict,
+  case when rule is null then {of("pattern")} end as pattern
+from ruled
+"""

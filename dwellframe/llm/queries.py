@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from dwellframe.llm import chat_format, decontaminate, katz, language, ngram_jaccard, pieces, quality_gam, quality_rules
 from dwellframe.llm import secrets, toxicity, turn_repair, url_rules, whitening
 from dwellframe.llm.common import documents, remainder
-from dwellframe.llm.oracles import ORACLES  # noqa: F401
+from dwellframe.llm.oracles import ORACLES as SQL
+from dwellframe.llm.oracles import url_rules_sql
 
 
 def vocabulary(name: str) -> str:
@@ -120,3 +121,4 @@ QUERIES = {
         op9_ngram_jaccard, op10_language, op11_chat_format, op12_whitening, op13_turn_repair,
     )
 }
+ORACLES = {**SQL, "op8_url_rules": url_rules_sql(HOST_RULES, PATTERNS)}

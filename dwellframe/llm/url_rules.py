@@ -1,8 +1,10 @@
 """URL filters: pattern rules indexed by their rarest literal token.
 
 A rule's pattern has ``*`` for any characters, ``^`` for a separator or the end, ``|`` at either end for an
-anchor, and ``||`` at its start for the start of the host or of one of its labels. A rule is filed under that of its literal tokens which is rarest among the URLs at hand. The
-tokens of a URL fetch the rules filed under them, and only those rules' regular expressions run on it.
+anchor, and ``||`` at its start for the start of the host or of one of its labels. A rule is filed, in a hash table, under
+that of its literal tokens which is rarest among the URLs at hand. The tokens of a URL fetch the rules filed under them,
+and only those rules' regular expressions run on it. Host rules are filed by host. So neither the plan nor the work on a
+URL grows with the number of rules, only with those that it fetches.
 """
 
 from __future__ import annotations
@@ -13,9 +15,13 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-TOKEN = r"[a-z0-9]+"
+from dwellframe.llm.common import map_texts
 
+TOKEN = r"[a-z0-9]+"
+LOWER = str.maketrans({c: c + 32 for c in range(65, 91)})
+FIELDS = [T.StructField(n, T.StringType()) for n in ("host", "path", "rule", "verdict", "pattern")]
 
 
 class HostRule(NamedTuple):
@@ -59,73 +65,91 @@ def lowered(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def host_of(url: Column) -> Column:
-    """After the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; empty without ``://``."""
-    return F.coalesce(lowered(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1)), F.lit(""))
-
-
-def path_of(url: Column) -> Column:
-    return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
-
-
-def host_rule(host: Column, path: Column, rules: Sequence[HostRule]) -> Column:
-    """The longest fitting rule as struct (rule, verdict), else null. The list is configuration: one CASE."""
-    out = None
-    for r in sorted(rules, key=lambda r: (-len(str(r)), str(r))):
-        fits = ((host == r.host) | host.endswith(f".{r.host}")) & path.startswith(r.path)
-        value = F.struct(F.lit(str(r)).alias("rule"), F.lit(r.verdict).alias("verdict"))
-        out = F.when(fits, value) if out is None else out.when(fits, value)
-    return out if out is not None else F.lit(None).cast("struct<rule:string,verdict:string>")
+def host_and_path(url: str | None) -> tuple[str, str]:
+    """After the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; then up to ``?``, ``#`` or the end."""
+    _, there, rest = (url or "").partition("://")
+    if not there:
+        return "", ""
+    host = re.match("[^/?#]*", rest)[0]
+    return host.translate(LOWER), re.match("[^?#]*", rest[len(host) :])[0]
 
 
 def token_counts(urls: DataFrame, wanted: Sequence[str]) -> dict[str, int]:
     """How many URLs hold each wanted token: at most one row per token of the rules."""
+    spark = urls.sparkSession
+    asked = F.broadcast(spark.createDataFrame([(t,) for t in sorted(set(wanted))], "token string"))  # configuration, not data
     tokens = F.explode(F.array_distinct(F.regexp_extract_all(lowered(F.col("url")), F.lit(TOKEN), F.lit(0))))
-    rows = urls.select(tokens.alias("token")).filter(F.col("token").isin(sorted(set(wanted)))).groupBy("token").count().collect()
+    rows = urls.select(tokens.alias("token")).join(asked, "token").groupBy("token").count().collect()
     return {r["token"]: r["count"] for r in rows}
 
 
+class RuleIndex:
+    """Host rules by host, pattern rules by their rarest token. Regular expressions are compiled when first fetched."""
+
+    def __init__(self, hosts: Sequence[HostRule], patterns: Sequence[Pattern], counts: dict[str, int]) -> None:
+        self.patterns, self.made = list(patterns), {}
+        self.by_host: dict[str, list[HostRule]] = {}
+        for r in hosts:
+            self.by_host.setdefault(r.host, []).append(r)
+        self.by_token: dict[str, list[int]] = {}
+        self.always: list[int] = []
+        for n, p in enumerate(self.patterns):
+            if tokens := p.tokens():
+                self.by_token.setdefault(min(tokens, key=lambda t: (counts.get(t, 0), -len(t), t)), []).append(n)
+            else:
+                self.always.append(n)
+
+    def host_rule(self, host: str, path: str) -> HostRule | None:
+        """The longest fitting rule: of the host itself or of one that it is a subdomain of."""
+        fits = []
+        while True:
+            fits += [r for r in self.by_host.get(host, ()) if path.startswith(r.path)]
+            if "." not in host:
+                return min(fits, key=lambda r: (-len(str(r)), str(r))) if fits else None
+            host = host.split(".", 1)[1]
+
+    def fetched(self, url: str) -> list[int]:
+        """Numbers of the pattern rules that could match, in order."""
+        found = {n for t in set(re.findall(TOKEN, url)) & self.by_token.keys() for n in self.by_token[t]}
+        return sorted(found.union(self.always))
+
+    def pattern_rule(self, url: str) -> Pattern | None:
+        """The first allowing match, else the first match."""
+        first = None
+        for n in self.fetched(url):
+            if (run := self.made.get(n)) is None:
+                run = self.made[n] = re.compile(self.patterns[n].regex())
+            if (first is None or self.patterns[n].verdict == "allow") and run.search(url):
+                if self.patterns[n].verdict == "allow":
+                    return self.patterns[n]
+                first = self.patterns[n]
+        return first
+
+
 def judge_urls(pages: DataFrame, hosts: Sequence[HostRule], patterns: Sequence[Pattern], default: str = "allow") -> DataFrame:
     """page_id, host, path, rule, verdict, pattern for every row of ``pages``.
 
     A fitting host rule decides. Otherwise the pattern rules do: an allowing match wins over blocking
     ones, the first in the list names the ``pattern``; without a match the verdict is ``default``.
 
-    The rules are filed in a literal map from token to rule numbers (configuration, not data), so URLs are
-    never shuffled. Rules without a usable token are tried on every URL. A null url or one without
-    ``://`` has empty host and path and gets the default; repeated rows are judged each; columns of
-    ``pages`` other than page_id and url are ignored.
+    The rules are configuration: tasks get them once and file them. URLs are never shuffled. Rules without a usable token
+    are tried on every URL. A null url or one without ``://`` has empty host and path; pattern rules see it all the same.
+    Repeated rows are judged each; columns of ``pages`` other than page_id and url are ignored.
     """
-    usable = [p.tokens() for p in patterns]
-    counts = token_counts(pages, [t for ts in usable for t in ts]) if any(usable) else {}
-    index: dict[str, list[int]] = {}
-    always: list[int] = []
-    for n, ts in enumerate(usable):
-        if ts:
-            index.setdefault(min(ts, key=lambda t: (counts.get(t, 0), -len(t), t)), []).append(n)
-        else:
-            always.append(n)
-    url = lowered(F.coalesce("url", F.lit("")))
-    parts = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    parts = parts.withColumn("own", host_rule(F.col("host"), F.col("path"), hosts))
-    if patterns:
-        filed = F.create_map(*(x for t, ns in index.items() for x in (F.lit(t), F.array(*map(F.lit, ns))))) if index else None
-        always_in = F.array(*map(F.lit, always)).cast("array<int>")
-        tokens = F.array_distinct(F.regexp_extract_all(url, F.lit(TOKEN), F.lit(0)))
-        fetched = F.filter(F.transform(tokens, lambda t: filed[t]), lambda x: x.isNotNull()) if index else None
-        near = F.array_union(F.flatten(fetched), always_in) if index else always_in
-        regexes = F.array(*(F.lit(p.regex()) for p in patterns))
-        verdicts = F.array(*(F.lit(p.verdict) for p in patterns))
-        parts = parts.withColumn("near", F.when(F.col("own").isNull(), F.array_sort(near)))
-        hit = F.filter("near", lambda n: F.regexp_like(url, regexes[n]))
-        parts = parts.withColumn("hit", hit)
-        allowed = F.filter("hit", lambda n: verdicts[n] == "allow")
-        parts = parts.withColumn("best", F.when(F.size(allowed) > 0, F.get(allowed, F.lit(0))).otherwise(F.get("hit", F.lit(0))))
-        names = F.array(*(F.lit(p.pattern) for p in patterns))
-        verdict, pattern = F.get(verdicts, F.col("best")), F.get(names, F.col("best"))
-    else:
-        verdict = pattern = F.lit(None).cast("string")
-    return parts.select(
-        "page_id", "host", "path", F.col("own.rule").alias("rule"),
-        F.coalesce(F.col("own.verdict"), verdict, F.lit(default)).alias("verdict"), pattern.alias("pattern"),
-    )
+    tokens = [t for p in patterns for t in p.tokens()]
+    counts = token_counts(pages, tokens) if tokens else {}
+    held = pages.sparkSession.sparkContext.broadcast((list(hosts), list(patterns), counts))
+
+    def make():
+        index = RuleIndex(*held.value)
+
+        def judge(url: str | None) -> tuple:
+            host, path = host_and_path(url)
+            if rule := index.host_rule(host, path):
+                return host, path, str(rule), rule.verdict, None
+            found = index.pattern_rule((url or "").translate(LOWER))
+            return host, path, None, found.verdict if found else default, found and found.pattern
+
+        return lambda urls: list(zip(*map(judge, urls), strict=True))
+
+    return map_texts(pages, make, FIELDS, keep=["page_id"], text="url")
