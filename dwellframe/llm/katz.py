@@ -30,8 +30,10 @@ from dwellframe.llm.common import mix, slices, stage, word_hashes
 K = 5
 #: Tokens that a task packs at once, counts or adds up at once, and about how many one bucket holds.
 CHUNK, COUNTED, BUCKET = 600_000, 1_200_000, 1_500_000
-#: Histories with this share of all tokens are split over all buckets; there are at most 1 / HOT of them.
-HOT = 1 / 4096
+#: Histories with this share of all tokens, or as many as this part of a bucket's, are split over all buckets.
+HOT, HOT_PART = 1 / 4096, 1 / 4
+#: So many split histories' sums are sent to all tasks; more are joined by shuffle.
+FEW = 100_000
 #: A unigram table below this size is sent to all tasks; a larger one is joined to blocks of texts.
 BROADCAST_BYTES = 48 << 20
 #: Texts whose parts are added up together: 2 to this power.
@@ -64,6 +66,11 @@ def good_turing(n: dict[int, int], k: int = K) -> np.ndarray:
     return out
 
 
+def hot_from(tokens: int) -> float:
+    """The count from which a history is split: a bucket never holds one that is larger than a part of it."""
+    return max(1.0, min(tokens * HOT, BUCKET * HOT_PART))
+
+
 @dataclass
 class Unigrams:
     """Totals of the training tokens and the discounted unigram model."""
@@ -211,15 +218,12 @@ def pack(chunk: Chunk, block: int, lookup: Lookup, uni: Unigrams, buckets: int)
     w_id = number[w[start]]
     h_id = np.where(h[start] == len(known), START, number[h[start]])
     cw, ch = np.append(c, 0)[w[start]], ch[start]
-    hot = ch >= max(1.0, uni.tokens * HOT)
+    hot = ch >= hot_from(uni.tokens)
     bucket = (np.where(hot, mix(mix(w_id.view(np.uint64)) + h_id.view(np.uint64)), mix(h_id.view(np.uint64))) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
-    edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    filled, edges = np.unique(bucket[order], return_index=True)  # work in proportion to the chunk, however many buckets there are
     place = np.append(0, np.cumsum(occ))
-    for k in range(buckets):
-        e = order[edges[k] : edges[k + 1]]
-        if not len(e):
-            continue
+    for k, e in zip(filled.tolist(), np.split(order, edges[1:]), strict=True):
         heads = np.flatnonzero(np.insert(h_id[e][1:] != h_id[e][:-1], 0, True))
         inside = np.repeat(place[e] - np.append(0, np.cumsum(occ[e]))[:-1], occ[e]) + np.arange(occ[e].sum())
         arrays = (h_id[e][heads], ch[e][heads], np.diff(np.append(heads, len(e))), w_id[e], cw[e], train[e], occ[e], d[inside])
@@ -396,7 +400,7 @@ def evaluate(group: pa.Table, uni: Unigrams, schema: pa.Schema) -> pa.Table:
         order = np.lexsort((whom, who))
         who, whom = who[order], whom[order]
         asked = np.searchsorted(who, np.arange(len(heads)))
-        hot = stats[:, 0] >= max(1.0, uni.tokens * HOT)
+        hot = stats[:, 0] >= hot_from(uni.tokens)
         keep = hot | (np.diff(np.append(asked, len(who))) > 0)
         ends = np.append(asked, len(who))
         sizes = np.diff(ends)[keep]
@@ -458,20 +462,21 @@ def score(model: Model) -> DataFrame:
     columns are ignored. Without training texts every word is unknown and has probability 1.
     """
     factors, uni = model.factors, model.totals
-    histories = model.evaluated.filter("kind = 'history'")
-    # split histories: their parts are added up first; there are at most 1 / HOT of them
-    hot = histories.filter(F.col("values")[0] >= max(1.0, uni.tokens * HOT))
-    sums = [F.max(F.col("values")[0]).alias("v0"), *(F.sum(F.col("values")[k]).alias(f"v{k}") for k in range(1, K + 2))]
-    split = {r["h"]: np.array([r[f"v{k}"] for k in range(K + 2)]) for r in hot.groupBy("h").agg(*sums).collect()}
+    asked = model.evaluated.filter("kind in ('part', 'history')").select("kind", "h", "ids", "counts", "values")
+    # split histories: their parts are added up first
+    is_hot = (F.col("kind") == "history") & (F.col("values")[0] >= hot_from(uni.tokens))
+    sums = F.array(F.max(F.col("values")[0]), *(F.sum(F.col("values")[k]) for k in range(1, K + 2)))
+    whole = stage(asked.filter(is_hot).groupBy("h").agg(sums.alias("whole")), "split")
+    few = F.broadcast(whole) if whole.count() <= FEW else whole
+    hot = asked.filter(is_hot).join(few, "h").select("kind", "h", "ids", "counts", F.col("whole").alias("values"))
+    asked = asked.filter(~is_hot).unionByName(hot)
 
     def known(batch: pa.RecordBatch) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Texts and what is to be added to them."""
         kind = np.array(batch.column(0).to_pylist(), object)
         part, history = batch.filter(pa.array(kind == "part")), batch.filter(pa.array(kind == "history"))
         marks = part.column(3).flatten().to_numpy().reshape(-1, K)
-        stats = history.column(4).flatten().to_numpy().reshape(-1, K + 2).copy()
-        for k in np.flatnonzero(stats[:, 0] >= max(1.0, uni.tokens * HOT)):
-            stats[k] = split[history.column(1)[int(k)].as_py()]
+        stats = history.column(4).flatten().to_numpy().reshape(-1, K + 2)
         times = history.column(2).value_lengths().to_numpy()
         values = part.column(4).flatten().to_numpy() + marks @ np.log10(factors[1:])
         return [part.column(2).flatten().to_numpy(), history.column(2).flatten().to_numpy()], [values, np.repeat(log_backoff(stats, factors), times)]
@@ -503,7 +508,7 @@ def score(model: Model) -> DataFrame:
         parts = np.concatenate([np.frombuffer(x, np.float64) for x in group.column("parts").to_pylist()])
         return pa.table({"row": row, "part": np.bincount(inverse, parts, len(row))})
 
-    parts = model.evaluated.filter("kind in ('part', 'history')").select("kind", "h", "ids", "counts", "values").mapInArrow(run, "group long, rows binary, parts binary")
+    parts = asked.mapInArrow(run, "group long, rows binary, parts binary")
     sums = parts.groupBy("group").applyInArrow(total, "row long, part double")
     texts = model.evaluated.filter("kind = 'text'").select("block", F.col("values")[0].alias("direct"), "doc_id", "n_tokens", "n_known", "base")
     return texts.join(sums, F.col("block") == F.col("row"), "left").select(

@@ -181,12 +181,11 @@ def _index(described: DataFrame) -> tuple[DataFrame, DataFrame]:
             order = np.argsort(bucket, kind="stable")
             t, row, bucket = t[order], row[order], bucket[order]
             rep, n = (np.array([r[k] for r in rows], np.int64) for k in (0, 1))
-            edges = np.searchsorted(bucket, np.arange(buckets + 1))
+            filled, edges = np.unique(bucket, return_index=True)  # work in proportion to the batch, however many buckets there are
             made = []
-            for k in range(buckets):
-                if (a := edges[k]) < (b := edges[k + 1]):
-                    own, runs = np.unique(row[a:b], return_counts=True)  # entries of a row stand together
-                    made.append((k, t[a:b].tobytes(), rep[own].tobytes(), n[own].tobytes(), runs.tobytes()))
+            for k, a, b in zip(filled.tolist(), edges.tolist(), [*edges[1:].tolist(), len(t)], strict=True):
+                own, runs = np.unique(row[a:b], return_counts=True)  # entries of a row stand together
+                made.append((k, t[a:b].tobytes(), rep[own].tobytes(), n[own].tobytes(), runs.tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, kind) for c, kind in zip(zip(*made, strict=True), [pa.int32()] + [pa.binary()] * 4, strict=True)],
                 ["bucket", "t", "rep", "n", "runs"])
