@@ -16,8 +16,8 @@ from dwellframe.plans import driver_views as dv
 from dwellframe.plans import flows, streams
 from dwellframe.schemas import LISTING, PROPERTY_INDEX
 from dwellframe.session import scratch_root
-from dwellframe.sources.html_nodes import html_nodes, with_nodes
-from dwellframe.sources.readers import read_pages, spread_small_scan
+from dwellframe.sources.html_nodes import Names, html_nodes, with_nodes
+from dwellframe.sources.readers import read_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -441,11 +441,9 @@ def fleet_summary(spark, sf_dir):
 # --- pages --------------------------------------------------------------------------------------
 
 
-def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = spread_small_scan(read_pages(spark, f"{sf_dir}/pages.parquet").select("page_id", "html"))
-    return with_nodes(pages)
-
-
+def _parsed(spark: SparkSession, sf_dir: str, names: Names | None = None) -> DataFrame:
+    pages = dv.spread_small_scan(read_pages(spark, f"{sf_dir}/pages.parquet").select("page_id", "html"))
+    return with_nodes(pages, names)
 
 
 @query
@@ -469,7 +467,7 @@ def page_title(spark, sf_dir):
 
 @query
 def page_links(spark, sf_dir):
-    links = sel.list_or_null(sel.attr_values(sel.elements_at(sel.El("nav"), sel.El("a")), "href"))
+    links = sel.list_or_null(sel.attr_values(sel.elements_at(sel.El("a")), "href"))
     return _parsed(spark, sf_dir).select("page_id", F.expr(links).alias("links")).select(
         "page_id", F.size("links").cast("bigint").alias("n_links"), F.array_join("links", " ").alias("links")
     )
@@ -477,8 +475,9 @@ def page_links(spark, sf_dir):
 
 @query
 def label_value(spark, sf_dir):
-    value = F.expr(sel.texts_after_label("h1", "", "p"))
-    return _parsed(spark, sf_dir).select("page_id", F.array_join(value, "").alias("value"))
+    """Texts of the paragraph after a headline, any headline being the label; the parser marks it."""
+    value = F.expr(sel.all_texts(sel.marked(0)))
+    return _parsed(spark, sf_dir, Names([], [("h1", "", "p", 0)], 1)).select("page_id", F.array_join(value, "").alias("value"))
 
 
 @query

@@ -12,8 +12,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellframe.sources.readers import spread_small_scan
-
 # search hits with every link form and both decimal marks
 HITS = """
 select l_orderkey, l_linenumber,
@@ -91,6 +89,16 @@ PARTS = "select * from {part}"
 ORDERS = "select * from {orders}"
 
 
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Spread a scan over the cores when it yields fewer partitions than there are cores.
+
+    For the driver's tables only, which are files of a row group or two that would keep one core busy; the library's own
+    readers never move a page. A scan with more partitions than cores is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     names = set(re.findall(r"\{(\w+)\}", sql))
     return spark.sql(sql, **{n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names})

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,8 +15,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # pages are large rows: keep the batches handed to the page parser to some tens of megabytes
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+    # pages are large rows: batches handed to Python are bounded in bytes
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
 
@@ -45,23 +47,45 @@ def scratch_root(spark: SparkSession) -> str:
 _staged: list[str] = []
 
 
+def new_staged(spark: SparkSession, name: str = "staged") -> str:
+    """A folder for a staged table, known to :func:`drop_staged` and :func:`staging`."""
+    path = f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _staged.append(path)
+    return path
+
+
+def staged() -> list[str]:
+    """The tables staged and not dropped yet, oldest first."""
+    return list(_staged)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` once under the scratch folder and read it back.
 
     Cuts the lineage and pins values that a recomputation might not repeat (partition numbers,
     clock readings), so several consumers see one and the same table even when executors are lost.
     """
-    spark = df.sparkSession
-    path = f"{scratch_root(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    path = new_staged(df.sparkSession)
     df.write.parquet(path)
-    _staged.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_staged(spark: SparkSession) -> int:
-    """Delete the tables this process has staged, once their readers are done. Returns how many."""
-    dropped = 0
-    while _staged:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
-        dropped += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+def drop_staged(spark: SparkSession, since: int = 0, keep: str | None = None) -> int:
+    """Delete the tables this process has staged (since it had staged ``since``), once their readers are done. Returns how many."""
+    paths, dropped = _staged[since:], 0
+    _staged[since:] = [p for p in paths if p == keep]
+    for path in paths:
+        if path != keep:
+            jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+            dropped += bool(jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True))
     return dropped
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Whatever is staged inside is dropped at the end: for jobs that write their result before then."""
+    before = len(_staged)
+    try:
+        yield
+    finally:
+        drop_staged(spark, before)

@@ -31,14 +31,3 @@ def read_page_files(spark: SparkSession, path: str) -> DataFrame:
 def read_jobs(spark: SparkSession, path: str) -> DataFrame:
     """Job records as JSON lines."""
     return spark.read.schema(JOBS).json(path)
-
-
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Spread a scan over the cluster's cores when it yields fewer partitions than there are cores.
-
-    Page parsing costs far more than moving a page, and a small file of few row groups would keep
-    most cores idle. A large scan already has more partitions than cores and is left alone. Only for
-    plans without a shuffle, whose partition count is known without running them.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

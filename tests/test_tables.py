@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from dwellframe.operators import dedupe, encode, ordering, tables
+from dwellframe.operators import dedupe, encode, ordering, sinks, tables
 from dwellframe.schemas import INDEX_KEYS
 
 IDX = "vendor string, type string, property_id string, link string, created_date timestamp_ntz, last_crawled_date timestamp_ntz"
@@ -182,3 +182,15 @@ def test_encode_loses_no_number(spark):
 def test_encode_time(spark):
     df = spark.sql("select time'03:04:05.678' as t")
     assert encode.encode_for_kv(df).first()[0] == "03:04:05"
+
+
+def test_staged_tables_are_dropped(spark, tmp_path):
+    from dwellframe import session
+
+    before, kept = session.staged(), session.stage(spark.range(3))
+    with session.staging(spark):
+        inner = session.stage(spark.range(5))
+        folder = session.staged()[-1]
+        assert inner.count() == 5 and sinks.exists(spark, folder)
+    assert not sinks.exists(spark, folder) and session.staged()[:-1] == before and kept.count() == 3
+    assert session.drop_staged(spark, len(before)) == 1 and session.staged() == before
