@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from dwellframe.llm import decontaminate, ngram_jaccard, pieces, secrets, toxicity
 from dwellframe.llm.common import documents, remainder, stage
 from dwellframe.llm.queries import PIECE_MODEL, SECRET_VOCABULARY, vocabulary
+from dwellframe.session import drop_staged, staged
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +60,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    """Rows of the last stage. Each stage's tables are dropped once its result is written, but for that result, and
+    the result once the next stage has read it; the last one's input stays for the returned rows."""
+    docs, before = documents(spark, sf_dir), len(staged())
     for name, step in STAGES[:-1]:
         docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        drop_staged(spark, before, keep=staged()[-1])
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -12,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dwellframe.session import scratch_root
+from dwellframe.session import new_staged
 
 #: Texts handed to a worker function at once, in bytes; one longer text forms a batch of its own.
 BATCH_BYTES = 1 << 20
@@ -30,10 +29,10 @@ def remainder(column: str, n: int) -> Column:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new table below the shared checkpoint folder and read it back.
 
-    The lineage ends there, so lost executors cost no recomputation and values are pinned.
+    The lineage ends there, so lost executors cost no recomputation and values are pinned. ``session.staging`` and
+    ``session.drop_staged`` drop such tables.
     """
-    spark = df.sparkSession
-    path = f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    spark, path = df.sparkSession, new_staged(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
