@@ -5,16 +5,18 @@ Two sets whose Jaccard similarity reaches the threshold must share several shing
 each (the rarer ones come first), so only these openings of the sets are indexed, and a class that shares too
 few of its own with anything is done with.
 
-1. Rare shingles, held by a few classes, name their pairs; a pair is compared if the shingles it shares, and
-   the common ones it could share at most, are enough. This leaves pairs that share common shingles only.
-2. Grouping: every common shingle names one leader among the classes that hold it; each is compared with its
-   leaders only, so a shingle held by many texts makes a star, not all pairs.
-3. Matrix: shingles whose holders are all in one component by now are settled. The classes that hold others
-   are dealt into groups of similar ones, by their first leader, of a bounded number of members. The matrix
-   of shingles and groups tells which groups share enough shingles; of those, each member of one is a query
-   for the other. Where its overlap with the group's union of shingles is too small, no member can be
-   similar and the group stays closed; an open group is compared member by member, but for members that are
-   in the query's component already.
+Links are found in groups. A step says which classes may be similar; these form groups of at most ``GROUP`` members, each
+group stores the union of its members' shingles, and a class that may be similar to a member of another group is a
+query for that group. Where a query's overlap with the union is too small, no member can be similar and the group
+stays closed; in an open group the query is compared with the members, but for those that are in its component already.
+
+1. Rare shingles, held by a few classes, name their holders as possibly similar, if the shingles that two of them share, and
+   the common ones they could share at most, are enough. This leaves pairs that share common shingles only.
+2. Every common shingle names one leader among the classes that hold it, which the others may be similar to; so a shingle
+   held by many texts makes a star, not all pairs. Leaders change from round to round.
+3. Matrix: shingles whose holders are all in one component by now are settled, and so are classes that hold too few others.
+   The classes left are dealt into groups by their first leader. The matrix of shingles and groups tells which groups share
+   enough shingles; of those, each member of one is a query for the other.
 
 No link between components is missed: a pair shares a rare shingle and is counted, or shares a settled one
 and is in one component, or meets in step 3. Shingles and classes are 64-bit hashes; none is left out for
@@ -39,8 +41,8 @@ WIDTH = 5
 OVER, UNDER = 75, 100
 #: A shingle held by more classes is common: its holders are compared by way of leaders and groups.
 COMMON = 8
-#: Members of a group whose union is stored.
-GROUP = 256
+#: Members of a group whose union is stored, and queries that one task puts to a group.
+GROUP, QUERIES = 64, 512
 #: Rounds of leaders before the matrix.
 ROUNDS = 2
 #: Shingles counted at once when frequent ones are looked for, the least count that is kept, and how many
@@ -246,23 +248,6 @@ def _needed_sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
     return stage(found.groupBy("rep").agg(F.first("set").alias("set")), "sets")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those (a, b) of ``pairs`` whose sets are similar."""
-    first, second = (sets.select(F.col("rep").alias(k), F.col("set").alias(f"{k}_set")) for k in "ab")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = zip(*(batch.column(k).to_pylist() for k in (2, 3)), strict=True)
-            keep = []
-            for x, y in sets:
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                keep.append(similar(_overlap(x, y), len(x), len(y)))
-            yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(keep, pa.bool_())) for k in (0, 1)], ["a", "b"])
-
-    both = pairs.join(second, "b").join(first, "a").select("a", "b", "a_set", "b_set")
-    return both.mapInArrow(run, "a long, b long")
-
-
 def _overlap(x: np.ndarray, y: np.ndarray) -> int:
     """Common values of two sorted sets."""
     if len(x) > len(y):
@@ -279,7 +264,10 @@ def _with_components(index: DataFrame, found: DataFrame) -> DataFrame:
     """Entries of shingles whose holders are in more than one component."""
     joined = index.drop("comp").join(found, F.col("rep") == F.col("node"), "left").select("t", "rep", "n", F.coalesce("component", "rep").alias("comp"))
     mixed = joined.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("t")
-    return stage(joined.join(mixed, "t"), "mixed")
+    left = stage(joined.join(mixed, "t"), "mixed")
+    # a similar set of another component shares unsettled shingles only, and so many of them
+    enough = left.groupBy("rep").agg(F.count("*").alias("held"), F.first("n").alias("n")).filter(f"held >= {LEAST_SHARED}").select("rep")
+    return stage(left.join(enough, "rep", "leftsemi"), "unsettled")
 
 
 def _from_leaders(index: DataFrame, turn: int) -> DataFrame:
@@ -290,51 +278,88 @@ def _from_leaders(index: DataFrame, turn: int) -> DataFrame:
     return joined.select(F.least("rep", "leader.rep").alias("a"), F.greatest("rep", "leader.rep").alias("b")).distinct()
 
 
-def _from_matrix(index: DataFrame, sets: DataFrame) -> DataFrame | None:
-    """Links (a, b) between components, by bounding queries against the unions of groups; None if there is no candidate."""
-    leaders = index.groupBy("t").agg(F.min("rep").alias("leader"))
-    placed = index.join(leaders, "t").groupBy("rep", "n", "comp").agg(F.min("leader").alias("leader"))
-    sizes = placed.groupBy("leader").agg(F.ceil(F.count("*") / GROUP).alias("chunks"))
+def _grouped(near: DataFrame) -> DataFrame:
+    """(rep, g): the group of each class in ``near`` (rep, leader); classes of one leader, dealt into groups of about ``GROUP``."""
+    sizes = near.groupBy("leader").agg(F.ceil(F.count("*") / GROUP).alias("chunks"))
     chunk = F.pmod(F.xxhash64("rep"), F.col("chunks"))
-    placed = stage(placed.join(sizes, "leader").select("rep", "n", "comp", F.xxhash64("leader", chunk).alias("g")), "groups")
-    cells = index.select("t", "rep", "n", "comp").join(placed.select("rep", "g"), "rep")
+    return stage(near.join(sizes, "leader").select("rep", F.xxhash64("leader", chunk).alias("g")), "groups")
+
+
+def open_group(members: list[tuple[int, np.ndarray]], queries: list[tuple[int, np.ndarray]], among: bool) -> list[tuple[int, int]]:
+    """Links of a group: of queries with members, and ``among`` members; enough to connect what is similar."""
+    up: dict[int, int] = {}
+
+    def top(c: int) -> int:
+        while c in up:
+            c = up[c]
+        return c
+
+    links = []
+
+    def compare(rep: int, x: np.ndarray, others: list[tuple[int, np.ndarray]]) -> None:
+        for other, y in others:
+            if UNDER * min(len(x), len(y)) < OVER * max(len(x), len(y)) or top(rep) == top(other):
+                continue
+            if similar(_overlap(x, y), len(x), len(y)):
+                links.append((rep, other))
+                up[top(rep)] = top(other)
+
+    if among:
+        for k, (rep, x) in enumerate(members):
+            compare(rep, x, members[:k])
+    union = np.unique(np.concatenate([y for _, y in members])) if queries and members else np.zeros(0, np.uint64)
+    for rep, x in queries:
+        if UNDER * _overlap(x, union) >= OVER * len(x):
+            compare(rep, x, members)
+    return links
+
+
+def _opened(groups: DataFrame, queries: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) found in ``groups`` (rep, g), among members and with ``queries`` (rep, g) of other groups.
+
+    A group with many queries is opened in several tasks, each with some of them and all members, of which there are few.
+    """
+    queries = queries.distinct()
+    asked = queries.groupBy("g").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("parts"))
+    members = groups.join(asked, "g", "left").join(sets, "rep")
+    parts = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")
+    asking = queries.join(asked, "g").join(sets, "rep")
+    rows = members.select("g", parts, "rep", "set", F.lit(False).alias("asks")).unionByName(
+        asking.select("g", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("part"), "rep", "set", F.lit(True).alias("asks"))
+    )
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        sides: tuple[list, list] = [], []
+        for rep, x, asks in zip(rows["rep"], rows["set"], rows["asks"], strict=True):
+            sides[asks].append((rep, np.frombuffer(x, np.uint64)))
+        return pd.DataFrame(open_group(sorted(sides[0], key=lambda m: m[0]), sides[1], key[1] == 0), columns=["a", "b"], dtype="int64")
+
+    return rows.groupBy("g", "part").applyInPandas(run, "a long, b long")
+
+
+def _from_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between classes that ``pairs`` (a, b) say may be similar: each joins its least partner's group, and asks those of its others."""
+    sides = pairs.select(F.col("a").alias("rep"), F.col("b").alias("other")).union(pairs.select("b", "a"))
+    groups = _grouped(sides.groupBy("rep").agg(F.least(F.min("other"), F.col("rep")).alias("leader")))
+    of = [groups.select(F.col("rep").alias(k), F.col("g").alias(f"{k}_g")) for k in "ab"]
+    foreign = pairs.join(of[0], "a").join(of[1], "b").filter("a_g <> b_g")
+    return _opened(groups, foreign.select(F.col("b").alias("rep"), F.col("a_g").alias("g")), sets)
+
+
+def _from_matrix(index: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between components: the matrix of shingles and groups says which groups' members are queries for which."""
+    leaders = index.groupBy("t").agg(F.min("rep").alias("leader"))
+    groups = _grouped(index.join(leaders, "t").groupBy("rep").agg(F.min("leader").alias("leader")))
+    cells = index.select("t", "rep", "n", "comp").join(groups, "rep")
     matrix = stage(cells.groupBy("t", "g").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.min("comp").alias("lo"), F.max("comp").alias("hi")), "matrix")
     other = matrix.select("t", *(F.col(c).alias(f"o_{c}") for c in ("g", "least", "most", "lo", "hi")))
-    meets = matrix.join(other, "t").filter("g <= o_g and not (lo = hi and o_lo = o_hi and lo = o_lo)")
+    meets = matrix.join(other, "t").filter("g < o_g and not (lo = hi and o_lo = o_hi and lo = o_lo)")
     meets = meets.filter(f"{UNDER} * o_most >= {OVER} * least and {UNDER} * most >= {OVER} * o_least")
     counted = meets.groupBy("g", "o_g").agg(F.count("*").alias("held"), F.greatest(F.min("least"), F.min("o_least")).alias("n"))
-    met = stage(counted.filter(f"held >= {LEAST_SHARED}").select(F.col("g").alias("g1"), F.col("o_g").alias("g2")), "met")
-    if met.isEmpty():
-        return None
-    members = placed.join(sets, "rep").select("g", "rep", "comp", "set")
-    sides = F.explode(F.array_distinct(F.array("g1", "g2"))).alias("g")
-    opened = met.select("g1", "g2", sides).join(members, "g")
-
-    def open_groups(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        held = {g: [(r, c, np.frombuffer(s, np.uint64)) for r, c, s in zip(x["rep"], x["comp"], x["set"], strict=True)] for g, x in rows.groupby("g")}
-        one, two = held.get(key[0], []), held.get(key[1], [])
-        union = np.unique(np.concatenate([s for *_, s in two])) if two else np.zeros(0, np.uint64)
-        up: dict[int, int] = {}
-
-        def top(c: int) -> int:
-            while c in up:
-                c = up[c]
-            return c
-
-        links = []
-        for rep, comp, x in one:
-            if UNDER * _overlap(x, union) < OVER * len(x):
-                continue
-            for other, its, y in two:
-                if (key[0] == key[1] and rep <= other) or top(comp) == top(its) or UNDER * min(len(x), len(y)) < OVER * max(len(x), len(y)):
-                    continue
-                if similar(_overlap(x, y), len(x), len(y)):
-                    links.append((rep, other))
-                    up[top(comp)] = top(its)
-        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
-
-    return opened.groupBy("g1", "g2").applyInPandas(open_groups, "a long, b long")
+    met = counted.filter(f"held >= {LEAST_SHARED}").select(F.col("g").alias("one"), F.col("o_g").alias("two"))
+    queries = met.join(groups, F.col("one") == F.col("g")).select("rep", F.col("two").alias("g"))
+    return _opened(groups, queries, sets)
 
 
 def _solved(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -344,16 +369,15 @@ def _solved(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     index, rare = _index(described)
     wanted = index.select("rep").union(rare.select(F.explode(F.array("a", "b")).alias("rep"))).distinct()
     sets = _needed_sets(docs, classes.join(wanted, "rep", "leftsemi"))
-    links = stage(_verified(rare, sets), "pairs")
+    links = stage(_from_pairs(rare, sets), "pairs")
     found = components(links)
     for turn in range(ROUNDS + 1):
         index = _with_components(index, found)
         if index.isEmpty():
             break
-        fresh = _verified(_from_leaders(index, turn), sets) if turn < ROUNDS else _from_matrix(index, sets)
-        if fresh is not None:
-            links = stage(links.union(fresh), "pairs")
-            found = components(links)
+        fresh = _from_pairs(_from_leaders(index, turn), sets) if turn < ROUNDS else _from_matrix(index, sets)
+        links = stage(links.union(fresh), "pairs")
+        found = components(links)
     joined = classes.join(found, F.col("rep") == F.col("node"), "left")
     return described, stage(joined.select(F.col("rep").alias("class"), F.coalesce("component", "rep").alias("comp"), "doc_id"), "nodes")
 
