@@ -562,3 +562,49 @@ def pages_to_listings(spark, sf_dir):
     """Detail pages -> listings -> last write per key -> encoded rows."""
     landed = flows.land_listings(dv.detail_pages(spark, sf_dir), spark.createDataFrame([], LISTING))
     return flows.for_kv(landed.listings).select("key", "link", "crawled_date", "title", "price", "address")
+
+
+# --- second deliveries into filled tables ---------------------------------------------------------
+
+
+def _dearer(rows: DataFrame, price: str) -> DataFrame:
+    return rows.withColumn(price, F.col(price).cast("decimal(12,2)") + 1)
+
+
+@query
+def index_refill(spark, sf_dir):
+    """Search pages into an index that has half of their hits already: stored hits keep their prices."""
+    orders = dv.view(spark, sf_dir, dv.ORDERS)
+    url = F.concat(F.lit("http://x.example.com/ban/nha-dat.htm/p"), F.col("o_orderkey").cast("string"))
+    first = dv.rendered_search_pages(orders.filter("o_orderkey % 2 = 0"), url)
+    root = f"{scratch_root(spark).rstrip('/')}/index-{uuid.uuid4().hex}"
+    empty = spark.createDataFrame([], PROPERTY_INDEX)
+    sinks.write_snapshot(flows.index_search_pages(first, empty).index, root, ["vendor", "type"])
+    again = dv.rendered_search_pages(_dearer(orders, "o_totalprice"), url)
+    index = flows.index_search_pages(again, sinks.read_snapshot(spark, root)).index
+    return index.select("vendor", "type", "property_id", "link", "property_price")
+
+
+@query
+def listings_refill(spark, sf_dir):
+    """Detail pages into filled listings: later crawls replace what is stored, earlier ones do not."""
+    parts = dv.view(spark, sf_dir, dv.PARTS)
+    stored = flows.land_listings(dv.rendered_detail_pages(parts), spark.createDataFrame([], LISTING)).listings
+    root = f"{scratch_root(spark).rstrip('/')}/listings-{uuid.uuid4().hex}"
+    sinks.write_snapshot(stored, root)
+    when = F.when(F.col("page_id") % 2 == 0, "2024-02-01 00:00:00").otherwise("2023-12-01 00:00:00").cast("timestamp")
+    again = dv.rendered_detail_pages(_dearer(parts, "p_retailprice")).withColumn("crawled_date", when)
+    landed = flows.land_listings(again, sinks.read_snapshot(spark, root))
+    return landed.listings.select("key", "link", "price", F.col("crawled_date").cast("timestamp_ntz").alias("crawled_date"))
+
+
+@query
+def work_insert(spark, sf_dir):
+    """Hits into the work table: the keys it lacks, in the partitions that get rows."""
+    stored, arriving = _split(_hits(spark, sf_dir), "created_date", SPLIT_DATE)
+    columns = stored.columns
+    known = tables.insert_hits(stored.filter(F.lit(False)), stored).withColumn("last_crawled_date", F.lit(None).cast("timestamp_ntz"))
+    root = f"{scratch_root(spark).rstrip('/')}/work-{uuid.uuid4().hex}"
+    work.write_work(known, root, "year")
+    work.insert_work(spark, root, arriving)
+    return work.read_work(spark, root).select(*columns)

@@ -156,6 +156,11 @@ def _pages(rows: DataFrame, page_id: str, html: dict[str, Column], **columns: Co
 
 def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One detail page per part: some without a size, some with a second address, entities and open tags."""
+    return rendered_detail_pages(view(spark, sf_dir, PARTS))
+
+
+def rendered_detail_pages(rows: DataFrame) -> DataFrame:
+    """Detail pages of rows with a part's columns, in the markup of the site that the key names."""
     key, size = F.col("p_partkey"), F.col("p_size")
     name, brand, kind = F.col("p_name"), F.col("p_brand"), F.col("p_type")
     price = F.col("p_retailprice").cast("decimal(12,2)")
@@ -206,7 +211,7 @@ def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         '</span></div>',
     )
     return _pages(
-        view(spark, sf_dir, PARTS), "p_partkey", {"bds": bds, "mbnd": mbnd, "tbds": tbds},
+        rows, "p_partkey", {"bds": bds, "mbnd": mbnd, "tbds": tbds},
         type=F.when(size % 3 == 0, "sell").otherwise("rent"),
         url=F.concat(F.lit("https://x.example.com/nha-pr"), key.cast("string"), F.when(size % 5 == 0, ".html").otherwise(".htm")),
     )

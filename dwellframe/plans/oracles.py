@@ -288,3 +288,13 @@ ORACLES["pages_due"] = f"""select seed, idx, vendor || crawl_url || case site wh
   from (select *, unnest(range(first, greatest(first, least(coalesce(max_depth, 2), filled + 1)) + 1)) as idx
     from (select *, coalesce(start_index, case site when 'mbnd' then 0 else 1 end) as first from {_view(dv.PAGED_SEEDS)} v) a) b
   where not (seed % 7 = 0 and idx >= 4 and first <= 4)"""
+ORACLES["work_insert"] = ORACLES["index_first_write"]
+ORACLES["index_refill"] = f"""select vendor, type, property_id, link, case when page_id % 2 = 0 then property_price
+    else cast(cast(property_price as decimal(12,2)) + 1 as double) end as property_price from {EXPECTED_HITS} h"""
+ORACLES["listings_refill"] = f"""select key, link, price, crawled_date from (
+  select *, row_number() over (partition by key order by crawled_date desc, fresh desc, link) as k from (
+    select key, link, price, timestamp '2024-01-01 00:00:00' as crawled_date, 0 as fresh from {EXPECTED_PAGES} p
+    union all
+    select key, link, cast(cast(price as decimal(12,2)) + 1 as double),
+      case when page_id % 2 = 0 then timestamp '2024-02-01 00:00:00' else timestamp '2023-12-01 00:00:00' end, 1 from {EXPECTED_PAGES} q) a) b
+  where k = 1"""
