@@ -17,7 +17,7 @@ from dwellframe.plans import flows, streams
 from dwellframe.schemas import LISTING, PROPERTY_INDEX
 from dwellframe.session import scratch_root
 from dwellframe.sources.html_nodes import Names, html_nodes, with_nodes
-from dwellframe.sources.readers import read_pages
+from dwellframe.sources.readers import read_jobs, read_lines, read_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -608,3 +608,57 @@ def work_insert(spark, sf_dir):
     work.write_work(known, root, "year")
     work.insert_work(spark, root, arriving)
     return work.read_work(spark, root).select(*columns)
+
+
+# --- readers, appends, deletions -----------------------------------------------------------------
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def lines_read(spark, sf_dir):
+    """Texts landed as text files, read back as trimmed lines."""
+    path = _scratch(spark, "lines")
+    dv.table(spark, sf_dir, "documents").select(F.concat(F.lit("  "), "text", F.lit(" \u3000\n\n")).alias("value")).write.text(path)
+    return read_lines(spark, path).groupBy(F.md5("value").alias("digest")).agg(F.count("*").alias("n"))
+
+
+@query
+def jobs_read(spark, sf_dir):
+    """Job records landed as JSON lines, and their figures."""
+    path = _scratch(spark, "jobs")
+    _jobs(spark, sf_dir).select("host", "state", "start_time", "end_time").write.json(path)
+    return monitor.job_stats(read_jobs(spark, path))
+
+
+@query
+def append_twice(spark, sf_dir):
+    """Two deliveries appended to one table, duplicates and all."""
+    path = _scratch(spark, "appended")
+    rows = dv.hits(spark, sf_dir).select("l_orderkey", "l_linenumber", "vendor", "type", "link")
+    for part in (rows, rows.filter("type = 'rent'")):
+        sinks.append(part, path, ["type"])
+    return spark.read.parquet(path).select(*rows.columns)
+
+
+@query
+def url_stem(spark, sf_dir):
+    return dv.table(spark, sf_dir, "pages").select("page_id", S.rchop("url", ".html").alias("stem"))
+
+
+@query
+def rental_deleted(spark, sf_dir):
+    """The rental documents that the clean-up deletes."""
+    v = dv.view(spark, sf_dir, dv.RENTAL)
+    kept = dedupe.dedupe_survivor(v, order=["seq", "ep", "sk"])
+    return dedupe.delete_unless_survivor(v, kept, ["property_id", "seq", "ep", "sk"]).select("property_id", "seq", "ep", "sk")
+
+
+@query
+def wanted_pairs(spark, sf_dir):
+    """Work items of the vendors and types that some task asks for."""
+    index = dv.view(spark, sf_dir, dv.INDEX)
+    wanted = frontier.task_types(dv.tasks(spark, sf_dir))
+    return tables.semi_by_keys(index, wanted, ["vendor", "type"]).select("vendor", "type", "property_id")

@@ -298,3 +298,13 @@ ORACLES["listings_refill"] = f"""select key, link, price, crawled_date from (
     select key, link, cast(cast(price as decimal(12,2)) + 1 as double),
       case when page_id % 2 = 0 then timestamp '2024-02-01 00:00:00' else timestamp '2023-12-01 00:00:00' end, 1 from {EXPECTED_PAGES} q) a) b
   where k = 1"""
+ORACLES["jobs_read"] = ORACLES["job_stats"]
+ORACLES["lines_read"] = f"""select md5(line) as digest, count(*) as n from (
+    select trim(unnest(regexp_split_to_array(text, '\\r\\n|\\n|\\r')), {SPACES}) as line from documents) d where line <> '' group by 1"""
+ORACLES["append_twice"] = f"""select l_orderkey, l_linenumber, vendor, type, link from {HITS} h
+    union all select l_orderkey, l_linenumber, vendor, type, link from {HITS} h where type = 'rent'"""
+ORACLES["url_stem"] = "select page_id, case when ends_with(url, '.html') then left(url, length(url) - 5) else url end as stem from pages"
+ORACLES["rental_deleted"] = f"""select property_id, seq, ep, sk from {_view(dv.RENTAL)} r
+    except all select property_id, seq, ep, sk from {SURVIVORS} s"""
+ORACLES["wanted_pairs"] = f"""select vendor, type, property_id from {INDEX} i where exists (
+    select 1 from {TASK_TYPES} t where t.vendor = i.vendor and t.type = i.type)"""
