@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dwellframe.llm.common import bound_batches
+
 START, END = "<|im_start|>", "<|im_end|>"
 MARK = re.compile(r"<\|im_(?:start|end)\|>")
 ESCAPABLE = re.compile(r"<(\\*\|im_(?:start|end)\|>)")
@@ -120,6 +122,7 @@ def format_chats(rows: DataFrame, learned: str = "assistant") -> DataFrame:
     null for others). Positions are code points. The pieces of a conversation, joined by place, are its formatted text;
     they lie in one partition in that order, so :func:`digests` and writers can go on without another shuffle.
     """
+    bound_batches(rows.sparkSession)
     conv = rows.schema["conv_id"].dataType
     turns = rows.select(
         "conv_id", "turn", F.coalesce(F.col("role"), F.lit("")).alias("role"), F.coalesce(F.col("text"), F.lit("")).alias("text")

@@ -17,6 +17,16 @@ from dwellframe.session import new_staged
 BATCH_BYTES = 1 << 20
 
 
+#: Bytes of an Arrow batch between the JVM and Python; without a limit, 10,000 rows however long they are.
+ARROW_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of this session in bytes, unless it says how itself."""
+    if spark.conf.get(ARROW_BYTES[0], None) is None:
+        spark.conf.set(*ARROW_BYTES)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -33,6 +43,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     ``session.drop_staged`` drop such tables.
     """
     spark, path = df.sparkSession, new_staged(df.sparkSession, name)
+    bound_batches(spark)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -62,6 +73,7 @@ def map_texts(
     ``make`` runs once per task and returns the function from a list of texts to one list (or Arrow
     array) per field. Other columns of ``docs`` are not read, so their names cannot clash.
     """
+    bound_batches(docs.sparkSession)
     kept = [docs.schema[c] for c in keep]
     schema = T.StructType([*kept, *fields])
 

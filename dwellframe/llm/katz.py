@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 
-from dwellframe.llm.common import mix, slices, stage, word_hashes
+from dwellframe.llm.common import bound_batches, mix, slices, stage, word_hashes
 
 K = 5
 #: Tokens that a task packs at once, counts or adds up at once, and about how many one bucket holds.
@@ -434,6 +434,7 @@ class Model:
 
 def learn(docs: DataFrame, train: Column) -> Model:
     """Count the training rows of ``docs`` and evaluate the parts of all rows' scores; both staged as tables."""
+    bound_batches(docs.sparkSession)
     table = count_words(docs, train)
     uni = Unigrams.of(table)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0

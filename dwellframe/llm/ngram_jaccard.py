@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dwellframe.llm.common import mix, slices, stage, word_hashes
+from dwellframe.llm.common import bound_batches, mix, slices, stage, word_hashes
 from dwellframe.llm.components import components
 
 WIDTH = 5
@@ -328,13 +328,25 @@ def _opened(groups: DataFrame, queries: DataFrame, sets: DataFrame) -> DataFrame
         asking.select("g", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("part"), "rep", "set", F.lit(True).alias("asks"))
     )
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        sides: tuple[list, list] = [], []
-        for rep, x, asks in zip(rows["rep"], rows["set"], rows["asks"], strict=True):
-            sides[asks].append((rep, np.frombuffer(x, np.uint64)))
-        return pd.DataFrame(open_group(sorted(sides[0], key=lambda m: m[0]), sides[1], key[1] == 0), columns=["a", "b"], dtype="int64")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, sides = None, ([], [])
+
+        def links() -> pa.RecordBatch:
+            found = open_group(sorted(sides[0], key=lambda m: m[0]), sides[1], at[1] == 0)
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+        for batch in batches:
+            for g, part, rep, x, asks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (g, part) != at:
+                    if at and len(sides[0]) + len(sides[1]) > 1:
+                        yield links()
+                    at, sides = (g, part), ([], [])
+                sides[asks].append((rep, np.frombuffer(x, np.uint64)))
+        if at:
+            yield links()
 
-    return rows.groupBy("g", "part").applyInPandas(run, "a long, b long")
+    # a group's rows stand together, so a task holds one group at a time
+    return rows.repartition("g", "part").sortWithinPartitions("g", "part").mapInArrow(run, "a long, b long")
 
 
 def _from_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -364,6 +376,7 @@ def _from_matrix(index: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _solved(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Every row as (doc_id, n_shingles, class, ..) and every class as (class, comp, its least doc_id), both staged."""
+    bound_batches(docs.sparkSession)
     described = _described(docs)
     classes = described.filter("class is not null").groupBy(F.col("class").alias("rep")).agg(F.min("doc_id").alias("doc_id"))
     index, rare = _index(described)

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dwellframe.llm.chat_format import records
+from dwellframe.llm.common import bound_batches
 
 SPACE = " \t\n\x0b\f\r"
 NOTHING, SYSTEM, USER, ASSISTANT = range(4)
@@ -242,6 +243,7 @@ def repair_turns(rows: DataFrame) -> DataFrame:
     blank, duplicate and truncated rows by first fault, illegal neighbours and the cost. Rows with ``dropped`` true only
     name their conversation. A conversation's rows lie in one partition in this order.
     """
+    bound_batches(rows.sparkSession)
     schema = T.StructType([
         T.StructField("conv_id", rows.schema["conv_id"].dataType), T.StructField("step", T.LongType()),
         *[T.StructField(n, T.StringType()) for n in ("edit", "role", "text")],

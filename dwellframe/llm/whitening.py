@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dwellframe.llm.common import bound_batches
+
 SCALE, OFFSET = 64, 1_000_000
 LARGEST = float(1 << 40)
 EXACT = 1 << 53  # integers up to here are exact as doubles
@@ -229,6 +231,7 @@ def pair_sums(vectors: DataFrame, dims: int, make, kind: pa.DataType, sql: str)
 
 
 def fit_whitening(rows: DataFrame, vector: str = "embedding", most: int = 32) -> Whitening:
+    bound_batches(rows.sparkSession)
     vectors = rows.select(vector)
     n, sums = first_sums(vectors)
     dims = len(sums)
