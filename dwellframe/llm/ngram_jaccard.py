@@ -264,7 +264,7 @@ def _with_components(index: DataFrame, found: DataFrame) -> DataFrame:
     """Entries of shingles whose holders are in more than one component."""
     joined = index.drop("comp").join(found, F.col("rep") == F.col("node"), "left").select("t", "rep", "n", F.coalesce("component", "rep").alias("comp"))
     mixed = joined.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("t")
-    left = stage(joined.join(mixed, "t"), "mixed")
+    left = joined.join(mixed, "t")
     # a similar set of another component shares unsettled shingles only, and so many of them
     enough = left.groupBy("rep").agg(F.count("*").alias("held"), F.first("n").alias("n")).filter(f"held >= {LEAST_SHARED}").select("rep")
     return stage(left.join(enough, "rep", "leftsemi"), "unsettled")
@@ -382,15 +382,17 @@ def _solved(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     index, rare = _index(described)
     wanted = index.select("rep").union(rare.select(F.explode(F.array("a", "b")).alias("rep"))).distinct()
     sets = _needed_sets(docs, classes.join(wanted, "rep", "leftsemi"))
-    links = stage(_from_pairs(rare, sets), "pairs")
-    found = components(links)
+    found = components(_from_pairs(rare, sets))
+    changed = True
     for turn in range(ROUNDS + 1):
-        index = _with_components(index, found)
+        if changed:
+            index = _with_components(index, found)
         if index.isEmpty():
             break
-        fresh = _from_pairs(_from_leaders(index, turn), sets) if turn < ROUNDS else _from_matrix(index, sets)
-        links = stage(links.union(fresh), "pairs")
-        found = components(links)
+        fresh = stage(_from_pairs(_from_leaders(index, turn), sets) if turn < ROUNDS else _from_matrix(index, sets), "pairs")
+        changed = not fresh.isEmpty()
+        if changed:  # what was connected before is a star by now
+            found = stage(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(fresh)), "found")
     joined = classes.join(found, F.col("rep") == F.col("node"), "left")
     return described, stage(joined.select(F.col("rep").alias("class"), F.coalesce("component", "rep").alias("comp"), "doc_id"), "nodes")
 
