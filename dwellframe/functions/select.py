@@ -10,6 +10,7 @@ Arrays may hold a part of a page (one hit): ``Part`` says how far its places are
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from dwellframe.functions.scalars import WHITESPACE
@@ -51,12 +52,20 @@ def bind(value: str, name: str, body: str) -> str:
 
 @dataclass(frozen=True)
 class Part:
-    """Where the nodes are: the arrays' names, and how many elements and texts of the page come before theirs."""
+    """Where the nodes are: the arrays' names, and how many elements and texts of the page come before theirs.
+
+    ``fits`` has the numbers under which the parser told what elements fulfil; others are tested here.
+    """
 
     elements: str = "elements"
     texts: str = "texts"
     elements_before: str = "0"
     texts_before: str = "0"
+    fits: Mapping[El, int] | None = None
+
+    def test(self, step: El, e: str) -> str:
+        known = None if self.fits is None else self.fits.get(step)
+        return step.matches(e) if known is None else f"array_contains({e}.fits, {known})"
 
 
 PAGE = Part()
@@ -83,10 +92,10 @@ def elements_at(*steps: El, part: Part = PAGE, first: str | None = None) -> str:
 
     ``first`` gives the matches of the first step where they are known already.
     """
-    found = first or f"filter({part.elements}, e -> {steps[0].matches('e')})"
+    found = first or f"filter({part.elements}, e -> {part.test(steps[0], 'e')})"
     for step in steps[1:]:
         linked = " and e.parent_seq = o.seq" if step.child else ""
-        below = f"filter({inside('o', part)}, e -> {step.matches('e')}{linked})"
+        below = f"filter({inside('o', part)}, e -> {part.test(step, 'e')}{linked})"
         places = f"sort_array(array_distinct(flatten(transform(outer, o -> transform({below}, e -> e.place)))))"
         one = f"flatten(transform(outer, o -> {below}))"  # elements around each other hold the same ones
         found = bind(found, "outer", f"if(size(outer) < 2, {one}, {at_places(places, part)})")

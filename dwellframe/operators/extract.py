@@ -10,6 +10,7 @@ the ``crawl_url`` they came from. Without a ``crawled_date`` the time of the run
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -50,40 +51,54 @@ def _start(source: Source) -> El | AfterLabel | None:
     return None
 
 
+def _paths(rules: SiteRules, part: str) -> list[tuple[El, ...]]:
+    """The steps that the selections of ``part`` go through, on search pages the blocks' first."""
+    paths = [rules.blocks] if part != "page_fields" else []
+    for source, _ in () if part == "blocks" else getattr(rules, part).values():
+        match source:
+            case Texts(path) | Attr(path, _):
+                paths.append(path)
+            case LabelledItem(_, list_class):
+                paths.append((El("ul", class_attr=list_class), El("li", child=True)))
+            case AfterLabel(_, label_tag, value_tag) if part == "hit_fields":
+                paths.append((El(label_tag), El(value_tag)))
+    return paths
+
+
+def _starts(rules: SiteRules, part: str) -> list[El | AfterLabel]:
+    """What the parser marks the places of: where a site's page fields start, or its search hits."""
+    starts = [_start(source) for source, _ in rules.page_fields.values()] if part == "page_fields" else [rules.blocks[0]]
+    return list(dict.fromkeys(s for s in starts if s is not None))
+
+
 def _marks(rules: SiteRules, part: str) -> dict[El | AfterLabel, int]:
-    """Numbers of a site's marks: where its page fields start, or its search hits."""
-    starts = [rules.blocks[0]] if part == "hit_fields" else [_start(source) for source, _ in rules.page_fields.values()]
-    return {start: n for n, start in enumerate(dict.fromkeys(s for s in starts if s is not None))}
+    """Numbers of all that a site's selections name: the marks first, then what elements only tell in their ``fits``."""
+    named = [*_starts(rules, part), *(step for path in _paths(rules, part) for step in path)]
+    return {e: n for n, e in enumerate(dict.fromkeys(named))}
+
+
+#: What selections read of an element that tells what it fulfils; those after a label read more.
+READ = ("seq", "parent_seq", "attrs", "place", "size", "text_place", "n_texts", "own")
 
 
 def page_names(sites: Mapping[str, SiteRules], part: str) -> dict[str, Names]:
-    """What the parser is to keep of each site's pages for the fields of ``part``: what some rule names."""
+    """What the parser is to keep of each site's pages for the fields of ``part``, or for the ``blocks`` alone: what some rule names."""
     made = {}
     for name, rules in sites.items():
         marks = _marks(rules, part)
-        asked: dict[El, int | None] = {e: n for e, n in marks.items() if isinstance(e, El)}
-        for source, _ in [(Texts(rules.blocks), None)] * (part == "hit_fields") + list(getattr(rules, part).values()):
-            match source:
-                case Texts(path) | Attr(path, _):
-                    steps = path
-                case LabelledItem(_, list_class):
-                    steps = (El("ul", class_attr=list_class), El("li", child=True))
-                case AfterLabel(_, label_tag, value_tag) if part == "hit_fields":
-                    steps = (El(label_tag), El(value_tag))
-                case _:
-                    steps = ()
-            for step in steps:
-                asked.setdefault(step, None)
-        elements = [(e.tag, tuple(e.cls.split()), e.id, e.class_attr, e.class_prefix, n) for e, n in asked.items()]
+        sources = [source for source, _ in ({} if part == "blocks" else getattr(rules, part)).values()]
+        elements = [(e.tag, tuple(e.cls.split()), e.id, e.class_attr, e.class_prefix, n) for e, n in marks.items() if isinstance(e, El)]
         labels = [(e.label_tag, e.label, e.value_tag, n) for e, n in marks.items() if isinstance(e, AfterLabel)]
-        made[name] = Names(elements, labels, len(marks))
+        told = part == "hit_fields" and any(isinstance(s, AfterLabel) for s in sources)
+        read = READ + (("tag", "own_text") if told else ())
+        made[name] = Names(elements, labels, len(_starts(rules, part)), frozenset(s.name for s in sources if isinstance(s, Attr)), read)
     return made
 
 
-def _values(source: Source, marks: Mapping | None = None) -> str:
-    """The texts a rule finds on a page with ``marks``, or else in one hit."""
-    part = sel.HIT if marks is None else sel.PAGE
-    first = None if marks is None or (start := _start(source)) is None else sel.marked(marks[start])
+def _values(source: Source, marks: Mapping | None = None, hit: bool = False) -> str:
+    """The texts a rule finds on a page with ``marks``, or else in one hit; ``hit`` says that a hit has their numbers."""
+    part = replace(sel.HIT if hit or marks is None else sel.PAGE, fits=marks)
+    first = None if hit or marks is None or (start := _start(source)) is None else sel.marked(marks[start])
     match source:
         case Texts(path):
             return sel.own_texts(sel.elements_at(*path, part=part, first=first), part)
@@ -123,12 +138,12 @@ def _per_site(sites: Mapping[str, SiteRules], build: Callable[[SiteRules], str |
 def _fields(sites: Mapping[str, SiteRules], part: str) -> dict[str, Column]:
     """One column per field any site has a rule for."""
 
-    marks = {id(r): _marks(r, part) if part == "page_fields" else None for r in sites.values()}
+    marks = {id(r): _marks(r, part) for r in sites.values()}
 
     def built(name: str) -> Column:
         def of_site(r: SiteRules) -> str | None:
             rule = getattr(r, part).get(name)
-            return _taken(_values(rule[0], marks[id(r)]), rule[1]) if rule else None
+            return _taken(_values(rule[0], marks[id(r)], part == "hit_fields"), rule[1]) if rule else None
 
         return F.expr(_per_site(sites, of_site))
 
@@ -148,15 +163,20 @@ def _faults(sites: Mapping[str, SiteRules]) -> Column:
 # --- search pages -------------------------------------------------------------------------------
 
 
-def search_nodes(pages: DataFrame, sites: Mapping[str, SiteRules] = SITES) -> DataFrame:
-    """Search pages parsed to what their sites' rules name."""
-    return with_nodes(pages, page_names(sites, "hit_fields"))
+def search_nodes(pages: DataFrame, sites: Mapping[str, SiteRules] = SITES, part: str = "hit_fields") -> DataFrame:
+    """Search pages parsed to what their sites' rules name, for the fields of the hits or for the ``blocks`` alone."""
+    return with_nodes(pages, page_names(sites, part))
 
 
 def page_blocks(parsed: DataFrame, sites: Mapping[str, SiteRules] = SITES) -> DataFrame:
     """Add ``blocks``, the hit elements of each search page, and ``n_hits``."""
     marked = "marks" in parsed.columns
-    blocks = _per_site(sites, lambda r: sel.elements_at(*r.blocks, first=sel.marked(_marks(r, "hit_fields")[r.blocks[0]]) if marked else None))
+
+    def of_site(rules: SiteRules) -> str:
+        marks = _marks(rules, "blocks")  # the blocks' steps come first on all search pages
+        return sel.elements_at(*rules.blocks, part=replace(sel.PAGE, fits=marks), first=sel.marked(marks[rules.blocks[0]]))
+
+    blocks = _per_site(sites, of_site if marked else lambda r: sel.elements_at(*r.blocks))
     return parsed.withColumn("blocks", F.expr(blocks)).withColumn("n_hits", F.size("blocks"))
 
 
@@ -184,9 +204,10 @@ def extract_hits(
     With ``keep_empty`` a page without hits also gives a row, set aside as having none, so that
     :func:`hits_per_page` can count all pages from one staged result.
     """
-    hits = hit_rows(search_nodes(_dated(pages), sites), sites, keep_empty)
+    passed = ["page_id", "site", "vendor", "type", "crawl_url", "crawled_date"]
+    hits = hit_rows(search_nodes(_dated(pages).select(*passed, "html"), sites), sites, keep_empty)
     raw = hits.select(
-        "page_id", "hit_no", "site", "vendor", "type", "crawl_url", "crawled_date",
+        "hit_no", *passed,
         *[c.alias(n) for n, c in _fields(sites, "hit_fields").items()],
     )
     linked = raw.withColumn("link", S.absolute_link("vendor", "href"))
@@ -277,7 +298,9 @@ def quarantine(records: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Both halves are lazy: to write both, stage the records first, or the pages are parsed twice.
     """
-    # a generator keeps the filters from being pushed below the extraction, which would then run twice
-    records = records.select(F.inline(F.array(F.struct(*records.columns))))
+    # a generator of the reasons alone keeps the filters from being pushed below the extraction, which would then run twice,
+    # while columns that nobody reads are still not extracted
+    told = records.select(*[c for c in records.columns if c != "_errors"], F.inline(F.array(F.struct("_errors"))))
+    records = told.select(*records.columns)
     good = F.size("_errors") == 0
     return records.filter(good).drop("_errors"), records.filter(~good)

@@ -455,7 +455,7 @@ def node_counts(spark, sf_dir):
 @query
 def blocks(spark, sf_dir):
     """Hits per search page, empty pages included."""
-    parsed = with_nodes(dv.search_pages(spark, sf_dir))
+    parsed = extract.search_nodes(dv.search_pages(spark, sf_dir).select("page_id", "site", "html"), part="blocks")
     return extract.page_blocks(parsed).select("page_id", "site", F.col("n_hits").cast("bigint").alias("n_hits"))
 
 

@@ -15,6 +15,7 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,12 +50,15 @@ ENDS: dict[str, tuple[frozenset[str], frozenset[str]]] = {
        for tag in ("tbody", "thead", "tfoot")},
     "body": (frozenset(["head"]), frozenset()),
 }
-# One split of a page by this pattern yields its texts and, between them, the groups
-# (raw tag, its attributes, its raw text, slash, name, attributes). Comments and declarations leave
-# all groups empty. Attribute text minds quotes, unless a quote never closes.
+# One split of a page by this pattern yields its texts and, between them, its markup. A quote that never closes is no quote.
 _REST = r"""[^<>"']*+(?:(?:"[^"]*"|'[^']*')[^<>"']*+)*+"""
-MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
+_RAW = "|".join(rf"{tag}(?=[\s/>]){_REST}>.*?(?:</{tag}\s*>|\Z)" for tag in ("script", "style"))
+# the usual tags come first, spelled so that they are found without trying the rest
+_PLAIN = r"""/[a-zA-Z]+>|(?:[a-rt-zA-RT-Z]|[sS](?![cCtT]))[^\s/<>]*+[^<>"']*+(?:"[^"]*"[^<>"']*+)*+>"""
+MARKUP = re.compile(rf"(<(?:{_PLAIN}|!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(?i:{_RAW})|/?[a-zA-Z\u0130\u0131\u017f\u212a][^\s/<>]*+(?:{_REST}(?=>)|[^<>]*)>))", re.S)
+# What one piece of markup says: (raw tag, its attributes, its raw text, slash, name, attributes). Comments and declarations leave all empty.
+PIECE = re.compile(
+    r"<[!?].*"
     rf"|<(script|style)(?=[\s/>])({_REST})>(.*?)(?:</\1\s*>|\Z)"
     rf"|<(/?)([a-z][^\s/<>]*+)({_REST}(?=>)|[^<>]*)>",
     re.S | re.I,
@@ -64,35 +68,67 @@ NO_ENDS: tuple[frozenset[str], frozenset[str]] = (frozenset(), frozenset())
 
 
 CACHED, SHORT = 4096, 80
-_seen: dict[str, dict[str, str]] = {}
 
 
 def _attributes(text: str) -> dict[str, str]:
-    """Attributes by name. Short attribute texts recur, so their readings are kept a while; nobody changes them."""
-    if (found := _seen.get(text)) is not None:
-        return found
-    found = {}
+    """Attributes by name."""
+    found: dict[str, str] = {}
     for name, double, single, bare in ATTRIBUTE.findall(text):
         value = double or single or bare
         found.setdefault(name.lower(), unescape(value) if "&" in value else value)
-    if len(text) <= SHORT:
-        if len(_seen) >= CACHED:
-            _seen.clear()
-        _seen[text] = found
     return found
 
 
+class Piece:
+    """One piece of markup as read: an end tag, or a start tag with its attributes and what asked for it. Nobody changes it."""
+
+    __slots__ = ("tag", "ends", "closes", "void", "raw_text", "id", "css", "classes", "attrs", "found", "fits")
+
+    def __init__(self, raw_tag: str | None, raw_rest: str, raw_text: str | None, slash: str, name: str, rest: str, names: Names | None) -> None:
+        self.tag = tag = sys.intern((name or raw_tag).lower())
+        self.closes = (2 if tag in BLOCKS or tag in CELLS else 1) if slash else 0  # 2: whatever cells are open in it
+        if slash:
+            return
+        self.ends = NO_ENDS if raw_tag else ENDS.get(tag, NO_ENDS)
+        self.void, self.raw_text = tag in VOID, raw_text if raw_tag else None
+        attrs = _attributes(rest if name else raw_rest) if (rest if name else raw_rest) else {}
+        self.id, self.css = attrs.get("id"), attrs.get("class")
+        self.classes = self.css.split() if self.css else ()
+        self.found = names.match(tag, self.id, self.css) if names else ()
+        self.fits = sorted({n for n in self.found if n is not None})
+        self.attrs = attrs if names is None or names.attrs is None else {k: v for k, v in attrs.items() if k in names.attrs}
+
+
+def read_piece(text: str, names: Names | None, known: dict[str, Piece | None]) -> Piece | None:
+    """What a piece of markup says, None for comments and the like. Short pieces recur, so their readings are kept a while."""
+    groups = PIECE.match(text).groups()
+    piece = Piece(*groups, names) if groups[0] or groups[4] else None
+    if len(text) <= SHORT:
+        if len(known) >= CACHED:
+            known.clear()
+        known[text] = piece
+    return piece
+
+
+_known: dict[str, Piece | None] = {}
+UNKNOWN = object()
+
+
 class Names:
     """What to keep of a page, and what to mark in it.
 
     ``elements`` are (tag, classes, id, class attribute, class prefix, mark): an element that fulfils all that is
     not None is kept and its place noted under the mark, if there is one. ``labels`` are (label tag, label, value tag, mark): the
     next value tag after the end of a label tag whose first own text holds the label is kept and marked likewise.
-    Texts are kept inside kept elements.
+    Texts are kept inside kept elements. Numbers of ``n_marks`` and more only show in the ``fits`` of the elements.
+    Of the attributes all are kept, or those named in ``attrs``; of an element's ``fields`` all, or those named.
     """
 
-    def __init__(self, elements: list[tuple], labels: list[tuple], n_marks: int) -> None:
-        self.n_marks = n_marks
+    def __init__(
+        self, elements: list[tuple], labels: list[tuple], n_marks: int, attrs: frozenset[str] | None = None, fields: tuple[str, ...] | None = None
+    ) -> None:
+        self.n_marks, self.attrs, self.fields = n_marks, attrs, fields
+        self.known: dict[str, Piece | None] = {}
         self.by: dict[tuple[str, str], list[tuple]] = {}  # filed under the rarest thing asked for
         self.prefixes: list[tuple] = []
         for asked in elements:
@@ -142,19 +178,22 @@ def parse_into(html: str | None, elements: list[list], texts: list[list], names:
     Recovers from unclosed and misnested tags the way browsers mostly do; markup broken beyond that
     may nest differently from another parser's reading. Open tags are looked up by name, so deep nesting costs no more.
     """
-    marks: list[list[int]] = [[] for _ in range(names.n_marks)] if names else []
+    n_marks = names.n_marks if names else 0
+    marks: list[list[int]] = [[] for _ in range(n_marks)]
     if not html:
         return marks
-    e_seq, e_end, e_parent, e_tag, e_id, e_class, e_classes, e_attrs = elements
+    e_seq, e_end, e_parent, e_piece = elements
     t_seq, t_parent, t_text = texts
     before = len(e_seq) - 1  # places count from 1
     open_tags: list[str] = []
     open_rows: list[int] = []  # -1: not kept
-    open_seqs: list[int] = []
+    open_seqs: list[int] = [-1]  # that of the page itself first
     open_told: list = []  # of a label tag: the labels its first own text holds
     depths: dict[str, list[int]] = {}
     waiting: dict[str, list[int]] = {}  # value tag -> marks for the next one
     asked_labels = names.labels if names else {}
+    known = names.known if names else _known
+    whole = names is None
     seq = 0
     kept = 0 if names else 1  # kept elements around here; without names all is kept
 
@@ -166,7 +205,7 @@ def parse_into(html: str | None, elements: list[list], texts: list[list], names:
             if (row := open_rows.pop()) >= 0:
                 e_end[row] = seq - 1
                 kept -= 1
-            if told := open_told.pop():
+            if asked_labels and (told := open_told.pop()):
                 for value_tag, mark in told:
                     waiting.setdefault(value_tag, []).append(mark)
 
@@ -174,9 +213,8 @@ def parse_into(html: str | None, elements: list[list], texts: list[list], names:
         """Depth of the innermost open one of some tags; -1 if none is."""
         return max([d[-1] for t in tags if (d := depths.get(t))], default=-1)
 
-    parts = MARKUP.split(html)
-    parts += [None] * 6
-    for text, raw_tag, raw_rest, raw_text, slash, name, rest in zip(*[iter(parts)] * 7):
+    parts = iter([*MARKUP.split(html), ""])
+    for text, markup in zip(parts, parts):
         if text:
             unread = asked_labels and open_told and open_told[-1] is UNREAD
             if kept or unread:
@@ -185,72 +223,73 @@ def parse_into(html: str | None, elements: list[list], texts: list[list], names:
                 if kept:
                     t_seq.append(seq)
                     t_text.append(text)
-                    t_parent.append(open_seqs[-1] if open_seqs else None)
+                    t_parent.append(open_seqs[-1])
                 if unread:
                     open_told[-1] = [(v, mark) for label, v, mark in asked_labels[open_tags[-1]] if label in text]
             seq += 1
-        if name is not None:
-            tag = name.lower()
-            if slash:
-                if depths.get(tag):
-                    depth = depths[tag][-1]
-                    if depth == len(open_tags) - 1 or tag in BLOCKS or tag in CELLS or innermost(CELLS) <= depth:
-                        close_to(depth)
-                continue
-            ended, bounds = ENDS.get(tag, NO_ENDS)
-            for t in ended:
-                if depths.get(t):
-                    bound = innermost(bounds)
-                    cut = min([d[at] for t in ended if (d := depths.get(t)) and (at := bisect(d, bound)) < len(d)], default=-1)
-                    if cut >= 0:
-                        close_to(cut)
-                    break
-        elif raw_tag is not None:
-            tag, rest = raw_tag.lower(), raw_rest
-        else:
+        if not markup:
+            break
+        piece = known.get(markup, UNKNOWN)
+        if piece is UNKNOWN:
+            piece = read_piece(markup, names, known)
+        if piece is None:
             continue
-        if rest:
-            attrs = _attributes(rest)
-            css, id_ = attrs.get("class"), attrs.get("id")
-        else:
-            attrs, css, id_ = {}, None, None
+        tag = piece.tag
+        at = depths.get(tag)
+        if piece.closes:
+            if at:
+                depth = at[-1]
+                if depth == len(open_tags) - 1 and not asked_labels:
+                    open_tags.pop()
+                    at.pop()
+                    open_seqs.pop()
+                    if (row := open_rows.pop()) >= 0:
+                        e_end[row] = seq - 1
+                        kept -= 1
+                elif depth == len(open_tags) - 1 or piece.closes == 2 or innermost(CELLS) <= depth:
+                    close_to(depth)
+            continue
+        ended, bounds = piece.ends
+        for t in ended:
+            if depths.get(t):
+                bound = innermost(bounds)
+                cut = min([d[i] for t in ended if (d := depths.get(t)) and (i := bisect(d, bound)) < len(d)], default=-1)
+                if cut >= 0:
+                    close_to(cut)
+                break
+        found = piece.found
+        if waiting and tag in waiting:
+            found = found + waiting.pop(tag)
         row = -1
-        if names:
-            found = names.match(tag, id_, css)
-            if tag in waiting:
-                found = found + waiting.pop(tag)
-            if found:
-                row = len(e_seq)
-                for mark in found:
-                    if mark is not None:
-                        marks[mark].append(row - before)
-        else:
+        if whole or found:
             row = len(e_seq)
-        if row >= 0:
-            e_parent.append(open_seqs[-1] if open_seqs else None)
+            for mark in found:
+                if mark is not None and mark < n_marks:
+                    marks[mark].append(row - before)
+            e_parent.append(open_seqs[-1])
             e_seq.append(seq)
             e_end.append(seq)
-            e_tag.append(tag)
-            e_id.append(id_)
-            e_class.append(css)
-            e_classes.append(css.split() if css else ())
-            e_attrs.append(attrs)
-        if raw_tag is not None:
-            if raw_text:
+            e_piece.append(piece)
+        if piece.raw_text is not None:
+            if piece.raw_text:
                 seq += 1
                 if row >= 0 or kept:
                     t_seq.append(seq)
                     t_parent.append(seq - 1)
-                    t_text.append(raw_text)
+                    t_text.append(piece.raw_text)
                 if row >= 0:
                     e_end[-1] = seq
-        elif tag not in VOID:
-            depths.setdefault(tag, []).append(len(open_tags))
+        elif not piece.void:
+            if at is None:
+                at = depths[tag] = []
+            at.append(len(open_tags))
             open_tags.append(tag)
             open_rows.append(row)
             open_seqs.append(seq)
-            open_told.append(UNREAD if tag in asked_labels else NOT_ASKED)
-            kept += row >= 0
+            if asked_labels:
+                open_told.append(UNREAD if tag in asked_labels else NOT_ASKED)
+            if row >= 0:
+                kept += 1
         seq += 1
     close_to(0)
     return marks
@@ -264,11 +303,15 @@ ARROW_ELEMENT = pa.struct(
         ("text_place", pa.int32()), ("n_texts", pa.int32()), ("own", pa.list_(pa.int32())),
     ]
 )
+#: Of elements read for names: the numbers of those that the element fulfils.
+FITS = "fits"
+ARROW_NAMED = pa.struct([*ARROW_ELEMENT, (FITS, pa.list_(pa.int32()))])
 ARROW_MARKS = pa.list_(pa.list_(pa.int32()))
-#: What reading a page gives for an element; the rest follows from the numbers.
-PARSED = "seq end_seq parent_seq tag id class_attr classes attrs".split()
+#: What reading a page gives for an element: its numbers and the piece of markup that says the rest.
+PARSED = "seq end_seq parent_seq piece".split()
 ARROW_TEXT = pa.struct([("seq", pa.int64()), ("parent_seq", pa.int64()), ("text", pa.string())])
-PAGES_PER_BATCH = 64
+#: Pages laid out at once: so many, or fewer that hold so many bytes.
+PAGES_PER_BATCH, BYTES_PER_BATCH = 256, 1 << 20
 
 
 def _column(values: list, kind: pa.DataType) -> pa.Array:
@@ -312,8 +355,19 @@ def _inner(e_seq: np.ndarray, e_end: np.ndarray, ends: list[int], t_seq: np.ndar
     }
 
 
-def node_columns(pages: list[str | None], names: list[Names | None] | None = None) -> tuple[pa.ListArray, pa.ListArray, list[list[list[int]]]]:
-    """Elements, texts and marks of some pages, one list a page."""
+def _said(pieces: list[Piece], fields: list[pa.Field]) -> dict[str, pa.Array]:
+    """What the elements' markup says. Elements of a batch share pieces, so each is laid out once."""
+    places: dict[Piece, int] = {}
+    codes = pa.array([places.setdefault(p, len(places)) for p in pieces], pa.int32())
+    own = {"class_attr": "css"}
+    return {
+        f.name: _column([getattr(p, own.get(f.name, f.name)) for p in places], f.type).take(codes)
+        for f in fields if f.name in ("tag", "id", "class_attr", "classes", "attrs", FITS)
+    }
+
+
+def node_columns(pages: list[str | None], names: list[Names | None] | None = None, kind: pa.StructType = ARROW_ELEMENT) -> tuple[pa.ListArray, pa.ListArray, list[list[list[int]]]]:
+    """Elements, of the ``kind`` given, texts and marks of some pages, one list a page."""
     elements: list[list] = [[] for _ in PARSED]
     texts: list[list] = [[] for _ in range(ARROW_TEXT.num_fields)]
     element_ends, text_ends, marks = [0], [0], []
@@ -322,12 +376,13 @@ def node_columns(pages: list[str | None], names: list[Names | None] | None = Non
         element_ends.append(len(elements[0]))
         text_ends.append(len(texts[0]))
     told = pa.array(texts[2], pa.string())
-    numbers = [np.array(c, np.int64) for c in (elements[0], elements[1], texts[0], [-1 if p is None else p for p in texts[1]])]
-    made = _inner(numbers[0], numbers[1], element_ends, numbers[2], numbers[3], text_ends, told)
-    made |= {n: _column(c, ARROW_ELEMENT.field(n).type) for n, c in zip(PARSED, elements, strict=True)}
-    fields = list(ARROW_ELEMENT)
+    e_seq, e_end, e_parent, t_seq, t_parent = (np.array(c, np.int64) for c in (*elements[:3], texts[0], texts[1]))
+    made = _inner(e_seq, e_end, element_ends, t_seq, t_parent, text_ends, told)
+    made |= {"seq": pa.array(e_seq), "end_seq": pa.array(e_end), "parent_seq": pa.array(e_parent, mask=e_parent < 0)}
+    fields = list(kind)
+    made |= _said(elements[3], fields)
     whole = pa.StructArray.from_arrays([made[f.name] for f in fields], fields=fields)
-    read = pa.StructArray.from_arrays([pa.array(texts[0], pa.int64()), pa.array(texts[1], pa.int64()), told], fields=list(ARROW_TEXT))
+    read = pa.StructArray.from_arrays([pa.array(t_seq), pa.array(t_parent, mask=t_parent < 0), told], fields=list(ARROW_TEXT))
     return pa.ListArray.from_arrays(pa.array(element_ends, pa.int32()), whole), pa.ListArray.from_arrays(pa.array(text_ends, pa.int32()), read), marks
 
 
@@ -337,19 +392,41 @@ def parse_page(html: str | None) -> tuple[list[dict], list[dict]]:
     return [{**e, "attrs": dict(e["attrs"])} for e in elements[0].as_py()], texts[0].as_py()
 
 
+def _pieces_of(html: pa.Array) -> Iterator[tuple[int, int]]:
+    """Starts and lengths of runs of pages to be laid out together."""
+    at = held = 0
+    for i, size in enumerate(pc.binary_length(html).fill_null(0).to_pylist()):
+        if i > at and (i - at >= PAGES_PER_BATCH or held + size > BYTES_PER_BATCH):
+            yield at, i - at
+            at, held = i, 0
+        held += size
+    if at < len(html):
+        yield at, len(html) - at
+
+
+def _fields(names: Names | dict[str, Names] | None) -> list[str]:
+    """What is told of each element: all, or for names what they ask for."""
+    if not names:
+        return ELEMENT.names
+    asked = [n.fields or ELEMENT.names for n in (names.values() if isinstance(names, dict) else [names])]
+    return [f for f in ELEMENT.names if any(f in a for a in asked)] + [FITS]
+
+
 def _parse_batches(names: Names | dict[str, Names] | None):
+    kind = pa.struct([ARROW_NAMED.field(n) for n in _fields(names)])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nothing = Names([], [], 0)
         for whole in batches:
             where = whole.schema.get_field_index("html")
             kept = [i for i in range(whole.num_columns) if i != where]
             columns = [whole.schema.field(i).name for i in kept] + ["elements", "texts"] + (["marks"] if names else [])
-            for at in range(0, whole.num_rows, PAGES_PER_BATCH):
-                batch = whole.slice(at, PAGES_PER_BATCH)
+            for at, n in _pieces_of(whole.column(where)):
+                batch = whole.slice(at, n)
                 by_page = [names] * batch.num_rows
                 if isinstance(names, dict):
                     by_page = [names.get(s, nothing) for s in batch.column(whole.schema.get_field_index("site")).to_pylist()]
-                elements, texts, marks = node_columns(batch.column(where).to_pylist(), by_page)
+                elements, texts, marks = node_columns(batch.column(where).to_pylist(), by_page, kind)
                 made = [elements, texts, *([pa.array(marks, ARROW_MARKS)] if names else [])]
                 yield pa.RecordBatch.from_arrays([batch.column(i) for i in kept] + made, names=columns)
 
@@ -359,10 +436,12 @@ def _parse_batches(names: Names | dict[str, Names] | None):
 def with_nodes(pages: DataFrame, names: Names | dict[str, Names] | None = None) -> DataFrame:
     """Replace ``html`` by the arrays ``elements`` and ``texts``. No shuffle; other columns pass through.
 
-    With ``names``, or names for each value of the column ``site``, only what they ask for is kept, and ``marks`` has
+    With ``names``, or names for each value of the column ``site``, only what they ask for is kept, elements say in ``fits`` what they fulfil, and ``marks`` has
     the places of the elements found under each mark, so that selections need not search the page.
     """
-    made = [T.StructField("elements", T.ArrayType(ELEMENT)), T.StructField("texts", T.ArrayType(TEXT_NODE))]
+    named = {f.name: f for f in [*ELEMENT, T.StructField(FITS, T.ArrayType(T.IntegerType()))]}
+    element = T.StructType([named[n] for n in _fields(names)])
+    made = [T.StructField("elements", T.ArrayType(element)), T.StructField("texts", T.ArrayType(TEXT_NODE))]
     if names:
         made.append(T.StructField("marks", T.ArrayType(T.ArrayType(T.IntegerType()))))
     schema = T.StructType([f for f in pages.schema if f.name != "html"] + made)

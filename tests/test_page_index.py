@@ -9,6 +9,7 @@ from dwellframe.functions.select import El
 from dwellframe.operators import extract
 from dwellframe.plans import driver_views as dv
 from dwellframe.plans.site_rules import SITES
+from dwellframe.sources import html_nodes
 from dwellframe.sources.html_nodes import Names, parse_page, with_nodes
 
 SF = "/root/testdata/sf0.001"
@@ -81,3 +82,38 @@ def test_deep_and_long_pages_take_time_in_proportion(spark):
     long = spark.createDataFrame([(1, "bds", "http://v", "sell", "u", "".join(label.format(i) for i in range(many)))], "page_id int, site string, vendor string, type string, url string, html string")
     assert extract.extract_listings(long).first().num_floors == 0
     assert time.time() - began < 120
+
+
+def test_search_pages_are_read_only_as_far_as_rules_name_them(spark):
+    """Elements tell which rules they fulfil, instead of all they have; blocks alone need none of the fields."""
+    hit = '<div class="x resultItem" id=i><div class="row title"><a href="/h" title=t>go</a></div><p class="listing-price">1</p></div>'
+    pages = spark.createDataFrame([(1, "mbnd", f"<p>no</p>{hit}{hit}")], "page_id int, site string, html string")
+    page = extract.search_nodes(pages).first()
+    marks = extract._marks(SITES["mbnd"], "hit_fields")
+    assert "class_attr" not in page.elements[0] and [e.fits for e in page.elements if e.attrs] == [[marks[El("a")]]] * 2
+    assert [e.attrs for e in page.elements if e.attrs] == [{"href": "/h"}] * 2 and page.marks == [[1, 5]]
+    blocks = extract.search_nodes(pages, part="blocks")
+    assert [e.fits for e in blocks.first().elements] == [[0], [0]]
+    assert extract.page_blocks(blocks).first().n_hits == 2
+
+
+def test_short_markup_is_read_once():
+    """Recurring pieces of markup are kept a while, those told for some names apart from those read whole."""
+    known, names = {}, Names([("b", (), None, None, None, 0)], [], 1, frozenset(["k"]))
+    piece = html_nodes.read_piece('<b k="1&amp;2" l=3>', names, known)
+    assert known['<b k="1&amp;2" l=3>'] is piece and piece.attrs == {"k": "1&2"} and piece.fits == [0]
+    assert html_nodes.read_piece("<!-- x -->", None, known) is None and html_nodes.read_piece("</B >", None, known).closes
+    for text in ("<SCRIPT a='>'>x</b></script>", "<script/>", "<style>a", '<a b="', "<a b='>'>", "<span/>", "</ p>", "<ſ>", "<?x"):
+        assert "".join(html_nodes.MARKUP.split(f"1{text}2")) == f"1{text}2"
+    assert html_nodes.MARKUP.split("a<style b>c<d></STYLE >e<strong f='>'>g")[1::2] == ["<style b>c<d></STYLE >", "<strong f='>'>"]
+
+
+def test_reasons_are_told_without_extracting_the_rest(spark):
+    pages = spark.createDataFrame(
+        [(1, "bds", "v", "sell", "/c.htm", "2024-01-01", "<div class=vip></div>")], "page_id int, site string, vendor string, type string, crawl_url string, crawled_date string, html string"
+    )
+    _, bad = extract.quarantine(extract.extract_hits(pages))
+    only = bad.select("page_id", "_errors")
+    assert [tuple(r) for r in only.collect()] == [(1, ["missing link"])] and bad.columns[-1] == "_errors"
+    text = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "property_price_raw" in text(bad) and "property_price_raw" not in text(only)
