@@ -12,11 +12,13 @@ from dwellframe.session import stage
 
 # Largest table handed to every executor, in measured bytes.
 BROADCAST_BYTES = 64 << 20
+# What a value counts besides its text.
+KEY_BYTES = 16
 
 
 def measured_bytes(df: DataFrame) -> int:
     """Bytes the rows hold, counted over the actual rows. Runs a job: for data already staged or kept."""
-    per_row = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns]
+    per_row = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + KEY_BYTES for c in df.columns]
     return df.agg(F.coalesce(F.sum(reduce(lambda a, b: a + b, per_row)), F.lit(0))).first()[0]
 
 
@@ -30,7 +32,13 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
 
 
 def small_or_none(keys: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame | None:
-    """The distinct keys behind a broadcast hint, or None if they are too large for it."""
+    """The distinct keys behind a broadcast hint, or None if they are too large for it.
+
+    An estimate of their number comes first, so that keys far too many are not shuffled to be measured.
+    """
+    estimate = keys.agg(F.approx_count_distinct(F.struct(*keys.columns))).first()[0]
+    if estimate * KEY_BYTES * len(keys.columns) > 2 * limit:
+        return None
     keys = keys.distinct()
     return F.broadcast(keys) if measured_bytes(keys) <= limit else None
 

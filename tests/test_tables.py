@@ -194,3 +194,10 @@ def test_staged_tables_are_dropped(spark, tmp_path):
         assert inner.count() == 5 and sinks.exists(spark, folder)
     assert not sinks.exists(spark, folder) and session.staged()[:-1] == before and kept.count() == 3
     assert session.drop_staged(spark, len(before)) == 1 and session.staged() == before
+
+
+def test_far_too_many_keys_are_not_shuffled_to_be_measured(spark, monkeypatch):
+    keys = spark.range(5000).selectExpr("cast(id % 4000 as string) as k", "id % 2 as l")
+    assert ordering.small_or_none(keys).count() == 4000
+    monkeypatch.setattr(ordering, "measured_bytes", lambda df: 1 / 0)
+    assert ordering.small_or_none(keys, limit=4000) is None
