@@ -10,6 +10,7 @@ replayed batch changes nothing.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,10 +54,12 @@ def insert_sink(
         first = first_per_key(rows, keys, order).persist()
         try:
             wanted = first.select(*keys)
-            few = small_or_none(wanted)
+            few = cache(lambda: small_or_none(wanted))
 
             def lacking(state: State) -> DataFrame:
-                return new_rows(rows_at_keys(spark, path, key_schema, keys, wanted, state), first, keys, order, few)
+                if not any(p["rows"] for p in state.folders.values()):
+                    return first  # there is nothing to compare with
+                return new_rows(rows_at_keys(spark, path, key_schema, keys, wanted, state), first, keys, order, few())
 
             write_batch(first, path, stream, batch_id, keys, first.count(), bucket_rows, lacking)
         finally:

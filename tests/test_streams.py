@@ -167,3 +167,16 @@ def test_text_sources(spark, tmp_path):
     (tmp_path / "jobs.json").write_text('{"host": "h", "state": "running", "start_time": "2024-01-01 00:00:00"}\n')
     job = read_jobs(spark, str(tmp_path / "jobs.json")).first()
     assert (job.host, job.state, job.start_time, job.end_time) == ("h", "running", DAY, None)
+
+
+def test_first_batch_of_an_empty_table_is_compared_with_nothing(spark, tmp_path, monkeypatch):
+    asked = []
+    monkeypatch.setattr(streams, "small_or_none", lambda keys: asked.append(keys))
+    rows = spark.createDataFrame([("a", 1), ("a", 2), (None, 3)], "ip string, date int")
+    sink = streams.insert_sink(str(tmp_path / "t"), "s", rows.schema, ["ip"], ["date"])
+    sink(rows, 0)
+    assert not asked
+    sink(spark.createDataFrame([("a", 0), ("b", 4)], rows.schema), 1)
+    assert len(asked) == 1
+    got = sinks.read_batches(spark, str(tmp_path / "t"), rows.schema).collect()
+    assert sorted(got, key=str) == sorted([("a", 1), (None, 3), ("b", 4)], key=str)
