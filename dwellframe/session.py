@@ -70,6 +70,23 @@ def stage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` written once under the scratch folder, to be read several times inside and dropped at the end.
+
+    For rows of any number: unlike a cache it takes no memory of the executors, and no executor fetches a cached partition of
+    another as a whole. What is dropped is this table alone, so streams in several threads can keep their own.
+    """
+    spark = df.sparkSession
+    path = f"{scratch_root(spark).rstrip('/')}/kept-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def drop_staged(spark: SparkSession, since: int = 0, keep: str | None = None) -> int:
     """Delete the tables this process has staged (since it had staged ``since``), once their readers are done. Returns how many."""
     paths, dropped = _staged[since:], 0

@@ -24,6 +24,7 @@ from dwellframe.operators.ordering import first_per_key, small_or_none
 from dwellframe.operators.sinks import BUCKET_ROWS, FAN, fold_batches, merge_batches, read_batches, rows_at_keys, write_batch
 from dwellframe.operators.tables import new_rows, total_order
 from dwellframe.schemas import CONTACT_COLUMNS, FETCH_CHECK, INDEX_INSERTED, INDEX_KEYS, LISTING, PROPERTY_INDEX
+from dwellframe.session import kept
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -51,8 +52,7 @@ def insert_sink(
             return
         rows = _of_schema(batch, schema)
         order = total_order(rows, [F.col(c).asc_nulls_first() for c in lead], keys + lead)
-        first = first_per_key(rows, keys, order).persist()
-        try:
+        with kept(first_per_key(rows, keys, order)) as first:
             wanted = first.select(*keys)
             few = cache(lambda: small_or_none(wanted))
 
@@ -62,8 +62,6 @@ def insert_sink(
                 return new_rows(rows_at_keys(spark, path, key_schema, keys, wanted, state), first, keys, order, few())
 
             write_batch(first, path, stream, batch_id, keys, first.count(), bucket_rows, lacking)
-        finally:
-            first.unpersist()
         merge_batches(spark, path, schema, keys=keys, fan=fan, bucket_rows=bucket_rows)
 
     return write
@@ -106,11 +104,8 @@ def listing_sink(
         if batch_id <= read_state(spark, path).streams.get(stream, -1):
             return
         rows = _of_schema(batch.drop(*CONTACT_COLUMNS) if drop_contacts else batch, schema)
-        winners = _current(key, written_at)(rows).persist()
-        try:
+        with kept(_current(key, written_at)(rows)) as winners:
             write_batch(winners, path, stream, batch_id, [key], winners.count(), bucket_rows)
-        finally:
-            winners.unpersist()
         merge_batches(spark, path, schema, _current(key, written_at), [key], fan, bucket_rows)
 
     return write
@@ -143,15 +138,12 @@ def fold_latest(
 
 
 def route(sinks: dict[str, Sink], kind: str = "kind") -> Sink:
-    """Send each record kind to its own sink. The batch is kept while all of them read it."""
+    """Send each record kind to its own sink. The batch is kept while all of them read it, each its own kind's rows."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
+        with kept(batch) as rows:
             for name, sink in sinks.items():
-                sink(batch.filter(F.col(kind) == name).select("record.*" if "record" in batch.columns else "*"), batch_id)
-        finally:
-            batch.unpersist()
+                sink(rows.filter(F.col(kind) == name).select("record.*" if "record" in rows.columns else "*"), batch_id)
 
     return write
 

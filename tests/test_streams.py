@@ -1,6 +1,7 @@
 """Streams against their batch counterparts, over several micro-batches, with a replay."""
 
 import datetime as dt
+import pathlib
 import random
 
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from dwellframe.operators import sinks, tables
 from dwellframe.operators.ordering import first_per_key
 from dwellframe.schemas import FETCH_CHECK, LISTING, PROPERTY_INDEX
+from dwellframe.session import scratch_root
 from dwellframe.sources.readers import read_jobs, read_lines, read_page_files
 from dwellframe.streaming import sinks as streams
 
@@ -180,3 +182,24 @@ def test_first_batch_of_an_empty_table_is_compared_with_nothing(spark, tmp_path,
     assert len(asked) == 1
     got = sinks.read_batches(spark, str(tmp_path / "t"), rows.schema).collect()
     assert sorted(got, key=str) == sorted([("a", 1), (None, 3), ("b", 4)], key=str)
+
+
+def test_routed_batches_are_kept_on_disk_and_dropped(spark, tmp_path):
+    """No cached partition takes an executor's memory, or is fetched whole by another, while sinks read a batch."""
+    rows = hits(spark, 40).drop("file").withColumns({"kind": F.lit("index"), "key": F.col("property_id"), "crawled_date": F.col("created_date")})
+    cached, folders = [], set()
+    scratch = pathlib.Path(scratch_root(spark).removeprefix("file:"))
+
+    def seen(sink):
+        def write(batch, batch_id):
+            sink(batch, batch_id)
+            cached.append(batch.storageLevel.useMemory)
+            folders.update(p.name for p in scratch.glob("kept-*"))
+        return write
+
+    one, two = streams.index_sink(str(tmp_path / "i"), "a"), streams.listing_sink(str(tmp_path / "l"), "a", schema=rows.select("key", "crawled_date").schema)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    streams.route({"index": seen(one), "none": seen(two)})(rows, 0)
+    assert len(folders) == 1 and not any(cached)
+    assert not list(scratch.glob("kept-*")) and spark.sparkContext._jsc.getPersistentRDDs().size() == before
+    assert sinks.read_batches(spark, str(tmp_path / "i"), PROPERTY_INDEX).count() == rows.select("vendor", "property_id").distinct().count()
