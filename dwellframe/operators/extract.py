@@ -23,6 +23,7 @@ from dwellframe.plans.site_rules import (
     SITES, AfterLabel, Attr, LabelledItem, RunValue, SiteRules, Source, Take, Texts,
 )
 from dwellframe.schemas import LISTING, PROPERTY_INDEX
+from dwellframe.sources.hit_texts import HitRules, Steps, Wanted, with_hits
 from dwellframe.sources.html_nodes import Names, with_nodes
 
 COUNT_FIELDS = ["num_floors", "num_bedrooms", "num_bathrooms", "frontage", "distance_to_road"]
@@ -180,6 +181,32 @@ def page_blocks(parsed: DataFrame, sites: Mapping[str, SiteRules] = SITES) -> Da
     return parsed.withColumn("blocks", F.expr(blocks)).withColumn("n_hits", F.size("blocks"))
 
 
+def hit_rules(sites: Mapping[str, SiteRules]) -> dict[str, HitRules]:
+    """The blocks and hit fields of each site, in the numbers under which the parser tells what elements fulfil."""
+    asked, made = page_names(sites, "hit_fields"), {}
+    for name, rules in sites.items():
+        marks = _marks(rules, "hit_fields")
+
+        def steps(path: tuple[El, ...], marks: Mapping = marks) -> Steps:
+            return tuple((marks[e], e.child) for e in path)
+
+        def wanted(source: Source, marks: Mapping = marks) -> Wanted | None:
+            match source:
+                case Texts(path):
+                    return Wanted(steps(path))
+                case Attr(path, attr):
+                    return Wanted(steps(path), attr=attr)
+                case AfterLabel(label, label_tag, value_tag):
+                    return Wanted(steps((El(label_tag),)), label=label, value=marks[El(value_tag)])
+                case LabelledItem(label, list_class):
+                    return Wanted(steps((El("ul", class_attr=list_class), El("li", child=True))), label=label)
+            return None
+
+        fields = {f"_{n}": w for n, (source, _) in rules.hit_fields.items() if (w := wanted(source)) is not None}
+        made[name] = HitRules(asked[name], len(marks), steps(rules.blocks), fields)
+    return made
+
+
 def hit_rows(parsed: DataFrame, sites: Mapping[str, SiteRules] = SITES, keep_empty: bool = False) -> DataFrame:
     """One row per hit, carrying only the nodes of its own block: ``elements`` and ``texts``, slices of the page's.
 
@@ -196,6 +223,15 @@ def hit_rows(parsed: DataFrame, sites: Mapping[str, SiteRules] = SITES, keep_emp
     return exploded.select(*kept, "hit_no", "hit.*")
 
 
+def _field_of_hits(sites: Mapping[str, SiteRules], name: str) -> Column:
+    """A field of hits from the texts that were read for it."""
+    def of_site(rules: SiteRules) -> str | None:
+        source, take = rules.hit_fields.get(name, (None, None))
+        return source and _taken(_values(source) if isinstance(source, RunValue) else f"_{name}", take)
+
+    return F.expr(_per_site(sites, of_site))
+
+
 def extract_hits(
     pages: DataFrame, sites: Mapping[str, SiteRules] = SITES, keep_empty: bool = False
 ) -> DataFrame:
@@ -205,10 +241,13 @@ def extract_hits(
     :func:`hits_per_page` can count all pages from one staged result.
     """
     passed = ["page_id", "site", "vendor", "type", "crawl_url", "crawled_date"]
-    hits = hit_rows(search_nodes(_dated(pages).select(*passed, "html"), sites), sites, keep_empty)
+    rules = hit_rules(sites)
+    found = list(dict.fromkeys(n for r in rules.values() for n in r.fields))
+    hits = with_hits(_dated(pages).select(*passed, "html"), rules, found, keep_empty)
+
     raw = hits.select(
         "hit_no", *passed,
-        *[c.alias(n) for n, c in _fields(sites, "hit_fields").items()],
+        *[_field_of_hits(sites, n).alias(n) for n in dict.fromkeys(n for r in sites.values() for n in r.hit_fields)],
     )
     linked = raw.withColumn("link", S.absolute_link("vendor", "href"))
 

@@ -28,13 +28,17 @@ def new_rows(
     """Rows of ``source`` to add so that each key is present once and existing rows stay untouched.
 
     ``small_keys``, the source's keys behind a broadcast hint, first cuts the target down to the keys
-    in question, so that a large table is only scanned, not shuffled, for a small source.
+    in question, so that a large table is only scanned, not shuffled, for a small source. Stored keys come before all
+    rows of the source, so that one shuffle by key tells a key's first row and whether it is there already.
     """
-    first = first_per_key(source, keys, order)
     present = target.select(*keys)
     if small_keys is not None:
         present = present.join(small_keys, null_safe(present, small_keys, keys), "left_semi")
-    return first.join(present, null_safe(first, present, keys), "left_anti")
+    if any(present.schema[k].dataType != source.schema[k].dataType for k in keys):  # a union would change the source's types
+        first = first_per_key(source, keys, order)
+        return first.join(present, null_safe(first, present, keys), "left_anti")
+    both = source.withColumn("_new", F.lit(1)).unionByName(present.withColumn("_new", F.lit(0)), allowMissingColumns=True)
+    return first_per_key(both, keys, [F.col("_new").asc(), *order]).filter("_new = 1").drop("_new")
 
 
 def insert_if_absent(

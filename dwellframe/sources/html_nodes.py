@@ -64,6 +64,9 @@ PIECE = re.compile(
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"([^\s=/>\"'][^\s=/>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
+# A start tag as most are spelled, and its attributes; other spellings are read by the patterns above.
+SIMPLE = re.compile(r"""<(?!script\b|style\b)([a-z][a-z0-9]*+)((?:\s++[a-z-]++="[^"]*+")++)\s*+>""")
+VALUES = re.compile(r"""([a-z-]++)="([^"]*+)\"""")
 NO_ENDS: tuple[frozenset[str], frozenset[str]] = (frozenset(), frozenset())
 
 
@@ -99,10 +102,39 @@ class Piece:
         self.attrs = attrs if names is None or names.attrs is None else {k: v for k, v in attrs.items() if k in names.attrs}
 
 
+    def with_attrs(self, attrs: dict[str, str]) -> Piece:
+        """The same start tag with other attributes, ``id`` and ``class`` aside."""
+        piece = Piece.__new__(Piece)
+        piece.tag, piece.ends, piece.closes, piece.void, piece.raw_text = self.tag, self.ends, self.closes, self.void, self.raw_text
+        piece.id, piece.css, piece.classes, piece.found, piece.fits = self.id, self.css, self.classes, self.found, self.fits
+        piece.attrs = attrs
+        return piece
+
+
+def _simple_piece(tag: str, rest: str, text: str, names: Names) -> Piece:
+    """A start tag in its usual spelling: all but its other attributes is the same for one tag, id and class, and read once."""
+    attrs: dict[str, str] = {}
+    for name, value in VALUES.findall(rest):
+        if name not in attrs:
+            attrs[name] = unescape(value) if "&" in value else value
+    key = tag, attrs.get("id"), attrs.get("class")
+    kind = names.kinds.get(key)
+    if kind is None:
+        if len(names.kinds) >= CACHED:
+            names.kinds.clear()
+        kind = names.kinds[key] = Piece(*PIECE.match(text).groups(), names).with_attrs({})
+    if names.attrs is not None:
+        attrs = {k: v for k, v in attrs.items() if k in names.attrs}
+    return kind.with_attrs(attrs) if attrs else kind
+
+
 def read_piece(text: str, names: Names | None, known: dict[str, Piece | None]) -> Piece | None:
     """What a piece of markup says, None for comments and the like. Short pieces recur, so their readings are kept a while."""
-    groups = PIECE.match(text).groups()
-    piece = Piece(*groups, names) if groups[0] or groups[4] else None
+    if names is not None and (simple := SIMPLE.fullmatch(text)):
+        piece = _simple_piece(simple[1], simple[2], text, names)
+    else:
+        groups = PIECE.match(text).groups()
+        piece = Piece(*groups, names) if groups[0] or groups[4] else None
     if len(text) <= SHORT:
         if len(known) >= CACHED:
             known.clear()
@@ -142,6 +174,7 @@ class Names:
         for tag, label, value_tag, mark in labels:
             self.labels.setdefault(tag, []).append((label, value_tag, mark))
         self.matched: dict[tuple, list[int | None]] = {}
+        self.kinds: dict[tuple, Piece] = {}
 
     def match(self, tag: str, id_: str | None, css: str | None) -> list[int | None]:
         """Marks of an element, with None for each thing it fulfils that has no mark. Elements recur, so answers are kept a while."""
@@ -392,11 +425,11 @@ def parse_page(html: str | None) -> tuple[list[dict], list[dict]]:
     return [{**e, "attrs": dict(e["attrs"])} for e in elements[0].as_py()], texts[0].as_py()
 
 
-def _pieces_of(html: pa.Array) -> Iterator[tuple[int, int]]:
-    """Starts and lengths of runs of pages to be laid out together."""
+def pieces_of(html: pa.Array, most: int = PAGES_PER_BATCH) -> Iterator[tuple[int, int]]:
+    """Starts and lengths of runs of pages to be laid out together, ``most`` at the most."""
     at = held = 0
     for i, size in enumerate(pc.binary_length(html).fill_null(0).to_pylist()):
-        if i > at and (i - at >= PAGES_PER_BATCH or held + size > BYTES_PER_BATCH):
+        if i > at and (i - at >= most or held + size > BYTES_PER_BATCH):
             yield at, i - at
             at, held = i, 0
         held += size
@@ -421,7 +454,7 @@ def _parse_batches(names: Names | dict[str, Names] | None):
             where = whole.schema.get_field_index("html")
             kept = [i for i in range(whole.num_columns) if i != where]
             columns = [whole.schema.field(i).name for i in kept] + ["elements", "texts"] + (["marks"] if names else [])
-            for at, n in _pieces_of(whole.column(where)):
+            for at, n in pieces_of(whole.column(where)):
                 batch = whole.slice(at, n)
                 by_page = [names] * batch.num_rows
                 if isinstance(names, dict):

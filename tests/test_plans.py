@@ -63,6 +63,14 @@ def test_insert_cuts_the_source_before_shuffling_it(spark, index, no_broadcast):
     assert "NestedLoop" not in text
 
 
+def test_insert_shuffles_each_side_once(spark, index, no_broadcast):
+    text = plan(tables.insert_hits(index, index.filter("extra < 3")))
+    assert len(re.findall(r"Exchange hashpartitioning", text)) == 1 and "Join" not in text
+    other = index.withColumn("property_id", F.col("property_id").cast("int"))
+    added = tables.new_rows(other, index.filter("extra < 3").unionByName(index.filter("extra = 4").withColumn("property_id", F.lit("77"))), ["property_id"], [F.col("link")])
+    assert [(r.property_id, r.link) for r in added.collect()] == [("77", "/4")]
+
+
 def test_small_source_leaves_the_target_unshuffled(spark, index, no_broadcast):
     keys = ordering.broadcast_if_small(index.select("vendor", "type", "property_id"))
     source = index.filter("extra < 3")
