@@ -30,7 +30,7 @@ PIECES = {
             '<span class="product-price" id="a">', '<span class="product-city-dist">', "t", "5&nbsp;ty", '<div class="floatright">', "<p>", "<style>z</style>"],
     "tbds": ['<div class="col-gr-75per">', '<ul class="group-prd">', "<li>", "</li>", "</ul>", "</div>", '<div class="content">', '<div class="title">', '<div class="info">',
              '<a href="/y">', "</a>", "<span>", "</span>", '<p class="fsize-13">', "u", "v", "</p>"],
-    "mbnd": ['<div class="x resultItem">', '<div class="row title">', '<a href="/z">', "</a>", "</div>", '<p class="listing-price">', "7 ty", '<div class="lline col-xs-12">',
+    "mbnd": ['<div class="x resultItem">', '<div class="resultItem resultItem">', '<div class="row title">', '<a href="/z">', "</a>", "</div>", '<p class="listing-price">', "7 ty", '<div class="lline col-xs-12">',
              '<div class="row lline">', '<div class="col-xs-6">', "q", "</p>", "<td>", "</td>", '<div class="col-lg-4 lline hidden-xs">'],
 }
 
