@@ -181,6 +181,12 @@ def page_blocks(parsed: DataFrame, sites: Mapping[str, SiteRules] = SITES) -> Da
     return parsed.withColumn("blocks", F.expr(blocks)).withColumn("n_hits", F.size("blocks"))
 
 
+def _texts_column(sites: Mapping[str, SiteRules], name: str) -> str:
+    """Where the texts read for a field of hits lie, from which the field itself is taken only if it is asked for."""
+    names = dict.fromkeys(n for r in sites.values() for n in r.hit_fields)
+    return f"_texts_{list(names).index(name)}"
+
+
 def hit_rules(sites: Mapping[str, SiteRules]) -> dict[str, HitRules]:
     """The blocks and hit fields of each site, in the numbers under which the parser tells what elements fulfil."""
     asked, made = page_names(sites, "hit_fields"), {}
@@ -202,7 +208,7 @@ def hit_rules(sites: Mapping[str, SiteRules]) -> dict[str, HitRules]:
                     return Wanted(steps((El("ul", class_attr=list_class), El("li", child=True))), label=label)
             return None
 
-        fields = {f"_{n}": w for n, (source, _) in rules.hit_fields.items() if (w := wanted(source)) is not None}
+        fields = {_texts_column(sites, n): w for n, (source, _) in rules.hit_fields.items() if (w := wanted(source)) is not None}
         made[name] = HitRules(asked[name], len(marks), steps(rules.blocks), fields)
     return made
 
@@ -227,7 +233,7 @@ def _field_of_hits(sites: Mapping[str, SiteRules], name: str) -> Column:
     """A field of hits from the texts that were read for it."""
     def of_site(rules: SiteRules) -> str | None:
         source, take = rules.hit_fields.get(name, (None, None))
-        return source and _taken(_values(source) if isinstance(source, RunValue) else f"_{name}", take)
+        return source and _taken(_values(source) if isinstance(source, RunValue) else _texts_column(sites, name), take)
 
     return F.expr(_per_site(sites, of_site))
 
